@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, gif, packing, url_rules
+from . import chat, gif, mixing, packing, pii, url_rules
 from .common import table
 
 #: The rules of op5 (host, path, action).
@@ -21,6 +21,17 @@ def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(table(spark, sf_dir, "pages"), rules)
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.spans(docs, pii.fit(docs))
+    return found.select("doc_id", *(c.alias(n) for n, c in pii.digest().items()))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return mixed.select("row.doc_id", "size", "source_size", "target", "taken")
+
+
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = r"\### Assistant: </turn> ok"
     extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
@@ -33,7 +44,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op4_media, op5_url_rules, op8_chat, op9_packing)}
+QUERIES = {f.__name__: f for f in (op4_media, op5_url_rules, op6_pii, op7_mixing, op8_chat, op9_packing)}
 
 ORACLE_SQL: dict[str, str] = {
     "op5_url_rules": r"""
