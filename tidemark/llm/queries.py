@@ -5,13 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, gif, mixing, packing, pii, url_rules
-from .common import table
+from . import chat, gif, lm, mixing, packing, pii, quality, url_rules
+from .common import remainder, table
 
 #: The rules of op5 (host, path, action).
 URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.with_score(docs.select("doc_id", "text"), quality.fit(docs, table(spark, sf_dir, "labels")))
+    held = remainder("doc_id", quality.FOLDS) == quality.HELD_OUT
+    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op3_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 def op4_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gif.describe(gif.store_text(table(spark, sf_dir, "documents")))
 
@@ -44,7 +55,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op4_media, op5_url_rules, op6_pii, op7_mixing, op8_chat, op9_packing)}
+QUERIES = {f.__name__: f for f in (op2_quality, op3_lm, op4_media, op5_url_rules, op6_pii, op7_mixing, op8_chat, op9_packing)}
 
 ORACLE_SQL: dict[str, str] = {
     "op5_url_rules": r"""
