@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, gif, lm, mixing, packing, pii, quality, url_rules
+from . import chat, chosen_path, embeddings, gif, lm, mixing, packing, pii, quality, url_rules
 from .common import remainder, table
 
 #: The rules of op5 (host, path, action).
 URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 
 
+def op1_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = quality.with_score(docs.select("doc_id", "text"), quality.fit(docs, table(spark, sf_dir, "labels")))
@@ -55,9 +59,44 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op2_quality, op3_lm, op4_media, op5_url_rules, op6_pii, op7_mixing, op8_chat, op9_packing)}
+def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.join(table(spark, sf_dir, "documents")).drop("rid")
+
+
+QUERIES = {f.__name__: f for f in (op1_embeddings, op2_quality, op3_lm, op4_media, op5_url_rules, op6_pii, op7_mixing, op8_chat, op9_packing, op10_jaccard)}
+
+#: Components of ``links`` (a, b both ways) over ``nodes`` (n): the smallest node that links reach.
+_REACH = """
+reach(n, c) AS (
+  SELECT n, n FROM nodes
+  UNION
+  SELECT reach.n, links.b FROM reach JOIN links ON links.a = reach.c),
+least AS (SELECT n, min(c) AS c FROM reach GROUP BY n)"""
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_embeddings": f"""
+WITH RECURSIVE sound AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
+nodes(n) AS (SELECT vec_id FROM embeddings),{_REACH}
+SELECT n AS vec_id, (SELECT count(*) FROM links WHERE a = n) AS n_links, c AS component_id, n = c AS kept FROM least
+""",
+    "op10_jaccard": f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+sets AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 10 * k >= 8 * (x.n + y.n - k)),
+nodes(n) AS (SELECT doc_id FROM documents),{_REACH},
+exact AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY g) AS copy_id FROM (SELECT doc_id, md5(string_agg(s, chr(10) ORDER BY s)) AS g FROM sets GROUP BY doc_id))
+SELECT n AS doc_id, c AS class_id, (SELECT count(*) FROM links WHERE a = n) AS n_links, coalesce(copy_id, n) AS copy_id, n = c AS kept FROM least LEFT JOIN exact ON n = exact.doc_id
+""",
     "op5_url_rules": r"""
 WITH parts AS (
   SELECT page_id,
