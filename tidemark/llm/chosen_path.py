@@ -72,7 +72,7 @@ def _lists(doc: np.ndarray, n: int, *fields: tuple[str, np.ndarray]) -> pa.Array
 _SETS = "doc_id long, size long, h1 long, h2 long, tokens binary, p array<struct<b: long, r: int>>" + "".join(f", t{k} array<struct<r: int, t: long>>" for k in range(2, LEVELS + 1))
 
 
-def sets(docs: DataFrame, id_col: str, text_col: str, threshold: float, runs: int) -> DataFrame:
+def sets(docs: DataFrame, id_col: str, text_col: str, threshold: float, runs: int, carry: list[str]) -> DataFrame:
     """Per row its set, two hashes of it, first buckets (b of run r), and the tokens chosen at the further levels."""
     draw = np.random.default_rng(17)
     odd = draw.integers(0, 1 << 31, (runs, LEVELS), dtype=np.uint64).astype(np.uint32) * np.uint32(2) + np.uint32(1)
@@ -96,9 +96,12 @@ def sets(docs: DataFrame, id_col: str, text_col: str, threshold: float, runs: in
                 h = np.array([(xxhash.xxh3_64_intdigest(t), xxhash.xxh3_64_intdigest(t, 1)) for t in tokens], np.uint64).reshape(n, 2).view(np.int64)
                 columns = [batch.column(0), pa.array(size.astype(np.int64)), pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy()), pa.array(tokens, pa.binary()), _lists(doc[where], n, ("b", bucket), ("r", r))]
                 columns += [_lists(doc[w], n, ("r", r), ("t", flat[w].astype(np.int64))) for w, r in levels[1:]]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "size", "h1", "h2", "tokens", "p", *(f"t{k}" for k in range(2, LEVELS + 1))])
+                yield pa.RecordBatch.from_arrays(columns + batch.columns[2:], names=[*names, *carry])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).mapInArrow(run, _SETS)
+    own = docs.select(*carry)
+    names = ["doc_id", "size", "h1", "h2", "tokens", "p", *(f"t{k}" for k in range(2, LEVELS + 1))]
+    schema = ", ".join([_SETS, *(f"{f.name} {f.dataType.simpleString()}" for f in own.schema)])
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"), *carry).mapInArrow(run, schema)
 
 
 def similar_sets(threshold: float):
@@ -127,7 +130,7 @@ def similar_sets(threshold: float):
     return similar
 
 
-def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, carry: list[str] = ()) -> DataFrame:
     """doc_id, class_id, n_links, copy_id, kept: for every row its class (the smallest id that links of similarity at
     least ``threshold`` reach, its own included), the number of other rows it links with directly, the smallest id
     of the rows with the same set, and whether it is the one its class keeps (of rows repeated with the class's
@@ -135,10 +138,11 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
 
     Rows with an equal set link with each other. A null, empty or blank text has no set and links with nothing; it is
     its own class. A null id links with nothing either: its class is null, and it is kept. An id that comes with
-    different texts has a class for each. Other columns are not read. Long texts are taken whole.
+    different texts has a class for each. Columns in ``carry`` are passed on; their names may not be among those
+    above. Other columns are not read. Long texts are taken whole.
     """
     runs = runs_needed()
-    base = stage(sets(docs, id_col, text_col, threshold, runs).withColumn("rid", F.monotonically_increasing_id()), "sets")
+    base = stage(sets(docs, id_col, text_col, threshold, runs, list(carry)).withColumn("rid", F.monotonically_increasing_id()), "sets")
     real = base.where("size > 0 AND doc_id IS NOT NULL")
     classes = stage(real.groupBy("h1", "h2").agg(F.min("rid").alias("node"), F.count("*").alias("weight"), F.min("doc_id").alias("copy_id")), "classes")
 
@@ -169,9 +173,9 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
     named = known.groupBy("root").agg(F.min("copy_id").alias("class_id"))
     known = stage(known.join(named, "root"), "known")
     # the row a class keeps: the first of those that bear its id
-    rows = base.select("doc_id", "rid", "h1", "h2", (F.col("size") > 0).alias("real")).join(known, ["h1", "h2"], "left")
+    rows = base.select("doc_id", "rid", "h1", "h2", *carry, (F.col("size") > 0).alias("real")).join(known, ["h1", "h2"], "left")
     rows = rows.withColumn("real", F.col("real") & F.col("doc_id").isNotNull())
     first = stage(rows.where(F.col("real") & (F.col("doc_id") == F.col("class_id"))).groupBy("root").agg(F.min("rid").alias("first")), "first")
     rows = rows.join(first, "root", "left")
     own = lambda a, b: F.when(F.col("real"), a).otherwise(b)
-    return rows.select("doc_id", own(F.col("class_id"), F.col("doc_id")).alias("class_id"), own(F.col("n_links"), F.lit(0)).alias("n_links"), own(F.col("copy_id"), F.col("doc_id")).alias("copy_id"), own(F.col("rid") == F.col("first"), F.lit(True)).alias("kept"), "rid")
+    return rows.select("doc_id", own(F.col("class_id"), F.col("doc_id")).alias("class_id"), own(F.col("n_links"), F.lit(0)).alias("n_links"), own(F.col("copy_id"), F.col("doc_id")).alias("copy_id"), own(F.col("rid") == F.col("first"), F.lit(True)).alias("kept"), *carry)

@@ -60,7 +60,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chosen_path.join(table(spark, sf_dir, "documents")).drop("rid")
+    return chosen_path.join(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (op1_embeddings, op2_quality, op3_lm, op4_media, op5_url_rules, op6_pii, op7_mixing, op8_chat, op9_packing, op10_jaccard)}
