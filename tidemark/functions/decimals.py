@@ -45,9 +45,9 @@ def canonical_text(value: Column) -> Column:
 def scaled_int(value: Column, scale: int = 10) -> Column:
     """value * 10^scale as an integer; inexact values raise."""
     wide = value.cast(STORED)
-    whole = (wide.cast("decimal(28,10)") * F.lit(10**scale).cast("decimal(10,0)" if scale < 10 else "decimal(11,0)")).cast("decimal(38,0)")
-    exact = wide == wide.cast(f"decimal(38,{scale})")
-    return F.when(exact, whole).otherwise(F.raise_error(F.concat(F.lit("inexact at this scale: "), wide.cast("string"))).cast("decimal(38,0)"))
+    kept = wide.cast(f"decimal({20 + scale},{scale})")
+    digits = F.regexp_replace(kept.cast("string"), r"\.", "").cast("decimal(38,0)")
+    return F.when(wide.isNull() | (wide == kept), digits).otherwise(F.raise_error(F.concat(F.lit("inexact at this scale: "), wide.cast("string"))).cast("decimal(38,0)"))
 
 
 def from_scaled_int(value: Column, scale: int = 10) -> Column:

@@ -8,6 +8,7 @@ import json
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .decimals import canonical_text
 
@@ -47,7 +48,7 @@ def cache_key(url: Column, method: Column, path: Column, params: Column, version
     return sha256(F.to_json(F.struct(method.alias("method"), ordered.alias("params"), path.alias("path"), url.alias("url"), version.alias("version"))))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def payload_hash(body: pd.Series) -> pd.Series:
     """Semantic hash of response bodies: retCode, retMsg and result with sorted keys. What is no JSON object raises."""
 
