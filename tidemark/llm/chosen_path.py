@@ -3,13 +3,16 @@
 A document is the set of hashes of its five-word shingles. In each run a document chooses, at every level,
 the tokens of its set whose hash of that run and level lies below ``CHOICE / (threshold * size)``: two
 sets of similarity at least the threshold share ``CHOICE`` chosen tokens on average. A path of chosen
-tokens names a bucket. Buckets of at most ``SMALL`` sets are compared by brute force; larger ones are split by the tokens
-of the next level, and those of the last level are compared whatever their size. Runs are repeated
-until a pair at the threshold is missed with a probability below ``MISS``.
+tokens names a bucket. Buckets of more than ``LIMIT`` sets are split by the tokens of the next level; others are
+compared by brute force, as are those of the last level, whatever their size. Runs are repeated until a pair at
+the threshold that is split at all levels is missed with a probability below ``MISS``; one that is not split,
+with one below 1e-9.
 
 Sets equal to each other are one class and take part once. The sets of a bucket meet in the cell of
-the bucket's smallest class, which makes the many buckets of a group of copies a few cells; every
-pair of a cell is verified by exact intersection sizes.
+the bucket's smallest class, which makes the many buckets of a group of copies a few cells. Most sets
+that meet share a passage only: as links share 22 chosen tokens on average, a pair that shares fewer than ``SHARED``,
+or whose sizes forbid the similarity, is put aside (a link with a probability of 5e-8) before whole sets are
+sent. All other pairs of a cell are verified by exact intersection sizes.
 """
 
 from __future__ import annotations
@@ -23,11 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import graph
-from .common import stage, text_of
+from .common import release, stage, text_of
 from .lm import words_of
 
 WORDS, THRESHOLD = 5, 0.8
-CHOICE, LEVELS, SMALL, MISS = 1.6, 3, 100, 1e-6
+CHOICE, LEVELS, LIMIT, MISS, SHARED = 1.6, 3, 4096, 5e-5, 3
 
 
 def runs_needed(choice: float = CHOICE, levels: int = LEVELS, miss: float = MISS) -> int:
@@ -61,6 +64,21 @@ def shingle_sets(texts: list[str], width: int = WORDS) -> tuple[np.ndarray, np.n
     return (flat & np.uint64(0xFFFFFFFF)).astype(np.uint32), np.bincount((flat >> np.uint64(32)).astype(np.int64), minlength=len(texts))
 
 
+def packed(tokens: np.ndarray) -> bytes:
+    """Sorted tokens as differences, byte planes apart: the highest plane is nearly all zeros and compresses away."""
+    return np.diff(tokens, prepend=np.uint32(0)).view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    planes = np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T)
+    return np.cumsum(planes.view(np.uint32).ravel(), dtype=np.uint32)
+
+
+def _list(doc: np.ndarray, n: int, values: np.ndarray) -> pa.Array:
+    order = np.argsort(doc, kind="stable")
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(np.bincount(doc, minlength=n)))), pa.int32()), pa.array(values[order]))
+
+
 def _lists(doc: np.ndarray, n: int, *fields: tuple[str, np.ndarray]) -> pa.Array:
     """List of structs for each of ``n`` documents, from flat arrays."""
     order = np.argsort(doc, kind="stable")
@@ -69,11 +87,11 @@ def _lists(doc: np.ndarray, n: int, *fields: tuple[str, np.ndarray]) -> pa.Array
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
 
 
-_SETS = "doc_id long, size long, h1 long, h2 long, tokens binary, p array<struct<b: long, r: int>>" + "".join(f", t{k} array<struct<r: int, t: long>>" for k in range(2, LEVELS + 1))
+_SETS = "doc_id long, size long, h1 long, h2 long, tokens binary, sketch binary, p array<long>" + "".join(f", t{k} array<struct<r: int, t: long>>" for k in range(2, LEVELS + 1))
 
 
 def sets(docs: DataFrame, id_col: str, text_col: str, threshold: float, runs: int, carry: list[str]) -> DataFrame:
-    """Per row its set, two hashes of it, first buckets (b of run r), and the tokens chosen at the further levels."""
+    """Per row its set, two hashes of it, first buckets (the run in the six lowest bits), and the tokens chosen at the further levels."""
     draw = np.random.default_rng(17)
     odd = draw.integers(0, 1 << 31, (runs, LEVELS), dtype=np.uint64).astype(np.uint32) * np.uint32(2) + np.uint32(1)
     shift = draw.integers(0, 1 << 32, (runs, LEVELS), dtype=np.uint64).astype(np.uint32)
@@ -91,40 +109,63 @@ def sets(docs: DataFrame, id_col: str, text_col: str, threshold: float, runs: in
                     picked = [np.flatnonzero(flat * odd[r, level] + shift[r, level] <= limit) for r in range(runs)]
                     levels.append((np.concatenate(picked), np.repeat(np.arange(runs, dtype=np.int32), [len(x) for x in picked])))
                 where, r = levels[0]
-                bucket = _mix(flat[where].astype(np.uint64) << np.uint64(16) | r.astype(np.uint64)).view(np.int64)
-                tokens = [flat[e - s : e].tobytes() for e, s in zip(ends.tolist(), size.tolist(), strict=True)]
+                name = _mix(flat[where].astype(np.uint64) << np.uint64(16) | r.astype(np.uint64))
+                bucket = (name & ~np.uint64(63) | r.astype(np.uint64)).view(np.int64)
+                tokens = [packed(flat[e - s : e]) for e, s in zip(ends.tolist(), size.tolist(), strict=True)]
+                by_doc = np.argsort(doc[where], kind="stable")
+                chosen = np.split((bucket[by_doc] >> 32).astype(np.uint32), np.cumsum(np.bincount(doc[where], minlength=n))[:-1]) if n else []
+                sketch = [np.append(np.uint32(s), c).tobytes() for s, c in zip(size.tolist(), chosen, strict=True)]
                 h = np.array([(xxhash.xxh3_64_intdigest(t), xxhash.xxh3_64_intdigest(t, 1)) for t in tokens], np.uint64).reshape(n, 2).view(np.int64)
-                columns = [batch.column(0), pa.array(size.astype(np.int64)), pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy()), pa.array(tokens, pa.binary()), _lists(doc[where], n, ("b", bucket), ("r", r))]
+                columns = [batch.column(0), pa.array(size.astype(np.int64)), pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy()), pa.array(tokens, pa.binary()), pa.array(sketch, pa.binary()), _list(doc[where], n, bucket)]
                 columns += [_lists(doc[w], n, ("r", r), ("t", flat[w].astype(np.int64))) for w, r in levels[1:]]
                 yield pa.RecordBatch.from_arrays(columns + batch.columns[2:], names=[*names, *carry])
 
     own = docs.select(*carry)
-    names = ["doc_id", "size", "h1", "h2", "tokens", "p", *(f"t{k}" for k in range(2, LEVELS + 1))]
+    names = ["doc_id", "size", "h1", "h2", "tokens", "sketch", "p", *(f"t{k}" for k in range(2, LEVELS + 1))]
     schema = ", ".join([_SETS, *(f"{f.name} {f.dataType.simpleString()}" for f in own.schema)])
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"), *carry).mapInArrow(run, schema)
 
 
+def _common(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of two lists of sets; values of one set only are left out first."""
+    sets = [*a, *b]
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = count[column] > 1
+    row, column = row[shared], (np.cumsum(count > 1) - 1)[column[shared]]
+    wide, both = int((count > 1).sum()), np.zeros((len(a), len(b)))
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for at in range(0, wide, 8192):
+        lo, hi = np.searchsorted(column, (at, at + 8192))
+        x = np.zeros((len(sets), min(8192, wide - at)), np.float32)
+        x[row[lo:hi], column[lo:hi] - at] = 1
+        both += x[: len(a)] @ x[len(a) :].T
+    return both
+
+
+def similar_sketches(threshold: float):
+    """Pairs that can be links: enough chosen tokens in common, and sizes that allow the similarity."""
+
+    def similar(a: list[bytes], b: list[bytes]) -> np.ndarray:
+        x, y = ([np.frombuffer(s, np.uint32) for s in side] for side in (a, b))
+        n, m = (np.array([s[0] for s in side], float) for side in (x, y))
+        near = np.minimum(n[:, None], m[None, :]) >= (threshold - 1e-9) * np.maximum(n[:, None], m[None, :])
+        return near & (_common([s[1:] for s in x], [s[1:] for s in y]) >= SHARED)
+
+    return similar
+
+
 def similar_sets(threshold: float):
     """Matrix of links between two lists of token sets, by exact intersection sizes."""
     scale = 1_000_000
     least = round(threshold * scale)
 
     def similar(a: list[bytes], b: list[bytes]) -> np.ndarray:
-        sets = [np.frombuffer(x, np.uint32) for x in (*a, *b)]
-        n = np.array([len(s) for s in sets])
-        row = np.repeat(np.arange(len(sets)), n)
-        _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-        shared = count[column] > 1
-        row, column = row[shared], (np.cumsum(count > 1) - 1)[column[shared]]
-        wide, both = int((count > 1).sum()), np.zeros((len(a), len(b)))
-        order = np.argsort(column, kind="stable")
-        row, column = row[order], column[order]
-        for at in range(0, wide, 8192):
-            lo, hi = np.searchsorted(column, (at, at + 8192))
-            x = np.zeros((len(sets), min(8192, wide - at)), np.float32)
-            x[row[lo:hi], column[lo:hi] - at] = 1
-            both += x[: len(a)] @ x[len(a) :].T
-        union = n[: len(a), None] + n[None, len(a) :] - both
+        x, y = [unpacked(s) for s in a], [unpacked(s) for s in b]
+        both = _common(x, y)
+        n, m = np.array([len(s) for s in x]), np.array([len(s) for s in y])
+        union = n[:, None] + m[None, :] - both
         return both * scale >= least * union
 
     return similar
@@ -144,29 +185,31 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
     runs = runs_needed()
     base = stage(sets(docs, id_col, text_col, threshold, runs, list(carry)).withColumn("rid", F.monotonically_increasing_id()), "sets")
     real = base.where("size > 0 AND doc_id IS NOT NULL")
-    classes = stage(real.groupBy("h1", "h2").agg(F.min("rid").alias("node"), F.count("*").alias("weight"), F.min("doc_id").alias("copy_id")), "classes")
+    classes = stage(real.groupBy("h1", "h2").agg(F.min("rid").alias("node"), F.count("*").alias("weight"), F.min("doc_id").alias("copy_id"), F.min("size").alias("items")), "classes")
 
     later = [f"t{k}" for k in range(2, LEVELS + 1)]
-    rows, cells = real.select("h1", F.explode("p").alias("p")).select("h1", "p.b", "p.r"), None
+    rows, cells = real.select("h1", F.explode("p").alias("b")), None
     for level in range(1, LEVELS + 1):
         counts = rows.groupBy("b").agg(F.count("*").alias("n"), F.min("h1").alias("cell"), F.max("h1").alias("last")).where("cell <> last").drop("last")
         met = stage(rows.join(stage(counts, f"buckets{level}"), "b"), f"met{level}")
-        small = (met if level == LEVELS else met.where(F.col("n") <= SMALL)).select("cell", "h1")
+        small = (met if level == LEVELS else met.where(F.col("n") <= LIMIT)).select("cell", "h1")
         cells = small if cells is None else cells.union(small)
         if level == LEVELS:
             break
-        large = met.where(F.col("n") > SMALL)
+        large = met.where(F.col("n") > LIMIT).distinct()
         if level == 1:  # the tokens of the further levels are fetched for those that need them, once a class
             needed = classes.join(large.select("h1").distinct(), "h1").select("h1", F.col("node").alias("rid"))
             chosen = needed.join(base.select("rid", *later), "rid").drop("rid")
-            own = F.array(*(F.expr(f"transform(filter({t}, x -> x.r = r), x -> x.t)") for t in later))
+            own = F.array(*(F.expr(f"transform(filter({t}, x -> x.r = (b & 63)), x -> x.t)") for t in later))
             large = large.join(chosen, "h1").select("h1", "b", own.alias("next"))
         rows = stage(large.select("h1", F.expr("explode(transform(next[0], t -> xxhash64(b, t)))").alias("b"), F.expr("slice(next, 2, size(next))").alias("next")), f"paths{level}")
 
-    members = stage(cells.distinct().join(classes.select("h1", "node"), "h1").select("cell", "node"), "joined")
-    payload = classes.select("node", "weight").join(base.select(F.col("rid").alias("node"), "size", F.col("tokens").alias("data")), "node")
-    payload = stage(payload.join(members.select("node").distinct(), "node", "left_semi"), "payload")
-    found = stage(graph.compare(members, payload.select("node", "weight", "data", "size"), similar_sets(threshold), "size"), "links")
+    members = stage(cells.distinct().join(classes.select("h1", "node", "weight", "items"), "h1").select("cell", "node", "weight", "items"), "members")
+    rows_of = lambda m, column: graph.only_nodes(base.select(F.col("rid").alias("node"), F.col(column).alias("data")), m)
+    members = stage(graph.plausible(members, rows_of(members, "sketch"), similar_sketches(threshold)), "plausible")
+    found = stage(graph.compare(members, rows_of(members, "tokens"), similar_sets(threshold)), "links")
+    base, whole = stage(base.select("doc_id", "rid", "h1", "h2", "size", *carry), "rows"), base
+    release(whole)
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     reach = graph.components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     known = classes.join(links, "node", "left").join(reach, "node", "left").select("h1", "h2", "copy_id", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("root", "node").alias("root"), "node")

@@ -29,14 +29,29 @@ def shared_dir(spark: SparkSession) -> str:
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder as Parquet and read it back: lineage ends here, and a lost
-    executor costs only a re-read. The files are deleted when the application ends."""
+    executor costs only a re-read. The files are deleted when the application ends, or by ``release``. Shuffle
+    files that only the write needed are freed at once, as Spark frees them when its driver collects garbage."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/tidemark-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hpath)
-    return spark.read.schema(df.schema).parquet(path)
+    files, place = _files(spark, path)
+    files.deleteOnExit(place)
+    spark.sparkContext._jvm.java.lang.System.gc()
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def _files(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def release(*staged: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for df in staged:
+        files, place = _files(df.sparkSession, df.staged_at)
+        files.delete(place, True)
 
 
 def n_partitions(spark: SparkSession) -> int:

@@ -111,7 +111,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
             yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("weight"), pa.array(cells, pa.list_(pa.int64())), pa.array(data, pa.binary())], names=["node", "weight", "cells", "data"])
 
     placed = stage(reps.mapInArrow(run, "node long, weight long, cells array<long>, data binary"), "placed")
-    found = stage(graph.compare(placed.select(F.explode("cells").alias("cell"), "node"), placed.select("node", "weight", "data"), similar_rows(threshold), "octet_length(data) DIV 8"), "vector-links")
+    found = stage(graph.compare(placed.select(F.explode("cells").alias("cell"), "node", "weight", F.expr("octet_length(data) DIV 8").alias("items")).distinct(), placed.select("node", "data"), similar_rows(threshold)), "vector-links")
     reach = graph.components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     known = classes.join(found.groupBy("node").agg(F.sum("links").alias("links")), "node", "left").join(reach, "node", "left")
     known = known.select("h1", "h2", "least", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("root", "node").alias("root"))

@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +19,29 @@ from pyspark.sql import functions as F
 from .common import n_partitions, stage
 
 #: Nodes of a block: a fortieth of the cell's, within these, and no more than hold so many payload items.
-LEAST, MOST, ITEMS = 64, 2048, 4_000_000
+LEAST, MOST, ITEMS = 512, 2048, 4_000_000
+
+
+#: Bits of the filter that keeps rows of no member from being shuffled.
+FILTER_BITS = 1 << 21
+
+
+def only_nodes(rows: DataFrame, members: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose ``node`` is no member: a bitmap of fixed size, hashed from the members' nodes,
+    goes to all tasks. It lets some others pass, more as it fills, and never loses a member; a join must follow."""
+    place = F.pmod(F.xxhash64("node"), F.lit(FILTER_BITS))
+    words = members.select(place.alias("h")).groupBy(F.shiftright("h", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(h & 63 AS int))")).alias("bits")).collect()
+    bitmap = np.zeros(FILTER_BITS // 64, np.int64)
+    for r in words:
+        bitmap[r["w"]] = r["bits"]
+    sent = rows.sparkSession.sparkContext.broadcast(bitmap.view(np.uint64))
+
+    @F.pandas_udf("boolean")
+    def present(h: pd.Series) -> pd.Series:
+        x = h.to_numpy()
+        return pd.Series((sent.value[x >> 6] >> (x & 63).astype(np.uint64) & np.uint64(1)).astype(bool))
+
+    return rows.where(present(place))
 
 
 def groups(batches, keys: int):
@@ -72,41 +95,66 @@ def roots(linked: np.ndarray, nodes: np.ndarray) -> np.ndarray:
         label = new
 
 
-def compare(members: DataFrame, payload: DataFrame, similar: Callable, items: str = "1") -> DataFrame:
-    """node, links, root from ``members`` (cell long, node long) and ``payload`` (node long, weight long, data binary, of
-    ``items`` items each); ``similar(a, b)`` gives the matrix of links of two lists of payloads. links adds the weights
-    of the nodes linked. A node may come several times; nodes without links do not come."""
-    spark = members.sparkSession
-    members = members.distinct()
-    sizes = stage(members.join(payload.select("node", F.expr(items).cast("long").alias("items")), "node").groupBy("cell").agg(F.count("*").alias("n"), F.avg("items").alias("items")).where("n > 1"), "cells")
+def _blocks(members: DataFrame, payload: DataFrame, with_cells: bool) -> DataFrame:
+    """Rows of the tasks: every node of a cell once for each block its own block is compared with."""
+    sizes = stage(members.groupBy("cell").agg(F.count("*").alias("n"), F.avg("items").alias("items")).where("n > 1"), "cells")
     block = F.greatest(F.lit(8), F.least(F.greatest(F.lit(LEAST), F.floor(F.col("n") / 40)), F.lit(MOST), F.floor(ITEMS / F.greatest(F.col("items"), F.lit(1.0)))))
     sizes = sizes.select("cell", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
-    dealt = stage(members.join(sizes, "cell"), "members")
-    cells = dealt.groupBy("node").agg(F.collect_set("cell").alias("cells"))
+    dealt = members.join(sizes, "cell").select("cell", "node", "weight", "blocks")
+    if with_cells:
+        dealt = stage(dealt, "dealt")
+        dealt = dealt.join(dealt.groupBy("node").agg(F.collect_set("cell").alias("cells")), "node")
+    else:
+        dealt = dealt.withColumn("cells", F.array().cast("array<long>"))
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    rows = dealt.join(cells, "node").join(payload, "node").withColumn("own", own).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    rows = dealt.join(payload, "node").withColumn("own", own).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
     rows = rows.select("cell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "weight", "cells", "data")
+    return rows.repartition(n_partitions(members.sparkSession), "cell", "i", "j").sortWithinPartitions("cell", "i", "j")
+
+
+def _pairs(batches, similar: Callable):
+    """Per task: cell, its nodes in order, the positions of both blocks, their matrix of links, and the task's rows."""
+    for (cell, i, j), t in groups(batches, 3):
+        order = np.argsort(t["node"].to_numpy(), kind="stable")
+        t = t.take(pa.array(order))
+        own, data = t["own"].to_numpy(), t["data"].to_pylist()
+        a = np.flatnonzero(own == i)
+        b = a if i == j else np.flatnonzero(own == j)
+        if not len(a) or not len(b) or len(own) < 2:
+            continue
+        linked = similar([data[k] for k in a], [data[k] for k in b])
+        if i == j:
+            np.fill_diagonal(linked, False)
+        if linked.any():
+            yield cell, t, a, b, linked
+
+
+def plausible(members: DataFrame, sketches: DataFrame, similar: Callable) -> DataFrame:
+    """The rows of ``members`` (cell, node, weight, items) that have a partner in their cell by a cheap test on ``sketches`` (node, data).
+    The test must hold for all pairs that are links."""
+
+    def run(batches):
+        for cell, t, a, b, linked in _pairs(batches, similar):
+            keep = np.union1d(a[linked.any(1)], b[linked.any(0)])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keep), cell)), pa.array(t["node"].to_numpy()[keep])], names=["cell", "node"])
+
+    some = members.withColumn("items", F.lit(32))
+    kept = _blocks(some, sketches, False).mapInArrow(run, "cell long, node long").distinct()
+    return members.join(kept, ["cell", "node"])
+
+
+def compare(members: DataFrame, payload: DataFrame, similar: Callable) -> DataFrame:
+    """node, links, root from ``members`` (cell, node, weight, items; one row a cell and node) and ``payload`` (node, data binary, of
+    about ``items`` items); ``similar(a, b)`` gives the matrix of links of two lists of payloads. links adds the weights
+    of the nodes linked. A node may come several times; nodes without links do not come."""
 
     def run(batches):
-        for (cell, i, j), t in groups(batches, 3):
-            node, weight = t["node"].to_numpy(), t["weight"].to_numpy()
-            order = np.argsort(node, kind="stable")
-            node, weight, own = node[order], weight[order], t["own"].to_numpy()[order]
-            data, before = t["data"].take(pa.array(order)).to_pylist(), _before(t["cells"].take(pa.array(order)).to_pylist(), cell)
-            a = np.flatnonzero(own == i)
-            b = a if i == j else np.flatnonzero(own == j)
-            if not len(a) or not len(b) or len(node) < 2:
-                continue
-            pick = lambda x, rows: [x[k] for k in rows]
-            linked = similar(pick(data, a), pick(data, b))
-            if i == j:
-                np.fill_diagonal(linked, False)
-            if not linked.any():
-                continue
+        for cell, t, a, b, linked in _pairs(batches, similar):
+            node, weight, before = t["node"].to_numpy(), t["weight"].to_numpy(), _before(t["cells"].to_pylist(), cell)
             whole = np.zeros((len(node), len(node)), bool)
             whole[np.ix_(a, b)] = linked
             whole |= whole.T
-            met = _met(pick(before, a), pick(before, b))
+            met = _met([before[k] for k in a], [before[k] for k in b])
             fresh = np.zeros_like(whole)
             fresh[np.ix_(a, b)] = linked if met is None else linked & ~met
             fresh |= fresh.T
@@ -114,11 +162,11 @@ def compare(members: DataFrame, payload: DataFrame, similar: Callable, items: st
             keep = np.flatnonzero(whole.any(1))
             yield pa.RecordBatch.from_arrays([pa.array(node[keep]), pa.array(links[keep].astype(np.int64)), pa.array(root[keep])], names=["node", "links", "root"])
 
-    return rows.repartition(n_partitions(spark), "cell", "i", "j").sortWithinPartitions("cell", "i", "j").mapInArrow(run, "node long, links long, root long")
+    return _blocks(members, payload, True).mapInArrow(run, "node long, links long, root long")
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """node, root (the smallest node that links reach) for all nodes of ``edges`` (a, b), by alternating large and small
+    """node, root (the smallest node that links reach) for all nodes of ``edges`` (a, b) but the roots, by alternating large and small
     stars. Minima are staged before they are joined back, so that a node with very many edges can be split."""
 
     def mark(e):
