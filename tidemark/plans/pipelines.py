@@ -29,6 +29,23 @@ def inventory_report(trading: DataFrame, closed: DataFrame) -> tuple[DataFrame,
     return rows, rows.groupBy("status").agg(F.count("*").alias("n"), F.count_if("eligible").alias("eligible"))
 
 
+def inventory_hash(rows: DataFrame, complete: bool = True, stitched: bool = False) -> DataFrame:
+    """sha256 over the instruments' records sorted by symbol and two flags; a listing is some thousands of records."""
+    lines = F.array_sort(F.collect_list(F.struct("symbol", "raw")))
+    return rows.agg(F.sha2(F.concat(F.array_join(F.transform(lines, lambda x: x["raw"]), "\n"), F.lit(f"\n{complete}\n{stitched}")), 256).alias("inventory_sha256"), F.count("*").alias("instruments"))
+
+
+def guard_development(end_ms: int, development_end_ms: int) -> None:
+    """Tools that look at results may only see the development period."""
+    if development_end_ms and end_ms > development_end_ms:
+        raise ValueError("the range leaves the development period")
+
+
+def resumable(header: dict, now: dict, keys: tuple[str, ...] = ("data_version", "range_start_ms", "range_end_ms", "inventory_sha256")) -> list[str]:
+    """Names of header fields in which a run differs from the one to be resumed; empty if it may go on."""
+    return [k for k in keys if header.get(k) != now.get(k)]
+
+
 def sample_coverage(instruments: DataFrame, bars_1m: DataFrame, now_ms: int) -> DataFrame:
     """Three probe windows of each audited instrument, classified."""
     known = instruments.join(audit.first_trades(bars_1m), "symbol", "left")
