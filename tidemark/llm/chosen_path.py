@@ -136,9 +136,10 @@ def _common(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     wide, both = int((count > 1).sum()), np.zeros((len(a), len(b)))
     order = np.argsort(column, kind="stable")
     row, column = row[order], column[order]
-    for at in range(0, wide, 8192):
-        lo, hi = np.searchsorted(column, (at, at + 8192))
-        x = np.zeros((len(sets), min(8192, wide - at)), np.float32)
+    width = min(8192, (1 << 24) // max(len(sets), 1) + 1)
+    for at in range(0, wide, width):
+        lo, hi = np.searchsorted(column, (at, at + width))
+        x = np.zeros((len(sets), min(width, wide - at)), np.float32)
         x[row[lo:hi], column[lo:hi] - at] = 1
         both += x[: len(a)] @ x[len(a) :].T
     return both

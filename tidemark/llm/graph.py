@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 
 from .common import n_partitions, stage
 
-#: Nodes of a block: a fortieth of the cell's, within these, and no more than hold so many payload items.
-LEAST, MOST, ITEMS = 512, 2048, 4_000_000
+#: Nodes of a block: a tenth of the cell's, within these, and no more than hold so many payload items. A node is sent
+#: once for each block of its cell.
+LEAST, MOST, ITEMS = 1024, 2048, 4_000_000
 
 
 #: Bits of the filter that keeps rows of no member from being shuffled.
@@ -89,7 +90,8 @@ def roots(linked: np.ndarray, nodes: np.ndarray) -> np.ndarray:
     label = nodes.copy()
     far = np.iinfo(np.int64).max
     while True:
-        new = np.minimum(label, np.where(linked, label[None, :], far).min(1))
+        least = [np.where(rows, label, far).min(1) for rows in np.array_split(linked, len(nodes) // 512 + 1)]
+        new = np.minimum(label, np.concatenate(least))
         if (new == label).all():
             return label
         label = new
@@ -98,7 +100,7 @@ def roots(linked: np.ndarray, nodes: np.ndarray) -> np.ndarray:
 def _blocks(members: DataFrame, payload: DataFrame, with_cells: bool) -> DataFrame:
     """Rows of the tasks: every node of a cell once for each block its own block is compared with."""
     sizes = stage(members.groupBy("cell").agg(F.count("*").alias("n"), F.avg("items").alias("items")).where("n > 1"), "cells")
-    block = F.greatest(F.lit(8), F.least(F.greatest(F.lit(LEAST), F.floor(F.col("n") / 40)), F.lit(MOST), F.floor(ITEMS / F.greatest(F.col("items"), F.lit(1.0)))))
+    block = F.greatest(F.lit(8), F.least(F.greatest(F.lit(LEAST), F.floor(F.col("n") / 10)), F.lit(MOST), F.floor(ITEMS / F.greatest(F.col("items"), F.lit(1.0)))))
     sizes = sizes.select("cell", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
     dealt = members.join(sizes, "cell").select("cell", "node", "weight", "blocks")
     if with_cells:
