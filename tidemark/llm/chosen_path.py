@@ -199,8 +199,8 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
             break
         large = met.where(F.col("n") > LIMIT).distinct()
         if level == 1:  # the tokens of the further levels are fetched for those that need them, once a class
-            needed = classes.join(large.select("h1").distinct(), "h1").select("h1", F.col("node").alias("rid"))
-            chosen = needed.join(base.select("rid", *later), "rid").drop("rid")
+            needed = stage(classes.join(large.select("h1").distinct(), "h1").select("h1", "node"), "needed")
+            chosen = needed.join(graph.only_nodes(base.select(F.col("rid").alias("node"), *later), needed), "node").drop("node")
             own = F.array(*(F.expr(f"transform(filter({t}, x -> x.r = (b & 63)), x -> x.t)") for t in later))
             large = large.join(chosen, "h1").select("h1", "b", own.alias("next"))
         rows = stage(large.select("h1", F.expr("explode(transform(next[0], t -> xxhash64(b, t)))").alias("b"), F.expr("slice(next, 2, size(next))").alias("next")), f"paths{level}")
