@@ -574,9 +574,10 @@ d AS (SELECT b, CAST('0x' || substr(sha256('bootstrap:' || b || ':' || i), 1, 8)
 m AS (SELECT b, sum(total) / nullif(sum(n), 0) AS mean FROM d JOIN k USING (w) GROUP BY b) SELECT count(mean) AS resamples, round(quantile_cont(mean, 0.025), 6) AS ci_low, round(quantile_cont(mean, 0.975), 6) AS ci_high FROM m""")
 def q56_block_bootstrap_ci(t):
     week = F.floor((F.col("closed_ms") - 788_918_400_000) / (7 * DAY))
-    weekly = _trades(t).where("trade_id % 50 = 0").groupBy(week.alias("week_no")).agg(F.sum("net_r").alias("total"), F.count("*").alias("n"))
-    weeks = weekly.sparkSession.range(91).select(F.col("id").alias("week_no"))
-    return validation.bootstrap(weekly, weeks, 2_000)
+    weekly = _trades(t).groupBy(week.alias("week")).agg(F.sum("net_r").alias("total"), F.count("*").alias("n"))
+    span = weekly.agg(F.min("week").alias("first"), F.max("week").alias("last"))
+    weeks = span.select(F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(F.col("last") - F.col("first"), F.lit(0)))).alias("week_no"))
+    return validation.bootstrap(weekly.crossJoin(F.broadcast(span)).select((F.col("week") - F.col("first")).alias("week_no"), "total", "n"), weeks)
 
 
 _SLIP = "s AS (SELECT l_returnflag AS a, l_linestatus AS b, l_partkey % 40 AS c, CAST(l_extendedprice * 100 AS BIGINT) % 997 / 10.0::DOUBLE AS bps FROM lineitem)"
