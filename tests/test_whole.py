@@ -3,9 +3,12 @@
 import hashlib
 import random
 from datetime import datetime, timedelta
+from statistics import median
 
 import pytest
+from pyspark.sql import functions as F
 
+from tidemark.operators import validation
 from tidemark.queries import QUERIES
 
 
@@ -29,3 +32,23 @@ def test_bootstrap_reads_every_trade_and_week(spark, tmp_path):
     at = lambda q: means[int(q * (len(means) - 1))] + (q * (len(means) - 1) % 1) * (means[int(q * (len(means) - 1)) + 1] - means[int(q * (len(means) - 1))])
     got = QUERIES["q56_block_bootstrap_ci"](spark, str(tmp_path)).first()
     assert got["resamples"] == 20_000 and (got["ci_low"], got["ci_high"]) == (pytest.approx(at(0.025), abs=2e-6), pytest.approx(at(0.975), abs=2e-6))
+
+
+def test_drift_gate_reads_every_exit(spark, tmp_path):
+    r = random.Random(7)
+    first = datetime(1995, 1, 1)
+    lines = [(k // 3, k % 3 + 1, r.randint(1, 500), r.choice("AAAAR"), r.randint(100, 99_999) / 100, first + timedelta(days=r.randint(0, 40))) for k in range(600)]
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_partkey long, l_returnflag string, l_extendedprice double, l_shipdate timestamp").write.parquet(str(tmp_path / "lineitem.parquet"))
+    exits = [(flag, day, key * 1_000_000 + line * 100_000 + part, round(price * 100) % 997 / 10) for key, line, part, flag, price, day in lines]
+    want = set()
+    for flag in "AR":
+        own = sorted(x[1:] for x in exits if x[0] == flag)
+        for i, (_, k, bps) in enumerate(own):
+            m = round(median(x[2] for x in own[i - 19 : i + 1]), 6) if i >= 19 else None
+            want.add((flag, k, bps, m, m is not None and m > 50))
+    got = QUERIES["q58_drift_gate"](spark, str(tmp_path)).collect()
+    assert len(got) == 600 and set(map(tuple, got)) == want
+    rows = spark.createDataFrame([(a, int((b - first).total_seconds() * 1000), c, d) for a, b, c, d in exits], "exit_class string, t long, id long, bps double")
+    for block in (1, 7, 64):
+        cut = validation.drift_gate(rows, F.lit(40.0), block=block).select("exit_class", "id", "bps", "median_bps", "blocked").collect()
+        assert len(cut) == 600 and set(map(tuple, cut)) == want

@@ -52,11 +52,22 @@ def slippage_quantiles(rows: DataFrame, buckets: list[str], value: str = "bps",
     return out.select(*buckets, depth.alias("depth"), *(F.round(best[i], 6).alias(n) for i, n in enumerate(("p75", "p95", "p99"))))
 
 
-def drift_gate(exits: DataFrame, expected_bps: Column, n: int = 20) -> DataFrame:
-    """Median of the last ``n`` standard exits of a class (by t, id), once there are so many, and whether it blocks."""
-    w = Window.partitionBy("exit_class").orderBy("t", "id").rowsBetween(-(n - 1), 0)
+def drift_gate(exits: DataFrame, expected_bps: Column, n: int = 20, block: int = 10_000) -> DataFrame:
+    """Median of the last ``n`` standard exits of a class (by t, id), once there are so many, and whether it blocks. Exits are
+    numbered by class and day, with the counts of earlier days before them, and dealt in blocks of numbers; each block
+    also gets the ``n`` - 1 exits before it, so that a frequent class spreads over as many tasks as it has blocks."""
+    exits = exits.withColumn("_day", F.floor(F.col("t") / 86_400_000))
+    earlier = Window.partitionBy("exit_class").orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    before = exits.groupBy("exit_class", "_day").count().withColumn("_before", F.coalesce(F.sum("count").over(earlier), F.lit(0)))
+    before = before.select(F.col("exit_class").alias("_class"), F.col("_day").alias("_date"), "_before")
+    numbered = exits.withColumn("_no", F.row_number().over(Window.partitionBy("exit_class", "_day").orderBy("t", "id", "bps")))
+    numbered = numbered.join(before, F.col("exit_class").eqNullSafe(F.col("_class")) & F.col("_day").eqNullSafe(F.col("_date")))
+    numbered = numbered.withColumn("_no", F.col("_no") + F.col("_before") - 1)
+    own = F.floor(F.col("_no") / block)
+    dealt = numbered.withColumn("_block", F.explode(F.sequence(own, F.floor((F.col("_no") + (n - 1)) / block))))
+    w = Window.partitionBy("exit_class", "_block").orderBy("_no").rowsBetween(-(n - 1), 0)
     median = F.when(F.count("bps").over(w) == n, F.percentile("bps", 0.5).over(w))
-    out = exits.withColumn("median_bps", F.round(median, 6))
+    out = dealt.withColumn("median_bps", F.round(median, 6)).where(F.col("_block") == own).drop("_day", "_class", "_date", "_before", "_no", "_block")
     return out.withColumn("blocked", F.coalesce(F.col("median_bps") > F.greatest(1.25 * expected_bps, expected_bps + 2.0), F.lit(False)))
 
 
