@@ -52,3 +52,23 @@ def test_drift_gate_reads_every_exit(spark, tmp_path):
     for block in (1, 7, 64):
         cut = validation.drift_gate(rows, F.lit(40.0), block=block).select("exit_class", "id", "bps", "median_bps", "blocked").collect()
         assert len(cut) == 600 and set(map(tuple, cut)) == want
+
+
+def test_funding_and_blackout_read_every_event(spark, tmp_path):
+    r = random.Random(9)
+    start = datetime(2024, 1, 1)
+    events = [(k, start + timedelta(milliseconds=r.randint(0, 10 * 86_400_000)), r.choice(["click", "view", "error"] if k % 8 else ["signup"]), r.randint(1, 999) / 100, '{"k": 1}') for k in range(400)]
+    spark.createDataFrame(events, "event_id long, ts timestamp, event_type string, value double, props string").write.parquet(str(tmp_path / "events.parquet"))
+    tape = [(kind, round((ts - datetime(1970, 1, 1)).total_seconds() * 1000), seq) for seq, ts, kind, _, _ in events]
+    due = {}
+    for kind, t, seq in tape:
+        due.setdefault(kind, set()).add(t - t % 3_600_000 if seq % 2 == 0 else t - t % 60_000)
+    gaps = {kind: [(b - a) // 60_000 for a, b in zip(sorted(x), sorted(x)[1:], strict=False)] for kind, x in due.items()}
+    run = lambda name: QUERIES[name](spark, str(tmp_path)).collect()
+    assert {(x["symbol"], x["intervals_min"], x["events"]) for x in run("q30_funding_intervals")} == {(kind, ",".join(map(str, sorted(set(g)))), len(due[kind])) for kind, g in gaps.items()}
+    assert sorted((x["symbol"], x["ts_ms"]) for x in run("q31_funding_mark_fallback")) == sorted((kind, t) for kind, x in due.items() for t in x)
+    assert {(x["symbol"], x["funding_event_count"]) for x in run("q31b_mark_summary")} == {(kind, len(x)) for kind, x in due.items()}
+    assert run("q32_cadence_gate")[0]["qualified"] == sum(min(g) <= 240 for kind, g in gaps.items() if kind != "view")
+    news = [t for kind, t, _ in tape if kind == "signup"]
+    kept = {seq for _, t, seq in tape if not any(x - 1_800_000 <= t < x + 1_800_000 for x in news)}
+    assert {x["seq"] for x in run("q49_blackout_filter")} == kept and 0 < len(kept) < 400 - len(news)

@@ -292,7 +292,7 @@ def q29_deterministic_sample(t):
 
 def _funding_events(t) -> DataFrame:
     at = F.when(F.col("seq") % 2 == 0, timeops.align_down(F.col("t"), HOUR)).otherwise(timeops.align_down(F.col("t"), MINUTE))
-    return tape(t).where("seq % 5 = 0").select("symbol", at.alias("ts_ms")).distinct()
+    return tape(t).select("symbol", at.alias("ts_ms")).distinct()
 
 
 FUND = f"f AS (SELECT DISTINCT symbol, CASE WHEN seq % 2 = 0 THEN t - t % {HOUR} ELSE t - t % 60000 END AS ts_ms FROM tape WHERE seq % 5 = 0)"
@@ -491,7 +491,7 @@ def q48_trend_asof(t):
 
 @query(f"WITH {TAPE}, s AS (SELECT t FROM tape WHERE symbol = 'signup' AND seq % 50 = 0) SELECT seq FROM tape ANTI JOIN s ON tape.t >= s.t - {30 * MINUTE} AND tape.t < s.t + {30 * MINUTE}")
 def q49_blackout_filter(t):
-    news = tape(t).where("symbol = 'signup' AND seq % 50 = 0").select((F.col("t") - 30 * MINUTE).alias("from_ms"), (F.col("t") + 30 * MINUTE).alias("to_ms"))
+    news = tape(t).where("symbol = 'signup'").select((F.col("t") - 30 * MINUTE).alias("from_ms"), (F.col("t") + 30 * MINUTE).alias("to_ms"))
     return asof.outside_intervals(tape(t), "t", news, HOUR).select("seq")
 
 
