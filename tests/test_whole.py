@@ -8,8 +8,8 @@ from statistics import median
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import validation
-from tidemark.queries import QUERIES
+from tidemark.operators import replay, strategy, validation
+from tidemark.queries import QUERIES, _replay_events
 
 
 def test_bootstrap_reads_every_trade_and_week(spark, tmp_path):
@@ -72,3 +72,43 @@ def test_funding_and_blackout_read_every_event(spark, tmp_path):
     news = [t for kind, t, _ in tape if kind == "signup"]
     kept = {seq for _, t, seq in tape if not any(x - 1_800_000 <= t < x + 1_800_000 for x in news)}
     assert {x["seq"] for x in run("q49_blackout_filter")} == kept and 0 < len(kept) < 400 - len(news)
+
+
+def test_replay_offers_every_minute_to_every_configuration(spark, tmp_path):
+    r = random.Random(11)
+    start = datetime(2024, 1, 1)
+    events = [(k, start + timedelta(minutes=5 * k), "view", round(100 + k / 20 + r.uniform(-3, 3), 2), f'{{"k": {r.choice([1, 2, 3, 5])}}}') for k in range(12 * 80)]
+    spark.createDataFrame(events, "event_id long, ts timestamp, event_type string, value double, props string").write.parquet(str(tmp_path / "events.parquet"))
+    px, qty = [e[3] for e in events], [int(e[4][6:-1]) for e in events]
+    hourly = px[11::12]
+
+    def emas(period):
+        out = [None] * (period - 1) + [sum(hourly[:period]) / period]
+        for x in hourly[period:]:
+            out.append(2 / (period + 1) * x + (1 - 2 / (period + 1)) * out[-1])
+        return out
+
+    want = {}
+    for c in strategy.configurations():
+        e = emas(c["ema_period"])
+        for k in range(20, len(px) - 1):
+            h = (5 * k + 1) // 60 - 1
+            level, ratio = round(sum(px[k - 3 : k]) / 3 + 1e-9, 2), qty[k] * 20 / sum(qty[k - 20 : k])
+            trend = h >= 3 and e[h] is not None and e[h - 3] is not None and hourly[h] > e[h] > e[h - 3]
+            if trend and px[k] > level and px[k + 1] > level and ratio >= c["volume_ratio"]:
+                want[c["config"], 5 * k + 1] = (round(level * (1 - 0.2 * c["stop_atr"]), 6), 15 * c["expiry_bars"])
+    begin = int((start - datetime(1970, 1, 1)).total_seconds() * 1000)
+    made = _replay_events(lambda name: spark.read.parquet(str(tmp_path / f"{name}.parquet"))).cache()
+    got = {(x["config"], (x["minute_ms"] - begin) // 60_000): (round(x["stop"], 6), (x["expiry_ms"] - x["minute_ms"]) // 60_000) for x in made.where("side IS NOT NULL").collect()}
+    assert made.count() == 11 * len(events) and len({c for c, _ in got}) == 11 and got == want
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        small = sorted(map(tuple, replay.replay(made).collect()))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert small and small == sorted(map(tuple, replay.replay(made).collect()))
+    scenarios = spark.range(17).select(F.col("id").cast("string").alias("scenario"), *(F.lit(0.001).alias(c) for c in ("maker", "taker", "slip")))
+    trades = replay.replay(made)
+    assert replay.ledgers(trades, scenarios.limit(16)).count() == 16 * len(small)
+    with pytest.raises(ValueError, match="scenarios"):
+        replay.ledgers(trades, scenarios)

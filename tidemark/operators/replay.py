@@ -2,13 +2,13 @@
 
 Everything that does not depend on the portfolio is joined beforehand, into one row a configuration, minute and symbol. What
 remains is sequential by nature (orders, positions and equity depend on each other across symbols), so each
-configuration is folded by one pandas function over its minutes; configurations run in parallel.
+configuration is folded over its sorted minutes, batch by batch: only its book is kept between batches, never its tape.
+Configurations run in parallel.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from itertools import groupby
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -20,6 +20,8 @@ from .strategy import PARAMETERS
 EVENTS = "config string, minute_ms long, symbol string, open double, high double, low double, close_15m double, session_end boolean, blackout boolean, funding_rate double, mark double, side string, level double, entry double, stop double, tp1 double, tp2 double, l_unit double, be double, qty_step double, expiry_ms long, turnover_sum double, volume_ratio double, delivery_known boolean"
 TRADES = "config string, symbol string, side string, signal_level double, activated_ms long, filled_ms long, closed_ms long, qty double, entry double, l_unit double, gross double, funding double, exit_reason string"
 
+MOST_SCENARIOS = 16
+
 
 @dataclass
 class _Position:
@@ -158,29 +160,48 @@ def replay(events: DataFrame, equity: float = 100_000.0) -> DataFrame:
     """Closed trades of each configuration, from ``events`` (columns and types as EVENTS): a row describes the minute that ends
     at minute_ms for OHLC of that minute, with ``open`` the open at the boundary, and a candidate (side, ...) activated then."""
 
-    def fold(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        book = _Book(equity, equity)
-        pdf = pdf.sort_values(["minute_ms", "symbol"])
-        plain = pdf.astype(object).where(pdf.notna(), None)
-        for at, part in groupby(plain.itertuples(index=False), key=lambda r: r.minute_ms):
-            if at // DAY != book.day:
-                book.new_day(at // DAY)
-            rows = {r.symbol: r for r in part}
-            _minute(book, at, rows)
-            _admit(book, at, rows)
-        out = pd.DataFrame(book.trades, columns=["symbol", "side", "signal_level", "activated_ms", "filled_ms", "closed_ms", "qty", "entry", "l_unit", "gross", "funding", "exit_reason"])
-        out.insert(0, "config", key[0])
-        return out
-
-    return events.groupBy("config").applyInPandas(fold, TRADES)
+    columns = [c.split()[0] for c in TRADES.split(", ")]
+
+    def fold(batches):
+        config = at = book = None
+        rows, out = {}, []
+
+        def step() -> None:
+            if rows:
+                if at // DAY != book.day:
+                    book.new_day(at // DAY)
+                _minute(book, at, rows)
+                _admit(book, at, rows)
+                out.extend((config, *x) for x in book.trades)
+                book.trades.clear()
+                rows.clear()
+
+        for pdf in batches:
+            for r in pdf.astype(object).where(pdf.notna(), None).itertuples(index=False):
+                if r.config != config or r.minute_ms != at:
+                    step()
+                    if r.config != config:
+                        book = _Book(equity, equity)
+                    config, at = r.config, r.minute_ms
+                rows[r.symbol] = r
+            yield pd.DataFrame(out, columns=columns)
+            out.clear()
+        step()
+        yield pd.DataFrame(out, columns=columns)
+
+    return events.repartition(64, "config").sortWithinPartitions("config", "minute_ms", "symbol").mapInPandas(fold, TRADES)
 
 
 def ledgers(trades: DataFrame, scenarios: DataFrame) -> DataFrame:
     """Every trade under every cost scenario (scenario, maker, taker, slip): the path stays, costs and net R differ. The
-    scenarios are a handful of rows, so the product is broadcast."""
+    scenarios are a handful of rows, which become an array; more than MOST_SCENARIOS are refused."""
+    known = scenarios.limit(MOST_SCENARIOS + 1).collect()
+    if not 1 <= len(known) <= MOST_SCENARIOS:
+        raise ValueError(f"needs 1 to {MOST_SCENARIOS} scenarios")
+    each = F.explode(F.array(*(F.struct(*(F.lit(r[f.name]).cast(f.dataType).alias(f.name) for f in scenarios.schema)) for r in known)))
     paid = F.col("qty") * F.col("entry") * (F.col("maker") + F.col("taker") + F.col("slip"))
     net = F.col("gross") + F.col("funding") - paid
-    return trades.crossJoin(F.broadcast(scenarios.limit(16))).withColumn("costs", paid).withColumn("net", net).withColumn("net_r", net / F.nullif(F.col("qty") * F.col("l_unit"), F.lit(0.0)))
+    return trades.withColumn("_s", each).select(*trades.columns, "_s.*").withColumn("costs", paid).withColumn("net", net).withColumn("net_r", net / F.nullif(F.col("qty") * F.col("l_unit"), F.lit(0.0)))
 
 
 def net_r(net: Column, qty: Column, l_unit: Column) -> Column:

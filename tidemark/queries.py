@@ -523,22 +523,32 @@ def q52_stop_and_r(t):
 
 
 def _replay_events(t) -> DataFrame:
-    """Minute rows of each symbol, with a candidate at every hour that crosses the mean of the three hours before."""
-    m = bars.tape_to_bars(tape(t), MINUTE)
+    """Minute rows of each symbol under each configuration, with a candidate at every minute that crosses the mean of the three
+    rows before and passes the gates: the hour's EMA, the volume ratio and the cost floor. A fifth of the level is its ATR."""
+    configs = strategy.configurations()
+    h = bars.tape_to_bars(tape(t), HOUR)
+    trend = h.select("symbol", "start_ms", (F.col("start_ms") + HOUR).alias("close_ms"), F.col("close").cast("double").alias("x"))
+    periods = sorted({c["ema_period"] for c in configs})
+    for p in periods:
+        trend = trend.join(indicators.ema(h, HOUR, p, strategy.PARAMETERS["slope_lag"]).select("symbol", "start_ms", F.col("ema").alias(f"ema{p}"), F.col("ema_rising").alias(f"up{p}")), ["symbol", "start_ms"])
     w = Window.partitionBy("symbol").orderBy("start_ms")
     day = F.pmod("start_ms", F.lit(DAY))
     mean = F.avg(F.col("close").cast("double")).over(w.rowsBetween(-3, -1))
     d = lambda c: F.col(c).cast("double")
-    rows = m.withColumn("mean", F.round(mean, 2)).withColumn("next_open", F.lead(d("open")).over(w)).withColumn("minute_ms", F.col("start_ms") + MINUTE)
+    rows = indicators.volume_ratio(bars.tape_to_bars(tape(t), MINUTE)).withColumn("mean", F.round(mean, 2)).withColumn("next_open", F.lead(d("open")).over(w)).withColumn("minute_ms", F.col("start_ms") + MINUTE)
+    rows = asof.asof(rows, trend, "symbol", "minute_ms", "close_ms", ["x", *(f"{c}{p}" for p in periods for c in ("ema", "up"))])
+    factor = lambda c: F.struct(*(F.lit(v if k in ("config", "ema_period", "expiry_bars") else float(v)).alias(k) for k, v in c.items() if k in ("config", "ema_period", "volume_ratio", "stop_atr", "expiry_bars", "k_cost")))
+    rows = rows.withColumn("c", F.explode(F.array(*map(factor, configs))))
+    entry, r = F.col("mean"), F.col("mean") * 0.2 * F.col("c.stop_atr")
     up = (F.col("close") > F.col("mean")) & (F.col("next_open") > F.col("mean"))
-    entry = F.col("mean")
-    base = rows.select(
-        "minute_ms", "symbol", F.col("next_open").alias("open"), d("high").alias("high"), d("low").alias("low"), F.when(F.pmod("minute_ms", F.lit(QUARTER)) == 0, d("close")).alias("close_15m"),
-        (day + MINUTE >= 22 * HOUR).alias("session_end"), F.lit(False).alias("blackout"), F.when(F.pmod("minute_ms", F.lit(HOUR)) == 0, F.lit(0.0001)).alias("funding_rate"), d("close").alias("mark"), F.when(up & (F.pmod(F.col("minute_ms"), F.lit(7 * MINUTE)) == 0), "LONG").alias("side"),
-        entry.alias("level"), entry.alias("entry"), (entry * 0.9).alias("stop"), (entry * 1.2).alias("tp1"), (entry * 1.3).alias("tp2"), (entry * 0.11).alias("l_unit"), (entry * 1.01).alias("be"), F.lit(0.1).alias("qty_step"), (F.col("minute_ms") + 2 * HOUR).alias("expiry_ms"),
-        d("turnover").alias("turnover_sum"), F.lit(2.0).alias("volume_ratio"), F.lit(False).alias("delivery_known"),
+    with_trend = F.coalesce(*(F.when(F.col("c.ema_period") == p, strategy.trend_ok(F.lit("LONG"), F.col("x"), F.col(f"ema{p}"), F.col(f"up{p}"), F.lit(False))) for p in periods))
+    dear = r < F.col("c.k_cost") * (entry * 0.0002 + (entry - r) * (0.00055 + 0.0002))
+    return rows.select(
+        "c.config", "minute_ms", "symbol", F.col("next_open").alias("open"), d("high").alias("high"), d("low").alias("low"), F.when(F.pmod("minute_ms", F.lit(QUARTER)) == 0, d("close")).alias("close_15m"),
+        (day + MINUTE >= 22 * HOUR).alias("session_end"), F.lit(False).alias("blackout"), F.when(F.pmod("minute_ms", F.lit(HOUR)) == 0, F.lit(0.0001)).alias("funding_rate"), d("close").alias("mark"), F.when(up & with_trend & (F.col("volume_ratio") >= F.col("c.volume_ratio")) & ~dear, "LONG").alias("side"),
+        entry.alias("level"), entry.alias("entry"), (entry - r).alias("stop"), (entry + 2 * r).alias("tp1"), (entry + 3 * r).alias("tp2"), (r * 1.1).alias("l_unit"), (entry * 1.01).alias("be"), F.lit(0.1).alias("qty_step"), (F.col("minute_ms") + F.col("c.expiry_bars") * QUARTER).alias("expiry_ms"),
+        d("turnover").alias("turnover_sum"), "volume_ratio", F.lit(False).alias("delivery_known"),
     )
-    return base.withColumn("config", F.explode(F.array(F.lit("BASE"), F.lit("stop_atr=0.4"))))
 
 
 @query()
