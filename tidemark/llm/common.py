@@ -17,13 +17,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or an own one where that is unset (local tests)."""
+    """The folder all executors share: spark.checkpoint.dir. Where that is unset, a local master gets a folder of its own (tests), and a
+    cluster an error, as its executors do not share local folders."""
     sc = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    found = sc._jsc.sc().getCheckpointDir()
-    if found.isDefined():
-        return named or found.get()
-    sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="tidemark-"))
+    found, named = sc._jsc.sc().getCheckpointDir(), spark.conf.get("spark.checkpoint.dir", None)
+    if not found.isDefined():
+        if not named and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="tidemark-"))
     return named or sc._jsc.sc().getCheckpointDir().get()
 
 
@@ -65,3 +66,11 @@ def remainder(key: str, divisor: int) -> Column:
 
 def text_of(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of ``df`` is called so (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

@@ -13,36 +13,41 @@ from collections.abc import Callable
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import n_partitions, stage
 
 #: Nodes of a block: a tenth of the cell's, within these, and no more than hold so many payload items. A node is sent
 #: once for each block of its cell.
-LEAST, MOST, ITEMS = 1024, 2048, 4_000_000
+LEAST, MOST, ITEMS = 512, 2048, 2_000_000
 
 
 #: Bits of the filter that keeps rows of no member from being shuffled.
 FILTER_BITS = 1 << 21
 
 
-def only_nodes(rows: DataFrame, members: DataFrame) -> DataFrame:
-    """``rows`` without most of those whose ``node`` is no member: a bitmap of fixed size, hashed from the members' nodes,
-    goes to all tasks. It lets some others pass, more as it fills, and never loses a member; a join must follow."""
-    place = F.pmod(F.xxhash64("node"), F.lit(FILTER_BITS))
+def present_in(members: DataFrame, column: str = "node") -> Column:
+    """Whether a row's ``column`` may be among that of ``members``: a bitmap of fixed size, hashed from the members' values, goes to all
+    tasks. It takes some others for members, more as it fills, and never misses one."""
+    place = F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
     words = members.select(place.alias("h")).groupBy(F.shiftright("h", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(h & 63 AS int))")).alias("bits")).collect()
     bitmap = np.zeros(FILTER_BITS // 64, np.int64)
     for r in words:
         bitmap[r["w"]] = r["bits"]
-    sent = rows.sparkSession.sparkContext.broadcast(bitmap.view(np.uint64))
+    sent = members.sparkSession.sparkContext.broadcast(bitmap.view(np.uint64))
 
     @F.pandas_udf("boolean")
     def present(h: pd.Series) -> pd.Series:
         x = h.to_numpy()
         return pd.Series((sent.value[x >> 6] >> (x & 63).astype(np.uint64) & np.uint64(1)).astype(bool))
 
-    return rows.where(present(place))
+    return present(place)
+
+
+def only_nodes(rows: DataFrame, members: DataFrame, column: str = "node") -> DataFrame:
+    """``rows`` without most of those whose ``column`` is in no row of ``members`` (see present_in); a join must follow."""
+    return rows.where(present_in(members, column))
 
 
 def groups(batches, keys: int):
@@ -97,20 +102,20 @@ def roots(linked: np.ndarray, nodes: np.ndarray) -> np.ndarray:
         label = new
 
 
-def _blocks(members: DataFrame, payload: DataFrame, with_cells: bool) -> DataFrame:
+def _blocks(members: DataFrame, payload: DataFrame, with_cells: bool, key: list[str]) -> DataFrame:
     """Rows of the tasks: every node of a cell once for each block its own block is compared with."""
-    sizes = stage(members.groupBy("cell").agg(F.count("*").alias("n"), F.avg("items").alias("items")).where("n > 1"), "cells")
-    block = F.greatest(F.lit(8), F.least(F.greatest(F.lit(LEAST), F.floor(F.col("n") / 10)), F.lit(MOST), F.floor(ITEMS / F.greatest(F.col("items"), F.lit(1.0)))))
+    sizes = stage(members.groupBy("cell").agg(F.count("*").alias("n"), F.avg("items").alias("mean")).where("n > 1"), "cells")
+    block = F.greatest(F.lit(8), F.least(F.greatest(F.lit(LEAST), F.floor(F.col("n") / 10)), F.lit(MOST), F.floor(ITEMS / F.greatest(F.col("mean"), F.lit(1.0)))))
     sizes = sizes.select("cell", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
-    dealt = members.join(sizes, "cell").select("cell", "node", "weight", "blocks")
+    dealt = members.join(sizes, "cell")
     if with_cells:
         dealt = stage(dealt, "dealt")
-        dealt = dealt.join(dealt.groupBy("node").agg(F.collect_set("cell").alias("cells")), "node")
+        dealt = dealt.join(dealt.groupBy(*key).agg(F.collect_set("cell").alias("cells")), key)
     else:
         dealt = dealt.withColumn("cells", F.array().cast("array<long>"))
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    rows = dealt.join(payload, "node").withColumn("own", own).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    rows = rows.select("cell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "weight", "cells", "data")
+    rows = dealt.join(payload, key).withColumn("own", own).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    rows = rows.select("cell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "cells", "data", *(c for c in members.columns if c != "cell"))
     return rows.repartition(n_partitions(members.sparkSession), "cell", "i", "j").sortWithinPartitions("cell", "i", "j")
 
 
@@ -131,24 +136,26 @@ def _pairs(batches, similar: Callable):
             yield cell, t, a, b, linked
 
 
-def plausible(members: DataFrame, sketches: DataFrame, similar: Callable) -> DataFrame:
-    """The rows of ``members`` (cell, node, weight, items) that have a partner in their cell by a cheap test on ``sketches`` (node, data).
-    The test must hold for all pairs that are links."""
+def plausible(members: DataFrame, sketches: DataFrame, similar: Callable, key: list[str] = ("node",)) -> DataFrame:
+    """The rows of ``members`` (cell, node, weight, items, ...) that have a partner in their cell by a cheap test on ``sketches`` (node, data).
+    The test must hold for all pairs that are links. A sketch counts as 32 items."""
 
     def run(batches):
-        for cell, t, a, b, linked in _pairs(batches, similar):
+        for _, t, a, b, linked in _pairs(batches, similar):
             keep = np.union1d(a[linked.any(1)], b[linked.any(0)])
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keep), cell)), pa.array(t["node"].to_numpy()[keep])], names=["cell", "node"])
+            yield from t.select(names).take(pa.array(keep)).to_batches()
 
-    some = members.withColumn("items", F.lit(32))
-    kept = _blocks(some, sketches, False).mapInArrow(run, "cell long, node long").distinct()
-    return members.join(kept, ["cell", "node"])
+    names = members.columns
+    some = members.withColumn("true_items", F.col("items")).withColumn("items", F.lit(32))
+    rows = _blocks(some, sketches, False, list(key)).withColumn("items", F.col("true_items"))
+    return rows.mapInArrow(run, members.schema).distinct()
 
 
-def compare(members: DataFrame, payload: DataFrame, similar: Callable) -> DataFrame:
+def compare(members: DataFrame, payload: DataFrame, similar: Callable, key: list[str] = ("node",)) -> DataFrame:
     """node, links, root from ``members`` (cell, node, weight, items; one row a cell and node) and ``payload`` (node, data binary, of
     about ``items`` items); ``similar(a, b)`` gives the matrix of links of two lists of payloads. links adds the weights
-    of the nodes linked. A node may come several times; nodes without links do not come."""
+    of the nodes linked. A node may come several times; nodes without links do not come. Payloads may be found by other
+    columns of ``members`` that name a node, ``key``."""
 
     def run(batches):
         for cell, t, a, b, linked in _pairs(batches, similar):
@@ -164,7 +171,7 @@ def compare(members: DataFrame, payload: DataFrame, similar: Callable) -> DataFr
             keep = np.flatnonzero(whole.any(1))
             yield pa.RecordBatch.from_arrays([pa.array(node[keep]), pa.array(links[keep].astype(np.int64)), pa.array(root[keep])], names=["node", "links", "root"])
 
-    return _blocks(members, payload, True).mapInArrow(run, "node long, links long, root long")
+    return _blocks(members, payload, True, list(key)).mapInArrow(run, "node long, links long, root long")
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
