@@ -99,18 +99,39 @@ def test_vectors_equal_brute_force(spark):
     s = (y @ y.T >= 0.93) & (k[:, None] == k[None, :])
     np.fill_diagonal(s, False)
     root = reach(range(n + 1), np.argwhere(s).tolist())
-    old = embeddings.CELL, graph.LEAST
-    for embeddings.CELL, graph.LEAST in (old, (20, 16)):
-        out = {r["vec_id"]: r for r in embeddings.near_duplicates(docs, margin=0.4).collect()}
+    old = embeddings.CELL, embeddings.FAN, graph.LEAST
+    for embeddings.CELL, embeddings.FAN, graph.LEAST in (old, (20, 256, 16), (8, 4, 16)):  # the last one with two levels
+        out = {r["vec_id"]: r for r in embeddings.near_duplicates(docs).collect()}
         assert len(out) == len(rows)
         for i in range(n + 1):
             assert (out[i]["n_links"], out[i]["component_id"], out[i]["kept"]) == (s[i].sum(), root[i], root[i] == i)
         for i in [*range(n + 1, n + 8), None]:
             assert (out[i]["n_links"], out[i]["component_id"], out[i]["kept"]) == (0, i, True)
-    embeddings.CELL, graph.LEAST = old
+    embeddings.CELL, embeddings.FAN, graph.LEAST = old
     assert embeddings.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_no_link_is_lost_at_the_usual_settings(spark):
+    """Every link by brute force, over vectors without clusters and with, many of them right at the threshold."""
+    r = np.random.default_rng(11)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    plain = unit(r.normal(size=(1500, 64)))
+    away = unit(r.normal(size=(500, 64)))
+    away = unit(away - (away * plain[:500]).sum(1, keepdims=True) * plain[:500])
+    cosine = r.uniform(0.92, 0.945, size=(500, 1))
+    near = cosine * plain[:500] + np.sqrt(1 - cosine**2) * away
+    clusters = unit(r.normal(size=(12, 1, 64)) + 0.06 * r.normal(size=(12, 100, 64))).reshape(-1, 64)
+    x = np.concatenate((plain, near, clusters))
+    s = x @ x.T >= 0.93
+    np.fill_diagonal(s, False)
+    assert 200 < s[:1500, 1500:2000].sum() and s[2000:].sum() > 1000
+    docs = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {q["vec_id"]: q["n_links"] for q in embeddings.near_duplicates(docs, label_col=None).collect()}
+    assert [got[i] for i in range(len(x))] == s.sum(1).tolist()
+    tree = embeddings.grow(x, 6)
+    assert len(tree[0]) == 6 and all(any(home for *_, home in own) for own in embeddings.place(x, tree, embeddings.margin_of(0.93)))
+
+
 def test_pipeline_stages(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     twice = docs.unionByName(docs.limit(20)).unionByName(docs.limit(3).withColumn("text", F.lit(None).cast("string")))

@@ -271,7 +271,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
         rows = stage(large.select("h1", F.expr("explode(transform(next[0], t -> xxhash64(b, t)))").alias("b"), F.expr("slice(next, 2, size(next))").alias("next")), f"paths{level}")
 
     members = cells.repartition("h1").distinct().join(classes.select("h1", "x", "node", "weight", "items"), "h1")
-    members = stage(members.select("cell", "node", "weight", "items", "x", "h1"), "members")
+    members = stage(members.select("cell", "node", "weight", "items", F.lit(True).alias("home"), "x", "h1"), "members")
     short = graph.only_nodes(base.select(F.col("rid").alias("node"), F.col("sketch").alias("data")), members)
     members = stage(graph.plausible(members, short, similar_sketches(threshold)), "plausible")
     base, whole = stage(base.select("doc_id", "rid", "h1", "h2", "size", *carry), "rows"), base

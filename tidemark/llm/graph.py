@@ -1,8 +1,9 @@
 """Links between nodes that share cells, found in blocks, and the components they form.
 
-``compare`` takes nodes dealt to cells, a node to one or more. A cell is cut into blocks of nodes, and each pair of
-blocks is a task of its own, so that a cell of any size spreads over the cluster and a task holds two blocks.
-A pair of nodes that meets in several cells counts in the first of them. A task returns, for each of its
+``compare`` takes nodes dealt to cells, a node to one or more, as a resident (``home``) or as a guest; two guests are not
+compared. A cell is cut into blocks of residents and blocks of guests, and each pair of blocks is a task of its own, so
+that a cell of any size spreads over the cluster and a task holds two blocks.
+A pair of nodes that is compared in several cells counts in the first of them. A task returns, for each of its
 nodes, a number of links and the root of its component there; pairs never become rows.
 """
 
@@ -70,24 +71,24 @@ def groups(batches, keys: int):
         yield last, pa.Table.from_batches(held).combine_chunks()
 
 
-def _before(cells: list[list[int]], cell: int) -> list[set[int]]:
-    return [{c for c in own if c < cell} for own in cells]
-
-
-def _met(a: list[set[int]], b: list[set[int]]) -> np.ndarray | None:
-    """Which pairs share an earlier cell; None if no pair does."""
-    common = set().union(*a) & set().union(*b)
+def _met(c_a: list, h_a: list, c_b: list, h_b: list, cell: int) -> np.ndarray | None:
+    """Which pairs are compared in an earlier cell as well: they share one where either is a resident. c_, h_: the cells a node is in, and
+    those it is a resident of. None if no pair does."""
+    early = lambda lists: [[x for x in own if x < cell] for own in lists]
+    c_a, h_a, c_b, h_b = map(early, (c_a, h_a, c_b, h_b))
+    flat = lambda lists: {x for own in lists for x in own}
+    common = (flat(h_a) & flat(c_b)) | (flat(c_a) & flat(h_b))
     if not common:
         return None
     at = {c: i for i, c in enumerate(common)}
 
-    def rows(sets):
-        out = np.zeros((len(sets), len(at)), np.float32)
-        for i, s in enumerate(sets):
-            out[i, [at[c] for c in s if c in at]] = 1
+    def rows(lists):
+        out = np.zeros((len(lists), len(at)), np.float32)
+        for i, own in enumerate(lists):
+            out[i, [at[c] for c in own if c in at]] = 1
         return out
 
-    return rows(a) @ rows(b).T > 0
+    return rows(h_a) @ rows(c_b).T + rows(c_a) @ rows(h_b).T > 0
 
 
 def roots(linked: np.ndarray, nodes: np.ndarray) -> np.ndarray:
@@ -104,18 +105,21 @@ def roots(linked: np.ndarray, nodes: np.ndarray) -> np.ndarray:
 
 def _blocks(members: DataFrame, payload: DataFrame, with_cells: bool, key: list[str]) -> DataFrame:
     """Rows of the tasks: every node of a cell once for each block its own block is compared with."""
-    sizes = stage(members.groupBy("cell").agg(F.count("*").alias("n"), F.avg("items").alias("mean")).where("n > 1"), "cells")
+    sizes = members.groupBy("cell").agg(F.count_if("home").alias("n"), F.count_if(~F.col("home")).alias("guests"), F.avg("items").alias("mean"))
+    sizes = stage(sizes.where("n > 0 AND n + guests > 1"), "cells")
     block = F.greatest(F.lit(8), F.least(F.greatest(F.lit(LEAST), F.floor(F.col("n") / 10)), F.lit(MOST), F.floor(ITEMS / F.greatest(F.col("mean"), F.lit(1.0)))))
-    sizes = sizes.select("cell", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    sizes = sizes.select("cell", F.ceil(F.col("n") / block).cast("int").alias("blocks"), F.ceil(F.col("guests") / block).cast("int").alias("outer"))
     dealt = members.join(sizes, "cell")
     if with_cells:
         dealt = stage(dealt, "dealt")
-        dealt = dealt.join(dealt.groupBy(*key).agg(F.collect_set("cell").alias("cells")), key)
+        dealt = dealt.join(dealt.groupBy(*key).agg(F.collect_set("cell").alias("cells"), F.collect_set(F.when(F.col("home"), F.col("cell"))).alias("homes")), key)
     else:
-        dealt = dealt.withColumn("cells", F.array().cast("array<long>"))
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    rows = dealt.join(payload, key).withColumn("own", own).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    rows = rows.select("cell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "cells", "data", *(c for c in members.columns if c != "cell"))
+        none = F.array().cast("array<long>")
+        dealt = dealt.withColumn("cells", none).withColumn("homes", none)
+    mark = F.xxhash64("node")
+    own = F.when(F.col("home"), F.pmod(mark, F.col("blocks"))).otherwise(F.col("blocks") + F.pmod(mark, F.col("outer"))).cast("int")
+    rows = dealt.join(payload, key).withColumn("own", own).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1 + CASE WHEN home THEN outer ELSE 0 END)")))
+    rows = rows.select("cell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "cells", "homes", "data", *(c for c in members.columns if c != "cell"))
     return rows.repartition(n_partitions(members.sparkSession), "cell", "i", "j").sortWithinPartitions("cell", "i", "j")
 
 
@@ -137,7 +141,7 @@ def _pairs(batches, similar: Callable):
 
 
 def plausible(members: DataFrame, sketches: DataFrame, similar: Callable, key: list[str] = ("node",)) -> DataFrame:
-    """The rows of ``members`` (cell, node, weight, items, ...) that have a partner in their cell by a cheap test on ``sketches`` (node, data).
+    """The rows of ``members`` (cell, node, weight, items, home, ...) that have a partner in their cell by a cheap test on ``sketches`` (node, data).
     The test must hold for all pairs that are links. A sketch counts as 32 items."""
 
     def run(batches):
@@ -152,18 +156,18 @@ def plausible(members: DataFrame, sketches: DataFrame, similar: Callable, key: l
 
 
 def compare(members: DataFrame, payload: DataFrame, similar: Callable, key: list[str] = ("node",)) -> DataFrame:
-    """node, links, root from ``members`` (cell, node, weight, items; one row a cell and node) and ``payload`` (node, data binary, of
+    """node, links, root from ``members`` (cell, node, weight, items, home; one row a cell and node) and ``payload`` (node, data binary, of
     about ``items`` items); ``similar(a, b)`` gives the matrix of links of two lists of payloads. links adds the weights
     of the nodes linked. A node may come several times; nodes without links do not come. Payloads may be found by other
     columns of ``members`` that name a node, ``key``."""
 
     def run(batches):
         for cell, t, a, b, linked in _pairs(batches, similar):
-            node, weight, before = t["node"].to_numpy(), t["weight"].to_numpy(), _before(t["cells"].to_pylist(), cell)
+            node, weight, cells, homes = t["node"].to_numpy(), t["weight"].to_numpy(), t["cells"].to_pylist(), t["homes"].to_pylist()
             whole = np.zeros((len(node), len(node)), bool)
             whole[np.ix_(a, b)] = linked
             whole |= whole.T
-            met = _met([before[k] for k in a], [before[k] for k in b])
+            met = _met([cells[k] for k in a], [homes[k] for k in a], [cells[k] for k in b], [homes[k] for k in b], cell)
             fresh = np.zeros_like(whole)
             fresh[np.ix_(a, b)] = linked if met is None else linked & ~met
             fresh |= fresh.T
