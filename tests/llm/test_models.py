@@ -52,24 +52,99 @@ def test_base_scores_equal_brute_force(spark, sf_dir):
     assert lm.score(docs.limit(0)).count() == 0
 
 
-def test_class_probabilities_sum_to_one():
-    noise = np.arange(1.0, 41.0) / np.arange(1.0, 41.0).sum()
-    trainer = lm.Trainer(noise)
-    draw = np.random.default_rng(1)
-    w = draw.choice(40, 4000, p=noise)
-    u, v = np.roll(w, 1), np.roll(w, 2)
-    for k in range(0, 4000, 500):
-        trainer.step(u[k : k + 500], v[k : k + 500], w[k : k + 500])
-    tables = lm.tabulate({k: x.astype(np.float64) for k, x in trainer.m.items()})
-    for a, b in ((0, 0), (40, 40), (7, 31)):
-        p = 10 ** lm.class_log10(tables, noise, np.full(40, a), np.full(40, b), np.arange(40))
+@pytest.fixture
+def small(monkeypatch):
+    """Few classes and entries, so that all can be listed."""
+    for name, n in (("N_OWN", 5), ("N_WORDS", 40), ("N_SHARED", 4), ("N_TOP", 60)):
+        monkeypatch.setattr(lm, name, n)
+
+
+def learnt(spark):
+    r = np.random.default_rng(2)
+    order = [f"w{i:02d}" for i in range(90)]
+    texts = []
+    for _ in range(300):  # a word is mostly followed by the next one
+        at, words = int(r.integers(90)), []
+        for _ in range(40):
+            words.append(order[at])
+            at = (at + 1) % 90 if r.random() < 0.9 else int(r.integers(90))
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    counts = lm.count_words(docs).cache()
+    words = lm.learn_words(counts, docs.count())
+    return texts, docs, {r["word"].encode(): r["n"] for r in counts.collect()}, words
+
+
+def plain_log10(words, table, counts, tokens, i):
+    """The definition, token by token, in double precision."""
+    m, d = lm.Model(words, table.astype(np.float64)), lm.DIM
+    _, _, cls, entry, _ = words.ids([" ".join(t.decode() for t in tokens[:-1])])
+    symbol = [c if e < 0 else words.own + 1 + e for c, e in zip(cls.tolist(), entry.tolist())]
+    u = symbol[i - 1] if i > 0 else words.symbols - 1
+    v = symbol[i - 2] if i > 1 else words.symbols - 1
+    h = m.context[u, :d] @ m.c1[:, :d] + m.context[v, :d] @ m.c2[:, :d]
+
+    def pick(rows, noise, k):
+        e = np.exp(rows[:, :d] @ h + rows[:, d])
+        return (1 - lm.SMOOTH) * e[k] / e.sum() + lm.SMOOTH * noise[k]
+
+    p = pick(m.classes, words.noise, cls[i])
+    if entry[i] >= 0:
+        k = cls[i] - words.own - 1
+        lo, hi = words.start[k], words.start[k + 1]
+        p *= pick(m.entries[lo:hi], words.entry_noise[lo:hi], entry[i] - lo)
+        if entry[i] == hi - 1:
+            tail = [w for w in counts if zlib.crc32(w[-3:]) % lm.N_SHARED == k and (w not in words.index or words.entry[words.index[w]] == entry[i])]
+            p *= (counts.get(tokens[i], 0) + 1) / (sum(counts[w] for w in tail) + len(tail) + 1)
+    return math.log10(p)
+
+
+def test_scores_equal_the_definition(spark, small):
+    texts, docs, counts, words = learnt(spark)
+    assert len(words.index) <= 61
+    assert words.train_tokens == sum(counts.values()) + len(texts) and words.distinct == len(counts) + 1
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate([*texts[:20], "w00 nowhere w01", "", "w89"])], "doc_id long, text string")
+    held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    got = {r["doc_id"]: r["score"] for r in lm.score(rows).collect()}
+    # the query learns from its own rows: the same steps again
+    own = rows.where(~F.col("doc_id").isin(*[i for i in range(23) if held(i)])).select("text")
+    c = lm.count_words(own).cache()
+    w = lm.learn_words(c, own.count())
+    n = {r["word"].encode(): r["n"] for r in c.collect()}
+    t = lm.train(own, w)
+    for i, text in enumerate([*texts[:20], "w00 nowhere w01", "", "w89"]):
+        tokens = lm.words_of(text) + [b""]
+        assert got[i] == pytest.approx(sum(plain_log10(w, t, n, tokens, k) for k in range(len(tokens))), abs=2e-3), i
+
+
+def test_training_learns_order(spark, small):
+    texts, _, counts, words = learnt(spark)
+    trainer = lm.Trainer(words)
+    _, _, cls, entry, ends = words.ids(texts)
+    u, v = words.contexts(cls, entry, ends)
+    for k in range(400):
+        at = trainer.draw.integers(0, len(cls), 1024)
+        trainer.step(u[at], v[at], cls[at], entry[at])
+    tokens = lm.words_of(texts[0]) + [b""]
+    model = [plain_log10(words, trainer.m.table, counts, tokens, i) for i in range(len(tokens))]
+    plain = [math.log10((counts.get(t, len(texts)) + 1) / (words.train_tokens + words.distinct)) for t in tokens]
+    assert np.mean(model) > np.mean(plain) + 0.15, (np.mean(model), np.mean(plain))
+
+
+def test_probabilities_sum_to_one(spark, small):
+    _, docs, counts, words = learnt(spark)
+    scorer = lm.Scorer(words, lm.train(docs, words))
+    pairs = [(c, -1) for c in range(words.own + 1)] + [(words.own + 1 + k, e) for k in range(lm.N_SHARED) for e in range(words.start[k], words.start[k + 1])]
+    cls, entry = (np.array(x) for x in zip(*pairs))
+    for u, v in ((0, 0), (words.symbols - 1, words.symbols - 1), (words.own + 3, 2)):
+        p = 10 ** scorer.log10(np.full(len(cls), u), np.full(len(cls), v), cls, entry)
         assert p.sum() == pytest.approx(1, abs=1e-4)
 
 
-def test_training_learns_order():
-    noise = np.full(10, 0.1)
-    trainer, seq = lm.Trainer(noise), np.arange(20_000) % 10
-    for k in range(2, 20_000, 500):
-        trainer.step(seq[k - 1 : k + 498][:500], seq[k - 2 : k + 497][:500], seq[k : k + 499][:500]) if k + 500 < 20_000 else None
-    tables = lm.tabulate({k: x.astype(np.float64) for k, x in trainer.m.items()})
-    assert 10 ** lm.class_log10(tables, noise, np.array([3]), np.array([2]), np.array([4]))[0] > 0.5
+def test_vocabulary_is_cut_at_a_count(spark, small):
+    counts = spark.createDataFrame([(f"w{i}", 1 + 1000 // (i + 1)) for i in range(500)], "word string, n long")
+    top = lm._frequent(counts)
+    assert 0 < len(top) <= 60 and min(r["n"] for r in top) > max(1 + 1000 // (i + 1) for i in range(len(top), 500)) - 1
+    assert lm._frequent(spark.createDataFrame([(f"w{i}", 1) for i in range(500)], "word string, n long")) == []
+    none = lm.learn_words(counts.limit(0), 0)
+    assert none.train_tokens == 0 and none.classes == lm.N_SHARED + 1

@@ -1,20 +1,23 @@
 """Log-probabilities of texts by a log-bilinear model trained with noise-contrastive estimation.
 
-Words fall into classes: the most frequent ones have a class of their own, the end of a text has one, and
-all others share classes by a hash of their last three bytes. With r the context vectors of the two
-classes before, C a matrix for each position, q and b the target vectors and biases,
+Words fall into classes: the most frequent ones have a class of their own, the end of a text has one, and all others
+share classes by a hash of their last three bytes. In a shared class the words of the vocabulary have an entry
+each, and one more entry, the tail, stands for all other words. With r the context vectors of the two tokens before (of
+words, not of classes), C a matrix for each position, q and b target vectors and biases of classes and of entries,
 
-    s(w | u, v) = q(w) . (C1 r(u) + C2 r(v)) + b(w)
+    s(x | u, v) = q(x) . (C1 r(u) + C2 r(v)) + b(x)
 
-A word's probability is that of its class, normalised over all classes and smoothed by the unigram
-distribution, times (c + 1) / (n + v + 1) inside the class, with c its training count and n, v the
-words and distinct words of the class. As s is a sum of terms in u and v, matrix products give tables
-of all scores and normalisers once, and a token costs three lookups.
+gives the probability of a class, normalised over all classes, and that of an entry, normalised over the entries of
+its class; both are smoothed by their unigram distribution. A word of a tail has (c + 1) / (n + v + 1) of it, with c its
+training count and n, v the words and distinct words of the tail. Scores of a batch are matrix products.
 
 Spark counts every training word (partial counts in Arrow batches, then a shuffle by word), and trains
-on every training token: each partition runs NCE from the same start, and the models are averaged,
-weighted by their tokens. Counts of the ``n_top`` most frequent words go to all tasks; the others,
-counted per document, are joined by word, which leaves no word frequent enough to be a hot key.
+on every training token. Each partition runs NCE from the same start and passes on the rows it has touched, which are
+averaged row by row, weighted by how often each was used: a rare word keeps what the few partitions that hold it have
+learnt. A first round over one text in ``FIRST`` gives the start of the round over all, so that the model gains from what
+other partitions hold. Counts of at most ``N_TOP`` words go to all tasks; the others, counted per document, are joined
+by word, which leaves no word frequent enough to be a hot key. All sizes of the model are fixed, so that it cannot tell
+a text that the corpus repeats from one that occurs once.
 """
 
 from __future__ import annotations
@@ -31,8 +34,12 @@ from pyspark.sql import functions as F
 from .common import remainder, stage, text_of
 
 HELD_OUT, FOLDS = 2, 7
-N_TOP, N_OWN, N_SHARED, DIM = 150_000, 384, 127, 24
-BATCH, NOISE, RATE, SMOOTH = 2048, 48, 0.15, 0.05
+#: Most words whose counts go to all tasks; words with a class of their own; with an entry; shared classes; dimensions.
+N_TOP, N_OWN, N_WORDS, N_SHARED, DIM = 150_000, 96, 24_672, 128, 16
+#: Tokens a step; noise classes a step; noise entries a token; rates of rows and of matrices; share of the unigram distribution.
+BATCH, NOISE, ENTRY_NOISE, RATE, MATRIX_RATE, SMOOTH = 8192, 24, 1, 0.06, 0.01, 0.05
+#: One text in so many takes part in the first round.
+FIRST = 16
 #: Distinct words a task counts before it passes them on.
 FLUSH = 250_000
 
@@ -65,16 +72,20 @@ def count_words(texts: DataFrame) -> DataFrame:
 
 @dataclass
 class Words:
-    """index: the n_top words and, as the empty word, the end; log_c: log10(c + 1) of each, with c = known > 0;
-    cls: their classes. Classes below ``own`` are single words, ``own`` is the end, then the shared ones."""
+    """index: words whose counts all tasks have, by falling count, and, as the empty word, the end; log_c: log10(c + 1) of each, with
+    c = known > 0. cls: their classes; below ``own`` are single words, ``own`` is the end, then the shared ones. entry: their
+    entries, -1 for those of single classes. Entries lie class by class, from ``start``, the tail last."""
 
     index: dict[bytes, int]
     log_c: np.ndarray
     known: np.ndarray
     cls: np.ndarray
+    entry: np.ndarray
     own: int
-    inner: np.ndarray  # log10(n + v + 1) of a class, 0 for those of one token
+    start: np.ndarray
     noise: np.ndarray  # unigram distribution of the classes
+    entry_noise: np.ndarray  # of the entries, in their class
+    tail: np.ndarray  # log10(n + v + 1) of the words in a class's tail
     train_tokens: int
     distinct: int
 
@@ -82,8 +93,17 @@ class Words:
     def classes(self) -> int:
         return len(self.noise)
 
+    @property
+    def entries(self) -> int:
+        return len(self.entry_noise)
+
+    @property
+    def symbols(self) -> int:
+        """Kinds of context: single classes, entries, and last the start of a text."""
+        return self.own + 2 + self.entries
+
     def ids(self, texts: list[str]):
-        """Tokens of texts, one after the other: words, index (-1: none), class, and where each text ends."""
+        """Tokens of texts, one after the other: words, index (-1: none), class, entry (-1: none), and where each text ends."""
         tokens, ends = [], []
         for text in texts:
             tokens += words_of(text)
@@ -91,149 +111,278 @@ class Words:
             ends.append(len(tokens))
         find = self.index.get
         index = np.array([find(t, -1) for t in tokens], np.int64)
-        cls = self.cls[index]
+        cls, entry = self.cls[index], self.entry[index]
         rare = np.flatnonzero(index < 0)
-        cls[rare] = [self.own + 1 + zlib.crc32(tokens[i][-3:]) % N_SHARED for i in rare.tolist()]
-        return tokens, index, cls, np.array(ends)
+        cls[rare] = [self.own + 1 + zlib.crc32(tokens[i][-3:]) % (len(self.start) - 1) for i in rare.tolist()]
+        entry[rare] = self.start[cls[rare] - self.own] - 1
+        return tokens, index, cls, entry, np.array(ends)
+
+    def is_tail(self, cls: np.ndarray, entry: np.ndarray) -> np.ndarray:
+        return (entry >= 0) & (entry + 1 == self.start[np.maximum(cls - self.own, 0)])
 
-    def contexts(self, cls: np.ndarray, ends: np.ndarray):
-        """Classes one and two tokens before; ``classes`` stands for the start of a text."""
+    def contexts(self, cls: np.ndarray, entry: np.ndarray, ends: np.ndarray):
+        """Symbols one and two tokens before; the last symbol stands for the start of a text."""
+        symbol, begin = np.where(entry < 0, cls, self.own + 1 + entry), self.symbols - 1
         first = np.concatenate(([0], ends[:-1]))
-        u = np.concatenate(([self.classes], cls[:-1]))
-        v = np.concatenate(([self.classes], u[:-1]))
-        u[first] = self.classes
-        v[first] = self.classes
-        second = first[ends - first > 1] + 1
-        v[second] = self.classes
+        u = np.concatenate(([begin], symbol[:-1]))
+        v = np.concatenate(([begin], u[:-1]))
+        u[first] = begin
+        v[first] = begin
+        v[first[ends - first > 1] + 1] = begin
         return u, v
 
 
+def _frequent(counts: DataFrame) -> list:
+    """At most N_TOP words with their counts, the most frequent: all that are beyond a count, found from a histogram of its logarithm."""
+    level = F.floor(8 * F.log2("n"))
+    sizes = sorted(((r["l"], r["n"]) for r in counts.groupBy(level.alias("l")).agg(F.count("*").alias("n")).collect()), reverse=True)  # some hundreds
+    total, least = 0, None
+    for at, n in sizes:
+        total += n
+        if total > N_TOP:
+            break
+        least = at
+    if least is None:
+        return []
+    return sorted(counts.where(level >= least).collect(), key=lambda r: (-r["n"], r["word"]))
+
+
 def learn_words(counts: DataFrame, n_texts: int) -> Words:
-    top = counts.orderBy(F.desc("n"), "word").limit(N_TOP).collect()
-    own = min(N_OWN, len(top))
+    top = _frequent(counts)
+    own, n_words = min(N_OWN, len(top)), min(N_WORDS, len(top))
     index = {r["word"].encode(): i for i, r in enumerate(top)}
     c = np.array([r["n"] for r in top] + [n_texts], float)
-    tail = F.pmod(F.crc32(F.expr("substring(cast(word AS binary), -3, 3)")), F.lit(N_SHARED))
-    totals = {r["k"]: (r["n"], r["v"]) for r in counts.groupBy(tail.alias("k")).agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()}
-    shared = np.array([totals.get(k, (0, 0)) for k in range(N_SHARED)], float).reshape(N_SHARED, 2)
-    tails = np.array([zlib.crc32(w[-3:]) % N_SHARED for w in index], np.int64)
-    n_all, v_all = shared.sum(0) if len(top) else (0.0, 0.0)
-    np.subtract.at(shared, tails[:own], np.stack([c[:own], np.ones(own)], 1))
-    cls = np.concatenate((np.arange(own), own + 1 + tails[own:], [own])).astype(np.int64)
+    suffix = F.pmod(F.crc32(F.expr("substring(cast(word AS binary), -3, 3)")), F.lit(N_SHARED))
+    totals = {r["k"]: (r["n"], r["v"]) for r in counts.groupBy(suffix.alias("k")).agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()}
+    rest = np.array([totals.get(k, (0, 0)) for k in range(N_SHARED)], float).reshape(N_SHARED, 2)
+    n_all, v_all = rest.sum(0)
+    group = np.array([zlib.crc32(w[-3:]) % N_SHARED for w in index], np.int64)
+    single, mass = group[:own], np.zeros(N_SHARED)
+    np.subtract.at(rest, single, np.stack([c[:own], np.ones(own)], 1))
+    mass[:] = rest[:, 0]  # words of each shared class, tails included
+    np.subtract.at(rest, group[own:n_words], np.stack([c[own:n_words], np.ones(n_words - own)], 1))  # what is left are the tails
+    inside = np.bincount(group[own:n_words], minlength=N_SHARED) + 1
+    start = np.concatenate(([0], np.cumsum(inside)))
+    order = np.argsort(group[own:n_words], kind="stable")
+    entry = np.full(len(top) + 1, -1)
+    ranked = group[own:n_words][order]
+    entry[own + order] = start[ranked] + np.arange(len(order)) - (np.cumsum(inside - 1) - (inside - 1))[ranked]
+    entry[n_words : len(top)] = start[group[n_words:] + 1] - 1
+    cls = np.concatenate((np.arange(own), own + 1 + group[own:], [own])).astype(np.int64)
+    entry_mass = np.ones(int(start[-1]))
+    np.add.at(entry_mass, entry[own:n_words], c[own:n_words])
+    entry_mass[start[1:] - 1] += rest[:, 0]
+    entry_noise = entry_mass / np.repeat(np.add.reduceat(entry_mass, start[:-1]), inside)
+    noise = np.concatenate((c[:own], [n_texts], mass)) + 1.0
     index[b""] = len(top)
-    mass = np.concatenate((c[:own], [n_texts], shared[:, 0])) + 1.0
-    inner = np.concatenate((np.zeros(own + 1), np.log10(shared.sum(1) + 1)))
-    return Words(index, np.log10(c + 1), c > 0, cls, own, inner, mass / mass.sum(), int(n_all) + n_texts, int(v_all) + (n_texts > 0))
+    return Words(index, np.log10(c + 1), c > 0, cls, entry, own, start, noise / noise.sum(), entry_noise, np.log10(rest.sum(1) + 1), int(n_all) + n_texts, int(v_all) + (n_texts > 0))
 
 
-def start_model(classes: int, noise: np.ndarray) -> dict[str, np.ndarray]:
-    draw = np.random.default_rng(3)
-    return {
-        "R": draw.normal(0, 0.3, (classes + 1, DIM)).astype(np.float32), "Q": draw.normal(0, 0.05, (classes, DIM)).astype(np.float32),
-        "C1": np.eye(DIM, dtype=np.float32), "C2": 0.5 * np.eye(DIM, dtype=np.float32), "b": np.log(noise).astype(np.float32),
-    }
+class Model:
+    """All parameters as rows of one table, so that they can be averaged row by row: context vectors, classes, entries (target vector and
+    bias), then the rows of C1 and C2."""
 
-
-def _scatter(rows: np.ndarray, index: np.ndarray, n: int) -> np.ndarray:
-    return np.stack([np.bincount(index, rows[:, d], n) for d in range(rows.shape[1])], 1).astype(np.float32)
+    def __init__(self, words: Words, table: np.ndarray | None = None) -> None:
+        sizes = (words.symbols, words.classes, words.entries, DIM, DIM)
+        edges = np.concatenate(([0], np.cumsum(sizes)))
+        if table is None:
+            draw = np.random.default_rng(3)
+            table = np.zeros((edges[-1], DIM + 1), np.float32)
+            table[: edges[1], :DIM] = draw.normal(0, 0.3, (edges[1], DIM))
+            table[edges[1] : edges[3], :DIM] = draw.normal(0, 0.05, (edges[3] - edges[1], DIM))
+            table[edges[1] : edges[2], DIM] = np.log(words.noise)
+            table[edges[2] : edges[3], DIM] = np.log(words.entry_noise)
+            table[edges[3] : edges[4], :DIM] = np.eye(DIM)
+            table[edges[4] :, :DIM] = 0.5 * np.eye(DIM)
+        self.table, self.edges = table, edges
+        self.context, self.classes, self.entries, self.c1, self.c2 = (table[a:z] for a, z in zip(edges, edges[1:], strict=False))
 
 
 class Trainer:
-    """Noise-contrastive estimation with Adagrad; a batch shares its noise."""
-
-    def __init__(self, noise: np.ndarray) -> None:
-        self.noise, self.k = noise, len(noise)
-        self.m = start_model(self.k, noise)
-        self.sq = {n: np.full_like(p, 1e-3) for n, p in self.m.items()}
-        self.draw, self.cum = np.random.default_rng(5), np.cumsum(noise)
-        self.log_kq = np.log(NOISE * noise).astype(np.float32)
-
-    def step(self, u: np.ndarray, v: np.ndarray, w: np.ndarray) -> None:
-        R, Q, C1, C2, b = (self.m[n] for n in ("R", "Q", "C1", "C2", "b"))
-        z = np.minimum(np.searchsorted(self.cum, self.draw.random(NOISE)), self.k - 1)
-        ru, rv, qw, qz = R[u], R[v], Q[w], Q[z]
-        h = ru @ C1 + rv @ C2
-        good = 1 / (1 + np.exp(np.einsum("ij,ij->i", h, qw) + b[w] - self.log_kq[w]))
-        bad = -1 / (1 + np.exp(self.log_kq[z] - h @ qz.T - b[z]))
-        dh = good[:, None] * qw + bad @ qz
-        grads = {
-            "Q": _scatter(good[:, None] * h, w, self.k) + _scatter(bad.T @ h, z, self.k),
-            "b": (np.bincount(w, good, self.k) + np.bincount(z, bad.sum(0), self.k)).astype(np.float32),
-            "R": _scatter(dh @ C1.T, u, self.k + 1) + _scatter(dh @ C2.T, v, self.k + 1),
-            "C1": ru.T @ dh, "C2": rv.T @ dh,
-        }
-        for name, g in grads.items():
-            g = g / np.float32(len(w))
-            self.sq[name] += g * g
-            self.m[name] += np.float32(RATE if name != "C1" and name != "C2" else RATE / 10) * g / np.sqrt(self.sq[name])
-
-
-def train(texts: DataFrame, words: Words) -> dict[str, np.ndarray]:
-    """Average of the models that the partitions train on their texts, each from the same start."""
-    shared = texts.sparkSession.sparkContext.broadcast(words)
-    names = ("R", "Q", "C1", "C2", "b")
+    """Noise-contrastive estimation with Adagrad. A batch shares its noise classes; a token of a shared class has noise entries of its own,
+    drawn from that class. A row moves by the mean gradient of its uses in the batch."""
+
+    def __init__(self, words: Words, table: np.ndarray | None = None, held: float = 0.02) -> None:
+        self.words = words
+        self.m = Model(words, None if table is None else table.copy())
+        self.sq = np.full_like(self.m.table, held)
+        self.used = np.zeros(len(self.m.table))
+        self.draw = np.random.default_rng(5)
+        self.cum, self.log_kq = np.cumsum(words.noise), np.log(NOISE * words.noise).astype(np.float32)
+        # in-class distributions one after the other: entry e of the k-th shared class ends at k plus its cumulated share
+        within = np.cumsum(words.entry_noise)
+        before = np.repeat(np.concatenate(([0.0], within[words.start[1:-1] - 1])), np.diff(words.start))
+        self.entry_cum = within - before + np.repeat(np.arange(len(words.start) - 1), np.diff(words.start))
+        self.entry_log_kq = np.log(ENTRY_NOISE * words.entry_noise).astype(np.float32)
+
+    def _move(self, offset: int, index: np.ndarray, grads: np.ndarray, counted: int) -> None:
+        """Rows move by the mean of their gradients; ``counted``: how many of the gradients, from the first, count as uses."""
+        order = np.argsort(index, kind="stable")  # radix sort, as indexes are short integers
+        ranked = index[order]
+        first = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
+        g = np.add.reduceat(grads[order], first, axis=0)
+        g /= np.diff(np.append(first, len(ranked)))[:, None].astype(np.float32)
+        rows = ranked[first].astype(np.int64) + offset
+        sq = self.sq[rows]
+        sq += g * g
+        self.sq[rows] = sq
+        g *= np.float32(RATE)
+        g /= np.sqrt(sq)
+        self.m.table[rows] += g
+        self.used[rows] += np.add.reduceat((order < counted).astype(np.float64), first)
+
+    def step(self, u: np.ndarray, v: np.ndarray, cls: np.ndarray, entry: np.ndarray) -> None:
+        m, words, edges, n = self.m, self.words, self.m.edges, len(u)
+        z = np.minimum(np.searchsorted(self.cum, self.draw.random(NOISE)), words.classes - 1)
+        ru, rv = m.context[u], m.context[v]  # their last column is zero
+        c1, c2 = np.zeros((DIM + 1, DIM + 1), np.float32), np.zeros((DIM + 1, DIM + 1), np.float32)
+        c1[:DIM], c2[:DIM] = m.c1, m.c2
+        h = ru @ c1
+        h += rv @ c2
+        h[:, DIM] = 1  # meets the bias
+        qw, qz = m.classes[cls], m.classes[z]
+        good = 1 / (1 + np.exp(np.einsum("ij,ij->i", h, qw) - self.log_kq[cls]))
+        bad = -1 / (1 + np.exp(self.log_kq[z] - h @ qz.T))
+        dh = good[:, None] * qw
+        dh += bad @ qz
+        total = np.zeros((words.classes, DIM + 1), np.float32)
+        order = np.argsort(cls.astype(np.uint16), kind="stable")
+        first = np.flatnonzero(np.diff(cls[order], prepend=-1))
+        total[cls[order[first]]] = np.add.reduceat((good[:, None] * h)[order], first, axis=0)
+        np.add.at(total, z, bad.T @ h)
+        g = total / (n * self.words.noise[:, None]).astype(np.float32)  # by the uses that are to be expected
+        at = slice(edges[1], edges[2])
+        self.sq[at] += g * g
+        m.classes += np.float32(RATE) * g / np.sqrt(self.sq[at])
+        self.used[at] += np.bincount(cls, minlength=words.classes) + n * words.noise
+        shared = np.flatnonzero(entry >= 0)
+        if len(shared):
+            hs, e, k = h[shared], entry[shared], cls[shared] - words.own - 1
+            noise = np.searchsorted(self.entry_cum, (k + self.draw.random((ENTRY_NOISE, len(k)))).ravel())
+            noise = np.clip(noise, np.tile(words.start[k], ENTRY_NOISE), np.tile(words.start[k + 1] - 1, ENTRY_NOISE))
+            every = np.concatenate((e, noise))  # the words themselves first
+            q = m.entries[every]
+            reps = q.reshape(ENTRY_NOISE + 1, len(k), DIM + 1)
+            pull = np.einsum("kij,ij->ki", reps, hs)
+            pull -= self.entry_log_kq[every].reshape(ENTRY_NOISE + 1, -1)
+            pull = -1 / (1 + np.exp(-pull))
+            pull[0] += 1
+            dh[shared] += np.einsum("ki,kij->ij", pull, reps)
+            grads = (pull[:, :, None] * hs[None]).reshape(len(every), DIM + 1)
+            self._move(edges[2], every.astype(np.uint16), grads, len(e))
+        dh[:, DIM] = 0
+        grads = np.empty((2 * n, DIM + 1), np.float32)
+        np.matmul(dh, c1.T, out=grads[:n])
+        np.matmul(dh, c2.T, out=grads[n:])
+        grads[:, DIM] = 0
+        self._move(0, np.concatenate((u, v)).astype(np.uint16), grads, 2 * n)
+        for at, r in ((edges[3], ru), (edges[4], rv)):
+            g = (r.T @ dh)[:DIM] / np.float32(n)
+            self.sq[at : at + DIM] += g * g
+            m.table[at : at + DIM] += np.float32(MATRIX_RATE) * g / np.sqrt(self.sq[at : at + DIM])
+            self.used[at : at + DIM] += n
+
+
+def _round(texts: DataFrame, words: Words, table: np.ndarray | None) -> np.ndarray:
+    """The table after each partition has trained on its texts from ``table``, averaged row by row."""
+    shared = texts.sparkSession.sparkContext.broadcast((words, table))
+    start = Model(words, table).table
+    n_rows = len(start)
 
     def run(batches):
-        own, seen = shared.value, 0
-        trainer = Trainer(own.noise)
-        held: list[list[np.ndarray]] = [[], [], []]
+        own, first = shared.value
+        trainer = Trainer(own, first)
+        waiting: list[list[np.ndarray]] = [[], [], [], []]
+
+        def learn():
+            u, v, cls, entry = map(np.concatenate, waiting)
+            mixed = trainer.draw.permutation(len(cls))
+            for k in range(0, len(cls), BATCH):
+                at = mixed[k : k + BATCH]
+                trainer.step(u[at], v[at], cls[at], entry[at])
+            for part in waiting:
+                part.clear()
+
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
-                _, _, cls, ends = own.ids(batch.column(0).slice(at, 256).to_pylist())
-                for part, x in zip(held, (*own.contexts(cls, ends), cls), strict=True):
+                _, _, cls, entry, ends = own.ids(batch.column(0).slice(at, 256).to_pylist())
+                for part, x in zip(waiting, (*own.contexts(cls, entry, ends), cls, entry), strict=True):
                     part.append(x)
-                seen += len(cls)
-                if sum(map(len, held[2])) >= 32 * BATCH:
-                    u, v, w = map(np.concatenate, held)
-                    mixed = trainer.draw.permutation(len(w))
-                    for k in range(0, len(w), BATCH):
-                        trainer.step(u[mixed[k : k + BATCH]], v[mixed[k : k + BATCH]], w[mixed[k : k + BATCH]])
-                    held = [[], [], []]
-        if held[2]:
-            u, v, w = map(np.concatenate, held)
-            mixed = trainer.draw.permutation(len(w))
-            for k in range(0, len(w), BATCH):
-                trainer.step(u[mixed[k : k + BATCH]], v[mixed[k : k + BATCH]], w[mixed[k : k + BATCH]])
-        if seen:
-            flat = np.concatenate([trainer.m[n].ravel() for n in names])
-            yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([flat.tolist()], pa.list_(pa.float32()))], names=["seen", "flat"])
-
-    models = texts.select("text").mapInArrow(run, "seen long, flat array<float>")
-    cells = models.select("seen", F.posexplode("flat").alias("i", "x")).groupBy("i").agg((F.sum(F.col("x").cast("double") * F.col("seen")) / F.sum("seen")).alias("x"))
-    rows = cells.collect()  # one row a parameter, whatever the input
-    start = start_model(words.classes, words.noise)
-    flat = np.concatenate([start[n].ravel() for n in names]).astype(np.float64)
-    if rows:
-        flat[[r["i"] for r in rows]] = [r["x"] for r in rows]
-    out, at = {}, 0
-    for n in names:
-        out[n] = flat[at : at + start[n].size].reshape(start[n].shape)
-        at += start[n].size
-    return out
-
-
-@dataclass
-class Tables:
-    """Scores of a class after a class one (A1, biases included) or two (A2) tokens before, and normalisers."""
-
-    a1: np.ndarray
-    a2: np.ndarray
-    norm: np.ndarray
-
-
-def tabulate(model: dict[str, np.ndarray]) -> Tables:
-    a1 = (model["R"] @ model["C1"] @ model["Q"].T + model["b"]).astype(np.float32)
-    a2 = (model["R"] @ model["C2"] @ model["Q"].T).astype(np.float32)
-    norm = np.empty((len(a1), len(a1)), np.float32)
-    top = a1.max(1) + a2.max()
-    for u in range(len(a1)):
-        norm[u] = np.log(np.exp(a2 + (a1[u] - top[u])).sum(1)) + top[u]
-    return Tables(a1, a2, norm)
-
-
-def class_log10(tables: Tables, noise: np.ndarray, u: np.ndarray, v: np.ndarray, w: np.ndarray) -> np.ndarray:
-    p = np.exp((tables.a1[u, w] + tables.a2[v, w] - tables.norm[u, v]).astype(np.float64))
-    return np.log10((1 - SMOOTH) * p + SMOOTH * noise[w])
+                if sum(map(len, waiting[2])) >= 32 * BATCH:
+                    learn()
+        if waiting[2]:
+            learn()
+        touched = np.flatnonzero(trainer.used)
+        for at in range(0, len(touched), 8192):
+            rows = touched[at : at + 8192]
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(trainer.used[rows]), pa.array([x.tobytes() for x in trainer.m.table[rows]], pa.binary())], names=["row", "used", "x"])
+
+    def mean(batches):
+        total, weight = np.zeros((n_rows, DIM + 1)), np.zeros(n_rows)
+        for batch in batches:
+            rows, used = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            np.add.at(total, rows, used[:, None] * np.frombuffer(b"".join(batch.column(2).to_pylist()), np.float32).reshape(-1, DIM + 1))
+            np.add.at(weight, rows, used)
+        rows = np.flatnonzero(weight)
+        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array([x.tobytes() for x in (total[rows] / weight[rows, None]).astype(np.float32)], pa.binary())], names=["row", "x"])
+
+    models = texts.select("text").mapInArrow(run, "row long, used double, x binary")
+    table = start.copy()
+    for r in models.repartition(16, "row").mapInArrow(mean, "row long, x binary").collect():  # one row a row of the table, whatever the input
+        table[r["row"]] = np.frombuffer(bytes(r["x"]), np.float32)
+    return table
+
+
+def train(texts: DataFrame, words: Words) -> np.ndarray:
+    """The model's table after both rounds."""
+    some = texts.where(F.pmod(F.xxhash64("text", F.lit(31)), F.lit(FIRST)) == 0)
+    return _round(texts, words, _round(some, words, None))
+
+
+class Scorer:
+    """A model with the contexts' products at hand. Biases lie in one more row, which meets a one."""
+
+    def __init__(self, words: Words, table: np.ndarray) -> None:
+        m = Model(words, table)
+        self.words = words
+        near, far = m.context[:, :DIM] @ m.c1[:, :DIM], m.context[:, :DIM] @ m.c2[:, :DIM]
+        self.near, self.far = np.append(near, np.ones((len(near), 1), np.float32), 1), np.append(far, np.zeros((len(far), 1), np.float32), 1)
+        self.q, self.entry_q = np.ascontiguousarray(m.classes.T), m.entries
+
+    @staticmethod
+    def _log10(h: np.ndarray, q: np.ndarray, chosen: np.ndarray, noise: np.ndarray) -> np.ndarray:
+        """Smoothed log10 probabilities of the columns ``chosen`` of h q, normalised by row."""
+        score = h @ q
+        mine = score[np.arange(len(chosen)), chosen].astype(np.float64)
+        np.minimum(score, 60, out=score)
+        np.exp(score, out=score)
+        total = (score @ np.ones(score.shape[1], np.float32)).astype(np.float64)
+        p = np.exp(np.minimum(mine, 60)) / np.maximum(total, 1e-300)
+        wild = np.flatnonzero((total < 1e-25) | (total > 1e25))  # beyond what single precision can add up
+        if len(wild):
+            exact = h[wild].astype(np.float64) @ q
+            exact -= exact.max(1, keepdims=True)
+            p[wild] = np.exp(exact[np.arange(len(wild)), chosen[wild]]) / np.exp(exact).sum(1)
+        return np.log10((1 - SMOOTH) * p + SMOOTH * noise[chosen])
+
+    def log10(self, u: np.ndarray, v: np.ndarray, cls: np.ndarray, entry: np.ndarray, width: int = 1024) -> np.ndarray:
+        """log10 of the probability of each class, and of its entry if it has any, after the symbols u and v. Scores of ``width`` tokens are
+        held at once, so that they stay in the processor's cache."""
+        words, out = self.words, np.empty(len(cls))
+        h = self.near[u] + self.far[v]
+        for at in range(0, len(cls), width):
+            part = slice(at, at + width)
+            out[part] = self._log10(h[part], self.q, cls[part], words.noise)
+        shared = np.flatnonzero(entry >= 0)
+        shared = shared[np.argsort(cls[shared].astype(np.int16), kind="stable")]
+        edges = np.flatnonzero(np.diff(cls[shared], prepend=-1, append=-1))
+        for a, z in zip(edges, edges[1:], strict=False):
+            k = cls[shared[a]] - words.own - 1
+            lo, hi = words.start[k], words.start[k + 1]
+            for at in range(a, z, width):
+                rows = shared[at : min(z, at + width)]
+                out[rows] += self._log10(h[rows], self.entry_q[lo:hi].T, entry[rows] - lo, words.entry_noise[lo:hi])
+        return out
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -249,23 +398,25 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     training = texts.where(~F.col("held_out"))
     counts = stage(count_words(training), "lm-counts")
     words = learn_words(counts, training.count())
-    tables = tabulate(train(training, words))
-    sent = docs.sparkSession.sparkContext.broadcast((words, tables))
+    sent = docs.sparkSession.sparkContext.broadcast((words, train(training, words)))
     schema = f"{id_col} {kind}, held_out boolean, n_tokens long, n_known long, base double, model double, rare array<struct<word: string, n: long>>"
     names = [id_col, "held_out", "n_tokens", "n_known", "base", "model", "rare"]
     pair = pa.struct([("word", pa.string()), ("n", pa.int64())])
 
     def run(batches):
-        words, tables = sent.value
+        scorer = Scorer(*sent.value)
+        words = scorer.words
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
-                tokens, index, cls, ends = words.ids(batch.column(2).to_pylist())
-                u, v = words.contexts(cls, ends)
+                tokens, index, cls, entry, ends = words.ids(batch.column(2).to_pylist())
+                u, v = words.contexts(cls, entry, ends)
                 first = np.concatenate(([0], ends[:-1]))
                 frequent = index >= 0
                 log_c = np.where(frequent, words.log_c[index], 0.0)
-                model = class_log10(tables, words.noise, u, v, cls) - words.inner[cls] + np.where(cls > words.own, log_c, 0.0)
+                model = scorer.log10(u, v, cls, entry)
+                tail = np.flatnonzero(words.is_tail(cls, entry))  # the counts of words that only the join knows are added there
+                model[tail] += log_c[tail] - words.tail[cls[tail] - words.own - 1]
                 rare = [Counter(tokens[i] for i in (np.flatnonzero(index[a:b] < 0) + a).tolist()) for a, b in zip(first.tolist(), ends.tolist(), strict=True)]
                 found = pa.array([[{"word": w.decode(), "n": n} for w, n in c.items()] for c in rare], pa.list_(pair))
                 known = np.add.reduceat(frequent & words.known[index], first, dtype=np.int64)
