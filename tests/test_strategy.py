@@ -32,7 +32,7 @@ def test_merge_levels(spark):
 
 
 def event(minute, symbol="A", o=100.0, h=100.0, low=100.0, **more):
-    base = dict(config="BASE", minute_ms=minute * 60000, symbol=symbol, open=o, high=h, low=low, close_15m=None, session_end=False, blackout=False, funding_rate=None, mark=None, side=None, level=None, entry=None, stop=None, tp1=None, tp2=None, l_unit=None, be=None, qty_step=0.1, expiry_ms=10**12, turnover_sum=1.0, volume_ratio=2.0, delivery_known=False)
+    base = dict(config="BASE", minute_ms=minute * 60000, symbol=symbol, open=o, high=h, low=low, close_15m=None, session_end=False, blackout=False, funding_rate=None, mark=None, side=None, level=None, entry=None, stop=None, tp1=None, tp2=None, l_unit=None, be=None, qty_step=0.1, expiry_ms=10**12, turnover_sum=1.0, volume_ratio=2.0, delivery_known=False, settlement=None)
     return tuple((base | more).values())
 
 
@@ -46,12 +46,12 @@ def trades(spark, events):
 
 def test_fill_needs_penetration_and_stop_needs_touch(spark):
     assert trades(spark, [event(1, **CANDIDATE), event(2, low=99.0, h=120.0)]) == []
-    assert trades(spark, [event(1, **CANDIDATE), event(2, low=95.0, h=120.0)]) == [("STOP", -4.0)]
+    assert trades(spark, [event(1, **CANDIDATE), event(2, low=95.0, h=120.0)]) == [("EXIT_INITIAL_STOP", -4.0)]
     filled = [event(1, **CANDIDATE), event(2, low=98.9, h=120.0)]
-    assert trades(spark, [*filled, event(3, low=95.0, h=120.0)]) == [("STOP", -4.0)]
-    assert trades(spark, [*filled, event(3, low=99.1, h=108.0)]) == [("BE", 4.1)]
-    assert trades(spark, [*filled, event(3, low=100.0, h=108.0), event(4, low=100.0, h=112.0)]) == [("TP2", 10.0)]
-    assert trades(spark, [*filled, event(3, o=98.0, low=98.0, h=99.0, close_15m=98.5)]) == [("FALSE_BREAK", -1.0)]
+    assert trades(spark, [*filled, event(3, low=95.0, h=120.0)]) == [("EXIT_INITIAL_STOP", -4.0)]
+    assert trades(spark, [*filled, event(3, low=99.1, h=108.0)]) == [("EXIT_BE", 4.1)]
+    assert trades(spark, [*filled, event(3, low=100.0, h=108.0), event(4, low=100.0, h=112.0)]) == [("EXIT_TP2", 10.0)]
+    assert trades(spark, [*filled, event(3, o=98.0, low=98.0, h=99.0, close_15m=98.5)]) == [("EXIT_FALSE_BREAK", -1.0)]
 
 
 def test_replay_ignores_row_order_and_partitions(spark):
@@ -74,8 +74,9 @@ def test_bootstrap_and_decisions(spark):
     weeks = spark.range(10).select(F.col("id").alias("week_no"))
     ci = validation.bootstrap(weeks.select("week_no", F.lit(2.0).alias("total"), F.lit(1).alias("n")), weeks, 200).first()
     assert (ci["ci_low"], ci["ci_high"]) == (2.0, 2.0)
-    m = spark.createDataFrame([("BASE", 120, 0.1, 12.0)] + [(f"n{i}", 90, 0.1 if i < 8 else -0.1, 1.0) for i in range(10)], "config string, n int, mean_r double, total_r double")
-    assert validation.validation_decision(m).first()["decision"] == "PASS"
+    names = "config string, n int, mean_r double, total_r double, stress_mean_r double, stress_total_r double"
+    case = lambda n, stress, good: validation.validation_decision(spark.createDataFrame([("BASE", n, 0.1, 12.0, stress, 1.0)] + [(f"n{i}", 90, 0.1 if i < good else -0.1, 1.0, 0.0, 0.0) for i in range(10)], names)).first()["decision"]
+    assert [case(120, 0.0, 8), case(120, -0.1, 8), case(120, 0.0, 7), case(99, 0.0, 8), case(99, -0.1, 8)] == ["PASS", "FAIL_VALIDATION", "FAIL_VALIDATION", "INCONCLUSIVE_VALIDATION", "FAIL_VALIDATION"]
 
 
 def test_streams(spark, tmp_path):

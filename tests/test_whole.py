@@ -98,7 +98,7 @@ def test_replay_offers_every_minute_to_every_configuration(spark, tmp_path):
             if trend and px[k] > level and px[k + 1] > level and ratio >= c["volume_ratio"]:
                 want[c["config"], 5 * k + 1] = (round(level * (1 - 0.2 * c["stop_atr"]), 6), 15 * c["expiry_bars"])
     begin = int((start - datetime(1970, 1, 1)).total_seconds() * 1000)
-    made = _replay_events(lambda name: spark.read.parquet(str(tmp_path / f"{name}.parquet"))).cache()
+    made = _replay_events(lambda name: spark.read.parquet(str(tmp_path / f"{name}.parquet")), 3_600_000).cache()
     got = {(x["config"], (x["minute_ms"] - begin) // 60_000): (round(x["stop"], 6), (x["expiry_ms"] - x["minute_ms"]) // 60_000) for x in made.where("side IS NOT NULL").collect()}
     assert made.count() == 11 * len(events) and len({c for c, _ in got}) == 11 and got == want
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)

@@ -20,21 +20,29 @@ def _instruments(spark: SparkSession, args) -> tuple[DataFrame, DataFrame]:
 def inventory(spark: SparkSession, args) -> int:
     rows, counts = _instruments(spark, args)
     rows.write.mode("overwrite").parquet(f"{args.out}/instruments")
-    counts.coalesce(1).write.mode("overwrite").json(f"{args.out}/counts")
-    pipelines.inventory_hash(rows).coalesce(1).write.mode("overwrite").json(f"{args.out}/hash")
+    store.write_documents(counts.coalesce(1), f"{args.out}/counts")
+    store.write_documents(pipelines.inventory_hash(rows).coalesce(1), f"{args.out}/hash")
     return pipelines.DONE
 
 
 def sample_coverage(spark: SparkSession, args) -> int:
     rows, _ = _instruments(spark, args)
-    store.write_report(pipelines.sample_coverage(rows, spark.read.parquet(args.bars), args.now_ms), args.out)
+    read = lambda p: spark.read.parquet(p) if p else None
+    store.write_report(pipelines.sample_coverage(rows, spark.read.parquet(args.bars), args.now_ms, read(args.daily), read(args.faults)), args.out)
     return pipelines.DONE
 
 
 def bulk_build(spark: SparkSession, args) -> int:
     rows, _ = _instruments(spark, args)
     done = spark.read.parquet(args.manifests) if args.manifests else None
-    pipelines.bulk_build(spark, args.raw, f"{args.out}/bars", rows, pipelines.Range(args.start_ms, args.end_ms), args.now_ms, done).write.mode("append").parquet(f"{args.out}/manifests")
+    header = {"range_start_ms": args.start_ms, "range_end_ms": args.end_ms, "inventory_sha256": pipelines.inventory_hash(rows).first()["inventory_sha256"]}
+    if args.header:  # of the run to be resumed
+        drift = pipelines.resumable(responses.document(spark, args.header, "range_start_ms LONG, range_end_ms LONG, inventory_sha256 STRING").first().asDict(), header, tuple(header))
+        if drift:
+            print("differs in", *drift)
+            return pipelines.DRIFT
+    store.write_documents(spark.createDataFrame([header]), f"{args.out}/header")
+    pipelines.bulk_build(spark, args.raw, f"{args.out}/bars", rows, pipelines.Range(args.start_ms, args.end_ms), args.now_ms, done, args.max_symbols or None, args.max_partitions or None).write.mode("append").parquet(f"{args.out}/manifests")
     return pipelines.DONE
 
 
@@ -42,10 +50,22 @@ def pilot(spark: SparkSession, args) -> int:
     """Roll-ups of 1-minute bars against native bars; only months before the holdout may be looked at."""
     bars = spark.read.parquet(args.bars)
     pipelines.guard_development(args.end_ms, args.development_end_ms)
+    if args.stop_early:  # an intended abort, before anything is computed
+        return pipelines.ABORTED
     native = {step: spark.read.parquet(path) for step, path in ((15 * MINUTE, args.native_15), (HOUR, args.native_60), (DAY, args.native_d)) if path}
     out = pipelines.pilot_diagnostics(bars.where((F.col("start_ms") >= args.start_ms) & (F.col("start_ms") < args.end_ms)), native)
     out.coalesce(1).write.mode("overwrite").json(args.out)
-    return pipelines.ABORTED if args.stop_early else pipelines.DONE
+    return pipelines.DONE
+
+
+def boundary_pilot(spark: SparkSession, args) -> int:
+    """One month of two or more symbols (--symbols A,B), each clipped to its life, and the overlap of their ranges."""
+    pipelines.guard_development(args.end_ms, args.development_end_ms)
+    rows, _ = _instruments(spark, args)
+    parts, overlap = pipelines.boundary_pilot(rows, spark.read.parquet(args.bars), args.start_ms, args.end_ms, [s.strip().upper() for s in args.symbols.split(",") if s.strip()])
+    store.write_documents(parts, f"{args.out}/partitions")
+    store.write_documents(overlap, f"{args.out}/overlap")
+    return pipelines.DONE
 
 
 def compare(spark: SparkSession, args) -> int:
@@ -63,8 +83,9 @@ def funding_mark(spark: SparkSession, args) -> int:
 #: command: function, path arguments, number arguments.
 COMMANDS = {
     "inventory": (inventory, ("trading", "closed", "out"), ()),
-    "sample-coverage": (sample_coverage, ("trading", "closed", "bars", "out"), ("now_ms",)),
-    "bulk-build": (bulk_build, ("trading", "closed", "raw", "out", "manifests"), ("start_ms", "end_ms", "now_ms")),
+    "sample-coverage": (sample_coverage, ("trading", "closed", "bars", "daily", "faults", "out"), ("now_ms",)),
+    "bulk-build": (bulk_build, ("trading", "closed", "raw", "out", "manifests", "header"), ("start_ms", "end_ms", "now_ms", "max_symbols", "max_partitions")),
+    "boundary-pilot": (boundary_pilot, ("trading", "closed", "bars", "symbols", "out"), ("start_ms", "end_ms", "development_end_ms")),
     "pilot": (pilot, ("bars", "native_15", "native_60", "native_d", "out"), ("start_ms", "end_ms", "development_end_ms", "stop_early")),
     "compare": (compare, ("a", "b", "out"), ()),
     "funding-mark": (funding_mark, ("events", "marks_60m", "marks_1m", "out"), ()),

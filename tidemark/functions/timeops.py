@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MINUTE, HOUR, DAY = 60_000, 3_600_000, 86_400_000
@@ -36,10 +36,18 @@ def is_closed(start: Column, step: Column | int, now_ms: Column | int) -> Column
 
 
 def utc_ms(ts: Column) -> Column:
-    """Milliseconds of a timestamp, rounded down; times without zone are taken as UTC (the session's zone)."""
+    """Milliseconds of a timestamp, rounded down. A column of timestamps without zone is refused by ``zoned``."""
     return F.unix_millis(ts.cast("timestamp"))
 
 
+def zoned(rows: DataFrame, *columns: str) -> DataFrame:
+    """``rows``, if these columns hold points in time: a timestamp without zone raises."""
+    for c in columns:
+        if rows.schema[c].dataType.typeName() != "timestamp":
+            raise ValueError(f"{c} has no zone")
+    return rows
+
+
 def local_ms(day: Column, zone: str, clock: str) -> Column:
     return F.unix_millis(F.to_utc_timestamp(F.to_timestamp(F.concat_ws(" ", day.cast("string"), F.lit(clock))), zone))
 
@@ -113,8 +121,10 @@ def week_start_ms(t: Column) -> Column:
 
 
 def activation_ms(signal_ms: Column) -> Column:
+    """A candidate becomes active a minute after the close that signals it."""
     return signal_ms + MINUTE
 
 
 def expiry_ms(signal_ms: Column, session_end_ms: Column, bars: int = 8) -> Column:
+    """Orders live for ``bars`` 15-minute bars, and not beyond the session."""
     return F.least(signal_ms + bars * INTERVALS["15"], session_end_ms)

@@ -10,16 +10,17 @@ def asof(left: DataFrame, right: DataFrame, on: str, left_time: str, right_time:
     """``left`` with the ``values`` of the latest right row not after it (backward) or the earliest not before it
     (forward), by key ``on``. Both sides are sorted together and the last value is carried, in one shuffle by
     key and time range: rows are dealt by key and bucket of ``suffix_days`` days, and each bucket is given the
-    value its predecessor ends with, so that a frequent key spreads over as many tasks as it has buckets."""
+    value its predecessor ends with, so that a frequent key spreads over as many tasks as it has buckets. What a
+    bucket ends with is read from the same shuffle, and is a row a bucket."""
     width = suffix_days * 86_400_000
     a = left.select(F.struct(*left.columns).alias("row"), F.col(on).alias("k"), F.col(left_time).alias("t"), F.lit(None).cast(right.select(F.struct(*values)).schema[0].dataType).alias("v"))
     b = right.select(F.lit(None).cast(a.schema["row"].dataType).alias("row"), F.col(on).alias("k"), F.col(right_time).alias("t"), F.struct(*values).alias("v"))
-    both = a.unionByName(b).withColumn("bucket", F.floor(F.col("t") / width))
+    both = a.unionByName(b).withColumn("bucket", F.floor(F.col("t") / width)).repartition("k", "bucket")
     back = direction == "backward"
     pick = F.max_by if back else F.min_by
-    edge = both.where("v IS NOT NULL").groupBy("k", "bucket").agg(pick("v", "t").alias("edge"))
+    edge = both.groupBy("k", "bucket").agg(pick("v", F.when(F.col("v").isNotNull(), F.col("t"))).alias("edge"))
     frame = Window.partitionBy("k").orderBy(F.col("bucket").asc() if back else F.col("bucket").desc())
-    known = both.select("k", "bucket").distinct().join(edge, ["k", "bucket"], "left").withColumn("carried", F.last("edge", ignorenulls=True).over(frame.rowsBetween(Window.unboundedPreceding, -1))).drop("edge")
+    known = edge.withColumn("carried", F.last("edge", ignorenulls=True).over(frame.rowsBetween(Window.unboundedPreceding, -1))).drop("edge")
     order = [F.col("t").asc() if back else F.col("t").desc(), F.col("row").isNotNull()]
     inside = F.last("v", ignorenulls=True).over(Window.partitionBy("k", "bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
     out = both.withColumn("found", inside).where("row IS NOT NULL").join(known, ["k", "bucket"], "left").withColumn("found", F.coalesce("found", "carried"))

@@ -6,12 +6,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.decimals import coverage_pct
-from ..functions.timeops import DAY, MINUTE, align_down
+from ..functions.timeops import DAY, MINUTE, align_down, probe_window
+from .asof import asof
 
 #: A launch this long before the first trade is taken for a placeholder.
 PLACEHOLDER_MS = 365 * DAY
 #: Classes of a probe, launch qualities.
-CLASSES = ("DATA_PRESENT", "PARTIAL_DATA", "BEFORE_LAUNCH", "BEFORE_FIRST_TRADE", "AFTER_DELIST", "EMPTY_DURING_LIFETIME", "LIFETIME_METADATA_CONFLICT", "INTERNAL_ERROR")
+CLASSES = ("DATA_PRESENT", "PARTIAL_DATA", "BEFORE_LAUNCH", "BEFORE_FIRST_TRADE", "AFTER_DELIST", "EMPTY_DURING_LIFETIME", "LIFETIME_METADATA_CONFLICT", "FIRST_TRADE_NOT_FOUND", "NOT_APPLICABLE", "API_ERROR", "INTERNAL_ERROR")
 QUALITIES = ("UNKNOWN", "PLACEHOLDER_SUSPECTED", "OBSERVED_METADATA")
 
 
@@ -61,18 +62,84 @@ def first_trades(bars: DataFrame) -> DataFrame:
 
 
 def prelaunch_history(daily: DataFrame, instruments: DataFrame, most_days: int = 1000) -> DataFrame:
-    """Instruments with bars on full days before their launch day, at most ``most_days`` back."""
+    """Instruments with bars on full days before their launch day, at most ``most_days`` back. An instrument needs only the last bar
+    before its launch day, which an as-of join finds without a range condition."""
     day = align_down(F.col("launch_ms"), DAY)
-    near = (F.col("b.symbol") == F.col("i.symbol")) & (F.col("b.start_ms") < day) & (F.col("b.start_ms") >= day - most_days * DAY)
-    return instruments.alias("i").join(daily.alias("b"), near, "left_semi")
+    bars = daily.select("symbol", F.col("start_ms").alias("_last")).distinct()
+    found = asof(instruments.withColumn("_until", day - 1), bars, "symbol", "_until", "_last", ["_last"], suffix_days=366)
+    return found.where(F.col("_last") >= day - most_days * DAY).select(*instruments.columns)
+
+
+def _upper_median(rows: DataFrame, value: str, width: int = 1 << 20) -> DataFrame:
+    """One row m: the value at place n // 2 in order. Values are counted first; sums of cells of ``width`` values show in which cell
+    the place lies, and only that cell is sorted."""
+    each = rows.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("v")).agg(F.count("*").alias("n"))
+    cell = F.floor(F.col("v") / width)
+    before = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    cells = each.groupBy(cell.alias("cell")).agg(F.sum("n").alias("n"))
+    half = F.floor(F.sum("n").over(Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)) / 2)
+    place = cells.withColumn("below", before(Window.orderBy("cell"))).withColumn("half", half).where("below <= half AND half < below + n").select("cell", "below", "half")
+    inner = each.join(F.broadcast(place), cell == F.col("cell")).withColumn("below", F.col("below") + before(Window.orderBy("v")))  # one row is broadcast
+    return inner.where("below <= half AND half < below + n").select(F.col("v").alias("m"))
 
 
 def delay_summary(rows: DataFrame, delay: str = "delay_ms") -> DataFrame:
     """Smallest, largest, number and upper median of launch delays, with and without placeholders."""
-    upper = lambda c: F.element_at(F.array_sort(F.collect_list(c)), (F.floor(F.count(c) / 2) + 1).cast("int"))
     kept = F.when(F.col(delay) < PLACEHOLDER_MS, F.col(delay))
-    name = lambda p: [F.min(p[1]).alias(f"min_{p[0]}"), F.max(p[1]).alias(f"max_{p[0]}"), F.count(p[1]).alias(f"n_{p[0]}"), F.when(F.count(p[1]) > 0, upper(p[1])).alias(f"median_{p[0]}")]
-    return rows.agg(*name(("all", F.col(delay))), *name(("observed", kept)))
+    name = lambda p, c: [F.min(c).alias(f"min_{p}"), F.max(c).alias(f"max_{p}"), F.count(c).alias(f"n_{p}")]
+    out = rows.agg(*name("all", F.col(delay)), *name("observed", kept))
+    for p, part in (("all", rows), ("observed", rows.where(F.col(delay) < PLACEHOLDER_MS))):
+        out = out.join(_upper_median(part, delay).withColumnRenamed("m", f"median_{p}"), F.lit(True), "left")  # one row each
+    return out
+
+
+def funding_probes(instruments: DataFrame, events: DataFrame, now_ms: int, days: int = 4) -> DataFrame:
+    """Funding events within ``days`` of the middle of each instrument's life (symbol, contract_type, launch_ms, first_trade_ms,
+    delivery_ms): symbol, checkpoint_ms, event_count, classification. Both ends count."""
+    origin, delivery = F.coalesce("first_trade_ms", "launch_ms"), F.coalesce("delivery_ms", F.lit(0))
+    end = F.when(delivery > origin, delivery).otherwise(F.lit(now_ms))
+    point = align_down(origin + F.floor(F.greatest(F.lit(0), end - origin) / 2).cast("long"), MINUTE)
+    known = instruments.select("symbol", "contract_type", "launch_ms", "first_trade_ms", "delivery_ms", point.alias("checkpoint_ms"), origin.alias("_o"), end.alias("_e"))
+    known = known.withColumn("_from", F.greatest("_o", F.col("checkpoint_ms") - days * DAY)).withColumn("_to", F.least(F.col("_e") - 1, F.col("checkpoint_ms") + days * DAY))
+    dealt = known.where("_to >= _from").withColumn("_day", F.explode(F.sequence(F.floor(F.col("_from") / DAY), F.floor(F.col("_to") / DAY)))).select("symbol", "_from", "_to", "_day")
+    seen = events.select("symbol", "ts_ms", F.floor(F.col("ts_ms") / DAY).alias("_day")).join(dealt, ["symbol", "_day"]).where("ts_ms BETWEEN _from AND _to").groupBy("symbol").agg(F.count("*").alias("n"))
+    plain = funding_applicable(F.col("contract_type")) == "APPLICABLE"
+    n = F.when(plain, F.coalesce("n", F.lit(0))).otherwise(F.lit(0))
+    kind = F.when(~plain, "NOT_APPLICABLE").when(n > 0, "DATA_PRESENT").otherwise(classify_empty(F.col("checkpoint_ms"), F.col("launch_ms"), F.col("first_trade_ms"), F.col("delivery_ms")))
+    return known.join(seen, "symbol", "left").select("symbol", "checkpoint_ms", n.alias("event_count"), kind.alias("classification"))
+
+
+def missing_first_trades(instruments: DataFrame) -> DataFrame:
+    """A probe row for each instrument (symbol, launch_ms, first_trade_ms) whose first trade is not known: it expects nothing."""
+    point = align_down(F.col("launch_ms"), MINUTE)
+    window = probe_window(point)
+    nothing = F.lit(0).cast("long")
+    return instruments.where("first_trade_ms IS NULL").select(
+        "symbol", F.lit("first_trade_discovery").alias("checkpoint"), point.alias("checkpoint_ms"), window["start_ms"].alias("window_start_ms"), window["end_ms"].alias("window_end_ms"),
+        *(nothing.alias(c) for c in ("expected_count", "candle_count", "gap_count")), F.lit(False).alias("missing_at_start"), F.lit(False).alias("missing_at_end"), nothing.alias("missing_expected_count"),
+        F.lit("FIRST_TRADE_NOT_FOUND").alias("classification"), F.lit("0.000").alias("coverage_pct"),
+    )
+
+
+def failed_probes(probes: DataFrame, faults: DataFrame, step: int = MINUTE) -> DataFrame:
+    """A row for each probe (symbol, checkpoint, checkpoint_ms, start_ms, end_ms) whose reading failed (symbol, checkpoint, error): all that
+    was expected is missing, and the error is kept."""
+    expected = (F.floor((F.col("end_ms") - F.col("start_ms")) / step) + 1).cast("long")
+    return probes.join(faults.select("symbol", "checkpoint", "error"), ["symbol", "checkpoint"]).select(
+        "symbol", "checkpoint", "checkpoint_ms", F.col("start_ms").alias("window_start_ms"), F.col("end_ms").alias("window_end_ms"), expected.alias("expected_count"), F.lit(0).cast("long").alias("candle_count"),
+        F.lit(0).cast("long").alias("gap_count"), F.lit(True).alias("missing_at_start"), F.lit(True).alias("missing_at_end"), expected.alias("missing_expected_count"), F.lit("API_ERROR").alias("classification"), F.lit("0.000").alias("coverage_pct"), "error",
+    )
+
+
+def lifetime_report(instruments: DataFrame, history: DataFrame) -> DataFrame:
+    """symbol, launch quality, delay to the first trade and whether metadata conflict with what was traded, for instruments (symbol,
+    launch_ms, first_trade_ms) and the symbols with bars before their launch day (``history``)."""
+    early = history.select("symbol", F.lit(True).alias("_early")).distinct()
+    known = instruments.join(early, "symbol", "left")
+    return known.select(
+        "symbol", launch_quality(F.col("launch_ms"), F.col("first_trade_ms")).alias("launch_time_quality"), (F.col("first_trade_ms") - F.col("launch_ms")).alias("launch_to_first_trade_ms"),
+        lifetime_conflict(F.col("launch_ms"), F.col("first_trade_ms"), F.col("_early")).alias("lifetime_metadata_conflict"),
+    )
 
 
 def run_rollup(partitions: DataFrame) -> DataFrame:
@@ -87,6 +154,13 @@ def compare_runs(a: DataFrame, b: DataFrame, hashes: list[str], keys: list[str])
     return joined.select(*(F.coalesce(f"a.{k}", f"b.{k}").alias(k) for k in keys), *flags)
 
 
+def same_partitions(a: DataFrame, b: DataFrame, keys: list[str]) -> None:
+    """Runs are only comparable if they have the same partitions; others raise, with their number."""
+    odd = a.select(*keys).distinct().unionByName(b.select(*keys).distinct()).groupBy(*keys).count().where("count = 1").count()
+    if odd:
+        raise ValueError(f"the runs differ in {odd} partitions")
+
+
 def compared(flags: DataFrame) -> DataFrame:
     names = [c for c in flags.columns if c.endswith("_equal")]
     return flags.agg(F.count("*").alias("partitions"), *(F.coalesce(F.bool_and(n), F.lit(True)).alias(f"all_{n}") for n in names))

@@ -89,9 +89,21 @@ def first_mismatches(compared: DataFrame, n: int = 100) -> DataFrame:
     return compared.where("side = 'both' AND size(differing) > 0").orderBy("symbol", "start_ms").limit(n)
 
 
-def segments(bars: DataFrame, step: int) -> DataFrame:
-    """Contiguous runs: ``segment`` is the start of the run's first bar, ``pos`` the bar's number in it from 1."""
-    w = Window.partitionBy("symbol").orderBy("start_ms")
-    starts = F.when(F.coalesce(F.col("start_ms") != F.lag("start_ms").over(w) + step, F.lit(True)), F.col("start_ms"))
-    out = bars.withColumn("_start", starts).withColumn("segment", F.last("_start", ignorenulls=True).over(w)).drop("_start")
-    return out.withColumn("pos", ((F.col("start_ms") - F.col("segment")) / step).cast("long") + 1)
+def first_missing(missing: DataFrame, n: int = 10_000) -> DataFrame:
+    """The first ``n`` missing starts by symbol and start: a report."""
+    return missing.select("symbol", "start_ms").orderBy("symbol", "start_ms").limit(n)
+
+
+def segments(bars: DataFrame, step: int, bucket_bars: int = 1000) -> DataFrame:
+    """Contiguous runs: ``segment`` is the start of the run's first bar, ``pos`` the bar's number in it from 1. Bars are dealt by
+    symbol and time bucket; a row a bucket tells the next ones where the run that reaches into them began."""
+    keys = ["symbol", "_bucket"]
+    dealt = bars.withColumn("_bucket", F.floor(F.col("start_ms") / (step * bucket_bars))).repartition(*keys)
+    w = Window.partitionBy(*keys).orderBy("start_ms")
+    inner = dealt.withColumn("_start", F.when(F.lag("start_ms").over(w) != F.col("start_ms") - step, F.col("start_ms"))).withColumn("_own", F.last("_start", ignorenulls=True).over(w))
+    edges = inner.groupBy(*keys).agg(F.min("start_ms").alias("_first"), F.max("start_ms").alias("_last"), F.max("_start").alias("_inside"))
+    along = Window.partitionBy("symbol").orderBy("_bucket")
+    opens = F.when(F.coalesce(F.lag("_last").over(along) != F.col("_first") - step, F.lit(True)), F.col("_first"))
+    edges = edges.withColumn("_opens", opens).withColumn("_carried", F.coalesce("_opens", F.last(F.coalesce("_inside", "_opens"), ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, -1))))
+    out = inner.join(edges.select(*keys, "_carried"), keys).withColumn("segment", F.coalesce("_own", "_carried"))
+    return out.select(*bars.columns, "segment", (((F.col("start_ms") - F.col("segment")) / step).cast("long") + 1).alias("pos"))

@@ -44,13 +44,18 @@ def value_events(events: DataFrame, marks_60m: DataFrame, marks_1m: DataFrame, d
     return out.select(*events.columns, price.alias("mark_price"), source.alias("mark_source"), (source == "MARK_PRICE_1M_APPROX").alias("mark_approximate"), "hour_aligned", "sampled_exact_1m", "sampled_1m_open", "mark_60m_open", (F.col("mark_60m_open") == F.col("sampled_1m_open")).alias("sample_match"))
 
 
-def mark_summary(valued: DataFrame) -> DataFrame:
+def mark_summary(valued: DataFrame, marks_60m: DataFrame | None = None) -> DataFrame:
+    """Counters of valued events by symbol; with the hourly marks also their number, as mark_60m_rows."""
     source = lambda s: F.count_if(F.col("mark_source") == s)
-    return valued.groupBy("symbol").agg(
+    out = valued.groupBy("symbol").agg(
         F.count("*").alias("funding_event_count"), F.count_if("hour_aligned").alias("hour_aligned_count"), F.count_if("sampled_exact_1m").alias("exact_1m_checks"),
         F.count_if(F.col("sample_match")).alias("exact_1m_matches"), F.count_if(~F.col("sample_match")).alias("exact_1m_mismatches"), source("MARK_PRICE_MISSING").alias("missing_mark_count"),
         source("MARK_60M_OPEN").alias("canonical_60m_count"), source("MARK_1M_OPEN").alias("canonical_1m_count"), source("MARK_PRICE_1M_APPROX").alias("approximate_1m_count"),
     )
+    if marks_60m is None:
+        return out
+    hours = marks_60m.groupBy("symbol").agg(F.count("*").alias("mark_60m_rows"))
+    return out.join(hours, "symbol", "left").withColumn("mark_60m_rows", F.coalesce("mark_60m_rows", F.lit(0)))
 
 
 def cadence_gate(events: DataFrame, compared: DataFrame, most_minutes: int = 240, least: int = 2) -> DataFrame:

@@ -9,27 +9,41 @@ from ..functions.timeops import DAY
 from .bars import roll_up, segments
 
 
-def _seeded(rows: DataFrame, value: str, period: int, step_sql: str, out: str) -> DataFrame:
-    """``rows`` (symbol, segment, start_ms, value) with a recursive mean: of the first ``period`` values of a segment, then
-    by ``step_sql`` over a (the mean so far) and x. A segment is folded as one array: a chain is sequential."""
-    folded = rows.groupBy("symbol", "segment").agg(F.array_sort(F.collect_list(F.struct("start_ms", F.col(value).cast("double").alias("x")))).alias("c"))
-    fold = f"""CASE WHEN size(c) < {period} THEN array() ELSE aggregate(slice(c, {period + 1}, size(c)),
-        array(struct(get(c, {period - 1}).start_ms AS start_ms, aggregate(slice(c, 1, {period}), 0D, (s, y) -> s + y.x) / {period}D AS m)),
-        (r, y) -> concat(r, array(struct(y.start_ms AS start_ms, transform(array(element_at(r, -1).m), a -> {step_sql.replace('x', 'y.x')})[0] AS m)))) END"""
-    made = folded.select("symbol", "segment", F.explode(F.expr(fold)).alias("e"))
-    return rows.join(made.select("symbol", "segment", F.col("e.start_ms").alias("start_ms"), F.col("e.m").alias(out)), ["symbol", "segment", "start_ms"], "left")
+def _chained(rows: DataFrame, value: str, period: int, keep: float, gain: float, out: str, lag: int = 0, block: int = 512) -> DataFrame:
+    """``rows`` (symbol, segment, pos from 1 in the segment) with a recursive mean ``out``: null before position ``period``, there the
+    mean of the values so far, then keep * mean + gain * value. With ``lag``, ``before`` is the mean so many rows earlier.
+
+    A step is an affine map, so blocks of a segment are folded apart, each from 0; what a block ends with and its length give
+    the carry into the next one, and a row is its own fold plus keep^i times that carry. A row a block is what a
+    segment gathers in one place, however long it is."""
+    block = max(block, period, lag)
+    keys = ["symbol", "segment"]
+    item = F.struct(F.col("pos"), F.col(value).cast("double").alias("x"), F.struct(*rows.columns).alias("row"))
+    dealt = rows.groupBy(*keys, F.floor((F.col("pos") - 1) / block).alias("_b")).agg(F.array_sort(F.collect_list(item)).alias("c"))
+    fold = lambda first, rest: f"aggregate({rest}, array({first}), (r, y) -> concat(r, array({keep!r}D * element_at(r, -1) + {gain!r}D * y.x)))"
+    seed = f"aggregate(slice(c, 1, {period}), 0D, (s, y) -> s + y.x) / {period}D"
+    seeded = f"CASE WHEN size(c) < {period} THEN array_repeat(cast(NULL AS double), size(c)) ELSE concat(array_repeat(cast(NULL AS double), {period - 1}), {fold(seed, f'slice(c, {period + 1}, size(c))')}) END"
+    dealt = dealt.withColumn("local", F.expr(f"CASE WHEN _b = 0 THEN {seeded} ELSE slice({fold('0D', 'c')}, 2, size(c)) END"))
+    ends = dealt.select(*keys, F.struct("_b", F.size("c").alias("n"), F.element_at("local", -1).alias("m"), F.expr(f"slice(local, greatest(1, size(local) - {lag - 1}), {lag})" if lag else "cast(array() AS array<double>)").alias("tail")).alias("e"))
+    carried = "named_struct('v', e.m + pow({k}D, e.n) * coalesce(a.v, 0D), 'tail', transform(e.tail, (m, i) -> m + pow({k}D, e.n - size(e.tail) + i + 1) * coalesce(a.v, 0D)), 'f', concat(a.f, array(named_struct('_b', e._b, 'carry', coalesce(a.v, 0D), 'tail', a.tail))))".format(k=repr(keep))
+    start = "named_struct('v', cast(NULL AS double), 'tail', cast(array() AS array<double>), 'f', cast(array() AS array<struct<_b: bigint, carry: double, tail: array<double>>>))"
+    links = ends.groupBy(*keys).agg(F.array_sort(F.collect_list("e")).alias("es")).select(*keys, F.expr(f"explode(aggregate(es, {start}, (a, e) -> {carried}, a -> a.f))").alias("l")).select(*keys, "l.*")
+    whole = dealt.join(links, [*keys, "_b"]).withColumn("made", F.expr(f"transform(local, (m, i) -> m + pow({keep!r}D, i + 1) * carry)"))
+    ext = "concat(tail, made)"
+    parts = f"transform(c, (y, i) -> struct(y.row AS row, made[i] AS m, get({ext}, i + size(tail) - {lag}) AS before))"
+    each = whole.select(F.explode(F.expr(parts)).alias("e"))
+    return each.select("e.row.*", F.col("e.m").alias(out), *([F.col("e.before").alias("before")] if lag else []))
 
 
 def ema(bars: DataFrame, step: int, period: int = 50, lag: int = 3, value: str = "close") -> DataFrame:
     """``ema`` (null before its seed) and ``ema_rising``, against ``lag`` bars before, within contiguous segments."""
-    chained = _seeded(segments(bars, step), value, period, f"{2 / (period + 1)!r}D * x + {1 - 2 / (period + 1)!r}D * a", "ema")
-    w = Window.partitionBy("symbol", "segment").orderBy("start_ms")
-    before = F.lag("ema", lag).over(w)
-    return chained.withColumn("ema_rising", F.when(before.isNotNull(), F.col("ema") > before)).withColumn("ema_falling", F.when(before.isNotNull(), F.col("ema") < before))
+    chained = _chained(segments(bars, step), value, period, 1 - 2 / (period + 1), 2 / (period + 1), "ema", lag)
+    known = F.col("before").isNotNull()
+    return chained.withColumn("ema_rising", F.when(known, F.col("ema") > F.col("before"))).withColumn("ema_falling", F.when(known, F.col("ema") < F.col("before"))).drop("before")
 
 
 def chained_in_groups(bars: DataFrame, step: int, period: int = 50) -> DataFrame:
-    """The same EMA by one pandas pass per segment: linear in very long chains, where the array form is not."""
+    """The same EMA by one pandas pass per segment, which is held whole: a plain form to compare with."""
 
     def one(pdf):
         pdf = pdf.sort_values("start_ms")
@@ -47,12 +61,13 @@ def chained_in_groups(bars: DataFrame, step: int, period: int = 50) -> DataFrame
 
 
 def atr(bars: DataFrame, step: int, period: int = 14) -> DataFrame:
-    """Wilder's average true range; a segment's first bar only gives the previous close."""
+    """Wilder's average true range; a segment's first bar only gives the previous close, which a join by the start before finds."""
     seg = segments(bars, step)
-    before = F.lag("close").over(Window.partitionBy("symbol", "segment").orderBy("start_ms"))
-    tr = F.greatest(F.col("high") - F.col("low"), F.abs(F.col("high") - before), F.abs(F.col("low") - before))
-    valid = seg.withColumn("tr", F.when(before.isNotNull(), tr).cast("double")).where("tr IS NOT NULL")
-    return _seeded(valid, "tr", period, f"(a * {period - 1}D + x) / {period}D", "atr")
+    closes = seg.select("symbol", (F.col("start_ms") + step).alias("start_ms"), F.col("close").alias("_before"))
+    after = seg.where("pos > 1").join(closes, ["symbol", "start_ms"]).withColumn("pos", F.col("pos") - 1)
+    tr = F.greatest(F.col("high") - F.col("low"), F.abs(F.col("high") - F.col("_before")), F.abs(F.col("low") - F.col("_before")))
+    valid = after.withColumn("tr", tr.cast("double")).drop("_before").select(*seg.columns, "tr")
+    return _chained(valid, "tr", period, (period - 1) / period, 1 / period, "atr")
 
 
 def volume_ratio(bars: DataFrame, n: int = 20) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,14 +23,15 @@ def audit_candidate(is_eligible: Column, symbol: Column, status: Column) -> Colu
     return is_eligible | F.upper(symbol).contains("OLD") | ~status.isin("Trading", "Closed")
 
 
-def union_inventories(*parts: DataFrame) -> DataFrame:
-    """Union of inventories by status, sorted by symbol; a symbol in several raises."""
+def union_inventories(*parts: DataFrame, ordered: bool = True) -> DataFrame:
+    """Union of inventories by status, sorted by symbol if ``ordered``; a symbol in several raises."""
     whole = parts[0]
     for p in parts[1:]:
         whole = whole.unionByName(p)
     twice = duplicates(whole).select("symbol", F.lit(True).alias("_twice"))
     checked = whole.join(twice, "symbol", "left").withColumn("_ok", F.when(F.col("_twice"), F.raise_error(F.concat(F.lit("symbol in several inventories: "), F.col("symbol")))).otherwise(F.lit(True)))
-    return checked.where("_ok").drop("_twice", "_ok").orderBy("symbol")
+    out = checked.where("_ok").drop("_twice", "_ok")
+    return out.orderBy("symbol") if ordered else out
 
 
 def duplicates(rows: DataFrame, key: str = "symbol") -> DataFrame:
@@ -42,6 +44,7 @@ def counts_with_zeros(rows: DataFrame, dimension: DataFrame, key: str) -> DataFr
 
 
 def covers_month(launch: Column, delivery: Column, start: Column, end: Column) -> Column:
+    """Whether a lifetime covers [start, end) whole: launched by its start, not delivered before its end."""
     return (launch <= start) & ((F.coalesce(delivery, F.lit(0)) <= 0) | (delivery >= end))
 
 
@@ -60,6 +63,7 @@ def default_selection(rows: DataFrame, preferred: tuple[str, ...] = PREFERRED, w
 
 
 def fast_funding(rows: DataFrame, count: int = 2, most_minutes: int = 240) -> DataFrame:
+    """The ``count`` instruments of the shortest funding intervals, at most ``most_minutes``; ties by symbol."""
     return rows.where(F.col("funding_interval") <= most_minutes).orderBy("funding_interval", "symbol").limit(count)
 
 
@@ -76,18 +80,47 @@ def identity_overlap(edges: DataFrame, instruments: DataFrame) -> DataFrame:
     return joined.select("left_symbol", "right_symbol", "relation", F.col("left_launch_ms").isNotNull().alias("left_present"), F.col("right_launch_ms").isNotNull().alias("right_present"), "left_launch_ms", "left_delivery_ms", "right_launch_ms", "right_delivery_ms", overlap.alias("metadata_overlap_ms"), F.lit(False).alias("automatic_stitching"))
 
 
-def delisting_candidates(announcements: DataFrame, instruments: DataFrame, keywords: tuple[str, ...] = KEYWORDS) -> DataFrame:
-    """Announcements with a keyword that name a delivered instrument by symbol or base coin. Substring matching is no
-    equi-join; candidate texts are cut down by keyword first, and the instruments (one row a listed contract,
-    some thousands at most) are what a nested loop repeats."""
+#: Names of closed instruments that a task holds at once; beyond, announcements are matched by a nested loop.
+MOST_NAMES = 200_000
+
+
+def delisting_candidates(announcements: DataFrame, instruments: DataFrame, keywords: tuple[str, ...] = KEYWORDS, ordered: bool = True) -> DataFrame:
+    """Announcements with a keyword that name a delivered instrument by symbol or base coin, anywhere in the text.
+
+    All symbols and coins, at most MOST_NAMES of them, become one automaton, which finds every name in one pass over a text;
+    the rest is a join by name. More names than that are joined by the substring condition itself."""
     text = F.upper(F.concat_ws("\n", F.coalesce("title", F.lit("")), F.coalesce("description", F.lit(""))))
     named = announcements.withColumn("_text", text)
     hit = F.lit(False)
     for k in keywords:
         hit = hit | F.col("_text").contains(k.upper())
-    closed = instruments.where(F.coalesce("delivery_ms", F.lit(0)) > 0).select("symbol", "base_coin", "delivery_ms")
-    exact, base = F.col("_text").contains(F.upper("symbol")), F.col("_text").contains(F.upper("base_coin"))
-    joined = named.where(hit).join(closed, exact | base)
+    named = named.where(hit)
+    closed = instruments.where(F.coalesce("delivery_ms", F.lit(0)) > 0).select("symbol", "base_coin", "delivery_ms", F.upper("symbol").alias("_symbol"), F.upper("base_coin").alias("_coin"))
+    names = closed.select(F.explode(F.array("_symbol", "_coin")).alias("name")).where("name <> ''").distinct()
+    known = [r[0] for r in names.limit(MOST_NAMES + 1).collect()]
+    exact, base = F.col("_text").contains(F.col("_symbol")), F.col("_text").contains(F.col("_coin"))
+    if len(known) <= MOST_NAMES:
+
+        @F.pandas_udf("array<string>")
+        def found(texts: pd.Series) -> pd.Series:
+            import ahocorasick
+
+            automaton = ahocorasick.Automaton()
+            for n in known:
+                automaton.add_word(n, n)
+            if not known:
+                return pd.Series([[] for _ in texts])
+            automaton.make_automaton()
+            return pd.Series([sorted({n for _, n in automaton.iter(t)}) for t in texts])
+
+        by_name = closed.withColumn("_name", F.explode(F.array_distinct(F.array("_symbol", "_coin"))))
+        rows = named.withColumn("_all", found("_text"))
+        joined = rows.withColumn("_name", F.explode("_all")).join(by_name, "_name")
+        first = F.when(F.array_contains("_all", F.col("_symbol")), F.col("_symbol")).otherwise(F.col("_coin"))
+        joined = joined.where(F.col("_name") == first)  # once, where both names are there
+    else:
+        joined = named.join(closed, exact | base)
     published = F.coalesce(F.col("publish_time").try_cast("long"), F.lit(0))
     kind = F.when(exact, "EXACT_SYMBOL").otherwise("BASE_COIN_CANDIDATE")
-    return joined.select("symbol", "base_coin", "delivery_ms", kind.alias("match_kind"), "title", "description", published.alias("publish_time_ms")).orderBy("symbol", "publish_time_ms", "title")
+    out = joined.select("symbol", "base_coin", "delivery_ms", kind.alias("match_kind"), "title", "description", published.alias("publish_time_ms"))
+    return out.orderBy("symbol", "publish_time_ms", "title") if ordered else out

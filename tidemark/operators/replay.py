@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.timeops import DAY, MINUTE
 from .strategy import PARAMETERS
 
-EVENTS = "config string, minute_ms long, symbol string, open double, high double, low double, close_15m double, session_end boolean, blackout boolean, funding_rate double, mark double, side string, level double, entry double, stop double, tp1 double, tp2 double, l_unit double, be double, qty_step double, expiry_ms long, turnover_sum double, volume_ratio double, delivery_known boolean"
+EVENTS = "config string, minute_ms long, symbol string, open double, high double, low double, close_15m double, session_end boolean, blackout boolean, funding_rate double, mark double, side string, level double, entry double, stop double, tp1 double, tp2 double, l_unit double, be double, qty_step double, expiry_ms long, turnover_sum double, volume_ratio double, delivery_known boolean, settlement double"
 TRADES = "config string, symbol string, side string, signal_level double, activated_ms long, filled_ms long, closed_ms long, qty double, entry double, l_unit double, gross double, funding double, exit_reason string"
 
 MOST_SCENARIOS = 16
@@ -96,7 +96,7 @@ def _minute(book: _Book, at: int, rows: dict) -> None:
         touched = r.low <= p.stop if p.side > 0 else r.high >= p.stop
         (stops if touched else others).append((p, r))
     for p, _ in sorted(stops, key=lambda x: (x[0].side * (x[0].stop - x[0].entry), x[0].symbol)):  # losses before profits
-        book.close(p, p.stop, at, "BE" if p.after_tp1 else "STOP")
+        book.close(p, p.stop, at, "EXIT_BE" if p.after_tp1 else "EXIT_INITIAL_STOP")
     through = lambda p, r, goal: r.high > goal if p.side > 0 else r.low < goal
     for p, r in others:
         if p.symbol in opened:  # no target in the entry minute
@@ -105,10 +105,10 @@ def _minute(book: _Book, at: int, rows: dict) -> None:
             book.realise(p, p.tp1, p.qty * PARAMETERS["tp1_share"])
             p.after_tp1, p.stop = True, p.be
             if r.low <= p.be if p.side > 0 else r.high >= p.be:
-                book.close(p, p.be, at, "BE")
+                book.close(p, p.be, at, "EXIT_BE")
                 continue
         if p.after_tp1 and p.tp2 is not None and through(p, r, p.tp2):
-            book.close(p, p.tp2, at, "TP2")
+            book.close(p, p.tp2, at, "EXIT_TP2")
     for s, p in sorted(book.positions.items()):  # funding due at the boundary; credits are withheld where timing is unknown
         r = rows.get(s)
         if r is not None and r.funding_rate is not None and r.mark is not None:
@@ -119,14 +119,20 @@ def _minute(book: _Book, at: int, rows: dict) -> None:
                 book.latched |= book.pnl <= -PARAMETERS["daily_stop"] * book.start
     for s, p in sorted(book.positions.items()):
         r = rows.get(s)
-        if r is None or r.open is None:
+        if r is None or (r.open is None and r.settlement is None):
+            continue
+        if r.settlement is not None:  # delivered: the position is settled at the official price
+            book.close(p, r.settlement, at, "EXIT_DELIVERY")
+            continue
+        if r.delivery_known:  # known to end before the session does: out at the first open
+            book.close(p, r.open, at, "EXIT_DELIVERY_RISK")
             continue
         false_break = r.close_15m is not None and (r.close_15m < p.level if p.side > 0 else r.close_15m > p.level)
         if r.session_end or false_break:
-            book.close(p, r.open, at, "SESSION_END" if r.session_end else "FALSE_BREAK")
+            book.close(p, r.open, at, "EXIT_SESSION_END" if r.session_end else "EXIT_FALSE_BREAK")
     for s, p in list(book.pending.items()):
         r = rows.get(s)
-        if book.latched or at >= p.expiry or (r is not None and (r.blackout or r.session_end)):
+        if book.latched or at >= p.expiry or (r is not None and (r.blackout or r.session_end or r.delivery_known or r.settlement is not None)):
             del book.pending[s]
 
 
@@ -201,8 +207,9 @@ def ledgers(trades: DataFrame, scenarios: DataFrame) -> DataFrame:
     each = F.explode(F.array(*(F.struct(*(F.lit(r[f.name]).cast(f.dataType).alias(f.name) for f in scenarios.schema)) for r in known)))
     paid = F.col("qty") * F.col("entry") * (F.col("maker") + F.col("taker") + F.col("slip"))
     net = F.col("gross") + F.col("funding") - paid
-    return trades.withColumn("_s", each).select(*trades.columns, "_s.*").withColumn("costs", paid).withColumn("net", net).withColumn("net_r", net / F.nullif(F.col("qty") * F.col("l_unit"), F.lit(0.0)))
+    return trades.withColumn("_s", each).select(*trades.columns, "_s.*").withColumn("costs", paid).withColumn("net", net).withColumn("net_r", net_r(F.col("net"), F.col("qty"), F.col("l_unit")))
 
 
 def net_r(net: Column, qty: Column, l_unit: Column) -> Column:
+    """A trade's result in units of what it risked."""
     return net / F.nullif(qty * l_unit, F.lit(0.0))

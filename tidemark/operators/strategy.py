@@ -11,7 +11,40 @@ from ..functions.decimals import GRID, floor_to_step, rounded_price
 PARAMETERS = {"ema_period": 50, "slope_lag": 3, "volume_ratio": 1.5, "atr_period": 14, "stop_atr": 0.5, "expiry_bars": 8, "k_cost": 5, "risk": 0.005, "total_risk": 0.01, "slots": 2, "fills": 3, "daily_stop": 0.01, "position_notional": 2.0, "portfolio_notional": 3.0, "tp1_share": 0.5, "tp1_r": 2}
 #: One factor at a time.
 NEIGHBOURS = (("ema_period", 45), ("ema_period", 55), ("volume_ratio", 1.4), ("volume_ratio", 1.6), ("stop_atr", 0.4), ("stop_atr", 0.6), ("expiry_bars", 6), ("expiry_bars", 10), ("k_cost", 4), ("k_cost", 6))
-REASONS = ("REJECT_DECISION_DATA_UNAVAILABLE", "REJECT_NOT_IN_UNIVERSE", "REJECT_TREND", "REJECT_VOLUME", "REJECT_NEWS", "REJECT_COST_FLOOR", "REJECT_ROOM", "REJECT_ACTIVATION_THROUGH_LEVEL", "REJECT_EXPIRED", "REJECT_DAILY_STOP", "REJECT_LEVEL_CONSUMED", "REJECT_DELIVERY_RISK", "REJECT_SLOTS", "REJECT_DAILY_FILLS", "REJECT_RISK_CAPACITY", "REJECT_EXCHANGE_MINIMUM")
+#: Reason codes.
+REASONS = (
+    "REJECT_WRONG_LEVEL_DIRECTION",
+    "REJECT_LEVEL_CONSUMED",
+    "REJECT_TREND_ALT",
+    "REJECT_TREND_BTC",
+    "REJECT_VOLUME",
+    "REJECT_SESSION",
+    "REJECT_NEWS",
+    "REJECT_COST_FLOOR",
+    "REJECT_ROOM",
+    "REJECT_SLOT_CAPACITY",
+    "REJECT_RISK_CAPACITY",
+    "REJECT_DAILY_TRADE_CAPACITY",
+    "REJECT_DAILY_LOSS_STOP",
+    "REJECT_NOTIONAL_MINIMUM",
+    "REJECT_DATA_GAP",
+    "REJECT_GRID_UNKNOWN",
+    "REJECT_ACTIVATION_THROUGH_LEVEL",
+    "REJECT_DELIVERY_RISK",
+    "REJECT_DECISION_DATA_UNAVAILABLE",
+    "ENTRY_EXPIRED",
+    "ENTRY_CANCELLED_NEWS",
+    "ENTRY_CANCELLED_DAILY_STOP",
+    "ENTRY_FILLED",
+    "EXIT_INITIAL_STOP",
+    "EXIT_TP1",
+    "EXIT_BE",
+    "EXIT_TP2",
+    "EXIT_FALSE_BREAK",
+    "EXIT_SESSION_END",
+    "EXIT_DELIVERY_RISK",
+    "EXIT_DELIVERY",
+)
 
 
 def configurations() -> list[dict]:
@@ -44,6 +77,27 @@ def trend_ok(side: Column, close: Column, ema: Column, rising: Column, falling:
     return F.coalesce(F.when(side == "LONG", (close > ema) & rising).otherwise((close < ema) & falling), F.lit(False))
 
 
+def both_trends_ok(side: Column, alt: tuple[Column, Column, Column, Column], btc: tuple[Column, Column, Column, Column]) -> Column:
+    """The trend gate asks both legs, the traded symbol and the market's leader; each is (close, ema, rising, falling)."""
+    return trend_ok(side, *alt) & trend_ok(side, *btc)
+
+
+def confirmed(crosses: DataFrame, ratios: DataFrame, least: float = 1.5) -> DataFrame:
+    """Crosses (symbol, start_ms, ...) whose bar also has a volume ratio (symbol, start_ms, volume_ratio) of at least ``least``: a breakout
+    needs both."""
+    return crosses.join(ratios.select("symbol", "start_ms", "volume_ratio"), ["symbol", "start_ms"]).where(F.col("volume_ratio") >= least)
+
+
+def setup_reason(**gates: Column) -> Column:
+    """The first gate that refuses a setup, as its reason code, or null. ``gates`` are true where they pass, a null refuses; they
+    are asked in the order data, session, grid, direction, trend_alt, trend_btc, volume, news, room, cost, delivery."""
+    codes = {
+        "data": "REJECT_DATA_GAP", "session": "REJECT_SESSION", "grid": "REJECT_GRID_UNKNOWN", "direction": "REJECT_WRONG_LEVEL_DIRECTION", "trend_alt": "REJECT_TREND_ALT", "trend_btc": "REJECT_TREND_BTC",
+        "volume": "REJECT_VOLUME", "news": "REJECT_NEWS", "room": "REJECT_ROOM", "cost": "REJECT_COST_FLOOR", "delivery": "REJECT_DELIVERY_RISK",
+    }
+    return F.coalesce(*(F.when(~F.coalesce(gates[g], F.lit(False)), F.lit(code)) for g, code in codes.items() if g in gates), F.lit(None).cast("string"))
+
+
 def priced(setups: DataFrame, stop_atr: float = 0.5, k_cost: int = 5) -> DataFrame:
     """Entry, stop, R and TP1 on the grid, and the cost floor, for setups (side, level, atr, tick, maker, taker, slip)."""
     raw = F.when(F.col("side") == "LONG", F.col("level") - F.col("atr") * stop_atr).otherwise(F.col("level") + F.col("atr") * stop_atr)
@@ -72,7 +126,7 @@ def sized(rows: DataFrame, risk: float = 0.005, total_risk: float = 0.01, positi
     caps = {"qty_risk": ratio(eq * d(risk), unit), "qty_capacity": ratio(left(total_risk, "reserved_risk"), unit), "qty_position": ratio(eq * d(position), entry), "qty_portfolio": ratio(left(portfolio, "reserved_notional"), entry)}
     out = rows.withColumns(caps)
     out = out.withColumn("qty", floor_to_step(F.least(*caps), F.col("qty_step")))
-    return out.withColumn("decision", F.when(F.col("qty_capacity") <= 0, "REJECT_RISK_CAPACITY").when(F.col("qty") <= 0, "REJECT_EXCHANGE_MINIMUM").otherwise("ACCEPT"))
+    return out.withColumn("decision", F.when(F.col("qty_capacity") <= 0, "REJECT_RISK_CAPACITY").when(F.col("qty") <= 0, "REJECT_NOTIONAL_MINIMUM").otherwise("ACCEPT"))
 
 
 def funnel(rows: DataFrame, stages: list[tuple[str, Column]]) -> DataFrame:

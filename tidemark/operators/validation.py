@@ -5,22 +5,31 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.decimals import adverse_bps
 from ..functions.hashing import sha256
-
-
-def trade_stats(trades: DataFrame, by: list[str], r: str = "net_r", order: str = "closed_ms") -> DataFrame:
-    """Per group: number, total, mean, median, win rate, profit factor, largest drawdown, longest losing streak."""
-    w = Window.partitionBy(*by).orderBy(order, "trade_id")
-    run = w.rowsBetween(Window.unboundedPreceding, 0)
-    t = trades.withColumn("cum", F.sum(r).over(run)).withColumn("losing", (F.col(r) < 0).cast("int"))
-    t = t.withColumn("peak", F.greatest(F.lit(0.0), F.max("cum").over(run))).withColumn("streak_id", F.sum(1 - F.col("losing")).over(run))
-    t = t.withColumn("streak", F.sum("losing").over(Window.partitionBy(*by, "streak_id").orderBy(order, "trade_id").rowsBetween(Window.unboundedPreceding, 0)))
+from ..functions.timeops import DAY
+
+
+def trade_stats(trades: DataFrame, by: list[str], r: str = "net_r", order: str = "closed_ms", width_ms: int = 7 * DAY) -> DataFrame:
+    """Per group: number, total, mean, median, win rate, profit factor, largest drawdown, longest losing streak. What depends on the
+    order is computed in time buckets of a group, each with the sums, peak and wins of the buckets before it."""
+    cell = [*by, "_bucket"]
+    run = Window.partitionBy(*cell).orderBy(order, "trade_id").rowsBetween(Window.unboundedPreceding, 0)
+    t = trades.withColumn("_bucket", F.floor(F.col(order) / width_ms)).repartition(*cell)
+    t = t.withColumn("_cum", F.sum(r).over(run)).withColumn("_wins", F.coalesce(F.sum((F.col(r) >= 0).cast("long")).over(run), F.lit(0))).withColumn("_peak", F.max("_cum").over(run))
+    before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    b = t.groupBy(*cell).agg(F.sum(r).alias("_sum"), F.max("_cum").alias("_hi"), F.min("_cum").alias("_lo"), F.max(F.col("_peak") - F.col("_cum")).alias("_dd"), F.max("_wins").alias("_won"))
+    b = b.withColumn("_sum", F.coalesce(F.sum("_sum").over(before), F.lit(0.0))).withColumn("_won", F.coalesce(F.sum("_won").over(before), F.lit(0)))
+    b = b.withColumn("_top", F.greatest(F.lit(0.0), F.max(F.col("_sum") + F.col("_hi")).over(before)))
+    drawdown = b.groupBy(*by).agg(F.round(F.max(F.greatest("_dd", F.col("_top") - F.col("_sum") - F.col("_lo"))), 6).alias("max_drawdown"))
+    runs = t.where(F.col(r) < 0).groupBy(*cell, "_wins").agg(F.count("*").alias("_n")).join(b.select(*cell, "_won"), cell)
+    streaks = runs.groupBy(*by, (F.col("_wins") + F.col("_won")).alias("_id")).agg(F.sum("_n").alias("_n")).groupBy(*by).agg(F.max("_n").alias("_streak"))
     lost = -F.sum(F.when(F.col(r) < 0, F.col(r)))
-    return t.groupBy(*by).agg(
+    plain = trades.groupBy(*by).agg(
         F.count("*").alias("n"), F.round(F.sum(r), 6).alias("total_r"), F.round(F.avg(r), 6).alias("mean_r"), F.round(F.percentile(r, 0.5), 6).alias("median_r"),
         F.round(F.avg((F.col(r) > 0).cast("double")), 6).alias("win_rate"), F.round(F.sum(F.when(F.col(r) > 0, F.col(r))) / F.nullif(lost, F.lit(0.0)), 6).alias("profit_factor"),
-        F.round(F.max(F.col("peak") - F.col("cum")), 6).alias("max_drawdown"), F.max("streak").alias("longest_losing_streak"),
     )
+    return plain.join(drawdown, by, "left").join(streaks, by, "left").withColumn("longest_losing_streak", F.coalesce("_streak", F.lit(0))).drop("_streak")
 
 
 def bootstrap(weekly: DataFrame, weeks: DataFrame, resamples: int = 20_000, seed: str = "bootstrap") -> DataFrame:
@@ -79,12 +88,33 @@ def unavailability(evaluations: DataFrame, most: float = 0.001, least_days: int
 
 
 def validation_decision(metrics: DataFrame) -> DataFrame:
-    """Per config metrics n, mean_r, total_r, and for the base the number of good neighbours: PASS, FAIL or INSUFFICIENT."""
-    good = (F.col("mean_r") > 0) & (F.col("total_r") > 0)
-    neighbours = metrics.where("config <> 'BASE'").agg(F.count_if(good).alias("good_neighbours"))
-    base = metrics.where("config = 'BASE'").crossJoin(neighbours)
-    return base.select("n", "mean_r", "total_r", "good_neighbours", F.when(F.col("n") < 100, "INSUFFICIENT").when(good & (F.col("good_neighbours") >= 8), "PASS").otherwise("FAIL").alias("decision"))
-
-
-def final_decision(n: Column, ci_low: Column) -> Column:
-    return F.when(n < 200, "INSUFFICIENT").when(ci_low > 0, "PASS").otherwise("FAIL")
+    """The validation gate on metrics (config, n, mean_r, total_r, stress_mean_r, stress_total_r): PASS, FAIL_VALIDATION where a sign is
+    wrong or fewer than 8 neighbours are positive, INCONCLUSIVE_VALIDATION where only the sample is too small."""
+    neighbours = metrics.where("config <> 'BASE'").agg(F.count_if(F.col("mean_r") > 0).alias("good_neighbours"))
+    base = metrics.where("config = 'BASE'").join(neighbours, F.lit(True), "left")  # one row each
+    signs = (F.col("mean_r") > 0) & (F.col("total_r") > 0) & (F.col("stress_mean_r") >= 0) & (F.col("stress_total_r") >= 0) & (F.col("good_neighbours") >= 8)
+    decision = F.when(~F.coalesce(signs, F.lit(False)), "FAIL_VALIDATION").when(F.col("n") < 100, "INCONCLUSIVE_VALIDATION").otherwise("PASS")
+    return base.select("n", "mean_r", "total_r", "good_neighbours", decision.alias("decision"))
+
+
+def final_decision(n: Column, signs: Column, good_neighbours: Column, ci_low: Column) -> Column:
+    """PASS, FAIL or INCONCLUSIVE of the combined sample; ``signs`` says whether every required sign holds."""
+    return F.when(~F.coalesce(signs, F.lit(False)) | (good_neighbours < 8), "FAIL").when((n < 200) | ~F.coalesce(ci_low > 0, F.lit(False)), "INCONCLUSIVE").otherwise("PASS")
+
+
+def slippage_events(setups: DataFrame, tape: DataFrame) -> DataFrame:
+    """Slippage of stops, whatever the cost model: for each structural setup (setup_id, symbol, side, entry, stop, active_ms, level, and the
+    flags universe_ok, trend_ok, volume_ok, session_ok, news_ok, room_ok, grid_ok) the first trade beyond the stop after its entry was
+    penetrated, and its adverse distance in basis points. Cost floor, sizing and capacity take no part.
+
+    ``tape`` has symbol, t, px, seq. Penetration and stop are looked for with an as-of join over trades dealt by symbol and day."""
+    sound = F.col("universe_ok") & F.col("trend_ok") & F.col("volume_ok") & F.col("session_ok") & F.col("news_ok") & F.col("room_ok") & F.col("grid_ok")
+    kept = setups.where(sound).select("setup_id", "symbol", "side", "entry", "stop", "active_ms", F.explode(F.sequence(F.floor(F.col("active_ms") / DAY), F.floor((F.col("active_ms") + DAY - 1) / DAY))).alias("_day"))
+    near = kept.join(tape.withColumn("_day", F.floor(F.col("t") / DAY)), ["symbol", "_day"]).where("t >= active_ms AND t < active_ms + 86400000")
+    long = F.col("side") == "LONG"
+    at = F.struct("t", "seq", "px")
+    filled = near.groupBy("setup_id").agg(F.min(F.when(F.when(long, F.col("px") < F.col("entry")).otherwise(F.col("px") > F.col("entry")), at)).alias("filled")).where("filled IS NOT NULL")
+    after = near.join(filled, "setup_id").where((F.col("t") > F.col("filled.t")) | ((F.col("t") == F.col("filled.t")) & (F.col("seq") > F.col("filled.seq"))))
+    through = F.when(long, F.col("px") <= F.col("stop")).otherwise(F.col("px") >= F.col("stop"))
+    hit = after.groupBy("setup_id").agg(F.first("side").alias("side"), F.first("stop").alias("stop"), F.min(F.when(through, at)).alias("hit")).where("hit IS NOT NULL")
+    return hit.select("setup_id", F.col("hit.t").alias("stopped_ms"), adverse_bps(F.col("side"), F.col("hit.px"), F.col("stop")).alias("bps"))

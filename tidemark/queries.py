@@ -6,6 +6,7 @@ give lifetimes and instruments. Money leaves as text of a fixed scale, times as
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import wraps
 
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import decimals, hashing, timeops
+from .functions.shared import shared_dir
 from .functions.timeops import DAY, HOUR, MINUTE
 from .operators import asof, audit, bars, funding, indicators, inventory, plan, replay, strategy, validation
 from .streaming import decisions
@@ -39,6 +41,11 @@ def query(sql: str | None = None):
     return register
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder below the one that all executors share."""
+    return f"{shared_dir(spark).rstrip('/')}/tidemark-{spark.sparkContext.applicationId}/query-{uuid.uuid4().hex}"
+
+
 def text(c: Column | str, scale: int = 2) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast(f"decimal(38,{scale})").cast("string")
 
@@ -295,7 +302,7 @@ def _funding_events(t) -> DataFrame:
     return tape(t).select("symbol", at.alias("ts_ms")).distinct()
 
 
-FUND = f"f AS (SELECT DISTINCT symbol, CASE WHEN seq % 2 = 0 THEN t - t % {HOUR} ELSE t - t % 60000 END AS ts_ms FROM tape WHERE seq % 5 = 0)"
+FUND = f"f AS (SELECT DISTINCT symbol, CASE WHEN seq % 2 = 0 THEN t - t % {HOUR} ELSE t - t % 60000 END AS ts_ms FROM tape)"
 
 
 @query(f"WITH {TAPE}, {FUND}, g AS (SELECT symbol, (ts_ms - lag(ts_ms) OVER (PARTITION BY symbol ORDER BY ts_ms)) // 60000 AS i FROM f) SELECT symbol, array_to_string(list_sort(list(DISTINCT i) FILTER (i IS NOT NULL)), ',') AS intervals_min, min(i) AS min_interval_min, count(*) AS events FROM g GROUP BY symbol")
@@ -316,9 +323,10 @@ def q31_funding_mark_fallback(t):
 
 
 @query(f"""WITH {VALUED} SELECT symbol, count(*) AS funding_event_count, count_if(hour_aligned) AS hour_aligned_count, count_if(s) AS exact_1m_checks, count_if(h60 = x1) AS exact_1m_matches, count_if(h60 <> x1) AS exact_1m_mismatches,
-count_if(src = 'MARK_PRICE_MISSING') AS missing_mark_count, count_if(src = 'MARK_60M_OPEN') AS canonical_60m_count, count_if(src = 'MARK_1M_OPEN') AS canonical_1m_count, count_if(src = 'MARK_PRICE_1M_APPROX') AS approximate_1m_count FROM v GROUP BY symbol""")
+count_if(src = 'MARK_PRICE_MISSING') AS missing_mark_count, count_if(src = 'MARK_60M_OPEN') AS canonical_60m_count, count_if(src = 'MARK_1M_OPEN') AS canonical_1m_count, count_if(src = 'MARK_PRICE_1M_APPROX') AS approximate_1m_count, (SELECT count(*) FROM h WHERE h.symbol = v.symbol) AS mark_60m_rows FROM v GROUP BY symbol""")
 def q31b_mark_summary(t):
-    return funding.mark_summary(funding.value_events(_funding_events(t), bars.tape_to_bars(tape(t), HOUR), bars.tape_to_bars(tape(t), MINUTE), 2))
+    hours = bars.tape_to_bars(tape(t), HOUR)
+    return funding.mark_summary(funding.value_events(_funding_events(t), hours, bars.tape_to_bars(tape(t), MINUTE), 2), hours)
 
 
 @query(f"WITH {TAPE}, {FUND}, g AS (SELECT symbol, (ts_ms - lag(ts_ms) OVER (PARTITION BY symbol ORDER BY ts_ms)) // 60000 AS i FROM f), k AS (SELECT symbol FROM g GROUP BY symbol HAVING min(i) <= 240 AND symbol <> 'view') SELECT count(*) AS qualified, count(*) >= 2 AS passed FROM k")
@@ -489,7 +497,7 @@ def q48_trend_asof(t):
     return j.select("seq", "close_ms", strategy.trend_ok(F.lit("LONG"), F.col("x"), F.col("m"), F.col("up"), F.col("down")).alias("trend_long"))
 
 
-@query(f"WITH {TAPE}, s AS (SELECT t FROM tape WHERE symbol = 'signup' AND seq % 50 = 0) SELECT seq FROM tape ANTI JOIN s ON tape.t >= s.t - {30 * MINUTE} AND tape.t < s.t + {30 * MINUTE}")
+@query(f"WITH {TAPE}, s AS (SELECT t FROM tape WHERE symbol = 'signup') SELECT seq FROM tape ANTI JOIN s ON tape.t >= s.t - {30 * MINUTE} AND tape.t < s.t + {30 * MINUTE}")
 def q49_blackout_filter(t):
     news = tape(t).where("symbol = 'signup'").select((F.col("t") - 30 * MINUTE).alias("from_ms"), (F.col("t") + 30 * MINUTE).alias("to_ms"))
     return asof.outside_intervals(tape(t), "t", news, HOUR).select("seq")
@@ -503,7 +511,7 @@ def q50_funnel_counts(t):
 
 @query("""WITH x AS (SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(18,4)) AS eq, CAST((o_custkey % 50 + 1) AS DECIMAL(14,6)) AS u, CAST((o_custkey % 900 + 100) AS DECIMAL(14,6)) AS en, CAST(o_totalprice * (o_orderkey % 12) / 1000 AS DECIMAL(24,4)) AS rr, CAST(o_totalprice * (o_orderkey % 4) AS DECIMAL(24,4)) AS rn FROM orders),
 y AS (SELECT o_orderkey, eq::DOUBLE * 0.005 / u::DOUBLE AS a, greatest(0, CAST(eq * CAST(0.01 AS DECIMAL(6,4)) AS DECIMAL(24,8)) - rr)::DOUBLE / u::DOUBLE AS b, eq::DOUBLE * 2 / en::DOUBLE AS c, greatest(0, eq::DOUBLE * 3 - rn::DOUBLE) / en::DOUBLE AS d FROM x)
-SELECT o_orderkey, CAST(floor(least(a, b, c, d) * 10 + 1e-7) AS BIGINT) AS steps, CASE WHEN b <= 0 THEN 'REJECT_RISK_CAPACITY' WHEN floor(least(a, b, c, d) * 10 + 1e-7) <= 0 THEN 'REJECT_EXCHANGE_MINIMUM' ELSE 'ACCEPT' END AS decision FROM y""")
+SELECT o_orderkey, CAST(floor(least(a, b, c, d) * 10 + 1e-7) AS BIGINT) AS steps, CASE WHEN b <= 0 THEN 'REJECT_RISK_CAPACITY' WHEN floor(least(a, b, c, d) * 10 + 1e-7) <= 0 THEN 'REJECT_NOTIONAL_MINIMUM' ELSE 'ACCEPT' END AS decision FROM y""")
 def q51_sizing_caps(t):
     k, o, p = F.col("o_custkey"), F.col("o_orderkey"), F.col("o_totalprice")
     rows = t("orders").select("o_orderkey", p.cast("decimal(18,4)").alias("equity"), (k % 50 + 1).alias("l_unit"), (k % 900 + 100).alias("entry"), (p * (o % 12) / 1000).cast("decimal(24,4)").alias("reserved_risk"), (p * (o % 4)).cast("decimal(24,4)").alias("reserved_notional"), F.lit("0.1").cast("decimal(4,1)").alias("qty_step"))
@@ -522,15 +530,20 @@ def q52_stop_and_r(t):
     return p.select("p_partkey", "side", text("entry").alias("entry"), text("stop").alias("stop"), text("r_price").alias("r_price"), text("tp1").alias("tp1"), "cost_floor_ok")
 
 
-def _replay_events(t) -> DataFrame:
+#: The symbol whose trend every setup needs besides its own.
+LEADER = "view"
+
+
+def _replay_events(t, trend_ms: int = 4 * HOUR) -> DataFrame:
     """Minute rows of each symbol under each configuration, with a candidate at every minute that crosses the mean of the three
-    rows before and passes the gates: the hour's EMA, the volume ratio and the cost floor. A fifth of the level is its ATR."""
+    rows before and passes the gates: the EMA of the symbol and of LEADER, the volume ratio and the cost floor. A fifth of
+    the level is its ATR. Funding falls due with the events of _funding_events, at their mark prices."""
     configs = strategy.configurations()
-    h = bars.tape_to_bars(tape(t), HOUR)
-    trend = h.select("symbol", "start_ms", (F.col("start_ms") + HOUR).alias("close_ms"), F.col("close").cast("double").alias("x"))
+    h = bars.tape_to_bars(tape(t), trend_ms)
+    trend = h.select("symbol", "start_ms", (F.col("start_ms") + trend_ms).alias("close_ms"), F.col("close").cast("double").alias("x"))
     periods = sorted({c["ema_period"] for c in configs})
     for p in periods:
-        trend = trend.join(indicators.ema(h, HOUR, p, strategy.PARAMETERS["slope_lag"]).select("symbol", "start_ms", F.col("ema").alias(f"ema{p}"), F.col("ema_rising").alias(f"up{p}")), ["symbol", "start_ms"])
+        trend = trend.join(indicators.ema(h, trend_ms, p, strategy.PARAMETERS["slope_lag"]).select("symbol", "start_ms", F.col("ema").alias(f"ema{p}"), F.col("ema_rising").alias(f"up{p}")), ["symbol", "start_ms"])
     w = Window.partitionBy("symbol").orderBy("start_ms")
     day = F.pmod("start_ms", F.lit(DAY))
     mean = F.avg(F.col("close").cast("double")).over(w.rowsBetween(-3, -1))
@@ -538,16 +551,28 @@ def _replay_events(t) -> DataFrame:
     rows = indicators.volume_ratio(bars.tape_to_bars(tape(t), MINUTE)).withColumn("mean", F.round(mean, 2)).withColumn("next_open", F.lead(d("open")).over(w)).withColumn("minute_ms", F.col("start_ms") + MINUTE)
     rows = asof.asof(rows, trend, "symbol", "minute_ms", "close_ms", ["x", *(f"{c}{p}" for p in periods for c in ("ema", "up"))])
     factor = lambda c: F.struct(*(F.lit(v if k in ("config", "ema_period", "expiry_bars") else float(v)).alias(k) for k, v in c.items() if k in ("config", "ema_period", "volume_ratio", "stop_atr", "expiry_bars", "k_cost")))
+    lead = trend.where(F.col("symbol") == LEADER).select(F.lit("lead").alias("_k"), F.col("close_ms").alias("lead_ms"), F.col("x").alias("lead_x"), *(F.col(f"{c}{p}").alias(f"lead_{c}{p}") for p in periods for c in ("ema", "up")))
+    rows = asof.asof(rows.withColumn("_k", F.lit("lead")), lead, "_k", "minute_ms", "lead_ms", [c for c in lead.columns if c not in ("_k", "lead_ms")]).drop("_k")
+    # the first signup of a day is its news; the tape of a symbol ends with its delivery, known a day before
+    news = tape(t).where("symbol = 'signup'").groupBy(timeops.align_down(F.col("t"), DAY).alias("day")).agg(F.min("t").alias("t")).select((F.col("t") - 30 * MINUTE).alias("from_ms"), (F.col("t") + 30 * MINUTE).alias("to_ms"))
+    clear = asof.outside_intervals(rows.select("minute_ms").distinct(), "minute_ms", news, HOUR).select("minute_ms", F.lit(False).alias("blackout"))
+    rows = rows.join(clear, "minute_ms", "left").withColumn("blackout", F.coalesce("blackout", F.lit(True)))
+    ends = bars.tape_to_bars(tape(t), MINUTE).groupBy("symbol").agg(F.max("start_ms").alias("last_ms"))
+    rows = rows.join(F.broadcast(ends), "symbol")  # a row a symbol
+    valued = funding.value_events(_funding_events(t), bars.tape_to_bars(tape(t), HOUR), bars.tape_to_bars(tape(t), MINUTE), 2).select("symbol", F.col("ts_ms").alias("minute_ms"), F.col("mark_price").cast("double").alias("mark"))
+    rows = rows.join(valued, ["symbol", "minute_ms"], "left")
     rows = rows.withColumn("c", F.explode(F.array(*map(factor, configs))))
     entry, r = F.col("mean"), F.col("mean") * 0.2 * F.col("c.stop_atr")
     up = (F.col("close") > F.col("mean")) & (F.col("next_open") > F.col("mean"))
-    with_trend = F.coalesce(*(F.when(F.col("c.ema_period") == p, strategy.trend_ok(F.lit("LONG"), F.col("x"), F.col(f"ema{p}"), F.col(f"up{p}"), F.lit(False))) for p in periods))
+    leg = lambda before, p: (F.col(f"{before}x"), F.col(f"{before}ema{p}"), F.col(f"{before}up{p}"), F.lit(False))
+    with_trend = F.coalesce(*(F.when(F.col("c.ema_period") == p, strategy.both_trends_ok(F.lit("LONG"), leg("", p), leg("lead_", p))) for p in periods))
+    ending = F.col("minute_ms") >= F.col("last_ms") - DAY
     dear = r < F.col("c.k_cost") * (entry * 0.0002 + (entry - r) * (0.00055 + 0.0002))
     return rows.select(
         "c.config", "minute_ms", "symbol", F.col("next_open").alias("open"), d("high").alias("high"), d("low").alias("low"), F.when(F.pmod("minute_ms", F.lit(QUARTER)) == 0, d("close")).alias("close_15m"),
-        (day + MINUTE >= 22 * HOUR).alias("session_end"), F.lit(False).alias("blackout"), F.when(F.pmod("minute_ms", F.lit(HOUR)) == 0, F.lit(0.0001)).alias("funding_rate"), d("close").alias("mark"), F.when(up & with_trend & (F.col("volume_ratio") >= F.col("c.volume_ratio")) & ~dear, "LONG").alias("side"),
+        (day + MINUTE >= 22 * HOUR).alias("session_end"), "blackout", F.when(F.col("mark").isNotNull(), F.lit(0.0001)).alias("funding_rate"), "mark", F.when(up & with_trend & (F.col("volume_ratio") >= F.col("c.volume_ratio")) & ~dear, "LONG").alias("side"),
         entry.alias("level"), entry.alias("entry"), (entry - r).alias("stop"), (entry + 2 * r).alias("tp1"), (entry + 3 * r).alias("tp2"), (r * 1.1).alias("l_unit"), (entry * 1.01).alias("be"), F.lit(0.1).alias("qty_step"), (F.col("minute_ms") + F.col("c.expiry_bars") * QUARTER).alias("expiry_ms"),
-        d("turnover").alias("turnover_sum"), "volume_ratio", F.lit(False).alias("delivery_known"),
+        d("turnover").alias("turnover_sum"), "volume_ratio", ending.alias("delivery_known"), F.when(F.col("minute_ms") == F.col("last_ms"), d("close")).alias("settlement"),
     )
 
 
@@ -578,9 +603,9 @@ def q55_trade_stats(t):
     return validation.trade_stats(_trades(t), ["grp"])
 
 
-@query(f"""WITH {_TRADES}, wk AS (SELECT (t - 788918400000) // {7 * DAY} AS w, sum(r) AS total, count(*) AS n FROM tr WHERE trade_id % 50 = 0 GROUP BY 1), weeks AS (SELECT unnest(generate_series(0, 90)) AS w),
-k AS (SELECT weeks.w, coalesce(total, 0) AS total, coalesce(n, 0) AS n FROM weeks LEFT JOIN wk USING (w)),
-d AS (SELECT b, CAST('0x' || substr(sha256('bootstrap:' || b || ':' || i), 1, 8) AS BIGINT) % 91 AS w FROM (SELECT unnest(generate_series(0, 1999)) AS b), (SELECT unnest(generate_series(0, 90)) AS i)),
+@query(f"""WITH {_TRADES}, wk AS (SELECT (t - 788918400000) // {7 * DAY} AS w, sum(r) AS total, count(*) AS n FROM tr GROUP BY 1), span AS (SELECT min(w) AS a, max(w) - min(w) + 1 AS n FROM wk), weeks AS (SELECT unnest(generate_series(0, n - 1)) AS w, a FROM span),
+k AS (SELECT weeks.w, coalesce(total, 0) AS total, coalesce(n, 0) AS n FROM weeks LEFT JOIN wk ON wk.w = weeks.w + a),
+d AS (SELECT b, CAST('0x' || substr(sha256('bootstrap:' || b || ':' || i), 1, 8) AS BIGINT) % n AS w FROM (SELECT unnest(generate_series(0, 19999)) AS b), (SELECT unnest(generate_series(0, n - 1)) AS i, n FROM span)),
 m AS (SELECT b, sum(total) / nullif(sum(n), 0) AS mean FROM d JOIN k USING (w) GROUP BY b) SELECT count(mean) AS resamples, round(quantile_cont(mean, 0.025), 6) AS ci_low, round(quantile_cont(mean, 0.975), 6) AS ci_high FROM m""")
 def q56_block_bootstrap_ci(t):
     week = F.floor((F.col("closed_ms") - 788_918_400_000) / (7 * DAY))
@@ -602,7 +627,7 @@ def q57_slippage_quantiles(t):
     return validation.slippage_quantiles(rows, ["a", "b", "c"], least=260)
 
 
-@query("""WITH s AS (SELECT l_returnflag AS exit_class, epoch_ms(l_shipdate) AS t, l_orderkey * 1000000 + l_linenumber * 100000 + l_partkey AS id, CAST(l_extendedprice * 100 AS BIGINT) % 997 / 10.0::DOUBLE AS bps FROM lineitem WHERE l_orderkey % 10 = 0),
+@query("""WITH s AS (SELECT l_returnflag AS exit_class, epoch_ms(l_shipdate) AS t, l_orderkey * 1000000 + l_linenumber * 100000 + l_partkey AS id, CAST(l_extendedprice * 100 AS BIGINT) % 997 / 10.0::DOUBLE AS bps FROM lineitem),
 m AS (SELECT *, CASE WHEN count(*) OVER w = 20 THEN median(bps) OVER w END AS md FROM s WINDOW w AS (PARTITION BY exit_class ORDER BY t, id, bps ROWS 19 PRECEDING)) SELECT exit_class, id, bps, round(md, 6) AS median_bps, coalesce(md > greatest(1.25 * 40, 42.0), false) AS blocked FROM m""")
 def q58_drift_gate(t):
     bps = F.round(F.col("l_extendedprice") * 100).cast("long") % 997 / F.lit(10.0)
@@ -665,10 +690,30 @@ def q65_probe_windows(t):
     return p.select("symbol", "p.label", "p.point_ms", w["start_ms"].alias("start_ms"), w["end_ms"].alias("end_ms"))
 
 
-@query()
+SPLIT = f"""{TAPE}, c0 AS (SELECT symbol, t AS ts_ms, count(*) AS n FROM tape GROUP BY ALL), sums AS (SELECT symbol, list(ts_ms ORDER BY ts_ms) AS ts, list(n ORDER BY ts_ms) AS ns FROM c0 GROUP BY symbol),
+r(symbol, a, z, n) AS (
+  SELECT symbol, {Y2024}, {Y2024 + 32 * DAY}, list_sum(list_filter(ns, lambda x, i: ts[i] >= {Y2024} AND ts[i] < {Y2024 + 32 * DAY})) FROM sums
+  UNION ALL
+  SELECT symbol, lo, hi, coalesce(list_sum(list_filter(ns, lambda x, i: ts[i] >= lo AND ts[i] < hi)), 0)
+  FROM (SELECT r.symbol, ts, ns, CASE h WHEN 0 THEN a ELSE m END AS lo, CASE h WHEN 0 THEN m ELSE z END AS hi
+        FROM (SELECT *, (a + z) // 2 - ((a + z) // 2) % {HOUR} AS m FROM r WHERE n >= 400) r JOIN sums ON sums.symbol = r.symbol, (VALUES (0), (1)) v(h)) x),
+parts AS (SELECT symbol, a AS from_ms, z AS to_ms, CAST(n AS BIGINT) AS n FROM r WHERE n < 400)"""
+
+
+def _saturated(t) -> tuple[DataFrame, DataFrame]:
+    e = tape(t).select("symbol", F.col("t").alias("ts_ms"), F.col("qty").cast("string").alias("rate_text"))
+    return plan.split_saturated(e.select("symbol").distinct().select("symbol", F.lit(Y2024).alias("from_ms"), F.lit(Y2024 + 32 * DAY).alias("to_ms")), e, 400), e
+
+
+@query(f"WITH RECURSIVE {SPLIT} SELECT * FROM parts")
 def q66_split_saturated(t):
-    e = tape(t).select("symbol", F.col("t").alias("ts_ms"))
-    return plan.split_saturated(e.select("symbol").distinct().select("symbol", F.lit(Y2024).alias("from_ms"), F.lit(Y2024 + 32 * DAY).alias("to_ms")), e, 400)
+    return _saturated(t)[0]
+
+
+@query(f"WITH RECURSIVE {SPLIT} SELECT DISTINCT tape.symbol, tape.t AS ts_ms, CAST(qty AS VARCHAR) AS rate_text FROM tape JOIN parts ON parts.symbol = tape.symbol AND t >= from_ms AND t < to_ms")
+def q66b_merged_halves(t):
+    parts, e = _saturated(t)
+    return plan.merged_events(parts, e, ["symbol", "ts_ms", "rate_text"])
 
 
 @query(f"SELECT symbol, c AS chunk_start_ms, least(c + {7 * DAY}, z) AS chunk_end_ms FROM (SELECT symbol, z, unnest(generate_series(a, z - 1, {7 * DAY})) AS c FROM (SELECT event_type AS symbol, min((epoch_us(ts) // 1000)) AS a, max((epoch_us(ts) // 1000)) + 1 AS z FROM events GROUP BY 1))")
@@ -678,13 +723,13 @@ def q67_weekly_chunks(t):
 
 @query(f"WITH {TAPE}, w AS (SELECT symbol, t - t % {QUARTER} AS window_ms, count(*) AS trades, CAST(sum(qty) AS BIGINT) AS qty FROM tape GROUP BY ALL) SELECT * FROM w WHERE window_ms + {QUARTER} <= (SELECT max(t) FROM tape) - 60000")
 def q60_streaming_15m(t):
-    import tempfile
-
     raw = t("events")
     spark, paths = raw.sparkSession, raw.inputFiles()
     stream = spark.readStream.schema(raw.schema).parquet(paths[0].rpartition("/")[0] + "/events.parquet*")
     rows = stream.select(F.col("event_type").alias("symbol"), F.col("ts").cast("timestamp").alias("ts"), F.get_json_object("props", "$.k").cast("long").alias("qty"))
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidemark-")
-    place = f"{base}/stream-{spark.sparkContext.applicationId}-{abs(hash(paths[0]))}-{id(raw)}"
+    place = scratch(spark)
     decisions.drain(decisions.counted_windows(rows), f"{place}/out", f"{place}/state")
     return spark.read.parquet(f"{place}/out")
+
+
+from . import more_queries  # noqa: E402, F401  (registers the queries over single rows, stored bodies and files)

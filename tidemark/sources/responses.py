@@ -44,6 +44,27 @@ def mark_or_index_bars(bodies: DataFrame) -> DataFrame:
     return _cells(bodies, 5, ("open", "high", "low", "close"))
 
 
+def bar_series(pages: DataFrame, start_ms: int, end_ms: int, step: int, now_ms: int) -> tuple[DataFrame, DataFrame]:
+    """A multi-page scan over stored pages (symbol, asked_end_ms: the inclusive end a page was asked with; start_ms ... of its raw
+    bars; a page without bars has one row with a null start_ms). It goes from the newest page on by the oldest raw start, finished or
+    not, and ends at an empty page or at ``start_ms``. Returns the distinct finished bars, and by symbol raw_rows, duplicates,
+    unfinished, oldest_ms, newest_ms. A page that holds bars after its own end does not move back, and raises."""
+    page = pages.groupBy("symbol", "asked_end_ms").agg(F.min("start_ms").alias("oldest"), F.max("start_ms").alias("newest"))
+    page = page.withColumn("next_end", F.col("oldest") - step)
+    along = Window.partitionBy("symbol").orderBy(F.desc("asked_end_ms"))
+    # a page is reached if its end is the one the page before leads to, and so is every page between it and the first
+    led = F.when(F.row_number().over(along) == 1, F.col("asked_end_ms") == end_ms).otherwise((F.col("asked_end_ms") == F.lag("next_end").over(along)) & (F.lag("oldest").over(along) > start_ms))
+    page = page.withColumn("led", F.coalesce(led, F.lit(False))).withColumn("reached", F.min("led").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+    stuck = F.raise_error(F.lit("the scan does not move backward")).cast("boolean")
+    moves = F.when((F.col("oldest") > start_ms) & (F.col("next_end") >= F.col("asked_end_ms")), stuck).otherwise(F.lit(True))
+    page = page.where("reached").withColumn("moves", moves).where("moves")
+    rows = pages.join(page.select("symbol", "asked_end_ms"), ["symbol", "asked_end_ms"]).where("start_ms IS NOT NULL")
+    closed = F.col("start_ms") + step <= now_ms
+    stats = rows.groupBy("symbol").agg(F.count("*").alias("raw_rows"), (F.count_if(closed) - F.count_distinct(F.when(closed, F.col("start_ms")))).alias("duplicates"), F.count_if(~closed).alias("unfinished"), F.min("start_ms").alias("oldest_ms"), F.max("start_ms").alias("newest_ms"))
+    first = F.min_by(F.struct(*[c for c in rows.columns if c not in ("symbol", "start_ms")]), F.struct(-F.col("asked_end_ms"), *(c for c in ("pos",) if c in rows.columns)))
+    return rows.where(closed).groupBy("symbol", "start_ms").agg(first.alias("r")).select("symbol", "start_ms", "r.*"), stats
+
+
 def funding(bodies: DataFrame) -> DataFrame:
     """symbol, ts_ms, rate and the texts of time and rate, which identify an event."""
     rows = _checked(bodies, _FUNDING).select(F.explode("r.result.list").alias("e"))
@@ -62,12 +83,45 @@ def announcement_pages(total: int, page_size: int = 20, most: int = 1000) -> int
     return pages
 
 
+def announcement_scan(bodies: DataFrame, page_size: int = 20, most: int = 1000) -> DataFrame:
+    """Announcements of stored pages (page from 1, body): up to the first empty page, or the one that reaches the total it names;
+    a page beyond ``most`` raises."""
+    r = _checked(bodies, _ANNOUNCED).select("page", F.col("r.result.total").alias("total"), F.col("r.result.list").alias("list"))
+    r = r.withColumn("list", F.when(F.col("page") > most, F.raise_error(F.lit("too many announcement pages")).cast(r.schema["list"].dataType)).otherwise(F.col("list")))
+    ends = (F.size("list") == 0) | (F.col("page") * page_size >= F.col("total"))
+    last = r.agg(F.min(F.when(ends, F.col("page"))).alias("last"))
+    kept = r.join(F.broadcast(last), F.col("last").isNull() | (F.col("page") <= F.col("last")))  # one row
+    return kept.select("page", F.explode("list").alias("a")).select("page", "a.title", "a.description", "a.url", F.col("a.publishTime").alias("publish_time"), F.col("a.dateTimestamp").alias("date_timestamp"))
+
+
+def pages_in_order(pages: DataFrame, most: int = 1000) -> DataFrame:
+    """Pages (file, cursor: the one asked with, null for the first; next_cursor) of one listing, numbered along their cursors from
+    the first until an empty one. A cursor that two pages return raises; pages that no cursor leads to do not come. A listing
+    has at most ``most`` pages, so it is walked by as many equality joins at most."""
+    again = F.count("*").over(Window.partitionBy("next_cursor"))
+    fault = F.raise_error(F.lit("a cursor repeats")).cast("boolean")
+    pages = pages.withColumn("_ok", F.when((F.coalesce("next_cursor", F.lit("")) != "") & (again > 1), fault).otherwise(F.lit(True))).where("_ok").drop("_ok")
+    links = {r["cursor"] or "": (r["next_cursor"] or "") for r in pages.select("cursor", "next_cursor").limit(most + 1).collect()}
+    if len(links) > most:
+        raise ValueError("too many pages")
+    order, at = [], ""
+    while at in links and len(order) < len(links):
+        order.append((at, len(order)))
+        at = links[at]
+        if not at:
+            break
+    numbered = pages.sparkSession.createDataFrame(order, "_c string, page int")
+    return pages.join(F.broadcast(numbered), F.coalesce("cursor", F.lit("")) == F.col("_c")).drop("_c")  # at most ``most`` rows
+
+
 def instruments(bodies: DataFrame) -> DataFrame:
     """Flat instrument rows; the whole record stays in ``raw``, with fields this schema does not name. A cursor that two
-    pages repeat raises."""
-    pages = _checked(bodies, _INSTRUMENTS).withColumn("cursor", F.col("r.result.nextPageCursor"))
-    again = F.count("*").over(Window.partitionBy("cursor"))
-    pages = pages.withColumn("_ok", F.when((F.coalesce("cursor", F.lit("")) != "") & (again > 1), F.raise_error(F.lit("a cursor repeats")).cast("boolean")).otherwise(F.lit(True))).where("_ok")
+    pages repeat raises. With a column ``cursor``, the one each page was asked with, only pages that the cursors lead to count."""
+    pages = _checked(bodies, _INSTRUMENTS).withColumn("next_cursor", F.col("r.result.nextPageCursor"))
+    if "cursor" in bodies.columns:
+        pages = pages_in_order(pages)
+    again = F.count("*").over(Window.partitionBy("next_cursor"))
+    pages = pages.withColumn("_ok", F.when((F.coalesce("next_cursor", F.lit("")) != "") & (again > 1), F.raise_error(F.lit("a cursor repeats")).cast("boolean")).otherwise(F.lit(True))).where("_ok")
     raw = F.from_json(F.get_json_object("body", "$.result.list"), "array<string>")
     rows = pages.select(F.posexplode("r.result.list").alias("i", "x"), raw.alias("all")).withColumn("raw", F.get("all", F.col("i")))
     fields = {"symbol": "symbol", "contractType": "contract_type", "status": "status", "baseCoin": "base_coin", "quoteCoin": "quote_coin", "settleCoin": "settle_coin", "symbolType": "symbol_type", "marketRegion": "market_region", "isPreListing": "is_pre_listing", "fundingInterval": "funding_interval"}
@@ -107,3 +161,29 @@ def aligned_request(start_ms: Column, end_ms: Column, step: int) -> Column:
     """True, or an error for bounds off the grid or reversed."""
     good = is_aligned(start_ms, step) & is_aligned(end_ms, step) & (end_ms >= start_ms)
     return F.when(good, F.lit(True)).otherwise(F.raise_error(F.lit("request bounds must be aligned")).cast("boolean"))
+
+
+def trade_tape(spark: SparkSession, path: str) -> DataFrame:
+    """Archived public trades, CSV files with a header (symbol, timestamp in seconds, price, size, side): symbol, t in ms, px, qty, seq, side.
+    ``seq`` follows the order of the lines of a file, and the file's name."""
+    rows = spark.read.option("header", True).option("mode", "FAILFAST").schema("timestamp DECIMAL(20,6), symbol STRING, side STRING, size STRING, price STRING").csv(path)
+    exact = lambda c: F.col(c).cast(STORED)
+    return rows.select("symbol", F.floor(F.col("timestamp") * 1000).cast("long").alias("t"), exact("price").alias("px"), exact("size").alias("qty"), F.monotonically_increasing_id().alias("seq"), "side")
+
+
+def calendar(spark: SparkSession, path: str, before_ms: int = 30 * 60_000, after_ms: int = 30 * 60_000) -> DataFrame:
+    """News calendar, CSV with a header (family, event_ms, source): family, event_ms and the blackout [from_ms, to_ms). A row without a source,
+    or of an unknown family, raises."""
+    rows = spark.read.option("header", True).schema("family STRING, event_ms LONG, source STRING").csv(path)
+    good = F.col("family").isin("CPI", "NFP", "FOMC") & (F.coalesce("source", F.lit("")) != "") & F.col("event_ms").isNotNull()
+    checked = rows.withColumn("_ok", F.when(good, F.lit(True)).otherwise(F.raise_error(F.lit("unsound calendar row")).cast("boolean"))).where("_ok").drop("_ok")
+    return checked.select("family", "event_ms", (F.col("event_ms") - before_ms).alias("from_ms"), (F.col("event_ms") + after_ms).alias("to_ms"))
+
+
+def delistings(spark: SparkSession, path: str) -> DataFrame:
+    """Delisting records, JSON lines: symbol, known_at_ms, effective_ms (the entry restriction, or else the delivery), settlement_price, source.
+    A record that becomes known after it takes effect, or names no source, raises."""
+    rows = spark.read.schema("symbol STRING, known_at_ms LONG, delivery_ms LONG, entry_restriction_ms LONG, settlement_price STRING, source STRING").option("mode", "FAILFAST").json(path)
+    good = F.col("symbol").isNotNull() & F.col("known_at_ms").isNotNull() & (F.col("delivery_ms") >= F.col("known_at_ms")) & (F.coalesce("source", F.lit("")) != "")
+    checked = rows.withColumn("_ok", F.when(F.coalesce(good, F.lit(False)), F.lit(True)).otherwise(F.raise_error(F.lit("unsound delisting record")).cast("boolean"))).where("_ok")
+    return checked.select("symbol", "known_at_ms", F.coalesce("entry_restriction_ms", "delivery_ms").alias("effective_ms"), F.col("settlement_price").cast(STORED).alias("settlement_price"), "source")

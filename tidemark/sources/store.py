@@ -11,7 +11,7 @@ from . import responses
 
 KEYS = ["symbol", "month", "stream", "request_key"]
 #: Writer options of canonical files.
-PARQUET = {"compression": "zstd", "parquet.compression.codec.zstd.level": "9", "parquet.enable.dictionary": "false", "parquet.writer.version": "v2"}
+PARQUET = {"compression": "zstd", "parquet.compression.codec.zstd.level": "9", "parquet.enable.dictionary": "false", "parquet.writer.version": "v2", "parquet.block.row.count.limit": "65536"}
 
 
 def stored(spark: SparkSession, path: str) -> DataFrame:
@@ -40,13 +40,44 @@ def rebuild_bars(pages: DataFrame, start_ms: int, end_ms: int) -> DataFrame:
     return dedupe_or_raise(inside, ["symbol", "start_ms"], ["open", "high", "low", "close", "volume", "turnover"])
 
 
-def write_bars(bars: DataFrame, path: str, partitions: int | None = None) -> DataFrame:
-    """Canonical bars (symbol, month, start_ms, ...) in files sorted by start; returns the logical hash per symbol-month."""
+def write_bars(bars: DataFrame, path: str, partitions: int | None = None, only: DataFrame | None = None) -> DataFrame:
+    """Canonical bars (symbol, month, start_ms, ...) in files sorted by start. Only the symbol-months of ``bars`` are replaced, all others
+    stay as they are. Returns the logical hash per symbol-month, read from the files: of those in ``only`` (symbol, month), or
+    of all that the folder holds."""
     keys = ["symbol", "month"]
     dealt = bars.repartition(partitions, *keys) if partitions else bars.repartition(*keys)
-    writer = dealt.sortWithinPartitions(*keys, "start_ms").write.mode("overwrite").partitionBy(*keys)
+    writer = dealt.sortWithinPartitions(*keys, "start_ms").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys)
     writer.options(**PARQUET).parquet(path)
-    return logical_hash(bars, keys)
+    written = bars.sparkSession.read.schema(bars.schema).parquet(path)
+    return logical_hash(written if only is None else written.join(only.select(*keys).distinct(), keys, "left_semi"), keys)
+
+
+def file_hashes(spark: SparkSession, path: str) -> DataFrame:
+    """file, bytes, file_sha256 of every file of a canonical table; a file is one symbol-month."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path)
+    return files.select(F.col("path").alias("file"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("file_sha256"))
+
+
+def cached(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame:
+    """key, raw of the cached bodies with these keys; a body that does not match its hash raises."""
+    rows = spark.read.parquet(path).join(keys.select("key").distinct(), "key", "left_semi")
+    fault = F.raise_error(F.concat(F.lit("corrupt cache entry "), F.col("key"))).cast("boolean")
+    return rows.withColumn("_ok", F.when(F.sha2("raw", 256) == F.col("sha256"), F.lit(True)).otherwise(fault)).where("_ok").drop("_ok")
+
+
+def cache(responses_: DataFrame, path: str) -> None:
+    """Add bodies (key, raw) to the cache, with hash and size; keys that are there keep their body, and of new ones with one key the
+    smallest hash wins."""
+    spark = responses_.sparkSession
+    fresh = responses_.select("key", "raw", F.sha2("raw", 256).alias("sha256"), F.octet_length("raw").alias("bytes"))
+    if _exists(spark, path):
+        fresh = fresh.join(spark.read.parquet(path).select("key"), "key", "left_anti")
+    fresh.groupBy("key").agg(F.min_by(F.struct("raw", "sha256", "bytes"), "sha256").alias("r")).select("key", "r.*").write.mode("append").parquet(path)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
 
 
 def append_lines(rows: DataFrame, path: str) -> None:
@@ -54,6 +85,11 @@ def append_lines(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").json(path, lineSep="\n")
 
 
+def write_documents(rows: DataFrame, path: str) -> None:
+    """A JSON document a row, its keys sorted; written as text, one line each."""
+    rows.select(F.to_json(F.struct(*sorted(rows.columns))).alias("value")).write.mode("overwrite").text(path, lineSep="\n")
+
+
 def write_report(probes: DataFrame, path: str) -> None:
     """CSV report, a line a probe, LF line ends."""
     probes.write.mode("overwrite").option("header", True).option("lineSep", "\n").csv(path)
