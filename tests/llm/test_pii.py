@@ -84,3 +84,37 @@ def test_trees_learn_and_calibrate():
     counts = {0: (100, 0), 1: (50, 50), 2: (80, 8), 3: (40, 40)}
     model = pii.fit_trees(counts)
     assert [model.score(c) >= model.threshold for c in (0, 1, 2, 3)] == [False, True, False, True]
+
+
+def test_threshold_comes_from_scores_not_learnt_from():
+    counts = {0: (100, 0), 1: (50, 50), 2: (80, 8), 3: (40, 40)}
+    assert 3 < pii.fit_trees(counts, [(3.0, 10, 8), (4.0, 10, 10)]).threshold < 4
+    assert pii.fit_trees({}, []).threshold == float("inf")
+
+
+def test_very_many_matches(spark):
+    """Texts of 20,000 addresses and as many keys and numbers: time in proportion, all of them found and redacted."""
+    n = 20_000
+    text = " ".join(f"u{i}@h{i % 97}.org, key={i:020x}a7 {i % 250}.1.2.{i % 200}" for i in range(n))
+    docs = spark.createDataFrame([(1, text), (2, text[: len(text) // 2])], "doc_id long, text string")
+    row = pii.spans(docs).where("doc_id = 1").first()
+    found = [(s["kind"], s["start"], s["end"]) for s in row["spans"]]
+    assert [s for s in found if s[0] in dict.fromkeys(PLAIN)] == plain_spans(text)
+    assert len([s for s in found if s[0] == "email"]) == n
+    redacted = pii.redact(docs).where("doc_id = 1").first()["text"]
+    marks, at, parts = sorted((s, e, k) for k, s, e in found), 0, []
+    for s, e, k in marks:
+        if s >= at:
+            parts += [text[at:s], f"[{k.upper()}]"]
+        at = max(at, e)
+    assert redacted == "".join(parts) + text[at:]
+
+
+def test_planted_secrets(spark):
+    names = ["token", "api_key", "password", "secret"]
+    plain = [f"the {i} quick brown foxes jumped over 12 dogs in 20{i % 100:02d}, order {i:09d}" for i in range(300)]
+    planted = [f'notes {i} {names[i % 4]} = "{i * 7919 % 16**8:08x}{i * 104729 % 16**8:08x}{"9f3a" * 4}" end' for i in range(80)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(plain + planted)], "doc_id long, text string")
+    kinds = {r["doc_id"]: {s["kind"] for s in r["spans"]} for r in pii.spans(docs).collect()}
+    assert all("secret" in kinds[300 + i] for i in range(80))
+    assert not any(kinds[i] for i in range(300))

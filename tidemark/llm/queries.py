@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat, chosen_path, embeddings, gif, lm, mixing, packing, pii, quality, url_rules
-from .common import remainder, table
+from .common import remainder, stage, table
 
 #: The rules of op5 (host, path, action).
 URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
@@ -38,8 +38,8 @@ def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = pii.spans(docs, pii.fit(docs))
-    return found.select("doc_id", *(c.alias(n) for n, c in pii.digest().items()))
+    found = stage(pii.search(docs).drop("text"), "pii-found")
+    return pii.select(found, pii.fit_found(found)).select("doc_id", *(c.alias(n) for n, c in pii.digest().items()))
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,9 +117,9 @@ WITH rows AS (
 sized AS (
   SELECT *, length(role) + length(text) + 15 + length(regexp_replace(role || text, '[^\\#<:]', '', 'g')) AS size FROM rows)
 SELECT conv_id, count(*) AS n_turns,
-       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
        CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
-       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
        CAST(sum(size) AS BIGINT) AS formatted_chars
 FROM sized GROUP BY conv_id
 """,
