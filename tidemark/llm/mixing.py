@@ -5,9 +5,10 @@ and text. Within a source the documents with the smallest keys come first; a pre
 meets the source's budget. Complete epochs precede this selection, and the document at which the budget
 ends gives only its first words, so that a source meets its target to the word.
 
-A source may hold most rows, so its documents are never sorted in one task: keys fall into buckets that
-follow their order, sums per bucket (at most ``buckets`` a source) give each bucket's place in the prefix
-sum, and only the bucket in which the budget ends is sorted.
+A source may hold most rows, so its documents are never sorted in one task. Keys fall into buckets by their
+logarithm: whatever the weights, a bucket of width 1/r holds less than 0.37/r of a source's distinct keys. Sums per
+bucket give each bucket's place in the prefix sum. The bucket in which the budget ends is summed again by key, id
+and input partition, which parts even rows that are equal in both, and only rows equal in all three are put in order.
 """
 
 from __future__ import annotations
@@ -21,7 +22,10 @@ from .common import WS, stage
 WEIGHTS, MOST = (5.0, 2.0, 1.0), 3
 _SPACE = " \t\n\x0b\x0c\r"
 _SYMBOLS = "#$%&*+<=>@[\\]^_{|}~!"
-BUCKETS, BUCKET_ROWS = 512, 500_000
+#: Before every bucket: of a source without a budget nothing is taken beyond its epochs.
+NO_EDGE = -(1 << 40)
+#: Buckets a unit of the keys' logarithm, at least, and rows that the bucket in which a budget ends may hold.
+BUCKETS, BUCKET_ROWS = 64, 100_000
 
 
 def word_count(text: Column) -> Column:
@@ -50,9 +54,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     weight = F.greatest(F.coalesce(quality if quality is not None else text_quality(text), F.lit(0.0)), F.lit(1e-6))
     mark = F.xxhash64(F.lit(seed), F.col(id_col).cast("string"), F.coalesce(text, F.lit("")))
     u = (F.shiftrightunsigned(mark, 11) + 0.5) / float(1 << 53)
-    base = stage(docs.select(F.struct(*(keep or docs.columns)).alias("row"), F.col(source_col).alias("source"), F.col(id_col).cast("string").alias("id"), word_count(text).alias("size"), (-F.log(u) / weight).alias("key")), "mix")
-    buckets = max(buckets, base.count() // BUCKET_ROWS)
-    base = base.withColumn("bucket", F.least(F.floor((1 - F.exp(-F.col("key"))) * buckets), F.lit(buckets - 1)).cast("int"))
+    base = docs.select(F.struct(*(keep or docs.columns)).alias("row"), F.col(source_col).alias("source"), F.col(id_col).cast("string").alias("id"), word_count(text).alias("size"), (-F.log(u) / weight).alias("key"))
+    base = stage(base.withColumn("rid", F.monotonically_increasing_id()), "mix")
+    fine = max(buckets, int(0.37 * base.count() / BUCKET_ROWS) + 1)
+    base = base.withColumn("bucket", F.floor(F.log(F.greatest("key", F.lit(1e-300))) * fine))
 
     cells = base.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
     ranked = cells.groupBy("source").agg(F.sum("words").alias("source_size")).withColumn("rank", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())))
@@ -69,12 +74,16 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     along = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     placed = cells.withColumn("above", F.coalesce(F.sum("words").over(along), F.lit(0))).alias("c").join(targets.alias("t"), F.expr("c.source <=> t.source"))
     at_edge = F.expr("budget > 0 AND above < budget AND above + words >= budget")
-    edges = placed.groupBy("t.source", "source_size", "target", "epochs", "budget").agg(F.coalesce(F.min(F.when(at_edge, F.col("bucket"))), F.lit(-1)).alias("edge"), F.coalesce(F.min(F.when(at_edge, F.col("above"))), F.lit(0)).alias("above"))
+    edges = placed.groupBy("t.source", "source_size", "target", "epochs", "budget").agg(F.coalesce(F.min(F.when(at_edge, F.col("bucket"))), F.lit(NO_EDGE)).alias("edge"), F.coalesce(F.min(F.when(at_edge, F.col("above"))), F.lit(0)).alias("above"))
     edges = edges.withColumnRenamed("source", "own")
 
     joined = base.join(edges, F.expr("source <=> own")).drop("own")
-    inner = joined.where("bucket = edge").withColumn("gone", F.coalesce(F.sum("size").over(Window.partitionBy("source").orderBy("key", "id").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    inner = inner.withColumn("extra", F.greatest(F.lit(0), F.least(F.col("size"), F.col("budget") - F.col("above") - F.col("gone")))).drop("gone")
+    cell = ["source", "key", "id", F.shiftright("rid", 33).alias("part")]  # a row of equal key and id, and the partition it was written by
+    sums = joined.where("bucket = edge").groupBy(*cell).agg(F.sum("size").alias("words"))
+    sums = sums.select(*(F.col(c).alias(f"c_{c}") for c in ("source", "key", "id", "part")), F.coalesce(F.sum("words").over(Window.partitionBy("source").orderBy("key", "id", "part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("gone"))
+    inner = joined.where("bucket = edge").withColumn("part", F.shiftright("rid", 33)).join(sums, F.expr("key = c_key AND part = c_part AND id <=> c_id AND source <=> c_source"))
+    inner = inner.withColumn("gone", F.col("gone") + F.coalesce(F.sum("size").over(Window.partitionBy("source", "key", "id", "part").orderBy("rid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    inner = inner.withColumn("extra", F.greatest(F.lit(0), F.least(F.col("size"), F.col("budget") - F.col("above") - F.col("gone")))).select(*joined.columns, "extra")
     outer = joined.where("bucket <> edge").withColumn("extra", F.expr("CASE WHEN bucket < edge THEN size ELSE 0L END"))
     return outer.unionByName(inner).select("row", "size", "source_size", "target", "epochs", (F.col("epochs") * F.col("size") + F.col("extra")).alias("taken"))
 
