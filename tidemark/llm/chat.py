@@ -125,9 +125,10 @@ def parse(formatted: str) -> list[tuple[str, str]]:
 def format_records(records: DataFrame, id_col: str, json_col: str, mappings=MAPPINGS, trained: str = "assistant") -> DataFrame:
     """id_col, fingerprint, layout, n_turns, formatted, mask (array of start and end) for each record.
 
-    A record that is null, no JSON, or of an unknown fingerprint has layout ``null`` and null outputs. Null roles
-    and texts count as empty; an empty list of messages gives an empty text. Repeated records give repeated rows.
-    Other columns are not read. Work is row by row in Arrow batches; a task holds one batch.
+    A record that is null, no JSON, or of an unknown fingerprint has layout ``null`` and null outputs; so has one that is nested
+    deeper than Python reads, or whose texts are no Unicode (lone surrogates). Null roles
+    and texts count as empty; an empty list of messages gives an empty text. Repeated records give repeated rows, an empty
+    table an empty one. Other columns are not read. Work is row by row in Arrow batches; a task holds one batch.
     """
     kind, known = records.schema[id_col].dataType.simpleString(), registry(mappings)
     names = [id_col, "fingerprint", "layout", "n_turns", "formatted", "mask"]
@@ -136,13 +137,17 @@ def format_records(records: DataFrame, id_col: str, json_col: str, mappings=MAPP
     def one(text):
         try:
             record = json.loads(text)
-        except (TypeError, ValueError):
+            mark = fingerprint(field_paths(record))
+        except (TypeError, ValueError, RecursionError):
             return None, None, None, None, None
-        mark = fingerprint(field_paths(record))
         if mark not in known:
             return mark, None, None, None, None
         turns = turns_of(record, known[mark])
         formatted, mask = render(turns, trained)
+        try:
+            formatted.encode()
+        except UnicodeEncodeError:
+            return mark, None, None, None, None
         return mark, known[mark].name, len(turns), formatted, [{"start": a, "end": b} for a, b in mask]
 
     def run(batches):
@@ -177,8 +182,14 @@ def digests(formatted: DataFrame, id_col: str) -> DataFrame:
 
 
 def conversations_as_records(rows: DataFrame) -> DataFrame:
-    """One JSON record a conversation, from rows of conv_id, turn, role, text; equal turns are ordered by role, then
-    text. A conversation is one record by its nature, so its rows meet in one group; conversations do not."""
+    """One JSON record a conversation, from rows of conv_id, turn, role, text; equal turns are ordered by role, then text, and null turns
+    come first. A user's turn that one assistant's turn follows is a prompt and its response; other conversations are lists of
+    messages, whose texts are called content or, where conv_id is odd, text. A conversation is one record by its nature, so
+    its rows meet in one group; conversations do not."""
     turn = F.struct(F.col("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    ordered = F.transform(F.sort_array(F.collect_list(turn)), lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
-    return rows.groupBy("conv_id").agg(F.to_json(F.struct(ordered.alias("messages"))).alias("record"))
+    whole = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("t"))
+    named = lambda name: F.to_json(F.struct(F.transform("t", lambda x: F.struct(x["role"].alias("role"), x["text"].alias(name))).alias("messages")))
+    pair = F.expr("size(t) = 2 AND t[0].role = 'user' AND t[1].role = 'assistant'")
+    exchange = F.to_json(F.struct(F.expr("t[0].text").alias("prompt"), F.expr("t[1].text").alias("response")))
+    odd = F.coalesce(F.pmod("conv_id", F.lit(2)) == 1, F.lit(False))
+    return whole.select("conv_id", F.when(pair, exchange).when(odd, named("text")).otherwise(named("content")).alias("record"))
