@@ -236,17 +236,23 @@ def frames(media: DataFrame, id_col: str, gif_col: str = "gif") -> DataFrame:
 
 def describe(media: DataFrame, id_col: str = "doc_id", gif_col: str = "gif") -> DataFrame:
     """Digests of stored texts, computed from the decoded frames: id_col, n_bytes, payload_bytes, payload_sha256,
-    tail_crc32, media_bytes, media_sha256, feature (frames, size, duration and the summed colour histogram)."""
+    tail_crc32, media_bytes, media_sha256, feature (frames, size, duration and the summed colour histogram). A null GIF, and one
+    that cannot be read to its end, has nulls for all that comes from its frames."""
     kind = media.schema[id_col].dataType.simpleString()
     names = [id_col, "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
 
-    def one(data: bytes):
+    def one(data: bytes | None):
+        if data is None:
+            return None, None, None, None, None, None
         parts, bins, ms, size = [], np.zeros(64, np.int64), 0, (0, 0)
-        for delay, _, (x, y, w, h), canvas in read_gif(data):
-            shown = canvas[y : y + h, x : x + w]
-            parts.append(shown[..., 0].tobytes())
-            bins += histogram(shown[..., :3])
-            ms, size = ms + delay, canvas.shape[1::-1]
+        try:
+            for delay, _, (x, y, w, h), canvas in read_gif(data):
+                shown = canvas[y : y + h, x : x + w]
+                parts.append(shown[..., 0].tobytes())
+                bins += histogram(shown[..., :3])
+                ms, size = ms + delay, canvas.shape[1::-1]
+        except (ValueError, IndexError, struct.error):
+            return None, None, None, len(data), hashlib.sha256(data).hexdigest(), None
         back = b"".join(parts)
         feature = f"frames={len(parts)};size={size[0]}x{size[1]};ms={ms};bins={','.join(map(str, bins))}"
         return len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-16:]), len(data), hashlib.sha256(data).hexdigest(), feature
