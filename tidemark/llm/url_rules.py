@@ -39,10 +39,17 @@ def host_key(host: Column) -> Column:
 
 
 def _best(stack, path: str):
-    """The longest open rule whose path the url's starts with; of equal lengths the one with the longer host, then
-    the smaller text, then block before allow."""
-    fits = [r for _, rules in stack for r in rules if path.startswith(r[1])]
-    return min(fits, key=lambda r: (-len(r[0]) - len(r[1]), -len(r[0]), r[0] + r[1], r[2] != "block")) if fits else None
+    """The longest open rule whose path the url's starts with; of equal lengths the one with the longer host. Of a host's rules it is that with
+    the longest path, looked up by each length its paths have."""
+    best = None
+    for _, rules, lengths in stack:  # hosts get longer
+        for n in lengths:
+            rule = rules.get(path[:n]) if n <= len(path) else None
+            if rule:
+                if best is None or len(rule[0]) + n >= len(best[0]) + len(best[1]):
+                    best = rule
+                break
+    return best
 
 
 def _open(stack, key: bytes) -> None:
@@ -51,10 +58,15 @@ def _open(stack, key: bytes) -> None:
 
 
 def _push(stack, key: bytes, rule) -> None:
-    if stack and stack[-1][0] == key:
-        stack[-1][1].append(rule)
-    else:
-        stack.append((key, [rule]))
+    """Add a rule (host, path, action) to its host's; of two with one path a block holds."""
+    if not stack or stack[-1][0] != key:
+        stack.append((key, {}, []))
+    _, rules, lengths = stack[-1]
+    path = rule[1]
+    if path not in rules or rule[2] == "block":
+        rules[path] = rule
+    if len(path) not in lengths:
+        bisect.insort(lengths, len(path), key=lambda n: -n)
 
 
 def sweep(keys: list[bytes], paths: list[str], rules: list[tuple[bytes, tuple[str, str, str]]]):
@@ -104,8 +116,8 @@ def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col:
         return urls.mapInArrow(local, schema)
 
     parts = n_partitions(pages.sparkSession)
-    every = max(1, urls.count() // (32 * parts))  # about 32 keys a range are sampled for the bounds, at any size
-    drawn = sorted(bytes(r[0]) for r in urls.where(F.pmod(F.xxhash64("key", "path", "id"), F.lit(every)) == 0).select("key").collect())
+    share = min(1.0, 32 * parts / max(1, urls.count()))  # about 32 keys a range are drawn for the bounds, at any size, row by row
+    drawn = sorted(bytes(r[0]) for r in urls.select("key").sample(False, share, 7).collect())
     bounds = [drawn[len(drawn) * k // parts] for k in range(1, parts)] if drawn else []
     dealt = f"bucket int, id {kind}, host string, path string, key binary, action string"
 
