@@ -67,23 +67,24 @@ class Encoder:
         self.split = re.compile(pattern).findall
         self.one = tiktoken.Encoding("ranks", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.known: dict[str, bytes] = {}
+        self.type = np.uint16 if max(max(ranks.values()), self.whole.get_vocab_size()) < 1 << 16 else np.uint32
         self.ends = np.zeros(max(ranks.values()) + 2, bool)
         for token, i in ranks.items():
             self.ends[i] = token.endswith((b".", b"!", b"?", b"\n"))
 
     def __call__(self, text: str) -> np.ndarray:
         if not text.isascii() and ord(max(text)) >= SETTLED:
-            return np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint16)
+            return np.array(self.whole.encode(text, add_special_tokens=False).ids, self.type)
         known, pieces = self.known, self.split(text)
         try:
-            return np.frombuffer(b"".join([known[x] for x in pieces]), np.uint16)
+            return np.frombuffer(b"".join([known[x] for x in pieces]), self.type)
         except KeyError:
             if len(known) > CACHE:
                 known.clear()
             for x in pieces:
                 if x not in known:
-                    known[x] = np.array(self.one(x), np.uint16).tobytes()
-            return np.frombuffer(b"".join([known[x] for x in pieces]), np.uint16)
+                    known[x] = np.array(self.one(x), self.type).tobytes()
+            return np.frombuffer(b"".join([known[x] for x in pieces]), self.type)
 
 
 @lru_cache(maxsize=2)
@@ -196,7 +197,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capaci
         for batch in batches:
             ids = batch.column(0)
             for k, text in enumerate(batch.column(1)):
-                held.append(np.append(encode(text.as_py()), np.uint16(END_ID)))
+                held.append(np.append(encode(text.as_py()), encode.type(END_ID)))
                 keys.append(ids.slice(k, 1))
                 size += len(held[-1])
                 if size >= chunk_tokens:
