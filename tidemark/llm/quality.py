@@ -1,7 +1,7 @@
 """Quality of texts: random-indexing word vectors, pooled per document, and a small numpy network.
 
-Every word of the vocabulary has a sparse random index vector; its context vector is the sum of the
-index vectors of the words around it. Words outside the vocabulary share one entry per shape (case,
+Every word has a sparse random index vector, found by its hash; the context vector of a counted word is the sum of the
+index vectors of the words around it. All other words share a context vector per shape (case,
 digits, symbols, length), and a word said again at once becomes one entry of its own. A document is the
 mean of its words' index and context vectors, shrunk towards zero where words are few. A network of two
 layers learns from these; a temperature fitted on a part it did not see calibrates its
@@ -17,6 +17,7 @@ import re
 import zlib
 from collections import Counter
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +27,10 @@ from pyspark.sql import functions as F
 from .common import remainder, stage, text_of
 
 HELD_OUT, FOLDS = 1, 3
-#: Bounds of what is fitted: labelled documents, and words of the vocabulary.
-MAX_FIT, MAX_WORDS = 8_000, 10_000
+#: Bounds of what is fitted: labelled documents, and words with a context vector. Index vectors, dealt by the words' hashes.
+MAX_FIT, MAX_WORDS, HASHED = 8_000, 10_000, 1 << 15
+#: Words whose places a worker keeps at hand.
+CACHE = 500_000
 DIM, SEEDS, WINDOW, HIDDEN, EPOCHS = 48, 6, 2, 24, 60
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
 #: The shapes, then the entry of a word that repeats the one before.
@@ -45,36 +48,55 @@ def shape(word: str) -> int:
     return kind * 5 + min(len(word) // 3, 4)
 
 
+@lru_cache(maxsize=1)
+def index_vectors() -> np.ndarray:
+    """Sparse random vectors by a word's hash, ``SEEDS`` ones of either sign each; the last one is zero."""
+    draw = np.random.default_rng(23)
+    out = np.zeros((HASHED + 1, DIM), np.float32)
+    place = np.argsort(draw.random((HASHED, DIM)), axis=1)[:, :SEEDS]
+    out[np.arange(HASHED)[:, None], place] = draw.choice((-1.0, 1.0), (HASHED, SEEDS))
+    return out
+
+
 class Vectors:
-    """Rows of the vocabulary, then of the shapes; ``table`` holds index and context vectors side by side."""
+    """Every word has the index vector of its hash. ``table`` holds context vectors, of the counted words and then of the shapes, which stand
+    for all other words; a shape's also holds a random vector of its own."""
 
     def __init__(self, words: list[str]) -> None:
         self.rows = {w: i for i, w in enumerate(words)}
         self.size = len(words) + _SHAPES
-        self.index = np.zeros((self.size, DIM), np.float32)
-        for i, name in enumerate([*words, *(f"\n{s}" for s in range(_SHAPES))]):
-            draw = np.random.default_rng(zlib.crc32(name.encode()))
-            self.index[i, draw.choice(DIM, SEEDS, replace=False)] = draw.choice((-1.0, 1.0), SEEDS)
-        self.table = np.concatenate((self.index, np.zeros_like(self.index)), 1)
+        self.table = np.zeros((self.size, DIM), np.float32)
+        self.known: dict[str, int] = {}
+
+    def code(self, word: str) -> int:
+        """Row of the table and place of the index vector in one number."""
+        row = self.rows.get(word)
+        return (len(self.rows) + shape(word) if row is None else row) * (HASHED + 1) + zlib.crc32(word.encode("utf-8", "replace")) % HASHED
 
     def ids(self, text: str) -> list[int]:
-        find, first, again, words = self.rows.get, len(self.rows), self.size - 1, tokens(text)
-        return [again if w == before else i if (i := find(w)) is not None else first + shape(w) for w, before in zip(words, [None, *words], strict=False)]
+        known, again, words = self.known, (self.size - 1) * (HASHED + 1) + HASHED, tokens(text)
+        if len(known) > CACHE:
+            known.clear()
+        for w in set(words):
+            if w not in known:
+                known[w] = self.code(w)
+        return [again if w == before else known[w] for w, before in zip(words, [None, *words], strict=False)]
 
     def contexts(self, texts) -> np.ndarray:
-        out = np.zeros((self.size, DIM))
+        out, index = np.zeros((self.size, DIM)), index_vectors()
         for text in texts:
             ids = np.array(self.ids(text), np.int64)
-            x, around = self.index[ids], np.zeros((len(ids), DIM), np.float32)
+            x, around = index[ids % (HASHED + 1)], np.zeros((len(ids), DIM), np.float32)
             for k in range(1, min(WINDOW, len(ids) - 1) + 1):
                 around[k:] += x[:-k]
                 around[:-k] += x[k:]
-            np.add.at(out, ids, around)
+            np.add.at(out, ids // (HASHED + 1), around)
         return out
 
     def learn(self, contexts: np.ndarray) -> None:
         length = np.linalg.norm(contexts, axis=1, keepdims=True)
-        self.table[:, DIM:] = contexts / np.maximum(length, 1e-9) * np.sqrt(SEEDS)
+        self.table[:] = contexts / np.maximum(length, 1e-9) * np.sqrt(SEEDS)
+        self.table[len(self.rows) :] += index_vectors()[:_SHAPES]
 
     def pool(self, texts: list[str]) -> np.ndarray:
         """Mean vectors, the share of distinct words and the logarithm of the length; an empty text is all zeros."""
@@ -84,8 +106,10 @@ class Vectors:
         full = np.flatnonzero(n)
         if len(full):
             flat = np.fromiter((i for x in ids for i in x), np.int64, int(n.sum()))
-            starts = (np.cumsum(n) - n)[full]
-            out[full, :-2] = np.add.reduceat(self.table[flat], starts, axis=0) / (n[full, None] + PRIOR)
+            starts, index = (np.cumsum(n) - n)[full], index_vectors()
+            rows, place = np.divmod(flat, HASHED + 1)
+            out[full, :DIM] = np.add.reduceat(index[place], starts, axis=0) / (n[full, None] + PRIOR)
+            out[full, DIM:-2] = np.add.reduceat(self.table[rows], starts, axis=0) / (n[full, None] + PRIOR)
             out[:, -2] = [len(set(x)) for x in ids] / (n + PRIOR)
         out[:, -1] = np.log1p(n) / 10
         return out
@@ -155,6 +179,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     drawn = docs.select(F.col(id_col), text_of(text_col).alias("text")).join(F.broadcast(marks), id_col)
     sample = stage(drawn.groupBy(id_col).agg(F.min("text").alias("text"), F.min("y").alias("y")), "quality-sample").select("text", "y", F.col(id_col).alias("id"))
 
+    sample_texts = sample.select("text").coalesce(8)  # each of at most eight tasks sums what it counts before it passes it on
+
     def count(batches):
         counts: Counter = Counter()
         for batch in batches:
@@ -162,15 +188,17 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 counts.update(tokens(text.as_py()))
         yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
 
-    top = sample.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).where("n >= 3").orderBy(F.desc("n"), "word").limit(MAX_WORDS)
+    top = sample_texts.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).where("n >= 3").orderBy(F.desc("n"), "word").limit(MAX_WORDS)
     vectors = Vectors([r["word"] for r in top.collect()])
     sent = docs.sparkSession.sparkContext.broadcast(vectors)
 
     def contexts(batches):
+        total = np.zeros((sent.value.size, DIM))
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([sent.value.contexts(batch.column(0).to_pylist()).astype(np.float32).tobytes()], pa.binary())], names=["sums"])
+            total += sent.value.contexts(batch.column(0).to_pylist())
+        yield pa.RecordBatch.from_arrays([pa.array([total.astype(np.float32).tobytes()], pa.binary())], names=["sums"])
 
-    parts = sorted(bytes(r[0]) for r in sample.select("text").mapInArrow(contexts, "sums binary").collect())  # of a bounded sample
+    parts = sorted(bytes(r[0]) for r in sample_texts.mapInArrow(contexts, "sums binary").collect())  # eight blocks of fixed size
     total = np.zeros((vectors.size, DIM))
     for part in parts:
         total += np.frombuffer(part, np.float32).reshape(total.shape)
