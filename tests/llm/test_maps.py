@@ -90,6 +90,69 @@ def test_gif_round_trip(spark):
         assert b"".join(c[y : y + h, x : x + w, 0].tobytes() for _, _, (x, y, w, h), c in gif.read_gif(gif.write_gif(data))) == data
 
 
+def plain_samples(data):
+    """A second decoder, bit by bit: the samples of all frames, and the global palette."""
+    assert data[:6] == b"GIF89a" and data[10] & 0x80
+    n = 3 << (data[10] & 7) + 1
+    palette, at, out = data[13 : 13 + n], 13 + n, []
+    while data[at] != 0x3B:
+        if data[at] == 0x21:
+            at += 2
+            while data[at]:
+                at += 1 + data[at]
+            at += 1
+            continue
+        assert data[at] == 0x2C
+        bits, at, stream = data[at + 10], at + 11, b""
+        while data[at]:
+            stream += data[at + 1 : at + 1 + data[at]]
+            at += 1 + data[at]
+        at += 1
+        number, width, shift, table, last = int.from_bytes(stream, "little"), bits + 1, 0, {}, None
+        reset = lambda: {i: bytes([i]) for i in range(1 << bits)} | {1 << bits: None, (1 << bits) + 1: None}  # noqa: B023, E731
+        table = reset()
+        while True:
+            code = number >> shift & (1 << width) - 1
+            shift += width
+            if code == 1 << bits:
+                table, width, last = reset(), bits + 1, None
+                continue
+            if code == (1 << bits) + 1:
+                break
+            word = table[code] if code in table else last + last[:1]
+            out.append(word)
+            if last is not None and len(table) < 4096:
+                table[len(table)] = last + word[:1]
+            if len(table) == 1 << width and width < 12:
+                width += 1
+            last = word
+    return b"".join(out), palette
+
+
+def test_digests_equal_an_independent_decoder(spark):
+    import hashlib
+
+    r = random.Random(4)
+    texts = [(1, None), (2, "aaaa" * 3000), (3, "".join(chr(r.randrange(32, 0x3000)) for _ in range(2000))), (4, "x" * 192), (5, "".join(r.choices("abc \n", k=60_000)))]
+    stored = gif.store_text(spark.createDataFrame(texts, "doc_id long, text string"))
+    data = {q["doc_id"]: bytes(q["gif"]) for q in stored.collect()}
+    for q in gif.describe(stored).collect():
+        raw = (dict(texts)[q["doc_id"]] or "").encode()
+        back, palette = plain_samples(data[q["doc_id"]])
+        assert back == raw.ljust(max(192, -(-len(raw) // 192) * 192)) and q["n_bytes"] == len(raw) and q["payload_bytes"] == len(back)
+        assert q["payload_sha256"] == hashlib.sha256(back).hexdigest() and q["tail_crc32"] == zlib.crc32(back[-16:])
+        assert q["media_bytes"] == len(data[q["doc_id"]]) and q["media_sha256"] == hashlib.sha256(data[q["doc_id"]]).hexdigest()
+        bins = [0] * 64
+        for b in back:
+            red, green, blue = palette[3 * b : 3 * b + 3]
+            bins[red // 64 * 16 + green // 64 * 4 + blue // 64] += 1
+        frames = -(-len(back) // (192 * 256))
+        assert q["feature"] == f"frames={frames};size=192x{min(256, len(back) // 192)};ms={100 * frames};bins={','.join(map(str, bins))}"
+    broken = stored.unionByName(spark.createDataFrame([(8, 3, None), (9, 3, bytearray(data[4][:-9]))], stored.schema))
+    odd = {q["doc_id"]: q for q in gif.describe(broken).collect()}
+    assert odd[8]["media_bytes"] is None and odd[9]["media_bytes"] == len(data[4]) - 9 and odd[8]["payload_sha256"] is odd[9]["payload_sha256"] is None
+
+
 def image(x, y, w, h, samples, disposal=0, clear=None, delay=7):
     """A frame of 2-bit samples."""
     codes, bits = [4, *[c for s in samples for c in (s, 4)], 5], ""
@@ -158,3 +221,43 @@ def test_escaping_any_text():
         turns = [("".join(r.choices("ab\\#<:/ \n>é", k=r.randrange(6))), "".join(r.choices(["\\", "### ", " </turn>\n", ": ", "x", "\n"], k=r.randrange(8)))) for _ in range(r.randrange(4))]
         text, _ = chat.render(turns)
         assert chat.parse(text) == turns
+
+
+def test_chat_odd_records(spark):
+    deep = '{"prompt":' + "[" * 200_000 + "]" * 200_000 + ',"response":"a"}'
+    rows = [(1, '{"prompt":"\\ud800","response":"a"}'), (2, deep), (3, '{"prompt":"p","response":"r"}'), (3, '{"prompt":"p","response":"r"}'), (None, '{"prompt":"p","response":"r"}'), (4, "[]"), (5, '{"a":' * 950 + "1" + "}" * 950)]
+    docs = spark.createDataFrame(rows, "id long, j string")
+    out = chat.format_records(docs, "id", "j")
+    got = [(r["id"], r["formatted"]) for r in out.collect()]
+    text = "### user: p </turn>\n### assistant: r </turn>\n"
+    assert sorted(got, key=str) == sorted([(1, None), (2, None), (3, text), (3, text), (None, text), (4, None), (5, None)], key=str)
+    digests = {r["id"]: r for r in chat.digests(out, "id").collect()}
+    assert digests[1]["n_turns"] is None and (digests[3]["n_turns"], digests[3]["loss_chars"]) == (2, 1)
+    assert chat.format_records(docs.limit(0), "id", "j").count() == chat.digests(out.limit(0), "id").count() == 0
+
+
+def test_conversations_take_their_layout(spark):
+    turns = [(2, 0, "user", "q"), (2, 1, "assistant", "a"), (3, 1, "assistant", "b"), (3, 0, "human", "x"), (3, None, "system", None), (4, 0, "user", "q"), (4, 1, "user", "r"), (None, 0, "user", "n"), (4, 1, "user", "r")]
+    rows = spark.createDataFrame(turns, "conv_id long, turn int, role string, text string")
+    out = {r["conv_id"]: r for r in chat.format_records(chat.conversations_as_records(rows), "conv_id", "record").collect()}
+    assert {k: v["layout"] for k, v in out.items()} == {2: "prompt", 3: "messages_text", 4: "messages", None: "messages"}
+    assert chat.parse(out[3]["formatted"]) == [("system", ""), ("human", "x"), ("assistant", "b")]
+    assert chat.parse(out[4]["formatted"]) == [("user", "q"), ("user", "r"), ("user", "r")]
+    assert chat.conversations_as_records(rows.limit(0)).count() == 0
+
+
+def test_url_rules_of_many_paths(spark):
+    """A host with very many paths, of which the longest that fits holds; a block before an allow of one path."""
+    rules = [("a.org", f"/{i}/{j}", "block" if (i + j) % 2 else "allow") for i in range(100) for j in range(30)] + [("a.org", "/7/7", "block"), ("org", "/7/7/extra/long", "allow")]
+    urls = [(k, f"http://w.a.org/{k % 120}/{k % 37}/x") for k in range(2000)] + [(9000, "http://b.a.org/7/7/extra/long")]
+    pages = spark.createDataFrame(urls, "page_id long, url string")
+    table = spark.createDataFrame(rules, "host string, path string, action string")
+    own = {p: a for h, p, a in rules if h == "a.org"} | {"/7/7": "block"}
+    want = {}
+    for k, u in urls:
+        path = u.split(".org", 1)[1]
+        best = max((p for p in (path[:n] for n in range(len(path) + 1)) if p in own), key=len, default=None)
+        want[k] = own.get(best, "allow")
+    want[9000] = "allow"
+    for size in (url_rules.BROADCAST_BYTES, 0):
+        assert {r["page_id"]: r["verdict"] for r in url_rules.judge(pages, table, broadcast_bytes=size).collect()} == want

@@ -66,3 +66,26 @@ def test_quality_favours(spark):
     rows = mixing.mix(docs, quality=F.col("q")).where("target < source_size").groupBy("row.q").agg(F.sum("taken").alias("n")).collect()
     n = {round(r["q"], 1): r["n"] for r in rows}
     assert n[1.1] > 3 * n[0.1]
+
+
+def test_any_weights_keep_the_edge_bucket_small(spark, monkeypatch):
+    """Low, null and zero weights, and rows equal in id and text, of which a budget may take a part."""
+    rows = [(i, " ".join(["w"] * (1 + i % 7)), "a" if i % 10 else "b", (0.05, None, 0.0, 1.0)[i % 4]) for i in range(3000)]
+    rows += [(-1, "same words here", "a", 0.05)] * 2000
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, q double").repartition(5)
+    sizes = {}
+    for i, t, s, q in rows:
+        sizes[s] = sizes.get(s, 0) + len(t.split())
+    targets = plain_targets(sizes)
+    for quality in (F.col("q"), F.lit(0.05), F.lit(None).cast("double")):
+        out = mixing.mix(docs, quality=quality).select("row.*", "size", "taken", "epochs").collect()
+        assert len(out) == len(rows)
+        took = dict.fromkeys(sizes, 0)
+        for r in out:
+            assert r["epochs"] * r["size"] <= r["taken"] <= (r["epochs"] + 1) * r["size"]
+            took[r["source"]] += r["taken"]
+        assert all(abs(took[s] - t) <= 1 for s, t in targets.items())
+        assert sum(0 < r["taken"] - r["epochs"] * r["size"] < r["size"] for r in out) <= len(sizes)
+    key = mixing.mix(docs, quality=F.col("q"), buckets=4).select("row.doc_id", "taken").groupBy("doc_id").agg(F.sum("taken").alias("n"))
+    same = mixing.mix(docs.repartition(3), quality=F.col("q"), buckets=256).select("row.doc_id", "taken").groupBy("doc_id").agg(F.sum("taken").alias("n"))
+    assert sorted(map(tuple, key.collect())) == sorted(map(tuple, same.collect()))
