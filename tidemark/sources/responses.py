@@ -71,10 +71,6 @@ def funding(bodies: DataFrame) -> DataFrame:
     return rows.select("e.symbol", F.col("e.fundingRateTimestamp").cast("long").alias("ts_ms"), F.col("e.fundingRateTimestamp").alias("ts_text"), F.col("e.fundingRate").alias("rate_text"), F.col("e.fundingRate").cast(STORED).alias("rate"))
 
 
-def announcements(bodies: DataFrame) -> DataFrame:
-    return _checked(bodies, _ANNOUNCED).select(F.explode("r.result.list").alias("a")).select("a.title", "a.description", "a.url", F.col("a.publishTime").alias("publish_time"), F.col("a.dateTimestamp").alias("date_timestamp"))
-
-
 def announcement_pages(total: int, page_size: int = 20, most: int = 1000) -> int:
     """Pages to ask for; more than ``most`` is an error."""
     pages = -(-total // page_size)
