@@ -22,6 +22,8 @@ from .common import WS, stage
 WEIGHTS, MOST = (5.0, 2.0, 1.0), 3
 _SPACE = " \t\n\x0b\x0c\r"
 _SYMBOLS = "#$%&*+<=>@[\\]^_{|}~!"
+#: Sources whose edges go to all tasks, some 80 bytes each; more are joined by a shuffle.
+MOST_SOURCES = 100_000
 #: Before every bucket: of a source without a budget nothing is taken beyond its epochs.
 NO_EDGE = -(1 << 40)
 #: Buckets a unit of the keys' logarithm, at least, and rows that the bucket in which a budget ends may hold.
@@ -75,9 +77,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     placed = cells.withColumn("above", F.coalesce(F.sum("words").over(along), F.lit(0))).alias("c").join(targets.alias("t"), F.expr("c.source <=> t.source"))
     at_edge = F.expr("budget > 0 AND above < budget AND above + words >= budget")
     edges = placed.groupBy("t.source", "source_size", "target", "epochs", "budget").agg(F.coalesce(F.min(F.when(at_edge, F.col("bucket"))), F.lit(NO_EDGE)).alias("edge"), F.coalesce(F.min(F.when(at_edge, F.col("above"))), F.lit(0)).alias("above"))
-    edges = edges.withColumnRenamed("source", "own")
+    edges = stage(edges.withColumnRenamed("source", "own"), "mix-edges")  # a row a source
+    few = edges.count() <= MOST_SOURCES
 
-    joined = base.join(edges, F.expr("source <=> own")).drop("own")
+    joined = base.join(F.broadcast(edges) if few else edges, F.expr("source <=> own")).drop("own")
     cell = ["source", "key", "id", F.shiftright("rid", 33).alias("part")]  # a row of equal key and id, and the partition it was written by
     sums = joined.where("bucket = edge").groupBy(*cell).agg(F.sum("size").alias("words"))
     sums = sums.select(*(F.col(c).alias(f"c_{c}") for c in ("source", "key", "id", "part")), F.coalesce(F.sum("words").over(Window.partitionBy("source").orderBy("key", "id", "part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("gone"))
