@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import timeops
 from tidemark.plans import pipelines
-from tidemark.sources import responses, store
+from tidemark.sources import fetch, responses, store
 from tidemark.streaming import decisions
 
 
@@ -91,3 +91,13 @@ def test_late_bars_are_telemetry(spark, tmp_path):
     decisions.drain(decisions.late_telemetry(read(native, "n"), read(decided, "d")), str(tmp_path / "o"), str(tmp_path / "s"))
     got = {r["window_ms"]: (r["native_close"], r["decided_close"]) for r in spark.read.parquet(str(tmp_path / "o")).collect()}
     assert got[0] == (1.5, 1.4) and got[900_000] == (2.5, None)
+
+
+def test_errors_have_their_type(spark):
+    body = lambda code, cells: json.dumps({"retCode": code, "retMsg": "m", "result": {"symbol": "A", "list": [cells]}})
+    cases = [(body(10006, ["1"] * 7), fetch.RefusedError), (body(0, ["1"] * 3), fetch.UnsoundPayloadError), ("{", fetch.UnsoundPayloadError)]
+    for text, kind in cases:
+        with pytest.raises(kind), fetch.typed():
+            responses.bars(spark.createDataFrame([(text,)], "body string")).collect()
+    with pytest.raises(ZeroDivisionError), fetch.typed():
+        1 / 0  # noqa: B018

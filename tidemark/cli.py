@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from .functions.timeops import DAY, HOUR, MINUTE
 from .plans import pipelines
-from .sources import responses, store
+from .sources import fetch, responses, store
 
 
 def _instruments(spark: SparkSession, args) -> tuple[DataFrame, DataFrame]:
@@ -103,7 +103,8 @@ def main(argv: list[str] | None = None) -> int:
             sub.add_argument(f"--{n.replace('_', '-')}", dest=n, type=int, default=0)
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("tidemark").config("spark.sql.session.timeZone", "UTC").getOrCreate()
-    return COMMANDS[args.command][0](spark, args)
+    with fetch.typed():
+        return COMMANDS[args.command][0](spark, args)
 
 
 if __name__ == "__main__":

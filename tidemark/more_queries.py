@@ -9,7 +9,7 @@ from .functions import decimals, hashing, timeops
 from .functions.timeops import DAY, HOUR, MINUTE
 from .operators import audit, bars, funding, indicators, inventory, plan, strategy, validation
 from .plans import pipelines
-from .queries import _LINE, EMA, LEVELS, LIFE, QUARTER, SHOWN, TAPE, Y1996, Y2024, _levels, _life, bars_sql, ms, query, scratch, seg_sql, shown, tape, text
+from .queries import _LINE, EMA, LEVELS, LIFE, QUARTER, SHOWN, TAPE, Y2024, _levels, _life, bars_sql, ms, query, scratch, seg_sql, shown, tape, text
 from .sources import fetch, responses, store
 from .streaming import decisions
 

@@ -51,7 +51,7 @@ def text(c: Column | str, scale: int = 2) -> Column:
 
 
 def ms(c: str) -> Column:
-    return F.unix_millis(F.col(c).cast("timestamp"))
+    return timeops.utc_ms(F.col(c))
 
 
 def tape(t) -> DataFrame:

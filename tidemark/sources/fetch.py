@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,6 +30,23 @@ class UnsoundPayloadError(SourceError):
     """A body does not have the expected form."""
 
 
+#: What the messages of raised rows begin with, and the error each stands for; other errors of a job pass as they are.
+_KINDS = (("refused: ", RefusedError), ("corrupt ", CorruptPageError), ("a bar has too few fields", UnsoundPayloadError), ("unsound ", UnsoundPayloadError), ("MALFORMED_RECORD", UnsoundPayloadError))
+
+
+@contextmanager
+def typed() -> Iterator[None]:
+    """Errors that rows raise inside a Spark job, as errors of a source."""
+    try:
+        yield
+    except (PySparkException, Py4JJavaError) as e:
+        message = str(e)
+        for mark, kind in _KINDS:
+            if mark in message:
+                raise kind(message.splitlines()[0]) from e
+        raise
+
+
 def should_retry(status: Column, code: Column) -> Column:
     """429, server errors and passing codes are asked again; 403 and other refusals fail at once; no status: transport failed."""
     return status.isNull() | (status == 429) | (status >= 500) | ((status == 200) & code.isin(*RETRY_CODES))
