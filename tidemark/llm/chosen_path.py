@@ -255,9 +255,9 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
     chosen = real.where(many).select("rid", "h1", "p").join(classes.select(F.col("node").alias("rid")), "rid", "left_semi").select("h1", "p")
     rows, cells = alone.union(chosen).select("h1", F.explode("p").alias("b")), None
     for level in range(1, LEVELS + 1):
-        dealt = rows.repartition("b")  # both the counts and the join read this one shuffle
-        counts = dealt.groupBy("b").agg(F.count("*").alias("n"), F.min("h1").alias("cell"), F.max("h1").alias("last")).where("cell <> last").drop("last")
-        met = stage(dealt.hint("merge").join(counts, "b"), f"met{level}")
+        counts = rows.groupBy("b").agg(F.count("*").alias("n"), F.min("h1").alias("cell"), F.max("h1").alias("last")).where("cell <> last").drop("last")
+        # a sort-merge join at every size, which splits a bucket that very many sets choose
+        met = stage(rows.hint("merge").join(stage(counts, f"buckets{level}"), "b"), f"met{level}")
         small = (met if level == LEVELS else met.where(F.col("n") <= LIMIT)).select("cell", "h1")
         cells = small if cells is None else cells.union(small)
         if level == LEVELS:
