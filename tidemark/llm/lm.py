@@ -35,11 +35,11 @@ from .common import remainder, stage, text_of
 
 HELD_OUT, FOLDS = 2, 7
 #: Most words whose counts go to all tasks; words with a class of their own; with an entry; shared classes; dimensions.
-N_TOP, N_OWN, N_WORDS, N_SHARED, DIM = 150_000, 96, 24_672, 128, 16
+N_TOP, N_OWN, N_WORDS, N_SHARED, DIM = 150_000, 64, 12_352, 96, 16
 #: Tokens a step; noise classes a step; noise entries a token; rates of rows and of matrices; share of the unigram distribution.
 BATCH, NOISE, ENTRY_NOISE, RATE, MATRIX_RATE, SMOOTH = 8192, 24, 1, 0.06, 0.01, 0.05
 #: One text in so many takes part in the first round.
-FIRST = 16
+FIRST = 24
 #: Distinct words a task counts before it passes them on.
 FLUSH = 250_000
 
