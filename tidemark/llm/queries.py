@@ -1,11 +1,11 @@
-"""The ten operators over the tables of a folder: one query each, and its SQL where SQL can express it."""
+"""The operators over the tables of a folder: one query each, and its SQL where SQL can express it."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, chosen_path, embeddings, gif, lm, mixing, packing, pii, quality, url_rules
+from . import alignment, chat, chosen_path, embeddings, filters_audit, gif, lm, mixing, packing, pii, quality, toxicity, url_rules
 from .common import remainder, stage, table
 
 #: The rules of op5 (host, path, action).
@@ -63,7 +63,22 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.join(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_embeddings, op2_quality, op3_lm, op4_media, op5_url_rules, op6_pii, op7_mixing, op8_chat, op9_packing, op10_jaccard)}
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.with_score(docs.select("doc_id", "text"), toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    held = remainder("doc_id", toxicity.FOLDS) == toxicity.HELD_OUT
+    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filters_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_embeddings, op2_quality, op3_lm, op4_media, op5_url_rules, op6_pii, op7_mixing, op8_chat, op9_packing, op10_jaccard, op11_toxicity, op12_filter_audit, op13_alignment)}
 
 #: Components of ``links`` (a, b both ways) over ``nodes`` (n): the smallest node that links reach.
 _REACH = """
@@ -122,5 +137,36 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
        CAST(sum(size) AS BIGINT) AS formatted_chars
 FROM sized GROUP BY conv_id
+""",
+    "op12_filter_audit": r"""
+WITH words AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+marks AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+failed AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         CASE WHEN len(w) < 200 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * (length(t) - length(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''))) > 2 * length(t) THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END || CASE WHEN words.doc_id > min(words.doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS mask
+  FROM words LEFT JOIN marks ON marks.doc_id = words.doc_id),
+counts AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM failed GROUP BY ALL),
+letters(l) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+orders AS (
+  SELECT a.l || b.l || c.l || d.l || e.l AS filter_order FROM letters a JOIN letters b ON b.l <> a.l JOIN letters c ON c.l NOT IN (a.l, b.l)
+  JOIN letters d ON d.l NOT IN (a.l, b.l, c.l) JOIN letters e ON e.l NOT IN (a.l, b.l, c.l, d.l)),
+steps AS (
+  SELECT part, filter_order, step, substr(filter_order, step, 1) AS f, n, good, toxic, mask,
+         length(translate(mask, substr(filter_order, step, 5), '')) > 0 AS gone
+  FROM counts, orders, (SELECT unnest(range(1, 6)) AS step)),
+per AS (
+  SELECT part, filter_order, CAST(step AS INTEGER) AS step, f,
+         sum(CASE WHEN NOT gone AND NOT contains(mask, f) THEN n ELSE 0 END) AS kept, sum(CASE WHEN NOT gone AND contains(mask, f) THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN gone AND contains(mask, f) THEN n ELSE 0 END) AS redundant, sum(CASE WHEN mask = f THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN NOT gone AND contains(mask, f) THEN good ELSE 0 END) AS good_lost, sum(CASE WHEN NOT gone AND contains(mask, f) THEN toxic ELSE 0 END) AS toxic_lost
+  FROM steps GROUP BY ALL)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM per
 """,
 }
