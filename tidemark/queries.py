@@ -733,3 +733,4 @@ def q60_streaming_15m(t):
 
 
 from . import more_queries  # noqa: E402, F401  (registers the queries over single rows, stored bodies and files)
+from . import source_queries  # noqa: E402, F401  (queries over the data sources)

@@ -58,6 +58,17 @@ def wait_seconds(attempt: Column, reset_in: Column) -> Column:
     return F.when((reset_in > 0) & (reset_in < 60), F.greatest(own, reset_in)).otherwise(own)
 
 
+def retries(status: int | None, code: int | None) -> bool:
+    """``should_retry`` for one answer."""
+    return status is None or status == 429 or status >= 500 or (status == 200 and code in RETRY_CODES)
+
+
+def pause(attempt: int, reset_in: float | None) -> float:
+    """``wait_seconds`` for one answer."""
+    own = min(LONGEST, FIRST * 2.0**attempt)
+    return max(own, reset_in) if reset_in is not None and 0 < reset_in < 60 else own
+
+
 def paced(requests, per_second: int = 10):
     """Start time of each request (ordered by n) in seconds, at most ``per_second`` a second."""
     return requests.withColumn("start_s", F.col("n") / float(per_second))
