@@ -1,4 +1,4 @@
-"""Queries over the data sources: pages written in two phases, and scans that ask for pages by window."""
+"""Queries over the data sources (pages written in two phases, scans that ask for pages by window) and over streams with kept state."""
 
 from __future__ import annotations
 
@@ -6,11 +6,12 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .functions.timeops import DAY
+from .functions.timeops import DAY, HOUR
 from .more_queries import bar_bodies, spark_of
 from .operators import bars
-from .queries import QUARTER, SHOWN, TAPE, bars_sql, query, scratch, shown, tape
+from .queries import EMA, QUARTER, SHOWN, TAPE, Y2024, bars_sql, query, scratch, seg_sql, shown, tape
 from .sources import page_scan, page_store, responses
+from .streaming import chains, decisions
 
 
 def bar_pages(t) -> DataFrame:
@@ -69,3 +70,62 @@ def q82d_scan_schedule(t):
     own = bars.tape_to_bars(tape(t), QUARTER).withColumn("day", F.col("start_ms") - F.col("start_ms") % DAY)
     ranges = own.groupBy("symbol").agg(F.min("day").alias("from_ms"), (F.max("day") + DAY).alias("to_ms"))
     return page_scan.schedule(ranges, QUARTER, DAY // QUARTER)
+
+
+#: EMA over 5 and ATR over 3 bars, whole, by symbol and start.
+CHAINS = f"""{EMA}, t0 AS (SELECT *, lag(close) OVER (PARTITION BY symbol, segment ORDER BY start_ms) AS pc FROM g),
+tn AS (SELECT *, row_number() OVER (PARTITION BY symbol, segment ORDER BY start_ms) AS k, CAST(greatest(high - low, abs(high - pc), abs(low - pc)) AS DOUBLE) AS x FROM t0 WHERE pc IS NOT NULL),
+atr AS (SELECT symbol, segment, 3 AS k, list_sum(list(x ORDER BY k)) / 3 AS m FROM tn WHERE k <= 3 GROUP BY symbol, segment HAVING count(*) = 3
+UNION ALL SELECT tn.symbol, tn.segment, tn.k::INTEGER, (atr.m * 2 + tn.x) / 3 FROM atr JOIN tn ON tn.symbol = atr.symbol AND tn.segment = atr.segment AND tn.k = atr.k + 1),
+chains AS (SELECT n.symbol, n.start_ms, n.k, n.x, round(ema.m, 6) AS ema, round(atr.m, 6) AS atr FROM n LEFT JOIN ema ON ema.symbol = n.symbol AND ema.segment = n.segment AND ema.k = n.k
+LEFT JOIN tn ON tn.symbol = n.symbol AND tn.start_ms = n.start_ms LEFT JOIN atr ON atr.symbol = n.symbol AND atr.segment = n.segment AND atr.k = tn.k)"""
+MIDDLE = Y2024 + 15 * DAY
+
+
+def _hours(t) -> DataFrame:
+    return bars.tape_to_bars(tape(t), HOUR).select("symbol", "start_ms", "high", "low", "close", "volume")
+
+
+def _rounded(rows: DataFrame) -> DataFrame:
+    return rows.select("symbol", "start_ms", F.round("ema", 6).alias("ema"), F.round("atr", 6).alias("atr"))
+
+
+def _two_runs(t) -> str:
+    """Both chains over the tape in two runs, the second one from the first one's checkpoint; the folder of output and state."""
+    b, spark, path = _hours(t), spark_of(t), scratch(spark_of(t))
+    for part in (F.col("start_ms") < MIDDLE, F.col("start_ms") >= MIDDLE):
+        b.where(part).write.mode("append").parquet(f"{path}/in")
+        decisions.drain(chains.chains(spark.readStream.schema(b.schema).parquet(f"{path}/in"), HOUR, 5, 3), f"{path}/out", f"{path}/state")
+    return path
+
+
+@query(f"WITH RECURSIVE {CHAINS} SELECT symbol, start_ms, ema, atr FROM chains")
+def q60d_streamed_chains(t):
+    """The stream is stopped in the middle, and goes on from its state."""
+    return _rounded(spark_of(t).read.parquet(f"{_two_runs(t)}/out"))
+
+
+@query(f"WITH RECURSIVE {CHAINS} SELECT symbol, max(start_ms) AS last_ms, arg_max(x, start_ms) AS last_close, arg_max(k, start_ms) AS n, arg_max(struct_pack(v := ema), start_ms).v AS ema, arg_max(struct_pack(v := atr), start_ms).v AS atr FROM chains GROUP BY symbol")
+def q60e_chain_state(t):
+    """The state of the stopped stream, read as a table."""
+    state = chains.stored_state(spark_of(t), f"{_two_runs(t)}/state")
+    return state.select("symbol", "last_ms", "last_close", "n", F.round("ema", 6).alias("ema"), F.round("atr", 6).alias("atr"))
+
+
+@query(f"WITH RECURSIVE {CHAINS} SELECT symbol, start_ms, ema, atr FROM chains WHERE start_ms >= {MIDDLE}")
+def q60f_chains_from_a_batch(t):
+    """The first half is history, whose last state by the batch forms is where the stream begins."""
+    b, spark, path = _hours(t), spark_of(t), scratch(spark_of(t))
+    b.where(F.col("start_ms") >= MIDDLE).write.parquet(f"{path}/in")
+    start = chains.last_state(b.where(F.col("start_ms") < MIDDLE), HOUR, 5, 3)
+    decisions.drain(chains.chains(spark.readStream.schema(b.schema).parquet(f"{path}/in"), HOUR, 5, 3, start), f"{path}/out", f"{path}/state")
+    return _rounded(spark.read.parquet(f"{path}/out"))
+
+
+@query(f"WITH RECURSIVE {TAPE}, {bars_sql(HOUR)}, {seg_sql('b', HOUR)}, s AS (SELECT symbol, segment, max(start_ms) AS last_ms, count(*) AS n, CAST(max(high) AS VARCHAR) AS high, CAST(min(low) AS VARCHAR) AS low, CAST(sum(volume) AS BIGINT) AS volume FROM g GROUP BY ALL) SELECT * FROM s WHERE last_ms + {HOUR + 1} <= (SELECT max(start_ms) FROM b) - {HOUR}")
+def q60g_streamed_segments(t):
+    """Every bar comes twice; segments come once the watermark has passed their end."""
+    b, spark, path = _hours(t), spark_of(t), scratch(spark_of(t))
+    b.unionByName(b).write.parquet(f"{path}/in")
+    decisions.drain(chains.streamed_segments(spark.readStream.schema(b.schema).parquet(f"{path}/in"), HOUR), f"{path}/out", f"{path}/state")
+    return spark.read.parquet(f"{path}/out").select("symbol", "segment", "last_ms", "n", F.col("high").cast("string").alias("high"), F.col("low").cast("string").alias("low"), F.col("volume").cast("long").alias("volume"))
