@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.timeops import align_down
+from .halo import framed
 
 FIELDS = ("open", "high", "low", "close", "volume", "turnover")
 
@@ -50,8 +51,8 @@ def conflicts(rows: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
 
 def gaps(bars: DataFrame, step: int) -> DataFrame:
     """symbol, expected_ms, actual_ms wherever a bar does not follow the one before."""
-    before = F.lag("start_ms").over(Window.partitionBy("symbol").orderBy("start_ms"))
-    return bars.withColumn("expected_ms", before + step).where("start_ms <> expected_ms").select("symbol", "expected_ms", F.col("start_ms").alias("actual_ms"))
+    marked = framed(bars.select("symbol", "start_ms"), ["symbol"], "start_ms", 1, lambda b, w: b.withColumn("expected_ms", F.lag("start_ms").over(w) + step), 1000 * step)
+    return marked.where("start_ms <> expected_ms").select("symbol", "expected_ms", F.col("start_ms").alias("actual_ms"))
 
 
 def missing_slots(bars: DataFrame, ranges: DataFrame, step: int) -> DataFrame:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import sample_1_in
-from ..functions.timeops import HOUR, MINUTE, is_aligned
+from ..functions.timeops import DAY, HOUR, MINUTE, is_aligned
+from .halo import framed
 
 LOOKBACK_MS = 120 * MINUTE
 
@@ -17,8 +18,9 @@ def distinct_events(rows: DataFrame) -> DataFrame:
 
 
 def with_interval(events: DataFrame) -> DataFrame:
-    before = F.lag("ts_ms").over(Window.partitionBy("symbol").orderBy("ts_ms"))
-    return events.withColumn("interval_min", ((F.col("ts_ms") - before) / MINUTE).cast("long"))
+    """``events`` with the minutes since the symbol's event before."""
+    since = lambda e, w: e.withColumn("interval_min", ((F.col("ts_ms") - F.lag("ts_ms").over(w)) / MINUTE).cast("long"))
+    return framed(events, ["symbol"], "ts_ms", 1, since, 30 * DAY)
 
 
 def intervals(events: DataFrame) -> DataFrame:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.timeops import DAY
 from .bars import roll_up, segments
+from .halo import framed
 
 
 def _chained(rows: DataFrame, value: str, period: int, keep: float, gain: float, out: str, lag: int = 0, block: int = 512) -> DataFrame:
@@ -70,11 +71,15 @@ def atr(bars: DataFrame, step: int, period: int = 14) -> DataFrame:
     return _chained(valid, "tr", period, (period - 1) / period, 1 / period, "atr")
 
 
-def volume_ratio(bars: DataFrame, n: int = 20) -> DataFrame:
-    """Volume over the mean of the ``n`` bars before it; null without that many, or where their mean is 0."""
-    w = Window.partitionBy("symbol").orderBy("start_ms").rowsBetween(-n, -1)
-    mean = F.when(F.count("volume").over(w) == n, F.avg(F.col("volume").cast("double")).over(w))
-    return bars.withColumn("volume_ratio", F.col("volume").cast("double") / F.nullif(mean, F.lit(0.0)))
+def volume_ratio(bars: DataFrame, n: int = 20, width: int = DAY) -> DataFrame:
+    """Volume over the mean of the ``n`` bars before it; null without that many, or where their mean is 0. Bars are dealt by ``width``."""
+
+    def make(rows: DataFrame, w: WindowSpec) -> DataFrame:
+        frame = w.rowsBetween(-n, -1)
+        mean = F.when(F.count("volume").over(frame) == n, F.avg(F.col("volume").cast("double")).over(frame))
+        return rows.withColumn("volume_ratio", F.col("volume").cast("double") / F.nullif(mean, F.lit(0.0)))
+
+    return framed(bars, ["symbol"], "start_ms", n, make, width)
 
 
 def period_levels(bars: DataFrame, step: int, period_ms: int) -> DataFrame:
@@ -89,10 +94,15 @@ def universe(bars: DataFrame, cutoff: Column, step: int, n: int = 96, top_turnov
     """Per day: of the symbols with ``n`` contiguous closed bars before the day's cutoff, the ``top_turnover`` by turnover, then the
     ``top_volatility`` by standard deviation of the n - 1 log returns; ties by turnover, then symbol."""
     day = F.col("start_ms") - F.pmod("start_ms", F.lit(DAY))
-    w = Window.partitionBy("symbol").orderBy("start_ms")
-    with_return = bars.withColumn("ret", F.when((F.lag("start_ms").over(w) == F.col("start_ms") - step) & (F.col("close") > 0) & (F.lag("close").over(w) > 0), F.log(F.col("close").cast("double") / F.lag("close").over(w).cast("double"))))
-    frame, inner = w.rowsBetween(-(n - 1), 0), w.rowsBetween(-(n - 2), 0)
-    rolled = with_return.withColumn("turnover_sum", F.sum("turnover").over(frame)).withColumn("rv", F.stddev_samp("ret").over(inner)).withColumn("n_ret", F.count("ret").over(inner))
+
+    def make(rows: DataFrame, w: WindowSpec) -> DataFrame:
+        before = F.lag("close").over(w)
+        follows = (F.lag("start_ms").over(w) == F.col("start_ms") - step) & (F.col("close") > 0) & (before > 0)
+        with_return = rows.withColumn("ret", F.when(follows, F.log(F.col("close").cast("double") / before.cast("double"))))
+        frame, inner = w.rowsBetween(-(n - 1), 0), w.rowsBetween(-(n - 2), 0)
+        return with_return.withColumn("turnover_sum", F.sum("turnover").over(frame)).withColumn("rv", F.stddev_samp("ret").over(inner)).withColumn("n_ret", F.count("ret").over(inner))
+
+    rolled = framed(bars, ["symbol"], "start_ms", n, make, max(DAY, n * step))
     closed = rolled.withColumn("day_ms", day).where((F.col("start_ms") + step <= cutoff) & (F.col("n_ret") == n - 1))
     last = closed.groupBy("symbol", "day_ms").agg(F.max_by(F.struct("turnover_sum", "rv"), "start_ms").alias("s")).select("symbol", "day_ms", "s.*")
     by_turnover = F.row_number().over(Window.partitionBy("day_ms").orderBy(F.desc("turnover_sum"), "symbol"))

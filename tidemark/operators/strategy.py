@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.decimals import GRID, floor_to_step, rounded_price
+from ..functions.timeops import DAY
+from .halo import framed
 
 #: Parameters of the strategy, frozen before validation.
 PARAMETERS = {"ema_period": 50, "slope_lag": 3, "volume_ratio": 1.5, "atr_period": 14, "stop_atr": 0.5, "expiry_bars": 8, "k_cost": 5, "risk": 0.005, "total_risk": 0.01, "slots": 2, "fills": 3, "daily_stop": 0.01, "position_notional": 2.0, "portfolio_notional": 3.0, "tp1_share": 0.5, "tp1_r": 2}
@@ -64,8 +66,7 @@ def merge_levels(levels: DataFrame) -> DataFrame:
 
 def crosses(bars: DataFrame, levels: DataFrame, day: Column) -> DataFrame:
     """Crossed levels of each bar, the outermost as setup: symbol, start_ms, side, level, crossed (all of them)."""
-    w = Window.partitionBy("symbol").orderBy("start_ms")
-    moved = bars.withColumn("previous_close", F.lag("close").over(w)).withColumn("day_ms", day)
+    moved = framed(bars, ["symbol"], "start_ms", 1, lambda b, w: b.withColumn("previous_close", F.lag("close").over(w)), 30 * DAY).withColumn("day_ms", day)
     joined = moved.join(levels.select("symbol", "day_ms", "side", F.col("price").alias("level")), ["symbol", "day_ms"])
     up = (F.col("side") == "LONG") & (F.col("previous_close") <= F.col("level")) & (F.col("close") > F.col("level"))
     down = (F.col("side") == "SHORT") & (F.col("previous_close") >= F.col("level")) & (F.col("close") < F.col("level"))
