@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions.decimals import adverse_bps
 from ..functions.hashing import sha256
+from ..functions.shared import cut
 from ..functions.timeops import DAY
+from .passage import block_index, first_passage
 
 
 def trade_stats(trades: DataFrame, by: list[str], r: str = "net_r", order: str = "closed_ms", width_ms: int = 7 * DAY) -> DataFrame:
@@ -102,19 +104,17 @@ def final_decision(n: Column, signs: Column, good_neighbours: Column, ci_low: Co
     return F.when(~F.coalesce(signs, F.lit(False)) | (good_neighbours < 8), "FAIL").when((n < 200) | ~F.coalesce(ci_low > 0, F.lit(False)), "INCONCLUSIVE").otherwise("PASS")
 
 
-def slippage_events(setups: DataFrame, tape: DataFrame) -> DataFrame:
+def slippage_events(setups: DataFrame, tape: DataFrame, index: DataFrame | None = None) -> DataFrame:
     """Slippage of stops, whatever the cost model: for each structural setup (setup_id, symbol, side, entry, stop, active_ms, level, and the
     flags universe_ok, trend_ok, volume_ok, session_ok, news_ok, room_ok, grid_ok) the first trade beyond the stop after its entry was
     penetrated, and its adverse distance in basis points. Cost floor, sizing and capacity take no part.
 
-    ``tape`` has symbol, t, px, seq. Penetration and stop are looked for with an as-of join over trades dealt by symbol and day."""
+    ``tape`` has symbol, t, px, seq. Both trades are first passages, found through an index of the tape's blocks (``index``, or made here), so a setup
+    reads the trades of four blocks at most, not those of a day."""
     sound = F.col("universe_ok") & F.col("trend_ok") & F.col("volume_ok") & F.col("session_ok") & F.col("news_ok") & F.col("room_ok") & F.col("grid_ok")
-    kept = setups.where(sound).select("setup_id", "symbol", "side", "entry", "stop", "active_ms", F.explode(F.sequence(F.floor(F.col("active_ms") / DAY), F.floor((F.col("active_ms") + DAY - 1) / DAY))).alias("_day"))
-    near = kept.join(tape.withColumn("_day", F.floor(F.col("t") / DAY)), ["symbol", "_day"]).where("t >= active_ms AND t < active_ms + 86400000")
-    long = F.col("side") == "LONG"
-    at = F.struct("t", "seq", "px")
-    filled = near.groupBy("setup_id").agg(F.min(F.when(F.when(long, F.col("px") < F.col("entry")).otherwise(F.col("px") > F.col("entry")), at)).alias("filled")).where("filled IS NOT NULL")
-    after = near.join(filled, "setup_id").where((F.col("t") > F.col("filled.t")) | ((F.col("t") == F.col("filled.t")) & (F.col("seq") > F.col("filled.seq"))))
-    through = F.when(long, F.col("px") <= F.col("stop")).otherwise(F.col("px") >= F.col("stop"))
-    hit = after.groupBy("setup_id").agg(F.first("side").alias("side"), F.first("stop").alias("stop"), F.min(F.when(through, at)).alias("hit")).where("hit IS NOT NULL")
-    return hit.select("setup_id", F.col("hit.t").alias("stopped_ms"), adverse_bps(F.col("side"), F.col("hit.px"), F.col("stop")).alias("bps"))
+    index = cut(block_index(tape)) if index is None else index
+    kept = setups.where(sound).select(F.col("setup_id").alias("ask_id"), "symbol", "side", "entry", "stop", (F.col("side") == "LONG").alias("falling"), (F.col("active_ms") + DAY).alias("until_ms"), "active_ms")
+    filled = first_passage(kept.select("*", F.col("entry").alias("level"), F.col("active_ms").alias("from_ms"), F.lit(None).cast("long").alias("from_seq")), tape, index)
+    open_ = kept.join(filled.select("ask_id", F.col("t").alias("from_ms"), F.col("seq").alias("from_seq")), "ask_id").withColumn("level", F.col("stop"))
+    hit = first_passage(open_, tape, index, strict=False).join(kept.select("ask_id", "side", "stop"), "ask_id")
+    return hit.select(F.col("ask_id").alias("setup_id"), F.col("t").alias("stopped_ms"), adverse_bps(F.col("side"), F.col("px"), F.col("stop")).alias("bps"))
