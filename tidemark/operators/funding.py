@@ -31,12 +31,13 @@ def intervals(events: DataFrame) -> DataFrame:
 def value_events(events: DataFrame, marks_60m: DataFrame, marks_1m: DataFrame, denominator: int = 100) -> DataFrame:
     """Each event (symbol, ts_ms, rate) with a mark price: the hour's open, unless a sampled minute's open contradicts it,
     then the minute's open, then the close of the minute before (approximate), else none. Minute opens are looked
-    at where there is no hourly one, and for a deterministic sample."""
+    at where there is no hourly one, and for a deterministic sample. The marks are joined by their own symbol and start, so canonical
+    tables are read where they lie and only events are shuffled."""
     hour = marks_60m.select("symbol", F.col("start_ms").alias("ts_ms"), F.col("open").alias("mark_60m_open"))
     minute = marks_1m.select("symbol", F.col("start_ms").alias("ts_ms"), F.col("open").alias("minute_open"))
-    previous = marks_1m.select("symbol", (F.col("start_ms") + MINUTE).alias("ts_ms"), F.col("close").alias("previous_close"))
+    previous = marks_1m.select("symbol", F.col("start_ms").alias("_before_ms"), F.col("close").alias("previous_close"))
     keys = ["symbol", "ts_ms"]
-    joined = events.join(hour, keys, "left").join(minute, keys, "left").join(previous, keys, "left")
+    joined = events.join(hour, keys, "left").join(minute, keys, "left").withColumn("_before_ms", F.col("ts_ms") - MINUTE).join(previous, ["symbol", "_before_ms"], "left")
     joined = joined.withColumn("hour_aligned", is_aligned(F.col("ts_ms"), HOUR)).withColumn("mark_60m_open", F.when(F.col("hour_aligned"), F.col("mark_60m_open")))
     checked = ~F.col("hour_aligned") | F.col("mark_60m_open").isNull() | sample_1_in(F.col("symbol"), F.col("ts_ms"), denominator)
     out = joined.withColumn("sampled_exact_1m", checked).withColumn("sampled_1m_open", F.when(F.col("sampled_exact_1m"), F.col("minute_open")))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.shared import cut
+
 #: Words that make an announcement a delisting candidate; symbols a pilot prefers, in order; the
 #: closed symbol it wants.
 KEYWORDS = ("delist", "migration", "migrate", "conversion", "upgrade")
@@ -80,47 +81,49 @@ def identity_overlap(edges: DataFrame, instruments: DataFrame) -> DataFrame:
     return joined.select("left_symbol", "right_symbol", "relation", F.col("left_launch_ms").isNotNull().alias("left_present"), F.col("right_launch_ms").isNotNull().alias("right_present"), "left_launch_ms", "left_delivery_ms", "right_launch_ms", "right_delivery_ms", overlap.alias("metadata_overlap_ms"), F.lit(False).alias("automatic_stitching"))
 
 
-#: Names of closed instruments that a task holds at once; beyond, announcements are matched by a nested loop.
-MOST_NAMES = 200_000
+#: Length of the pieces of text that names are looked up by.
+GRAM = 3
 
 
-def delisting_candidates(announcements: DataFrame, instruments: DataFrame, keywords: tuple[str, ...] = KEYWORDS, ordered: bool = True) -> DataFrame:
-    """Announcements with a keyword that name a delivered instrument by symbol or base coin, anywhere in the text.
+def _pieces(text: str, n: int) -> Column:
+    """All substrings of ``n`` characters."""
+    part = f"slice(c, i, {n})"
+    return F.expr(f"transform(array(split({text}, '')), c -> IF(size(c) < {n} OR {text} = '', cast(array() AS array<string>), transform(sequence(1, size(c) - {n} + 1), i -> array_join({part}, ''))))[0]")
+
+
+def names_in_texts(texts: DataFrame, names: DataFrame) -> DataFrame:
+    """_id, name of every name (a column of distinct, not empty texts) that occurs anywhere in a text (_id, _text).
 
-    All symbols and coins, at most MOST_NAMES of them, become one automaton, which finds every name in one pass over a text;
-    the rest is a join by name. More names than that are joined by the substring condition itself."""
+    An inverted index: texts are cut into the pieces that names have (of ``GRAM`` characters; a shorter name is a piece itself), and each
+    name is looked up by the one of its pieces that the fewest texts hold. A name with a piece that no text holds is looked up nowhere.
+    What is found is verified. Neither all names nor all texts are in one place."""
+    sizes = sorted(r[0] for r in names.select(F.least(F.length("name"), F.lit(GRAM))).distinct().collect())  # at most three numbers
+    if not sizes:
+        return texts.select("_id", F.lit("").alias("name")).where(F.lit(False))
+    wanted = names.select("name", F.explode(F.when(F.length("name") < GRAM, F.array("name")).otherwise(F.array_distinct(_pieces("name", GRAM)))).alias("piece"))
+    held = texts.select("_id", F.explode(F.array_distinct(F.concat(*(_pieces("_text", n) for n in sizes)))).alias("piece"))
+    held = cut(held.join(wanted.select("piece").distinct(), "piece", "left_semi"))
+    rare = wanted.join(held.groupBy("piece").agg(F.count("*").alias("n")), "piece", "left").groupBy("name")
+    rare = rare.agg(F.min_by("piece", F.struct("n", "piece")).alias("piece"), F.bool_and(F.col("n").isNotNull()).alias("all")).where("all").select("name", "piece")
+    maybe = held.join(rare, "piece").select("_id", "name")
+    return maybe.join(texts, "_id").where(F.col("_text").contains(F.col("name"))).select("_id", "name")
+
+
+def delisting_candidates(announcements: DataFrame, instruments: DataFrame, keywords: tuple[str, ...] = KEYWORDS, ordered: bool = True) -> DataFrame:
+    """Announcements with a keyword that name a delivered instrument by symbol or base coin, anywhere in the text."""
     text = F.upper(F.concat_ws("\n", F.coalesce("title", F.lit("")), F.coalesce("description", F.lit(""))))
     named = announcements.withColumn("_text", text)
     hit = F.lit(False)
     for k in keywords:
         hit = hit | F.col("_text").contains(k.upper())
-    named = named.where(hit)
+    named = cut(named.where(hit).withColumn("_id", F.monotonically_increasing_id()))
     closed = instruments.where(F.coalesce("delivery_ms", F.lit(0)) > 0).select("symbol", "base_coin", "delivery_ms", F.upper("symbol").alias("_symbol"), F.upper("base_coin").alias("_coin"))
-    names = closed.select(F.explode(F.array("_symbol", "_coin")).alias("name")).where("name <> ''").distinct()
-    known = [r[0] for r in names.limit(MOST_NAMES + 1).collect()]
-    exact, base = F.col("_text").contains(F.col("_symbol")), F.col("_text").contains(F.col("_coin"))
-    if len(known) <= MOST_NAMES:
-
-        @F.pandas_udf("array<string>")
-        def found(texts: pd.Series) -> pd.Series:
-            import ahocorasick
-
-            automaton = ahocorasick.Automaton()
-            for n in known:
-                automaton.add_word(n, n)
-            if not known:
-                return pd.Series([[] for _ in texts])
-            automaton.make_automaton()
-            return pd.Series([sorted({n for _, n in automaton.iter(t)}) for t in texts])
-
-        by_name = closed.withColumn("_name", F.explode(F.array_distinct(F.array("_symbol", "_coin"))))
-        rows = named.withColumn("_all", found("_text"))
-        joined = rows.withColumn("_name", F.explode("_all")).join(by_name, "_name")
-        first = F.when(F.array_contains("_all", F.col("_symbol")), F.col("_symbol")).otherwise(F.col("_coin"))
-        joined = joined.where(F.col("_name") == first)  # once, where both names are there
-    else:
-        joined = named.join(closed, exact | base)
+    closed = cut(closed.withColumn("_row", F.monotonically_increasing_id()))
+    by_name = closed.select("_row", "_symbol", F.explode(F.array_distinct(F.array("_symbol", "_coin"))).alias("name")).where("name <> ''").withColumn("_exact", F.col("name") == F.col("_symbol")).drop("_symbol")
+    found = names_in_texts(named.select("_id", "_text"), by_name.select("name").distinct())
+    pairs = found.join(by_name, "name").groupBy("_id", "_row").agg(F.bool_or("_exact").alias("_exact"))
+    joined = pairs.join(closed, "_row").join(named, "_id")
     published = F.coalesce(F.col("publish_time").try_cast("long"), F.lit(0))
-    kind = F.when(exact, "EXACT_SYMBOL").otherwise("BASE_COIN_CANDIDATE")
+    kind = F.when(F.col("_exact"), "EXACT_SYMBOL").otherwise("BASE_COIN_CANDIDATE")
     out = joined.select("symbol", "base_coin", "delivery_ms", kind.alias("match_kind"), "title", "description", published.alias("publish_time_ms"))
     return out.orderBy("symbol", "publish_time_ms", "title") if ordered else out

@@ -6,11 +6,11 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .functions.timeops import DAY, HOUR
+from .functions.timeops import DAY, HOUR, MINUTE
 from .more_queries import bar_bodies, spark_of
-from .operators import bars
-from .queries import EMA, QUARTER, SHOWN, TAPE, Y2024, bars_sql, query, scratch, seg_sql, shown, tape
-from .sources import page_scan, page_store, responses
+from .operators import bars, funding, inventory
+from .queries import EMA, ORACLE_SQL, QUARTER, SHOWN, TAPE, Y2024, _funding_events, bars_sql, query, scratch, seg_sql, shown, tape
+from .sources import canonical, page_scan, page_store, responses
 from .streaming import chains, decisions
 
 
@@ -129,3 +129,31 @@ def q60g_streamed_segments(t):
     b.unionByName(b).write.parquet(f"{path}/in")
     decisions.drain(chains.streamed_segments(spark.readStream.schema(b.schema).parquet(f"{path}/in"), HOUR), f"{path}/out", f"{path}/state")
     return spark.read.parquet(f"{path}/out").select("symbol", "segment", "last_ms", "n", F.col("high").cast("string").alias("high"), F.col("low").cast("string").alias("low"), F.col("volume").cast("long").alias("volume"))
+
+
+@query(ORACLE_SQL["q31_funding_mark_fallback"])
+def q31c_marks_of_canonical_tables(t):
+    """The marks are written as canonical tables, opened again, and joined where they lie."""
+    spark, path, marks = spark_of(t), scratch(spark_of(t)), {}
+    for step in (HOUR, MINUTE):
+        b = bars.tape_to_bars(tape(t), step)
+        canonical.write(b, f"{path}/{step}", 8)
+        marks[step] = canonical.open_table(spark, f"{path}/{step}", b.schema, 8)
+    v = funding.value_events(_funding_events(t), marks[HOUR], marks[MINUTE], 2)
+    return v.select("symbol", "ts_ms", F.col("mark_price").cast("string").alias("mark_price"), "mark_source", "mark_approximate", "hour_aligned", "sampled_exact_1m", "sample_match")
+
+
+@query(ORACLE_SQL["q04_rollup_vs_native_daily"])
+def q04c_reconcile_canonical_tables(t):
+    path = scratch(spark_of(t))
+    local = canonical.write(bars.roll_up(bars.tape_to_bars(tape(t), HOUR), HOUR, DAY), f"{path}/local", 8)
+    native = canonical.write(bars.tape_to_bars(tape(t), DAY), f"{path}/native", 8)
+    return bars.reconcile(local, native).withColumn("differing", F.array_join("differing", ","))
+
+
+@query("WITH names AS (SELECT DISTINCT split_part(text, ' ', 1) AS name FROM documents WHERE split_part(text, ' ', 1) <> '') SELECT doc_id, name FROM documents JOIN names ON contains(text, name)")
+def q35b_names_in_texts(t):
+    """The first word of every document, wherever it occurs in any."""
+    docs = t("documents").where("text IS NOT NULL")
+    names = docs.select(F.split("text", " ")[0].alias("name")).where("name <> ''").distinct()
+    return inventory.names_in_texts(docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text")), names).select(F.col("_id").alias("doc_id"), "name")
