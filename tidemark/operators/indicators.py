@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from ..functions.shared import cut
 from ..functions.timeops import DAY
 from .bars import roll_up, segments
 from .halo import framed
@@ -115,11 +116,57 @@ def admission_rank() -> Column:
     return F.row_number().over(Window.partitionBy("activation_ms").orderBy(F.desc("turnover_sum"), F.desc("volume_ratio"), "symbol"))
 
 
+def _gcd(a: str, b: str) -> str:
+    return f"aggregate(sequence(1, 92), struct(cast({a} AS bigint) AS x, cast({b} AS bigint) AS y), (s, _i) -> CASE WHEN s.y = 0 THEN s ELSE struct(s.y AS x, s.x % s.y AS y) END, s -> s.x)"
+
+
+def _divisors(units: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, g, k: the greatest common divisor of the distinct units u of a key, and their number. Units are reduced in partial groups before
+    they meet."""
+    fold = "aggregate({}, 0L, (a, b) -> " + _gcd("a", "b") + ")"
+    parts = units.distinct().groupBy(*keys, F.pmod(F.xxhash64("u"), F.lit(64)).alias("_part")).agg(F.expr(fold.format("collect_list(u)")).alias("g"), F.count("*").alias("k"))
+    return parts.groupBy(*keys).agg(F.expr(fold.format("collect_list(g)")).alias("g"), F.sum("k").alias("k"))
+
+
+def _units(prices: DataFrame, places: int, *more: Column) -> DataFrame:
+    return prices.select("symbol", F.round(F.col("px").cast("decimal(28,12)") * 10**places).cast("long").alias("u"), *more)
+
+
 def tick_lattice(prices: DataFrame, places: int = 8) -> DataFrame:
-    """Per symbol the greatest common divisor of its prices in units of 10^-places, and whether all lie on it. Distinct
-    residues are reduced pairwise in partial groups before they meet."""
-    units = prices.select("symbol", F.round(F.col("px").cast("decimal(28,12)") * 10**places).cast("long").alias("u")).distinct()
-    fold = "aggregate({}, 0L, (a, b) -> aggregate(sequence(1, 64), struct(a AS x, b AS y), (s, i) -> CASE WHEN s.y = 0 THEN s ELSE struct(s.y AS x, s.x % s.y AS y) END, s -> s.x))"
-    parts = units.groupBy("symbol", F.pmod(F.xxhash64("u"), F.lit(64)).alias("part")).agg(F.expr(fold.format("collect_list(u)")).alias("g"))
-    found = parts.groupBy("symbol").agg(F.expr(fold.format("collect_list(g)")).alias("tick_units"))
-    return found
+    """symbol, tick_units: the greatest common divisor of a symbol's prices in units of 10^-places."""
+    return _divisors(_units(prices, places), ["symbol"]).select("symbol", F.col("g").alias("tick_units"))
+
+
+#: Bits of evidence that a change of the lattice needs: prices that would lie on the coarser lattice by chance with a probability of 2^-20 at most.
+BITS = 20
+
+
+def lattice_regimes(prices: DataFrame, period_ms: int, places: int = 8, declared: DataFrame | None = None, bits: int = BITS) -> DataFrame:
+    """Price lattices of symbols over time: symbol, from_ms, to_ms, tick_units, prices (distinct ones by period), trades, on_lattice and confidence.
+
+    Every period (from ``t`` of the prices: symbol, t, px) has the divisor of its own prices. Periods join their neighbours as long as the lattice
+    holds; a regime ends where prices leave its lattice although ``bits`` speak for it, or keep to a coarser one for as much evidence. k prices lie on a
+    lattice c times as coarse as the true one by chance with probability c^-k, so they give k log2(c) bits, and a regime of k prices has the
+    confidence 1 - 2^-k. ``on_lattice`` is the share of the regime's trades on its lattice, counted again; with ``declared`` (symbol, tick_units) also
+    ``on_declared``, which is null without such a row. What is gathered by symbol is a row a period. Prices that are not positive are left out."""
+    units = _units(prices.where("px > 0"), places, (F.floor(F.col("t") / period_ms) * period_ms).alias("p"))
+    each = _divisors(units, ["symbol", "p"])
+    both = _gcd("r.g", "e.g")
+    breaks = f"r.g > 0 AND ((d = r.g AND e.g > r.g AND e.k * log2(e.g / r.g) >= {bits}) OR (d < r.g AND r.k * log2(r.g / d) >= {bits}))"
+    own = "struct(r.a AS a, r.z AS z, r.g AS g, r.k AS k)"
+    step = f"transform(array({both}), d -> CASE WHEN {breaks} THEN struct(e.p AS a, e.p AS z, e.g AS g, e.k AS k, concat(r.done, array({own})) AS done) ELSE struct(coalesce(r.a, e.p) AS a, e.p AS z, d AS g, r.k + e.k AS k, r.done AS done) END)[0]"
+    start = "struct(cast(NULL AS bigint) AS a, cast(NULL AS bigint) AS z, 0L AS g, 0L AS k, cast(array() AS array<struct<a: bigint, z: bigint, g: bigint, k: bigint>>) AS done)"
+    ordered = each.groupBy("symbol").agg(F.array_sort(F.collect_list(F.struct("p", "g", "k"))).alias("es"))
+    regimes = ordered.select("symbol", F.explode(F.expr(f"aggregate(es, {start}, (r, e) -> {step}, r -> concat(r.done, array({own})))")).alias("r")).select("symbol", "r.*")
+    regimes = cut(regimes)
+    periods = each.select("symbol", "p").join(regimes, "symbol").where("p BETWEEN a AND z").select("symbol", "p", "a", "g")
+    counted = units.groupBy("symbol", "p", "u").agg(F.count("*").alias("n")).join(periods, ["symbol", "p"])
+    if declared is not None:
+        counted = counted.join(declared.select("symbol", F.col("tick_units").alias("_said")), "symbol", "left")
+    share = lambda g: F.round(F.sum(F.when(F.col("u") % F.col(g) == 0, F.col("n")).otherwise(F.when(F.col(g).isNotNull(), 0))) / F.sum("n"), 6)
+    checked = counted.groupBy("symbol", "a").agg(F.sum("n").alias("trades"), share("g").alias("on_lattice"), *([share("_said").alias("on_declared")] if declared is not None else []))
+    whole = regimes.join(checked, ["symbol", "a"])
+    return whole.select(
+        "symbol", F.col("a").alias("from_ms"), (F.col("z") + period_ms).alias("to_ms"), F.col("g").alias("tick_units"), F.col("k").alias("prices"), "trades", "on_lattice",
+        *(["on_declared"] if declared is not None else []), F.round(1 - F.pow(F.lit(2.0), -F.col("k")), 9).alias("confidence"),
+    )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from .functions.timeops import DAY, HOUR, MINUTE
 from .more_queries import bar_bodies, spark_of
-from .operators import bars, funding, inventory
+from .operators import bars, funding, indicators, inventory
 from .queries import EMA, ORACLE_SQL, QUARTER, SHOWN, TAPE, Y2024, _funding_events, bars_sql, query, scratch, seg_sql, shown, tape
 from .sources import canonical, page_scan, page_store, responses
 from .streaming import chains, decisions
@@ -157,3 +157,20 @@ def q35b_names_in_texts(t):
     docs = t("documents").where("text IS NOT NULL")
     names = docs.select(F.split("text", " ")[0].alias("name")).where("name <> ''").distinct()
     return inventory.names_in_texts(docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text")), names).select(F.col("_id").alias("doc_id"), "name")
+
+
+@query(f"""WITH RECURSIVE {TAPE}, c AS (SELECT symbol, t - t % {DAY} AS p, CASE WHEN t < {MIDDLE} THEN CAST(px * 100 AS BIGINT) ELSE CAST(px * 100 AS BIGINT) - CAST(px * 100 AS BIGINT) % 5 END AS u FROM tape),
+v AS (SELECT * FROM c WHERE u > 0), k AS (SELECT DISTINCT symbol, p, u FROM v),
+per AS (SELECT symbol, p, list_reduce(list(u ORDER BY u), lambda a, b: gcd(a, b)) AS g, count(*) AS k, row_number() OVER (PARTITION BY symbol ORDER BY p) AS i FROM k GROUP BY symbol, p),
+f AS (SELECT symbol, i, p, 1 AS regime, g::BIGINT AS g, k::BIGINT AS k FROM per WHERE i = 1 UNION ALL
+SELECT symbol, i, p, CASE WHEN brk THEN regime + 1 ELSE regime END, (CASE WHEN brk THEN eg ELSE d END)::BIGINT, (CASE WHEN brk THEN ek ELSE k + ek END)::BIGINT FROM (
+SELECT per.symbol, per.i, per.p, regime, f.g, f.k, per.g AS eg, per.k AS ek, gcd(f.g, per.g) AS d, (d = f.g AND per.g > f.g AND per.k * log2(per.g / f.g::DOUBLE) >= 20) OR (d < f.g AND f.k * log2(f.g / d::DOUBLE) >= 20) AS brk FROM f JOIN per ON per.symbol = f.symbol AND per.i = f.i + 1)),
+r AS (SELECT symbol, regime, min(p) AS a, max(p) AS z, arg_max(g, i) AS g, arg_max(k, i) AS k FROM f GROUP BY ALL)
+SELECT r.symbol, a AS from_ms, z + {DAY} AS to_ms, g AS tick_units, k AS prices, count(*) AS trades, round(count_if(u % g = 0) / count(*), 6) AS on_lattice, round(count_if(u % 5 = 0) / count(*), 6) AS on_declared, round(1 - pow(2.0::DOUBLE, -k), 9) AS confidence
+FROM r JOIN v ON v.symbol = r.symbol AND v.p BETWEEN a AND z GROUP BY ALL""")
+def q63b_lattice_regimes(t):
+    """From the middle of the tape on, prices keep to a lattice of five units; five are declared for the whole of it."""
+    cents = (F.col("px") * 100).cast("long")
+    coarse = F.when(F.col("t") < MIDDLE, cents).otherwise(cents - cents % 5)
+    rows = tape(t).withColumn("px", (coarse / F.lit(100).cast("decimal(10,0)")).cast("decimal(18,2)"))
+    return indicators.lattice_regimes(rows, DAY, 2, rows.select("symbol", F.lit(5).cast("long").alias("tick_units")).distinct())
