@@ -10,6 +10,7 @@ from ..functions.hashing import sha256
 from ..functions.shared import cut
 from ..functions.timeops import DAY
 from .passage import block_index, first_passage
+from .quantiles import exact
 
 
 def trade_stats(trades: DataFrame, by: list[str], r: str = "net_r", order: str = "closed_ms", width_ms: int = 7 * DAY) -> DataFrame:
@@ -28,10 +29,11 @@ def trade_stats(trades: DataFrame, by: list[str], r: str = "net_r", order: str =
     streaks = runs.groupBy(*by, (F.col("_wins") + F.col("_won")).alias("_id")).agg(F.sum("_n").alias("_n")).groupBy(*by).agg(F.max("_n").alias("_streak"))
     lost = -F.sum(F.when(F.col(r) < 0, F.col(r)))
     plain = trades.groupBy(*by).agg(
-        F.count("*").alias("n"), F.round(F.sum(r), 6).alias("total_r"), F.round(F.avg(r), 6).alias("mean_r"), F.round(F.percentile(r, 0.5), 6).alias("median_r"),
+        F.count("*").alias("n"), F.round(F.sum(r), 6).alias("total_r"), F.round(F.avg(r), 6).alias("mean_r"),
         F.round(F.avg((F.col(r) > 0).cast("double")), 6).alias("win_rate"), F.round(F.sum(F.when(F.col(r) > 0, F.col(r))) / F.nullif(lost, F.lit(0.0)), 6).alias("profit_factor"),
     )
-    return plain.join(drawdown, by, "left").join(streaks, by, "left").withColumn("longest_losing_streak", F.coalesce("_streak", F.lit(0))).drop("_streak")
+    median = exact(trades, by, r, (0.5,)).select(*by, F.round(F.col("q")[0], 6).alias("median_r"))
+    return plain.join(median, by, "left").join(drawdown, by, "left").join(streaks, by, "left").withColumn("longest_losing_streak", F.coalesce("_streak", F.lit(0))).drop("_streak")
 
 
 def bootstrap(weekly: DataFrame, weeks: DataFrame, resamples: int = 20_000, seed: str = "bootstrap") -> DataFrame:
@@ -49,18 +51,15 @@ def bootstrap(weekly: DataFrame, weeks: DataFrame, resamples: int = 20_000, seed
 
 
 def slippage_quantiles(rows: DataFrame, buckets: list[str], value: str = "bps", least: int = 30) -> DataFrame:
-    """p75, p95 and p99 of each bucket; a bucket with fewer than ``least`` rows takes those of the next broader one."""
-    out = rows.select(*buckets).distinct()
-    found = []
-    for depth in range(len(buckets), -1, -1):
-        keys = buckets[:depth]
-        q = F.percentile(value, F.array(F.lit(0.75), F.lit(0.95), F.lit(0.99)))
-        level = rows.groupBy(*keys).agg(F.count("*").alias("n"), q.alias(f"q{depth}")).where((F.col("n") >= least) | F.lit(depth == 0)).drop("n")
-        out = out.join(level, keys, "left") if keys else out.crossJoin(level)
-        found.append(depth)
-    best = F.coalesce(*(F.col(f"q{d}") for d in found))
-    depth = F.coalesce(*(F.when(F.col(f"q{d}").isNotNull(), F.lit(d)) for d in found))
-    return out.select(*buckets, depth.alias("depth"), *(F.round(best[i], 6).alias(n) for i, n in enumerate(("p75", "p95", "p99"))))
+    """p75, p95 and p99 of each bucket; a bucket with fewer than ``least`` values takes those of the next broader one. All depths come from one pass,
+    and a bucket looks its broader ones up by their keys."""
+    levels = exact(rows, buckets, value, (0.75, 0.95, 0.99), tuple(range(len(buckets), -1, -1))).where((F.col("n") >= least) | (F.col("depth") == 0))
+    named = levels.select(F.struct("depth", *buckets).alias("_at"), "q")
+    own = rows.select(*buckets).distinct()
+    tries = F.array(*(F.struct(F.lit(d).alias("depth"), *(F.col(b) if i < d else F.lit(None).cast(rows.schema[b].dataType).alias(b) for i, b in enumerate(buckets))) for d in range(len(buckets), -1, -1)))
+    each = own.withColumn("_own", F.struct(*buckets)).withColumn("_at", F.explode(tries)).join(named, "_at")
+    best = each.groupBy("_own").agg(F.max_by(F.struct("_at.depth", "q"), "_at.depth").alias("b"))
+    return best.select("_own.*", "b.depth", *(F.round(F.col("b.q")[i], 6).alias(n) for i, n in enumerate(("p75", "p95", "p99"))))
 
 
 def drift_gate(exits: DataFrame, expected_bps: Column, n: int = 20, block: int = 10_000) -> DataFrame:
