@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.timeops import DAY, HOUR, MINUTE
-from .plans import pipelines
+from .plans import pipelines, runs
 from .sources import fetch, responses, store
 
 
@@ -42,7 +42,13 @@ def bulk_build(spark: SparkSession, args) -> int:
             print("differs in", *drift)
             return pipelines.DRIFT
     store.write_documents(spark.createDataFrame([header]), f"{args.out}/header")
-    pipelines.bulk_build(spark, args.raw, f"{args.out}/bars", rows, pipelines.Range(args.start_ms, args.end_ms), args.now_ms, done, args.max_symbols or None, args.max_partitions or None).write.mode("append").parquet(f"{args.out}/manifests")
+    span = pipelines.Range(args.start_ms, args.end_ms)
+    with runs.logged(spark, f"{args.out}/status") as said:
+        made = pipelines.bulk_build(spark, args.raw, f"{args.out}/bars", rows, span, args.now_ms, done, args.max_symbols or None, args.max_partitions or None)
+        made.write.mode("append").parquet(f"{args.out}/manifests")
+        tasks = pipelines.planned(spark, args.raw, rows, span, args.max_symbols or None)
+        state = runs.progress(tasks, spark.read.parquet(f"{args.out}/manifests"), args.now_ms, bool(args.max_partitions)).first()
+        said.update(state.asDict())
     return pipelines.DONE
 
 
@@ -53,6 +59,16 @@ def pilot(spark: SparkSession, args) -> int:
     if args.stop_early:  # an intended abort, before anything is computed
         return pipelines.ABORTED
     native = {step: spark.read.parquet(path) for step, path in ((15 * MINUTE, args.native_15), (HOUR, args.native_60), (DAY, args.native_d)) if path}
+    if args.stop_after_symbols or args.resume:  # by symbol, in one folder, until all are done
+        own = bars.where((F.col("start_ms") >= args.start_ms) & (F.col("start_ms") < args.end_ms))
+        done = spark.read.parquet(f"{args.out}/parts") if args.resume else None
+        pipelines.pilot_parts(own, native, done, args.stop_after_symbols or None).write.mode("append").parquet(f"{args.out}/parts")
+        whole = spark.read.parquet(f"{args.out}/parts")
+        if own.select("symbol").distinct().join(whole.select("symbol").distinct(), "symbol", "left_anti").limit(1).count():
+            return pipelines.ABORTED
+        totals = whole.groupBy("step_ms").agg(*(F.sum(c).alias(c) for c in ("common", "local_only", "native_only", "mismatches")))
+        totals.coalesce(1).write.mode("overwrite").json(f"{args.out}/totals")
+        return pipelines.DONE
     out = pipelines.pilot_diagnostics(bars.where((F.col("start_ms") >= args.start_ms) & (F.col("start_ms") < args.end_ms)), native)
     out.coalesce(1).write.mode("overwrite").json(args.out)
     return pipelines.DONE
@@ -86,7 +102,7 @@ COMMANDS = {
     "sample-coverage": (sample_coverage, ("trading", "closed", "bars", "daily", "faults", "out"), ("now_ms",)),
     "bulk-build": (bulk_build, ("trading", "closed", "raw", "out", "manifests", "header"), ("start_ms", "end_ms", "now_ms", "max_symbols", "max_partitions")),
     "boundary-pilot": (boundary_pilot, ("trading", "closed", "bars", "symbols", "out"), ("start_ms", "end_ms", "development_end_ms")),
-    "pilot": (pilot, ("bars", "native_15", "native_60", "native_d", "out"), ("start_ms", "end_ms", "development_end_ms", "stop_early")),
+    "pilot": (pilot, ("bars", "native_15", "native_60", "native_d", "out"), ("start_ms", "end_ms", "development_end_ms", "stop_early", "stop_after_symbols", "resume")),
     "compare": (compare, ("a", "b", "out"), ()),
     "funding-mark": (funding_mark, ("events", "marks_60m", "marks_1m", "out"), ()),
 }

@@ -123,11 +123,14 @@ def missing_first_trades(instruments: DataFrame) -> DataFrame:
 
 def failed_probes(probes: DataFrame, faults: DataFrame, step: int = MINUTE) -> DataFrame:
     """A row for each probe (symbol, checkpoint, checkpoint_ms, start_ms, end_ms) whose reading failed (symbol, checkpoint, error): all that
-    was expected is missing, and the error is kept."""
+    was expected is missing, and the error is kept. Faults may have a ``kind``: INTERNAL_ERROR for what nobody foresaw, else API_ERROR. A probe that failed
+    more than once has one row, with the last error in order."""
+    kind = F.when(F.col("kind") == "INTERNAL_ERROR", F.col("kind")).otherwise("API_ERROR") if "kind" in faults.columns else F.lit("API_ERROR")
+    faults = faults.groupBy("symbol", "checkpoint").agg(F.max(F.struct("error", kind.alias("kind"))).alias("f")).select("symbol", "checkpoint", "f.*")
     expected = (F.floor((F.col("end_ms") - F.col("start_ms")) / step) + 1).cast("long")
-    return probes.join(faults.select("symbol", "checkpoint", "error"), ["symbol", "checkpoint"]).select(
+    return probes.join(faults, ["symbol", "checkpoint"]).select(
         "symbol", "checkpoint", "checkpoint_ms", F.col("start_ms").alias("window_start_ms"), F.col("end_ms").alias("window_end_ms"), expected.alias("expected_count"), F.lit(0).cast("long").alias("candle_count"),
-        F.lit(0).cast("long").alias("gap_count"), F.lit(True).alias("missing_at_start"), F.lit(True).alias("missing_at_end"), expected.alias("missing_expected_count"), F.lit("API_ERROR").alias("classification"), F.lit("0.000").alias("coverage_pct"), "error",
+        F.lit(0).cast("long").alias("gap_count"), F.lit(True).alias("missing_at_start"), F.lit(True).alias("missing_at_end"), expected.alias("missing_expected_count"), F.col("kind").alias("classification"), F.lit("0.000").alias("coverage_pct"), "error",
     )
 
 

@@ -63,6 +63,16 @@ def default_selection(rows: DataFrame, preferred: tuple[str, ...] = PREFERRED, w
     return picked.select("symbol", "status", F.row_number().over(Window.orderBy("class", "place", "symbol")).alias("position"))
 
 
+def pilot_selection(rows: DataFrame, required: str = PREFERRED[0], **options) -> DataFrame:
+    """``default_selection``, or an error where ``required`` or every closed symbol is absent from it."""
+    picked = default_selection(rows, **options)
+    said = picked.agg(F.count_if(F.col("symbol") == required).alias("_there"), F.count_if(F.col("status") == "Closed").alias("_closed"))
+    error = lambda text: F.raise_error(F.lit(text)).cast("boolean")
+    # the condition reads both sides, so that no empty side lets the join, and with it the error, go
+    sound = F.when(F.col("_there") == 0, error(f"{required} is not among the eligible symbols")).when(F.col("_closed") == 0, error("no closed symbol is eligible")).otherwise(F.col("symbol").isNotNull())
+    return said.join(picked, F.lit(True), "left").where(sound).select(*picked.columns)  # one row on the left
+
+
 def fast_funding(rows: DataFrame, count: int = 2, most_minutes: int = 240) -> DataFrame:
     """The ``count`` instruments of the shortest funding intervals, at most ``most_minutes``; ties by symbol."""
     return rows.where(F.col("funding_interval") <= most_minutes).orderBy("funding_interval", "symbol").limit(count)

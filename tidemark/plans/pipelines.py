@@ -95,6 +95,12 @@ def lifetimes(instruments: DataFrame, bars_1m: DataFrame) -> DataFrame:
     return instruments.join(audit.first_trades(bars_1m), "symbol", "left").select("symbol", "status", "first_trade_ms", "launch_ms", "delivery_ms", "eligible")
 
 
+def planned(spark: SparkSession, raw_path: str, instruments: DataFrame, span: Range, most_symbols: int | None = None) -> DataFrame:
+    """All symbol-months of a build, done or not."""
+    whole = store.rebuild_bars(store.stored(spark, raw_path).where("stream = 'bars:1'"), span.start_ms, span.end_ms)
+    return plan.partition_plan(lifetimes(instruments, whole), span.start_ms, span.end_ms, False, most_symbols)
+
+
 def bulk_build(spark: SparkSession, raw_path: str, out_path: str, instruments: DataFrame, span: Range, now_ms: int, manifests: DataFrame | None = None, most_symbols: int | None = None, most_partitions: int | None = None) -> DataFrame:
     """Canonical bars of every symbol-month that has no manifest, and the new manifests with counts, seal and logical hash. A
     month that is still open is deferred. Work is planned by an anti join, so a repeated call does what remains, and the
@@ -126,6 +132,24 @@ def pilot_diagnostics(bars_1m: DataFrame, native: dict[int, DataFrame]) -> DataF
     return out
 
 
+def pilot_parts(bars_1m: DataFrame, native: dict[int, DataFrame], done: DataFrame | None = None, most_symbols: int | None = None) -> DataFrame:
+    """The pilot by symbol: symbol, step_ms, common, local_only, native_only, mismatches and the logical hash of the symbol's own bars. Symbols that ``done`` has
+    are passed over, so a run that was stopped after ``most_symbols`` (in order) goes on with the others."""
+    names = bars_1m.select("symbol").distinct()
+    if done is not None:
+        names = names.join(done.select("symbol").distinct(), "symbol", "left_anti")
+    if most_symbols is not None:
+        names = names.orderBy("symbol").limit(most_symbols)
+    names = cut(names)
+    own, out = bars_1m.join(names, "symbol", "left_semi"), None
+    for step, rows in native.items():
+        c = bars.reconcile(bars.roll_up(own, MINUTE, step), rows.join(names, "symbol", "left_semi"))
+        n = c.groupBy("symbol").agg(F.count_if(F.col("side") == "both").alias("common"), F.count_if(F.col("side") == "local").alias("local_only"), F.count_if(F.col("side") == "native").alias("native_only"), F.count_if(F.size("differing") > 0).alias("mismatches"))
+        n = names.join(n, "symbol", "left").select("symbol", F.lit(step).cast("long").alias("step_ms"), *(F.coalesce(c, F.lit(0)).alias(c) for c in ("common", "local_only", "native_only", "mismatches")))
+        out = n if out is None else out.unionByName(n)
+    return out.join(logical_hash(own, ["symbol"]).select("symbol", "logical_sha256"), "symbol", "left")
+
+
 def compare(a: DataFrame, b: DataFrame, hashes: tuple[str, ...] = ("logical_sha256",)) -> tuple[DataFrame, int]:
     """Agreement of two runs' manifests per partition, and the exit code."""
     flags = audit.compare_runs(a, b, list(hashes), ["symbol", "month"])

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from .functions.timeops import DAY, HOUR, MINUTE
 from .more_queries import bar_bodies, spark_of
-from .operators import bars, funding, indicators, inventory
+from .operators import audit, bars, funding, indicators, inventory
+from .plans import runs
 from .queries import EMA, ORACLE_SQL, QUARTER, SHOWN, TAPE, Y2024, _funding_events, bars_sql, query, scratch, seg_sql, shown, tape
 from .sources import canonical, page_scan, page_store, responses
 from .streaming import chains, decisions
@@ -174,3 +175,25 @@ def q63b_lattice_regimes(t):
     coarse = F.when(F.col("t") < MIDDLE, cents).otherwise(cents - cents % 5)
     rows = tape(t).withColumn("px", (coarse / F.lit(100).cast("decimal(10,0)")).cast("decimal(18,2)"))
     return indicators.lattice_regimes(rows, DAY, 2, rows.select("symbol", F.lit(5).cast("long").alias("tick_units")).distinct())
+
+
+@query(f"""WITH o AS (SELECT DISTINCT 'C' || o_custkey AS symbol, strftime(o_orderdate, '%Y-%m') AS month, epoch_ms(date_trunc('month', o_orderdate)::TIMESTAMP) AS a, epoch_ms(date_trunc('month', o_orderdate)::TIMESTAMP + INTERVAL 1 MONTH) AS z FROM orders),
+p AS (SELECT *, a < 852076800000 AND (symbol LIKE '%1' OR a < 825638400000) AS done, z + {DAY} > 852076800000 AS still FROM o)
+SELECT symbol, count(*) AS planned, count_if(done) AS completed, count_if(still AND NOT done) AS pending_open, CASE WHEN bool_and(done) THEN 'COMPLETE' WHEN bool_or(still AND NOT done) THEN 'WAITING_FOR_OPEN_PARTITIONS' ELSE 'PARTIAL' END AS status FROM p GROUP BY symbol""")
+def q90b_run_status(t):
+    """Months of orders as partitions; those before 1997 of some customers, and all of the first two months of 1996 and before, have manifests."""
+    day = F.trunc(F.col("o_orderdate").cast("date"), "month")
+    begin, end = F.unix_millis(day.cast("timestamp")), F.unix_millis(F.add_months(day, 1).cast("timestamp"))
+    tasks = t("orders").select(F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("symbol"), F.date_format(day, "yyyy-MM").alias("month"), begin.alias("data_start_ms"), end.alias("data_end_ms"), end.alias("month_end_ms")).distinct()
+    done = tasks.where((F.col("data_start_ms") < 852_076_800_000) & (F.col("symbol").endswith("1") | (F.col("data_start_ms") < 825_638_400_000))).withColumn("kind", F.lit("FULL_HISTORICAL"))
+    return runs.progress(tasks, done, 852_076_800_000, by=("symbol",))
+
+
+@query("SELECT 'C' || c_custkey AS symbol, CASE WHEN c_custkey % 3 = 0 THEN 'INTERNAL_ERROR' ELSE 'API_ERROR' END AS classification, CAST((c_custkey % 30) + 1 AS BIGINT) AS missing_expected_count, CASE WHEN c_custkey % 3 = 0 THEN 'KeyError' ELSE 'refused' END AS error FROM customer WHERE c_custkey % 2 = 0")
+def q74c_failed_readings(t):
+    """Half of all probes fail, some by what nobody foresaw; some fail twice."""
+    k = F.col("c_custkey")
+    name = F.concat(F.lit("C"), k.cast("string")).alias("symbol")
+    probes = t("customer").select(name, F.lit("mid_life").alias("checkpoint"), (k * MINUTE).alias("checkpoint_ms"), (k * MINUTE).alias("start_ms"), ((k + k % 30) * MINUTE).alias("end_ms"))
+    faults = t("customer").where(k % 2 == 0).select(name, F.lit("mid_life").alias("checkpoint"), F.when(k % 3 == 0, "KeyError").otherwise("refused").alias("error"), F.when(k % 3 == 0, "INTERNAL_ERROR").alias("kind"))
+    return audit.failed_probes(probes, faults.unionByName(faults.where("length(symbol) % 2 = 0"))).select("symbol", "classification", "missing_expected_count", "error")
