@@ -261,3 +261,26 @@ def test_url_rules_of_many_paths(spark):
     want[9000] = "allow"
     for size in (url_rules.BROADCAST_BYTES, 0):
         assert {r["page_id"]: r["verdict"] for r in url_rules.judge(pages, table, broadcast_bytes=size).collect()} == want
+
+
+def test_keys_that_look_like_paths(spark):
+    odd = ['{"messages[].role":"user","messages[].content":"x"}', '{"messages[]":"x"}', '{"conversations[].from":"a","conversations[].value":"b"}', '{"prompt\\nresponse":"x"}', '{"":{"":1}}', '{"messages[]{}":1}', '{"messages":[{"role.content":"x"}]}']
+    good = '{"messages":[{"role":"user","content":"hi"}]}'
+    rows = spark.createDataFrame([(k, x) for k, x in enumerate([*odd, good])], "id int, record string")
+    out = {r["id"]: r for r in chat.format_records(rows, "id", "record").collect()}
+    assert all(out[k]["layout"] is None and out[k]["formatted"] is None for k in range(len(odd))) and out[len(odd)]["layout"] == "messages"
+    assert len({out[k]["fingerprint"] for k in range(len(odd))}) == len(odd)
+
+
+def test_large_declared_canvases(spark, monkeypatch):
+    small = gif.write_gif(b"x" * 192)
+    wide = small[:6] + struct.pack("<HH", 60_000, 60_000) + small[10:]
+    at = small.index(b"\x21\xf9\x04") + 8
+    frame = small[: at + 5] + struct.pack("<HH", 60_000, 60_000) + small[at + 9 :]
+    rows = spark.createDataFrame([(1, bytearray(wide)), (2, bytearray(frame)), (3, bytearray(small))], "id int, gif binary")
+    got = {(r["id"], r["frame"]): r["error"] for r in gif.frames(rows, "id").collect()}
+    assert got == {(1, 0): "canvas too large", (2, 0): "frame too large", (3, 0): None}
+    many = gif.write_gif(bytes(range(192)) * 1000)
+    monkeypatch.setattr(gif, "MOST_HELD", 1)
+    out = gif.frames(spark.createDataFrame([(4, bytearray(many))], "id int, gif binary"), "id").collect()
+    assert [r["frame"] for r in out] == list(range(len(list(gif.read_gif(many)))))

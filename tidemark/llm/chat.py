@@ -53,9 +53,14 @@ MAPPINGS = (
 )
 
 
+def _quoted(key: str) -> str:
+    """A key in which nothing reads as part of a path: signs of paths, and line ends, which part paths, are quoted."""
+    return re.sub(r"[\\.\[\]{}\n]", lambda m: f"\\{ord(m[0]):x};", key) or "\\"
+
+
 def field_paths(value, at: str = "") -> set[str]:
     if isinstance(value, dict):
-        return set().union(*(field_paths(v, f"{at}.{k}" if at else k) for k, v in value.items())) if value else {f"{at}{{}}"}
+        return set().union(*(field_paths(v, f"{at}.{_quoted(k)}" if at else _quoted(k)) for k, v in value.items())) if value else {f"{at}{{}}"}
     if isinstance(value, list):
         return set().union(*(field_paths(v, f"{at}[]") for v in value)) if value else {f"{at}[]"}
     return {at}

@@ -124,12 +124,20 @@ def write_gif(samples: bytes) -> bytes:
     return b"".join(out) + b"\x3b"
 
 
-def read_gif(data: bytes):
+#: Pixels of the largest canvas, and of the largest frame, that are decoded: 64 MB of RGBA.
+MOST_PIXELS = 1 << 24
+#: Bytes of composed frames that a task gathers before it passes them on.
+MOST_HELD = 1 << 26
+
+
+def read_gif(data: bytes, most_pixels: int = MOST_PIXELS):
     """Frames as (delay_ms, disposal, (x, y, w, h), canvas of RGBA pixels after drawing). Transparent samples leave
     what is below; disposal 2 then clears the frame's area, 3 restores what was there before."""
     if data[:6] not in (b"GIF87a", b"GIF89a"):
         raise ValueError("not a GIF")
     width, height, flags = struct.unpack_from("<HHB", data, 6)
+    if width * height > most_pixels:
+        raise ValueError("canvas too large")
     at, shared = 13, None
     if flags & 0x80:
         shared, at = np.frombuffer(data, np.uint8, 3 << (flags & 7) + 1, at).reshape(-1, 3), at + (3 << (flags & 7) + 1)
@@ -154,6 +162,8 @@ def read_gif(data: bytes):
         if data[at] != 0x2C:
             raise ValueError("unknown block")
         x, y, w, h, flags = struct.unpack_from("<HHHHB", data, at + 1)
+        if w * h > most_pixels:
+            raise ValueError("frame too large")
         at += 10
         colours = shared
         if flags & 0x80:
@@ -212,24 +222,32 @@ def store_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def frames(media: DataFrame, id_col: str, gif_col: str = "gif") -> DataFrame:
     """A row per frame: id_col, frame (from 0), delay_ms, disposal, width, height, pixels (RGBA bytes of the composed
     canvas), histogram (64 colour bins over its opaque pixels), error. A null or broken GIF gives the frames before
-    the fault and one row with error set; an empty table gives no rows."""
+    the fault and one row with error set, and so does one that declares a canvas or a frame of more than MOST_PIXELS; an empty table gives no
+    rows. A task holds one file, and MOST_HELD bytes of its frames or one frame."""
     kind = media.schema[id_col].dataType.simpleString()
     names = [id_col, "frame", "delay_ms", "disposal", "width", "height", "pixels", "histogram", "error"]
     schema = f"{id_col} {kind}, frame int, delay_ms int, disposal int, width int, height int, pixels binary, histogram array<int>, error string"
+    types = (pa.int32(),) * 5 + (pa.binary(), pa.list_(pa.int32()), pa.string())
+
+    def table(key, rows):
+        return pa.RecordBatch.from_arrays([pa.concat_arrays([key] * len(rows)), *(pa.array([r[c] for r in rows], t) for c, t in enumerate(types))], names=names)
 
     def run(batches):
         for batch in batches:
             for k, data in enumerate(batch.column(1)):
                 key, n = batch.column(0).slice(k, 1), 0
-                rows = []
+                rows, held = [], 0
                 try:
                     for delay, disposal, _, canvas in read_gif(data.as_py() or b""):
+                        if held + canvas.nbytes > MOST_HELD and rows:
+                            yield table(key, rows)
+                            rows, held = [], 0
                         rows.append((n, delay, disposal, canvas.shape[1], canvas.shape[0], canvas.tobytes(), histogram(canvas[canvas[..., 3] > 0][:, :3]).tolist(), None))
-                        n += 1
+                        n, held = n + 1, held + canvas.nbytes
                 except (ValueError, IndexError, struct.error) as e:
                     rows.append((n, None, None, None, None, None, None, str(e) or "cut short"))
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.concat_arrays([key] * len(rows)), *(pa.array([r[c] for r in rows], t) for c, t in enumerate((pa.int32(),) * 5 + (pa.binary(), pa.list_(pa.int32()), pa.string())))], names=names)
+                    yield table(key, rows)
 
     return media.select(id_col, gif_col).mapInArrow(run, schema)
 
