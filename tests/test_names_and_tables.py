@@ -82,3 +82,16 @@ def test_stored_sides_are_not_shuffled(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 << 20))
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_first_trades_read_footers_only(spark, tmp_path):
+    from tidemark.sources import store
+
+    rows = spark.range(3000).select(F.concat(F.lit("S"), (F.col("id") % 3).cast("string")).alias("symbol"), (F.col("id") * 1_000_000 + 7).alias("start_ms"), *(F.lit(1.0).cast("decimal(18,2)").alias(c) for c in bars.FIELDS))
+    rows = rows.withColumn("month", F.date_format(F.timestamp_millis("start_ms"), "yyyy-MM"))
+    store.write_bars(rows, str(tmp_path / "b"))
+    first = store.first_starts(spark, str(tmp_path / "b"), rows.schema)
+    plan = first._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [MIN(start_ms)]" in plan and "PushedGroupBy: [symbol, month]" in plan
+    assert {r["symbol"]: r["first_trade_ms"] for r in first.collect()} == {"S0": 7, "S1": 1_000_007, "S2": 2_000_007}
+    assert "BatchScan" not in spark.read.parquet(str(tmp_path / "b"))._jdf.queryExecution().executedPlan().toString()

@@ -11,7 +11,7 @@ from .more_queries import bar_bodies, spark_of
 from .operators import audit, bars, funding, indicators, inventory
 from .plans import runs
 from .queries import EMA, ORACLE_SQL, QUARTER, SHOWN, TAPE, Y2024, _funding_events, bars_sql, query, scratch, seg_sql, shown, tape
-from .sources import canonical, page_scan, page_store, responses
+from .sources import canonical, page_scan, page_store, responses, store
 from .streaming import chains, decisions
 
 
@@ -197,3 +197,12 @@ def q74c_failed_readings(t):
     probes = t("customer").select(name, F.lit("mid_life").alias("checkpoint"), (k * MINUTE).alias("checkpoint_ms"), (k * MINUTE).alias("start_ms"), ((k + k % 30) * MINUTE).alias("end_ms"))
     faults = t("customer").where(k % 2 == 0).select(name, F.lit("mid_life").alias("checkpoint"), F.when(k % 3 == 0, "KeyError").otherwise("refused").alias("error"), F.when(k % 3 == 0, "INTERNAL_ERROR").alias("kind"))
     return audit.failed_probes(probes, faults.unionByName(faults.where("length(symbol) % 2 = 0"))).select("symbol", "classification", "missing_expected_count", "error")
+
+
+@query(f"WITH {TAPE}, {bars_sql(QUARTER)} SELECT symbol, min(start_ms) AS first_trade_ms FROM b GROUP BY symbol")
+def q40b_first_trade_of_files(t):
+    """From the footers of a canonical table's files."""
+    spark, path = spark_of(t), f"{scratch(spark_of(t))}/bars"
+    b = bars.tape_to_bars(tape(t), QUARTER).drop("trades").withColumn("month", F.date_format(F.timestamp_millis("start_ms"), "yyyy-MM"))
+    store.write_bars(b, path)
+    return store.first_starts(spark, path, b.schema)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.hashing import logical_hash
 from ..operators.bars import dedupe_or_raise
@@ -52,6 +53,21 @@ def write_bars(bars: DataFrame, path: str, partitions: int | None = None, only:
     return logical_hash(written if only is None else written.join(only.select(*keys).distinct(), keys, "left_semi"), keys)
 
 
+def first_starts(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """symbol, first_trade_ms of a canonical table as ``write_bars`` writes it, from the footers of its files: the least start of every symbol-month is
+    pushed into the scan, which reads no rows, and the least of these is a symbol's. (The session's files are read by the newer kind of
+    source for this, and its aggregates are pushed.)"""
+    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    kind = "spark.sql.sources.useV1SourceList"
+    before = spark.conf.get(kind)
+    spark.conf.set(kind, ",".join(x for x in before.split(",") if x != "parquet"))
+    try:
+        rows = spark.read.schema(schema).parquet(path)
+    finally:
+        spark.conf.set(kind, before)
+    return rows.groupBy("symbol", "month").agg(F.min("start_ms").alias("first")).groupBy("symbol").agg(F.min("first").alias("first_trade_ms"))
+
+
 def file_hashes(spark: SparkSession, path: str) -> DataFrame:
     """file, bytes, file_sha256 of every file of a canonical table; a file is one symbol-month."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path)
