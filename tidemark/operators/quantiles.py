@@ -58,15 +58,17 @@ def exact(rows: DataFrame, keys: list[str], value: str, shares: tuple[float, ...
             on = on & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
         return a.join(right, on).drop(*(f"_r_{c}" for c in (*group, *more)))
 
-    placed = counts.withColumn("_cell", _cell(F.col("_v"), steps))
+    # what is summed along a cell gives the cell's count too, so values are dealt to cells once
+    along = Window.partitionBy(*group, "_cell").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    placed = counts.withColumn("_cell", _cell(F.col("_v"), steps)).withColumn("_run", F.sum("_n").over(along))
     all_cells = Window.partitionBy(*group)
     before = F.coalesce(F.sum("_c").over(all_cells.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    sums = placed.groupBy(*group, "_cell").agg(F.sum("_n").alias("_c")).withColumn("_before", before).withColumn("n", F.sum("_c").over(all_cells))
+    sums = placed.groupBy(*group, "_cell").agg(F.max("_run").alias("_c")).withColumn("_before", before).withColumn("n", F.sum("_c").over(all_cells))
     place = [(F.col("n") - 1) * F.lit(float(p)) for p in shares]
     ranks = F.array_distinct(F.concat(*(F.array(F.floor(x) + 1, F.ceil(x) + 1) for x in place)))
     wanted = sums.withColumn("_ranks", F.filter(ranks, lambda r: (r > F.col("_before")) & (r <= F.col("_before") + F.col("_c")))).where(F.size("_ranks") > 0)
     inner = joined(placed, wanted.select(*group, "_cell", "_before", "_ranks", "n"), "_cell")
-    inner = inner.withColumn("_end", F.col("_before") + F.sum("_n").over(Window.partitionBy(*group, "_cell").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)))
+    inner = inner.withColumn("_end", F.col("_before") + F.col("_run"))
     hits = inner.withColumn("_rank", F.explode("_ranks")).where("_rank > _end - _n AND _rank <= _end")
     out = hits.groupBy(*group).agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_v"))).alias("_at"), F.first("n").alias("n"))  # two ranks a share at most
     value_at = lambda x, r: F.element_at("_at", r(x) + 1)
