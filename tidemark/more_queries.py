@@ -9,7 +9,7 @@ from .functions import decimals, hashing, timeops
 from .functions.timeops import DAY, HOUR, MINUTE
 from .operators import audit, bars, funding, indicators, inventory, plan, strategy, validation
 from .plans import pipelines
-from .queries import _LINE, EMA, LEVELS, LIFE, QUARTER, SHOWN, TAPE, Y2024, _levels, _life, bars_sql, ms, query, scratch, seg_sql, shown, tape, text
+from .queries import _LINE, EMA, LEVELS, ORACLE_SQL, LIFE, QUARTER, SHOWN, TAPE, Y2024, _levels, _life, bars_sql, ms, query, scratch, seg_sql, shown, tape, text
 from .sources import fetch, responses, store
 from .streaming import decisions
 
@@ -115,9 +115,12 @@ def q92b_room_and_cost(t):
     return t("part").select("p_partkey", strategy.room_ok(side, price, goal, F.col("p_size").cast("double")).alias("room"), F.round(cost.cast("double"), 6).alias("cost"))
 
 
-@query("SELECT code FROM (VALUES " + ", ".join(f"('{r}')" for r in strategy.REASONS) + ") v(code)")
+@query("WITH v(code) AS (VALUES " + ", ".join(f"('{r}')" for r in strategy.REASONS) + f"), r AS ({ORACLE_SQL['q92_setup_reason']}) SELECT code, count(reason) AS n FROM v LEFT JOIN r ON reason = code GROUP BY code")
 def q92c_reason_codes(t):
-    return spark_of(t).createDataFrame([(r,) for r in strategy.REASONS], "code string")
+    """How many setups each code refuses; codes that refuse none have 0."""
+    codes = spark_of(t).createDataFrame([(r,) for r in strategy.REASONS], "code string")
+    refused = q92_setup_reason(t).where("reason IS NOT NULL").groupBy(F.col("reason").alias("code")).agg(F.count("*").alias("n"))
+    return codes.join(refused, "code", "left").select("code", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 # bars, signals, audits

@@ -237,9 +237,11 @@ def q20_month_plan(t):
     return plan.partition_plan(_life(t), Y1996, Y1999)
 
 
-@query(f"SELECT s AS start_ms, least(s + 59940000, {Y2024 + 31 * DAY - MINUTE}) AS end_ms FROM (SELECT unnest(generate_series({Y2024}, {Y2024 + 31 * DAY - MINUTE}, 60000000)) AS s)")
+@query("""WITH m AS (SELECT DISTINCT date_trunc('month', o_orderdate)::TIMESTAMP AS m FROM orders), r AS (SELECT epoch_ms(m) AS a, epoch_ms(m + INTERVAL 1 MONTH) - 60000 AS z FROM m), s AS (SELECT z, unnest(generate_series(a, z, 60000000)) AS s FROM r)
+SELECT s AS start_ms, least(s + 59940000, z) AS end_ms FROM s""")
 def q21_page_windows(t):
-    month = t("region").limit(1).select(F.lit("2024-01").alias("m"))
+    """Of every month with orders."""
+    month = t("orders").select(F.date_format("o_orderdate", "yyyy-MM").alias("m")).distinct()
     return month.select(F.explode(timeops.page_windows(timeops.month_start_ms(F.col("m")), timeops.month_end_ms(F.col("m")), MINUTE)).alias("w")).select("w.*")
 
 
@@ -503,6 +505,13 @@ def q49_blackout_filter(t):
     return asof.outside_intervals(tape(t), "t", news, HOUR).select("seq")
 
 
+@query(f"WITH {TAPE}, s AS (SELECT t FROM tape WHERE symbol = 'signup') SELECT seq FROM tape ANTI JOIN s ON tape.t >= s.t - {MINUTE // 2} AND tape.t < s.t + {MINUTE // 2}")
+def q49b_blackout_in_dense_news(t):
+    """Half a minute on either side of every signup, so that something is left however dense they are."""
+    news = tape(t).where("symbol = 'signup'").select((F.col("t") - MINUTE // 2).alias("from_ms"), (F.col("t") + MINUTE // 2).alias("to_ms"))
+    return asof.outside_intervals(tape(t), "t", news, HOUR).select("seq")
+
+
 @query("""WITH c AS (SELECT count(*) AS n0, count_if(value > 5) AS n1, count_if(value > 5 AND user_id % 3 <> 0) AS n2, count_if(value > 5 AND user_id % 3 <> 0 AND event_type IN ('click', 'purchase')) AS n3 FROM events)
 SELECT 0 AS stage_no, 'all' AS stage, n0 AS n, 100.0::DOUBLE AS pct FROM c UNION ALL SELECT 1, 'priced', n1, round(100.0::DOUBLE * n1 / n0, 3) FROM c UNION ALL SELECT 2, 'known', n2, round(100.0::DOUBLE * n2 / n1, 3) FROM c UNION ALL SELECT 3, 'signal', n3, round(100.0::DOUBLE * n3 / n2, 3) FROM c""")
 def q50_funnel_counts(t):
