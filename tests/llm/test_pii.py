@@ -118,3 +118,28 @@ def test_planted_secrets(spark):
     kinds = {r["doc_id"]: {s["kind"] for s in r["spans"]} for r in pii.spans(docs).collect()}
     assert all("secret" in kinds[300 + i] for i in range(80))
     assert not any(kinds[i] for i in range(300))
+
+
+def test_precision_holds_among_what_is_added(spark, sf_dir):
+    """Brute force over the candidates that no fixed rule covers: those selected hold the precision, and rows covered by the
+    fixed rules, however many, do not move the threshold."""
+    keys = [f'build {i:018d}ab of token = "{i * 7919 % 16**8:08x}{i:032x}"' for i in range(40)]  # the table of this size has no keys of its own
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = docs.unionByName(spark.createDataFrame([(10**6 + i, t) for i, t in enumerate(keys)], "doc_id long, text string"))
+    covered = spark.createDataFrame([(-1 - i, f"user{i}@example.org and +1 (555) 010-{i:04d}") for i in range(500)], "doc_id long, text string")
+    models = [pii.fit(docs), pii.fit(docs.unionByName(covered))]
+    assert models[0] == models[1]
+    free = [c for r in pii.search(docs).select("found.candidates").collect() for c in r["candidates"] if not c["over"]]
+    taken = [c for c in free if models[0].score(c["code"]) >= models[0].threshold]
+    assert len(taken) >= 40 and sum(c["hit"] for c in taken) >= pii.PRECISION * len(taken)
+
+
+def test_planted_contacts_and_numbers(spark):
+    plain = [f"notes {i} on build {i * 7919 % 10**9:09d} of the at and dot (at) last {i} (dot)" for i in range(300)]
+    contacts = [f"please write to jo{i} (at) host{i % 7} (dot) org soon" for i in range(60)]
+    numbers = [f"office hours, phone: (771) 555-{i:04d} daily" for i in range(60)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(plain + contacts + numbers)], "doc_id long, text string")
+    got = {r["doc_id"]: [(s["kind"], r["text"][s["start"] : s["end"]]) for s in r["spans"]] for r in pii.spans(docs).collect()}
+    assert not any(got[i] for i in range(300))
+    assert all(got[300 + i] == [("contact", f"jo{i} (at) host{i % 7} (dot) org")] for i in range(60))
+    assert all(got[360 + i] == [("number", f"(771) 555-{i:04d}")] for i in range(60))

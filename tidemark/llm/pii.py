@@ -2,12 +2,13 @@
 
 Fixed rules find e-mail addresses, IP addresses, payment cards and phone numbers. Besides, generators of
 high recall propose spans: keys (long runs with digits), numbers (7 to 19 digits in groups) and contacts
-(addresses, also spelled with (at) and (dot)). Each has format and context features, all binary. Boosted trees
-of depth two learn from all candidates which look like personal data: those that overlap a span of the
-fixed rules, and keys assigned to a name such as token or password. The candidates are counted by
-their features before anything leaves the executors, so the trees are fitted on at most 2^13 rows. A
-threshold calibrated to a precision, on texts that the trees did not learn from, selects candidates; they join
-the spans of the fixed rules where they overlap none.
+(addresses, also spelled with (at) and (dot)). Each has format and context features, all binary. A candidate that
+overlaps a span of the fixed rules is covered by these; all others could be added, and boosted trees of
+depth two learn from all of them which look like personal data. No labels are given, so positives are those whose
+surroundings or form give them away: keys assigned to a name such as token or password, numbers and
+contacts behind a word such as phone or e-mail, and contacts spelled out with (at) and (dot). The candidates
+are counted by their features before anything leaves the executors, so the trees are fitted on at most 2^13
+rows a fold. A threshold calibrated to a precision, on texts that the trees did not learn from, selects candidates.
 
 Every text is searched once; what was found is written to the shared folder, counted there for the fit, and
 selected from. Positions come from splitting a text at the matches and adding up lengths, in chunks, so that a text
@@ -41,6 +42,14 @@ GENERATORS = (
 )
 KINDS = tuple(k for k, *_ in BASE) + tuple(k for k, _ in GENERATORS)
 _ASSIGNED = r"(?i)(?:token|secret|passw(?:or)?d|api[_ -]?key|access[_ -]?key)[\x22' ]{0,3}[=:][\x22' ]{0,3}$"
+_CALLED = r"(?i)(?:^|[^A-Za-z])(?:tel|telephone|phone|mobile|cell|fax|call)(?: (?:me|us|at|on|no|number))?[.]?[\x22' ]{0,3}[=:]?[\x22' ]{0,3}$"
+_WRITTEN = r"(?i)(?:^|[^A-Za-z])(?:e-?mail|mail|contact|write to|reach)(?: (?:me|us|at|to|address))?[\x22' ]{0,3}[=:]?[\x22' ]{0,3}$"
+#: What makes a candidate x of each generator a positive to learn from.
+HITS = {
+    "secret": f'x.b rlike r"{_ASSIGNED}"',
+    "number": f"""x.b rlike r"{_CALLED}" AND length(translate(x.m, ' ().-', '')) BETWEEN 8 AND 15""",
+    "contact": f'x.b rlike r"{_WRITTEN}" OR x.m rlike r"[(\\[]at[)\\]].*[(\\[]dot[)\\]]"',
+}
 #: Features of a candidate c: its text c.m, the 32 characters before it c.b.
 FEATURES = (
     ("number", "c.g = 'number'"),
@@ -51,6 +60,7 @@ FEATURES = (
     ("grouped", "c.m rlike '[ ().-]'"),
     ("phone_digits", "length(translate(c.m, ' ().-', '')) BETWEEN 9 AND 12"),
     ("card_digits", "length(translate(c.m, ' ().-', '')) BETWEEN 16 AND 19"),
+    ("spelled", r"c.m rlike r'[(\[](?:at|dot)[)\]]'"),
     ("luhn", "coalesce(luhn_check(translate(c.m, ' ().-', '')), false)"),
     ("quoted", "c.b rlike r\"[\\x22']$\""),
     ("assigned", "c.b rlike r\"[=:][\\x22' ]{0,3}$\""),
@@ -100,13 +110,13 @@ def _base(text: str) -> str:
 
 
 def _candidates(text: str) -> str:
-    """SQL of an array of structs k, s, e, code (bit i: feature i), hit (a key assigned to a telling name), over (whether it overlaps one of
+    """SQL of an array of structs k, s, e, code (bit i: feature i), hit (a positive to learn from), over (whether it overlaps one of
     ``base``). Candidates of a generator are in order and apart, so a chunk of them meets few spans of ``base``."""
     parts = []
     for n, (kind, p) in enumerate(GENERATORS):
         code = " + ".join(f"CASE WHEN {cond} THEN {1 << i} ELSE 0 END" for i, (_, cond) in enumerate(FEATURES))
         code = code.replace("c.g", f"'{kind}'").replace("c.", "x.")
-        hit = f'x.b rlike r"{_ASSIGNED}"' if kind == "secret" else "false"
+        hit = f"({HITS[kind]})"
         item = lambda over: f"struct({len(BASE) + n} AS k, x.s AS s, x.e AS e, {code} AS code, {hit} AS hit, {over} AS over)"  # noqa: B023, E731
         near = "filter(base, y -> y.s < element_at(c, -1).e AND y.e > c[0].s)"
         over = "exists(near, y -> y.s < x.e AND x.s < y.e)"
@@ -193,11 +203,12 @@ def search(docs: DataFrame, text_col: str = "text", out: str = "found") -> DataF
 
 
 def fit_found(found: DataFrame, column: str = "found") -> Boosted:
-    """Boost trees on the candidates of all texts, counted by features and label (at most 2^13 rows a fold). The threshold is calibrated on
-    scores of candidates by trees that did not learn from their text: texts fall into ``FOLDS`` folds by their hash, and each fold
-    is scored by trees of the others."""
-    seen = found.select(F.col(column)["fold"].alias("fold"), F.explode(F.col(column)["candidates"]).alias("c"))
-    rows = seen.groupBy("fold", F.col("c.code").alias("code")).agg(F.count("*").alias("n"), F.count_if(F.expr("c.hit OR c.over")).alias("pos")).collect()
+    """Boost trees on the candidates of all texts that no span of the fixed rules overlaps, as only these can be added, counted by
+    features (at most 2^13 rows a fold). The threshold is calibrated on scores of the same candidates by trees that did not learn
+    from their text: texts fall into ``FOLDS`` folds by their hash, and each fold is scored by trees of the others. Positives of a
+    single fold cannot be judged by trees of other folds; the threshold then comes from the counts. Without positives nothing is added."""
+    seen = found.select(F.col(column)["fold"].alias("fold"), F.explode(F.col(column)["candidates"]).alias("c")).where("NOT c.over")
+    rows = seen.groupBy("fold", F.col("c.code").alias("code")).agg(F.count("*").alias("n"), F.count_if("c.hit").alias("pos")).collect()
     folds = sorted({r["fold"] for r in rows})
 
     def counts(which) -> dict[int, tuple[int, int]]:
@@ -209,7 +220,7 @@ def fit_found(found: DataFrame, column: str = "found") -> Boosted:
         return out
 
     judged = []
-    for f in folds if len(folds) > 1 else []:
+    for f in folds if len({r["fold"] for r in rows if r["pos"]}) > 1 else []:
         others = fit_trees(counts(set(folds) - {f}))
         judged += [(others.score(code), n, pos) for code, (n, pos) in counts({f}).items()]
     return fit_trees(counts(folds), judged)
