@@ -148,3 +148,20 @@ def test_vocabulary_is_cut_at_a_count(spark, small):
     assert lm._frequent(spark.createDataFrame([(f"w{i}", 1) for i in range(500)], "word string, n long")) == []
     none = lm.learn_words(counts.limit(0), 0)
     assert none.train_tokens == 0 and none.classes == lm.N_SHARED + 1
+
+
+def test_classes_equal_plain_softmax_also_far_apart(spark):
+    """Class probabilities from two tables of factors equal a softmax in double precision, also where scores leave single precision."""
+    words = learnt(spark)[3]
+    draw = np.random.default_rng(2)
+    for scale in (1, 30):
+        table = lm.Model(words).table * scale
+        scorer = lm.Scorer(words, table)
+        u, v = draw.integers(0, words.symbols, 300), draw.integers(0, words.symbols, 300)
+        cls = draw.integers(0, words.classes, 300)
+        h = scorer.near[u] + scorer.far[v]
+        score = h.astype(np.float64) @ scorer.q
+        score -= score.max(1, keepdims=True)
+        p = np.exp(score[np.arange(300), cls]) / np.exp(score).sum(1)
+        plain = np.log10((1 - lm.SMOOTH) * p + lm.SMOOTH * words.noise[cls])
+        assert np.abs(scorer._classes(u, v, h, cls) - plain).max() < 1e-3 * scale

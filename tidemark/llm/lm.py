@@ -25,6 +25,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from dataclasses import dataclass
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -110,7 +111,7 @@ class Words:
             tokens.append(b"")
             ends.append(len(tokens))
         find = self.index.get
-        index = np.array([find(t, -1) for t in tokens], np.int64)
+        index = np.fromiter(map(find, tokens, repeat(-1)), np.int64, len(tokens))
         cls, entry = self.cls[index], self.entry[index]
         rare = np.flatnonzero(index < 0)
         cls[rare] = [self.own + 1 + zlib.crc32(tokens[i][-3:]) % (len(self.start) - 1) for i in rare.tolist()]
@@ -233,6 +234,9 @@ class Trainer:
 
     def step(self, u: np.ndarray, v: np.ndarray, cls: np.ndarray, entry: np.ndarray) -> None:
         m, words, edges, n = self.m, self.words, self.m.edges, len(u)
+        symbol = np.where(entry < 0, cls, words.own + 1 + entry)  # in this order what is gathered lies together, single classes first
+        order = np.argsort(symbol.astype(np.uint16 if words.symbols <= 1 << 16 else np.int64), kind="stable")
+        u, v, cls, entry = u[order], v[order], cls[order], entry[order]
         z = np.minimum(np.searchsorted(self.cum, self.draw.random(NOISE)), words.classes - 1)
         ru, rv = m.context[u], m.context[v]  # their last column is zero
         c1, c2 = np.zeros((DIM + 1, DIM + 1), np.float32), np.zeros((DIM + 1, DIM + 1), np.float32)
@@ -246,18 +250,17 @@ class Trainer:
         dh = good[:, None] * qw
         dh += bad @ qz
         total = np.zeros((words.classes, DIM + 1), np.float32)
-        order = np.argsort(cls.astype(np.uint16), kind="stable")
-        first = np.flatnonzero(np.diff(cls[order], prepend=-1))
-        total[cls[order[first]]] = np.add.reduceat((good[:, None] * h)[order], first, axis=0)
+        first = np.flatnonzero(np.diff(cls, prepend=-1))
+        total[cls[first]] = np.add.reduceat(good[:, None] * h, first, axis=0)
         np.add.at(total, z, bad.T @ h)
         g = total / (n * self.words.noise[:, None]).astype(np.float32)  # by the uses that are to be expected
         at = slice(edges[1], edges[2])
         self.sq[at] += g * g
         m.classes += np.float32(RATE) * g / np.sqrt(self.sq[at])
         self.used[at] += np.bincount(cls, minlength=words.classes) + n * words.noise
-        shared = np.flatnonzero(entry >= 0)
-        if len(shared):
-            hs, e, k = h[shared], entry[shared], cls[shared] - words.own - 1
+        begin = int(np.searchsorted(cls, words.own, "right"))
+        if begin < n:
+            hs, e, k = h[begin:], entry[begin:], cls[begin:] - words.own - 1
             noise = np.searchsorted(self.entry_cum, (k + self.draw.random((ENTRY_NOISE, len(k)))).ravel())
             noise = np.clip(noise, np.tile(words.start[k], ENTRY_NOISE), np.tile(words.start[k + 1] - 1, ENTRY_NOISE))
             every = np.concatenate((e, noise))  # the words themselves first
@@ -267,7 +270,7 @@ class Trainer:
             pull -= self.entry_log_kq[every].reshape(ENTRY_NOISE + 1, -1)
             pull = -1 / (1 + np.exp(-pull))
             pull[0] += 1
-            dh[shared] += np.einsum("ki,kij->ij", pull, reps)
+            dh[begin:] += np.einsum("ki,kij->ij", pull, reps)
             grads = (pull[:, :, None] * hs[None]).reshape(len(every), DIM + 1)
             self._move(edges[2], every.astype(np.uint16), grads, len(e))
         dh[:, DIM] = 0
@@ -340,7 +343,9 @@ def train(texts: DataFrame, words: Words) -> np.ndarray:
 
 
 class Scorer:
-    """A model with the contexts' products at hand. Biases lie in one more row, which meets a one."""
+    """A model with the contexts' products at hand. Biases lie in one more row, which meets a one. As a score of a class is a sum of what
+    the two contexts add, its exponential is a product: one table has the factors of the nearer symbol, one those of the farther,
+    each row divided by its largest, and a normaliser is the product of two rows."""
 
     def __init__(self, words: Words, table: np.ndarray) -> None:
         m = Model(words, table)
@@ -348,21 +353,41 @@ class Scorer:
         near, far = m.context[:, :DIM] @ m.c1[:, :DIM], m.context[:, :DIM] @ m.c2[:, :DIM]
         self.near, self.far = np.append(near, np.ones((len(near), 1), np.float32), 1), np.append(far, np.zeros((len(far), 1), np.float32), 1)
         self.q, self.entry_q = np.ascontiguousarray(m.classes.T), m.entries
+        self.near_factor, self.far_factor = self._factors(self.near), self._factors(self.far)
+
+    def _factors(self, contexts: np.ndarray) -> np.ndarray:
+        score = contexts @ self.q
+        score -= score.max(1, keepdims=True)
+        return np.exp(score, out=score)
+
+    def _classes(self, u: np.ndarray, v: np.ndarray, h: np.ndarray, cls: np.ndarray) -> np.ndarray:
+        """Smoothed log10 probabilities of classes, normalised by row."""
+        near, far = self.near_factor[u], self.far_factor[v]
+        total, rows = np.einsum("ij,ij->i", near, far).astype(np.float64), np.arange(len(cls))
+        p = near[rows, cls].astype(np.float64) * far[rows, cls] / np.maximum(total, 1e-300)
+        low = np.flatnonzero(total < 1e-25)  # the contexts favour classes far apart, beyond what single precision can hold
+        if len(low):
+            p[low] = self._exact(h[low], self.q, cls[low])
+        return np.log10((1 - SMOOTH) * p + SMOOTH * self.words.noise[cls])
+
+    @staticmethod
+    def _exact(h: np.ndarray, q: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+        score = h.astype(np.float64) @ q
+        score -= score.max(1, keepdims=True)
+        return np.exp(score[np.arange(len(chosen)), chosen]) / np.exp(score).sum(1)
 
     @staticmethod
     def _log10(h: np.ndarray, q: np.ndarray, chosen: np.ndarray, noise: np.ndarray) -> np.ndarray:
         """Smoothed log10 probabilities of the columns ``chosen`` of h q, normalised by row."""
         score = h @ q
         mine = score[np.arange(len(chosen)), chosen].astype(np.float64)
-        np.minimum(score, 60, out=score)
-        np.exp(score, out=score)
-        total = (score @ np.ones(score.shape[1], np.float32)).astype(np.float64)
+        with np.errstate(over="ignore"):  # an infinite sum is added up again below
+            np.exp(score, out=score)
+            total = (score @ np.ones(score.shape[1], np.float32)).astype(np.float64)
         p = np.exp(np.minimum(mine, 60)) / np.maximum(total, 1e-300)
         wild = np.flatnonzero((total < 1e-25) | (total > 1e25))  # beyond what single precision can add up
         if len(wild):
-            exact = h[wild].astype(np.float64) @ q
-            exact -= exact.max(1, keepdims=True)
-            p[wild] = np.exp(exact[np.arange(len(wild)), chosen[wild]]) / np.exp(exact).sum(1)
+            p[wild] = Scorer._exact(h[wild], q, chosen[wild])
         return np.log10((1 - SMOOTH) * p + SMOOTH * noise[chosen])
 
     def log10(self, u: np.ndarray, v: np.ndarray, cls: np.ndarray, entry: np.ndarray, width: int = 1024) -> np.ndarray:
@@ -372,7 +397,7 @@ class Scorer:
         h = self.near[u] + self.far[v]
         for at in range(0, len(cls), width):
             part = slice(at, at + width)
-            out[part] = self._log10(h[part], self.q, cls[part], words.noise)
+            out[part] = self._classes(u[part], v[part], h[part], cls[part])
         shared = np.flatnonzero(entry >= 0)
         shared = shared[np.argsort(cls[shared].astype(np.int16), kind="stable")]
         edges = np.flatnonzero(np.diff(cls[shared], prepend=-1, append=-1))
@@ -418,7 +443,10 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                 tail = np.flatnonzero(words.is_tail(cls, entry))  # the counts of words that only the join knows are added there
                 model[tail] += log_c[tail] - words.tail[cls[tail] - words.own - 1]
                 rare = [Counter(tokens[i] for i in (np.flatnonzero(index[a:b] < 0) + a).tolist()) for a, b in zip(first.tolist(), ends.tolist(), strict=True)]
-                found = pa.array([[{"word": w.decode(), "n": n} for w, n in c.items()] for c in rare], pa.list_(pair))
+                said = pa.array(list(chain.from_iterable(rare)), pa.binary()).cast(pa.string())
+                times = pa.array(list(chain.from_iterable(c.values() for c in rare)), pa.int64())
+                edges = np.concatenate(([0], np.cumsum([len(c) for c in rare]))).astype(np.int32)
+                found = pa.ListArray.from_arrays(pa.array(edges), pa.StructArray.from_arrays([said, times], fields=list(pair)))
                 known = np.add.reduceat(frequent & words.known[index], first, dtype=np.int64)
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ends - first, pa.int64()), pa.array(known), pa.array(np.add.reduceat(log_c, first)), pa.array(np.add.reduceat(model, first)), found], names=names)
 
