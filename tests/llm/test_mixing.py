@@ -89,3 +89,13 @@ def test_any_weights_keep_the_edge_bucket_small(spark, monkeypatch):
     key = mixing.mix(docs, quality=F.col("q"), buckets=4).select("row.doc_id", "taken").groupBy("doc_id").agg(F.sum("taken").alias("n"))
     same = mixing.mix(docs.repartition(3), quality=F.col("q"), buckets=256).select("row.doc_id", "taken").groupBy("doc_id").agg(F.sum("taken").alias("n"))
     assert sorted(map(tuple, key.collect())) == sorted(map(tuple, same.collect()))
+
+
+def test_edges_of_many_sources_are_shuffled(spark, sf_dir, monkeypatch):
+    """Beyond the bound of a broadcast the edges are joined by a shuffle, with the same rows."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    taken = lambda: {r["doc_id"]: (r["taken"], r["epochs"]) for r in mixing.mix(docs).select("row.doc_id", "taken", "epochs").collect()}
+    few = taken()
+    monkeypatch.setattr(mixing, "MOST_SOURCES", 0)
+    assert taken() == few
+    check(docs)
