@@ -30,6 +30,22 @@ def test_any_number_of_names(spark):
     assert got == {(i, t[a : a + n]) for i, t in texts for n in range(5, 9) for a in range(len(t) - n + 1) if t[a : a + n] in known}
 
 
+def test_names_move_no_text(spark, tmp_path):
+    """By each of the three ways the same names are found; with an index that goes to all tasks only counts of pieces are shuffled."""
+    r = random.Random(3)
+    texts = [(i, "".join(r.choice("ABé\U0001f600 ") for _ in range(r.randint(0, 40))), i % 3) for i in range(300)] + [(300, None, 0)]
+    names = sorted({"".join(r.choice("ABé\U0001f600 ") for _ in range(r.randint(1, 5))) for _ in range(200)})
+    want = {(i, k, n) for i, t, k in texts if t for n in names if n in t}
+    rows = spark.createDataFrame(texts, "_id long, _text string, part int").select("_id", "part", "_text")
+    table = spark.createDataFrame([(n,) for n in names], "name string")
+    for few, most in ((1000, 1000), (10, 1000), (10, 10)):
+        got = inventory.names_in_texts(rows, table, few=few, most=most)
+        assert sorted(tuple(x) for x in got.select("_id", "part", "name").collect()) == sorted(want)
+        if most == 1000:
+            plan = got._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+
+
 def test_candidates_are_named_once(spark):
     said = spark.createDataFrame([("Delist ABUSDT", "and AB", "5"), ("delist ab", None, "x"), ("nothing", "ABUSDT", "7"), (None, "migrate é", "1")], "title string, description string, publish_time string")
     coins = spark.createDataFrame([("ABUSDT", "AB", 5), ("ÉUSDT", "É", 6), ("OPEN", "DEL", 0), ("ABUSDT", "AB", 5), ("EMPTY", "", 9)], "symbol string, base_coin string, delivery_ms long")

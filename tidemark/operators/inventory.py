@@ -91,32 +91,53 @@ def identity_overlap(edges: DataFrame, instruments: DataFrame) -> DataFrame:
     return joined.select("left_symbol", "right_symbol", "relation", F.col("left_launch_ms").isNotNull().alias("left_present"), F.col("right_launch_ms").isNotNull().alias("right_present"), "left_launch_ms", "left_delivery_ms", "right_launch_ms", "right_delivery_ms", overlap.alias("metadata_overlap_ms"), F.lit(False).alias("automatic_stitching"))
 
 
-#: Length of the pieces of text that names are looked up by.
-GRAM = 3
-
-
-def _pieces(text: str, n: int) -> Column:
-    """All substrings of ``n`` characters."""
-    part = f"slice(c, i, {n})"
-    return F.expr(f"transform(array(split({text}, '')), c -> IF(size(c) < {n} OR {text} = '', cast(array() AS array<string>), transform(sequence(1, size(c) - {n} + 1), i -> array_join({part}, ''))))[0]")
-
-
-def names_in_texts(texts: DataFrame, names: DataFrame) -> DataFrame:
-    """_id, name of every name (a column of distinct, not empty texts) that occurs anywhere in a text (_id, _text).
-
-    An inverted index: texts are cut into the pieces that names have (of ``GRAM`` characters; a shorter name is a piece itself), and each
-    name is looked up by the one of its pieces that the fewest texts hold. A name with a piece that no text holds is looked up nowhere.
-    What is found is verified. Neither all names nor all texts are in one place."""
-    sizes = sorted(r[0] for r in names.select(F.least(F.length("name"), F.lit(GRAM))).distinct().collect())  # at most three numbers
-    if not sizes:
-        return texts.select("_id", F.lit("").alias("name")).where(F.lit(False))
-    wanted = names.select("name", F.explode(F.when(F.length("name") < GRAM, F.array("name")).otherwise(F.array_distinct(_pieces("name", GRAM)))).alias("piece"))
-    held = texts.select("_id", F.explode(F.array_distinct(F.concat(*(_pieces("_text", n) for n in sizes)))).alias("piece"))
-    held = cut(held.join(wanted.select("piece").distinct(), "piece", "left_semi"))
-    rare = wanted.join(held.groupBy("piece").agg(F.count("*").alias("n")), "piece", "left").groupBy("name")
-    rare = rare.agg(F.min_by("piece", F.struct("n", "piece")).alias("piece"), F.bool_and(F.col("n").isNotNull()).alias("all")).where("all").select("name", "piece")
-    maybe = held.join(rare, "piece").select("_id", "name")
-    return maybe.join(texts, "_id").where(F.col("_text").contains(F.col("name"))).select("_id", "name")
+#: Lengths of the pieces of text that names are looked up by, a name by the longest it holds; names that are compared with every text
+#: without an index; names whose index goes to all tasks, some 100 bytes each.
+GRAMS, FEW_NAMES, MOST_NAMES = (1, 2, 3, 4, 6), 64, 1 << 18
+
+
+def _pieces(text: str, sizes: list[int]) -> Column:
+    """All distinct substrings of so many characters, and shorter ones at the end."""
+    longest = F.expr(f"array_distinct(regexp_extract_all({text}, '(?s)(?=(.{{1,{sizes[-1]}}}))', 1))")
+    begins = lambda d, n: F.transform(d, lambda x: F.left(x, F.lit(n)))
+    each = lambda d: F.array_distinct(F.concat(d, *(begins(d, n) for n in sizes[:-1])))
+    return F.transform(F.array(longest), each)[0]
+
+
+def names_in_texts(texts: DataFrame, names: DataFrame, few: int = FEW_NAMES, most: int = MOST_NAMES) -> DataFrame:
+    """_id, name of every name (a column of distinct, not empty texts) that occurs anywhere in a text (_id, _text, and columns that stay).
+
+    Up to ``few`` names are looked for one by one. More have an inverted index: each is looked up by the one of its pieces (of the
+    longest of ``GRAMS`` that it has) that the fewest texts hold, and what is found is verified. A name with a piece that no
+    text holds is looked up nowhere. Texts are cut into pieces where they are read, and an index of up to ``most`` names comes to them, so
+    nothing but counts of pieces is shuffled. Beyond that the pieces found go to the index; neither all names nor all texts are
+    in one place."""
+    kept = [c for c in texts.columns if c != "_text"]
+    names = cut(names.select("name"))
+    n_names = names.count()
+    if n_names <= few:
+        known = F.array(*(F.lit(r["name"]) for r in names.collect())).cast("array<string>")
+        found = F.transform(F.array("_text"), lambda t: F.filter(known, lambda n: t.contains(n)))[0]  # the array: a text is made once
+        return texts.select(*kept, F.explode_outer(found).alias("name")).where("name IS NOT NULL")
+    size = F.coalesce(*(F.when(F.length("name") >= n, F.lit(n)) for n in reversed(GRAMS)))
+    sizes = sorted(r[0] for r in names.select(size).distinct().collect())  # at most five numbers
+    of_name = F.filter(_pieces("name", sizes), lambda p: F.length(p) == F.col("size"))
+    wanted = names.withColumn("size", size).select("name", F.explode(of_name).alias("piece"))
+    held = F.explode_outer(_pieces("_text", sizes)).alias("piece")
+
+    def among(rows: DataFrame, pieces: DataFrame) -> DataFrame:
+        pieces = cut(pieces.select("piece").distinct())
+        return rows.join(F.broadcast(pieces) if pieces.count() <= most else pieces, "piece", "left_semi")
+
+    counted = among(texts.select(held), wanted).groupBy("piece").agg(F.count("*").alias("n"))
+    rare = wanted.join(counted, "piece", "left").groupBy("name")
+    rare = cut(rare.agg(F.min_by("piece", F.struct("n", "piece")).alias("piece"), F.bool_and(F.col("n").isNotNull()).alias("all")).where("all").select("name", "piece"))
+    if n_names <= most:
+        maybe = texts.select(*kept, "_text", held).join(F.broadcast(rare), "piece")
+    else:
+        texts = cut(texts)  # ids stay what they are
+        maybe = among(texts.select("_id", held), rare).join(rare, "piece").select("_id", "name").join(texts, "_id")
+    return maybe.where(F.col("_text").contains(F.col("name"))).select(*kept, "name")
 
 
 def delisting_candidates(announcements: DataFrame, instruments: DataFrame, keywords: tuple[str, ...] = KEYWORDS, ordered: bool = True) -> DataFrame:
