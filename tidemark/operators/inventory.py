@@ -143,17 +143,20 @@ def names_in_texts(texts: DataFrame, names: DataFrame, few: int = FEW_NAMES, mos
 def delisting_candidates(announcements: DataFrame, instruments: DataFrame, keywords: tuple[str, ...] = KEYWORDS, ordered: bool = True) -> DataFrame:
     """Announcements with a keyword that name a delivered instrument by symbol or base coin, anywhere in the text."""
     text = F.upper(F.concat_ws("\n", F.coalesce("title", F.lit("")), F.coalesce("description", F.lit(""))))
-    named = announcements.withColumn("_text", text)
-    hit = F.lit(False)
-    for k in keywords:
-        hit = hit | F.col("_text").contains(k.upper())
-    named = cut(named.where(hit).withColumn("_id", F.monotonically_increasing_id()))
+
+    def hit(text: Column) -> Column:
+        out = F.lit(False)
+        for k in keywords:
+            out = out | text.contains(k.upper())
+        return out
+
+    named = announcements.where(F.exists(F.array(text), hit)).select("title", "description", "publish_time", text.alias("_text"), F.monotonically_increasing_id().alias("_id"))
     closed = instruments.where(F.coalesce("delivery_ms", F.lit(0)) > 0).select("symbol", "base_coin", "delivery_ms", F.upper("symbol").alias("_symbol"), F.upper("base_coin").alias("_coin"))
-    closed = cut(closed.withColumn("_row", F.monotonically_increasing_id()))
-    by_name = closed.select("_row", "_symbol", F.explode(F.array_distinct(F.array("_symbol", "_coin"))).alias("name")).where("name <> ''").withColumn("_exact", F.col("name") == F.col("_symbol")).drop("_symbol")
-    found = names_in_texts(named.select("_id", "_text"), by_name.select("name").distinct())
-    pairs = found.join(by_name, "name").groupBy("_id", "_row").agg(F.bool_or("_exact").alias("_exact"))
-    joined = pairs.join(closed, "_row").join(named, "_id")
+    by_name = closed.select("*", F.explode(F.array_distinct(F.array("_symbol", "_coin"))).alias("name")).where("name <> ''").withColumn("_exact", F.coalesce(F.col("name") == F.col("_symbol"), F.lit(False)))
+    found = names_in_texts(named, by_name.select("name").distinct())
+    # by its coin an instrument is found only where its symbol is not
+    other = ~F.coalesce(text.contains(F.nullif(F.col("_symbol"), F.lit(""))), F.lit(False))
+    joined = found.join(by_name, "name").where(F.col("_exact") | other)
     published = F.coalesce(F.col("publish_time").try_cast("long"), F.lit(0))
     kind = F.when(F.col("_exact"), "EXACT_SYMBOL").otherwise("BASE_COIN_CANDIDATE")
     out = joined.select("symbol", "base_coin", "delivery_ms", kind.alias("match_kind"), "title", "description", published.alias("publish_time_ms"))
