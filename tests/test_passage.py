@@ -1,9 +1,12 @@
 """First passages through the block index against a walk over every trade."""
 
+import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from tidemark.functions import decimals
 from tidemark.operators import passage, validation
 
 
@@ -57,3 +60,14 @@ def test_slippage_of_stops(spark):
     (row,) = validation.slippage_events(setups, tape).collect()
     assert (row["setup_id"], row["stopped_ms"], round(row["bps"], 6)) == ("a", 20, 100.0)
     assert validation.slippage_events(setups.limit(0), tape).count() == 0 and validation.slippage_events(setups, tape.limit(0)).count() == 0
+
+
+def test_slippage_of_a_stop_at_zero(spark):
+    """Prices may reach 0: a stop there has no finite slippage, and does not fail the job."""
+    flags = {f"{c}_ok": True for c in ("universe", "trend", "volume", "session", "news", "room", "grid")}
+    setups = spark.createDataFrame([("z", "A", "LONG", 3.0, 0.0, 10, *flags.values()), ("n", "A", "LONG", 2.0, 1.0, 10, *flags.values())], f"setup_id string, symbol string, side string, entry double, stop double, active_ms long, {', '.join(f'{c} boolean' for c in flags)}")
+    tape = spark.createDataFrame([("A", 20, 1, 1.5), ("A", 30, 2, 0.0)], "symbol string, t long, seq long, px double")
+    got = {r["setup_id"]: r["bps"] for r in validation.slippage_events(setups, tape).collect()}
+    assert math.isnan(got["z"]) and got["n"] == 10_000
+    below = tape.limit(1).select(decimals.adverse_bps(F.lit("SHORT"), F.lit(1.0), F.lit(0.0)), decimals.adverse_bps(F.lit("LONG"), F.lit(1.0), F.lit(0.0))).first()
+    assert tuple(below) == (math.inf, 0.0)

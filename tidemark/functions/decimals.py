@@ -73,6 +73,8 @@ def funding_fee(quantity: Column, mark: Column, rate: Column) -> Column:
 
 
 def adverse_bps(side: Column, fill: Column, reference: Column) -> Column:
-    """Adverse slippage of an exit in basis points, 0 if favourable."""
-    worse = F.when(side == "LONG", reference - fill).otherwise(fill - reference)
-    return F.greatest(F.lit(0.0), worse.cast("double") / reference.cast("double") * 10_000)
+    """Adverse slippage of an exit in basis points, 0 if favourable. Against a reference of 0 it is infinite, and not a number where the
+    fill is 0 too."""
+    worse = F.when(side == "LONG", reference - fill).otherwise(fill - reference).cast("double")
+    by_zero = F.when(worse == 0, F.lit(float("nan"))).otherwise(F.signum(worse) * float("inf"))
+    return F.greatest(F.lit(0.0), F.when(reference == 0, by_zero).otherwise(worse / F.nullif(reference.cast("double"), F.lit(0.0)) * 10_000))
