@@ -67,6 +67,18 @@ def test_cursors(spark):
         responses.pages_in_order(spark.createDataFrame([(None, "a"), ("a", "a")], "cursor string, next_cursor string")).collect()
 
 
+def test_long_listings(spark):
+    """Beyond ``most`` pages the order comes from joins: a listing, one apart from it, a ring, and a page asked with a cursor of nobody."""
+    own = [(None if i == 0 else f"c{i}", f"c{i + 1}" if i < 36 else "") for i in range(37)]
+    pages = spark.createDataFrame([*own, ("x", "y"), ("y", ""), ("r", "s"), ("s", "r"), ("z", None)], "cursor string, next_cursor string")
+    for most in (1000, 5):
+        assert [(r["cursor"], r["page"]) for r in responses.pages_in_order(pages, most).orderBy("page").collect()] == [(c, i) for i, (c, _) in enumerate(own)]
+    item = lambda k: {"symbol": f"S{k}", "launchTime": "1", "deliveryTime": "", "other": k}
+    body = lambda k: json.dumps({"retCode": 0, "retMsg": "", "result": {"list": [item(k)], "nextPageCursor": f"c{k + 1}" if k < 1100 else ""}})
+    found = responses.instruments(spark.createDataFrame([(None if k == 0 else f"c{k}", body(k)) for k in range(1101)], "cursor string, body string"))
+    assert {(r["symbol"], json.loads(r["raw"])["other"]) for r in found.collect()} == {(f"S{k}", k) for k in range(1101)}
+
+
 def test_coverage_reports_conflicts_and_faults(spark):
     day = 86_400_000
     known = spark.createDataFrame([("A", 10 * day + 5, 0), ("B", 10 * day, 0), ("C", 10 * day, 0)], "symbol string, launch_ms long, delivery_ms long")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.decimals import STORED
+from ..functions.shared import cut
 from ..functions.timeops import DAY, is_aligned
 
 ENVELOPE = "retCode INT, retMsg STRING, time BIGINT"
@@ -90,20 +91,42 @@ def announcement_scan(bodies: DataFrame, page_size: int = 20, most: int = 1000)
     return kept.select("page", F.explode("list").alias("a")).select("page", "a.title", "a.description", "a.url", F.col("a.publishTime").alias("publish_time"), F.col("a.dateTimestamp").alias("date_timestamp"))
 
 
-def pages_in_order(pages: DataFrame, most: int = 1000) -> DataFrame:
-    """Pages (file, cursor: the one asked with, null for the first; next_cursor) of one listing, numbered along their cursors from
-    the first until an empty one. A cursor that two pages return raises; pages that no cursor leads to do not come. A listing
-    has at most ``most`` pages, so it is walked by as many equality joins at most."""
+def _cursors_once(pages: DataFrame) -> DataFrame:
+    """``pages``; a next_cursor that two of them return raises."""
     again = F.count("*").over(Window.partitionBy("next_cursor"))
     fault = F.raise_error(F.lit("a cursor repeats")).cast("boolean")
-    pages = pages.withColumn("_ok", F.when((F.coalesce("next_cursor", F.lit("")) != "") & (again > 1), fault).otherwise(F.lit(True))).where("_ok").drop("_ok")
-    links = {r["cursor"] or "": (r["next_cursor"] or "") for r in pages.select("cursor", "next_cursor").limit(most + 1).collect()}
-    if len(links) > most:
-        raise ValueError("too many pages")
+    return pages.withColumn("_ok", F.when((F.coalesce("next_cursor", F.lit("")) != "") & (again > 1), fault).otherwise(F.lit(True))).where("_ok").drop("_ok")
+
+
+def _places(links: DataFrame, n: int) -> DataFrame:
+    """_c, page: the place of every cursor that the first one leads to. A cursor has one page before it at most, so each looks twice as far
+    back in every round, until it sees the first."""
+    before = links.where("next <> ''").select(F.col("next").alias("_c"), F.col("_c").alias("far"), F.lit(1).alias("page"))
+    places = cut(links.select("_c").distinct().join(before, "_c", "left").where("_c = '' OR far IS NOT NULL").select("_c", F.when(F.col("_c") != "", F.col("far")).alias("far"), F.when(F.col("_c") != "", F.col("page")).otherwise(0).alias("page")))
+    for _ in range(n.bit_length()):
+        if not places.where("far <> ''").limit(1).count():
+            break
+        there = places.select(F.col("_c").alias("far"), F.col("far").alias("_far"), F.col("page").alias("_page"))
+        # the first cursor has nothing before it; what leads to no page at all, or round and round, never sees it
+        seen = places.where("far <> ''").join(there, "far").select("_c", F.col("_far").alias("far"), (F.col("page") + F.col("_page")).alias("page"))
+        places = cut(places.where("far IS NULL OR far = ''").unionByName(seen))
+    return places.where("far IS NULL OR far = ''").select("_c", "page")
+
+
+def pages_in_order(pages: DataFrame, most: int = 1000) -> DataFrame:
+    """Pages (cursor: the one asked with, null for the first; next_cursor; ...) of one listing, numbered along their cursors from
+    the first until an empty one. A cursor that two pages return raises; pages that no cursor leads to do not come. A listing of up to
+    ``most`` pages is walked page by page, a longer one by joins that double their reach, as many as its length has bits."""
+    named = lambda c: F.coalesce(c, F.lit("")).alias(c)
+    links = cut(_cursors_once(pages.select(named("cursor"), named("next_cursor")))).select(F.col("cursor").alias("_c"), F.col("next_cursor").alias("next"))
+    n = links.count()
+    if n > most:
+        return pages.join(_places(links, n), F.coalesce("cursor", F.lit("")) == F.col("_c")).drop("_c")
+    known = {r["_c"]: r["next"] for r in links.collect()}
     order, at = [], ""
-    while at in links and len(order) < len(links):
+    while at in known and len(order) < len(known):
         order.append((at, len(order)))
-        at = links[at]
+        at = known[at]
         if not at:
             break
     numbered = pages.sparkSession.createDataFrame(order, "_c string, page int")
@@ -114,12 +137,9 @@ def instruments(bodies: DataFrame) -> DataFrame:
     """Flat instrument rows; the whole record stays in ``raw``, with fields this schema does not name. A cursor that two
     pages repeat raises. With a column ``cursor``, the one each page was asked with, only pages that the cursors lead to count."""
     pages = _checked(bodies, _INSTRUMENTS).withColumn("next_cursor", F.col("r.result.nextPageCursor"))
-    if "cursor" in bodies.columns:
-        pages = pages_in_order(pages)
-    again = F.count("*").over(Window.partitionBy("next_cursor"))
-    pages = pages.withColumn("_ok", F.when((F.coalesce("next_cursor", F.lit("")) != "") & (again > 1), F.raise_error(F.lit("a cursor repeats")).cast("boolean")).otherwise(F.lit(True))).where("_ok")
+    pages = pages_in_order(pages) if "cursor" in bodies.columns else _cursors_once(pages)
     raw = F.from_json(F.get_json_object("body", "$.result.list"), "array<string>")
-    rows = pages.select(F.posexplode("r.result.list").alias("i", "x"), raw.alias("all")).withColumn("raw", F.get("all", F.col("i")))
+    rows = pages.select(F.explode(F.arrays_zip(F.col("r.result.list").alias("x"), raw.alias("raw"))).alias("e")).select("e.x", "e.raw")
     fields = {"symbol": "symbol", "contractType": "contract_type", "status": "status", "baseCoin": "base_coin", "quoteCoin": "quote_coin", "settleCoin": "settle_coin", "symbolType": "symbol_type", "marketRegion": "market_region", "isPreListing": "is_pre_listing", "fundingInterval": "funding_interval"}
     return rows.select(
         *(F.col(f"x.{a}").alias(b) for a, b in fields.items()), F.col("x.launchTime").cast("long").alias("launch_ms"), F.coalesce(F.nullif(F.col("x.deliveryTime"), F.lit("")).cast("long"), F.lit(0)).alias("delivery_ms"),
