@@ -1,5 +1,6 @@
 """Readers and rules that refuse unsound input."""
 
+import hashlib
 import json
 
 import pytest
@@ -79,6 +80,15 @@ def test_long_listings(spark):
     assert {(r["symbol"], json.loads(r["raw"])["other"]) for r in found.collect()} == {(f"S{k}", k) for k in range(1101)}
 
 
+def test_inventory_hash_in_batches(spark):
+    rows = spark.createDataFrame([(f"S{k:02}", "Trading", True, json.dumps({"b": k, "a": "é"})) for k in range(30)], "symbol string, status string, eligible boolean, raw string").repartition(7)
+    flagged = [{"a": "é", "audit_sample_candidate": True, "b": k, "current_crypto_perpetual_eligible": True} for k in range(30)]
+    want = lambda x: hashlib.sha256(json.dumps(x, separators=(",", ":")).encode()).hexdigest()
+    hashed = pipelines.inventory_hash(rows)
+    assert tuple(hashed.first()) == (want(flagged), 30) and tuple(pipelines.inventory_hash(rows.limit(0)).first()) == (want([]), 0)
+    assert "collect_list" not in hashed._jdf.queryExecution().executedPlan().toString()
+
+
 def test_coverage_reports_conflicts_and_faults(spark):
     day = 86_400_000
     known = spark.createDataFrame([("A", 10 * day + 5, 0), ("B", 10 * day, 0), ("C", 10 * day, 0)], "symbol string, launch_ms long, delivery_ms long")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,12 +35,25 @@ def inventory_report(trading: DataFrame, closed: DataFrame) -> tuple[DataFrame,
 
 def inventory_hash(rows: DataFrame) -> DataFrame:
     """sha256 over the JSON array of the instruments' records, sorted by symbol, each with sorted keys and with the two flags of its
-    row: eligible now, candidate of the audit. A listing is some thousands of records."""
+    row: eligible now, candidate of the audit. Such a hash goes on record by record, so the sorted records pass through one task in batches,
+    which keeps its state only; they are made and flagged before that."""
     flags = F.concat(F.lit('{"audit_sample_candidate":'), inventory.audit_candidate(F.col("eligible"), F.col("symbol"), F.col("status")).cast("string"), F.lit(',"current_crypto_perpetual_eligible":'), F.col("eligible").cast("string"), F.lit(","))
     record = canonical_json(F.concat(flags, F.expr("substring(ltrim(raw), 2)")))
-    lines = F.array_sort(F.collect_list(F.struct("symbol", record.alias("record"))))
-    joined = F.concat(F.lit("["), F.array_join(F.transform(lines, lambda x: x["record"]), ","), F.lit("]"))
-    return rows.agg(F.sha2(joined, 256).alias("inventory_sha256"), F.count("*").alias("instruments"))
+    lines = rows.select("symbol", record.alias("record")).repartition(1).sortWithinPartitions("symbol", "record")
+
+    def digest(batches):
+        state, n, link = hashlib.sha256(b"["), 0, b""
+        for batch in batches:
+            n += batch.num_rows
+            for text in batch.column("record").drop_null():
+                state.update(link + text.as_py().encode())
+                link = b","
+        state.update(b"]")
+        yield pa.RecordBatch.from_pylist([{"sha": state.hexdigest(), "n": n}], pa.schema([("sha", pa.string()), ("n", pa.int64())]))
+
+    whole = lines.mapInArrow(digest, "sha string, n long")
+    nothing = hashlib.sha256(b"[]").hexdigest()  # where no task runs
+    return whole.agg(F.coalesce(F.max("sha"), F.lit(nothing)).alias("inventory_sha256"), F.coalesce(F.sum("n"), F.lit(0)).alias("instruments"))
 
 
 def boundary_pilot(instruments: DataFrame, bars_1m: DataFrame, month_start_ms: int, month_end_ms: int, symbols: list[str]) -> tuple[DataFrame, DataFrame]:
