@@ -165,3 +165,13 @@ def test_classes_equal_plain_softmax_also_far_apart(spark):
         p = np.exp(score[np.arange(300), cls]) / np.exp(score).sum(1)
         plain = np.log10((1 - lm.SMOOTH) * p + lm.SMOOTH * words.noise[cls])
         assert np.abs(scorer._classes(u, v, h, cls) - plain).max() < 1e-3 * scale
+
+
+def test_kept_words_of_quality_are_bounded():
+    """A worker's cache of words stays small beside a worker's share of an executor; what is dropped is only looked up again."""
+    vectors, first = quality.Vectors(["w1"]), None
+    for k in range(30):
+        ids = vectors.ids(" ".join(f"w{i}" for i in range(10_000 * k, 10_000 * (k + 1))))
+        first = first or ids
+        assert len(vectors.known) <= 110_000
+    assert vectors.ids(" ".join(f"w{i}" for i in range(10_000))) == first

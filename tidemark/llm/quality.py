@@ -30,7 +30,7 @@ HELD_OUT, FOLDS = 1, 3
 #: Bounds of what is fitted: labelled documents, and words with a context vector. Index vectors, dealt by the words' hashes.
 MAX_FIT, MAX_WORDS, HASHED = 8_000, 10_000, 1 << 15
 #: Words whose places a worker keeps at hand.
-CACHE = 500_000
+CACHE = 100_000
 DIM, SEEDS, WINDOW, HIDDEN, EPOCHS = 48, 6, 2, 24, 60
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
 #: The shapes, then the entry of a word that repeats the one before.
