@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidemark.llm import chosen_path, embeddings, graph
+from tidemark.llm.common import stage
 
 
 def reach(nodes, pairs):
@@ -146,3 +147,36 @@ def test_pipeline_stages(spark, sf_dir):
     assert len(filled) == len(set(filled)) and len({r["doc_id"] for r in kept if r["text"]}) == len([r for r in kept if r["text"]])
     pieces = corpus_pipeline.run(spark, sf_dir).collect()
     assert pieces and all(r["length"] > 0 for r in pieces)
+
+
+def test_sieve_misses_no_member_and_starts_no_worker(spark):
+    """Rows of members are told by a join with a small bitmap, not in a second Python worker of the task that shingles texts."""
+    members = spark.range(0, 300, 3).selectExpr("id AS node").unionByName(spark.createDataFrame([(None,)], "node long"))
+    rows = spark.range(-500, 50_000).selectExpr("id AS node", "id AS filter_none").unionByName(spark.createDataFrame([(None, 0)], "node long, filter_none long"))
+    some = graph.only_nodes(rows, members)
+    assert "Python" not in some._jdf.queryExecution().executedPlan().toString()
+    taken = [r["node"] for r in some.collect()]
+    assert {*range(0, 300, 3), None} <= {*taken} and len(taken) == len({*taken}) < 150
+    rest = [r["node"] for r in graph.sieve(rows, graph.bitmap(members), "node", "left_anti").collect()]
+    assert sorted(map(str, taken + rest)) == sorted(map(str, [*range(-500, 50_000), None]))
+    assert graph.only_nodes(rows, members.where("false")).count() == 0
+
+
+def test_staged_batches_are_bounded(spark):
+    """A worker gets few rows at once where texts are staged, and the session keeps its own setting."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+    def sizes(batches):
+        for batch in batches:
+            yield type(batch).from_pydict({"n": [batch.num_rows]})
+
+    def most(rows):
+        return stage(spark.range(0, 5000, 1, 1).mapInArrow(sizes, "n long"), "sizes", rows).agg(F.max("n")).first()[0]
+
+    before = spark.conf.get(key)
+    assert most(None) == 5000 and most(chosen_path.BATCH) == chosen_path.BATCH and spark.conf.get(key) == before
+    try:
+        spark.conf.set(key, 100)
+        assert most(chosen_path.BATCH) == 100 and spark.conf.get(key) == "100"
+    finally:
+        spark.conf.set(key, before)

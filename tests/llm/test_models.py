@@ -1,6 +1,7 @@
 """Classifier and language model: held-out accuracy, brute-force counts, normalised probabilities, odd rows."""
 
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -175,3 +176,19 @@ def test_kept_words_of_quality_are_bounded():
         first = first or ids
         assert len(vectors.known) <= 110_000
     assert vectors.ids(" ".join(f"w{i}" for i in range(10_000))) == first
+
+
+def test_quality_pools_many_texts_in_little_memory():
+    """The words' vectors of a whole batch never lie in a worker at once; each text has the features it has alone."""
+    texts = [" ".join(f"w{(i * j) % 997}" for j in range(400)) for i in range(1000)] + ["", "w1"]
+    vectors = quality.Vectors([f"w{i}" for i in range(500)])
+    vectors.table[:] = np.random.default_rng(5).normal(size=vectors.table.shape)
+    alone = np.concatenate([vectors.pool([t]) for t in (texts[:3] + texts[-2:])])
+    tracemalloc.start()
+    try:
+        out = vectors.pool(texts)
+        assert tracemalloc.get_traced_memory()[1] < 30e6  # 400,000 words of two vectors are 154 MB
+    finally:
+        tracemalloc.stop()
+    assert np.array_equal(out[[0, 1, 2, -2, -1]], alone)
+    assert vectors.pool([]).shape == (0, out.shape[1])

@@ -119,8 +119,8 @@ def sketches(high: np.ndarray, size: np.ndarray, factors: np.ndarray, addends: n
     return out
 
 
-#: Documents that a task shingles at once.
-SLICE = 256
+#: Documents that a task shingles at once, and rows that it passes to its worker at once.
+SLICE, BATCH = 256, 1024
 _SETS = "doc_id long, x long, size long, h1 long, h2 long, sketch binary, p array<long>" + "".join(f", t{k} array<struct<r: int, t: int>>" for k in range(2, LEVELS + 1))
 
 
@@ -242,7 +242,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
     above. Other columns are not read. Long texts are taken whole.
     """
     runs = runs_needed()
-    base = stage(sets(docs, id_col, text_col, threshold, runs, list(carry)).withColumn("rid", F.monotonically_increasing_id()), "sets")
+    base = stage(sets(docs, id_col, text_col, threshold, runs, list(carry)).withColumn("rid", F.monotonically_increasing_id()), "sets", BATCH)
     real = base.where("size > 0 AND doc_id IS NOT NULL")
     first = F.min(F.struct("rid", "x")).alias("first")
     classes = real.groupBy("h1", "h2").agg(first, F.count("*").alias("weight"), F.min("doc_id").alias("copy_id"), F.min("size").alias("items"))
@@ -250,9 +250,9 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
 
     later = [f"t{k}" for k in range(2, LEVELS + 1)]
     # a class is dealt to its buckets once: rows of classes that may have copies are joined with the one that stands for them
-    many = graph.present_in(classes.where("weight > 1"), "h1")
-    alone = real.where(~many).select("h1", "p")
-    chosen = real.where(many).select("rid", "h1", "p").join(classes.select(F.col("node").alias("rid")), "rid", "left_semi").select("h1", "p")
+    many = graph.bitmap(classes.where("weight > 1"), "h1")
+    alone = graph.sieve(real, many, "h1", "left_anti").select("h1", "p")
+    chosen = graph.sieve(real, many, "h1").select("rid", "h1", "p").join(classes.select(F.col("node").alias("rid")), "rid", "left_semi").select("h1", "p")
     rows, cells = alone.union(chosen).select("h1", F.explode("p").alias("b")), None
     for level in range(1, LEVELS + 1):
         counts = rows.groupBy("b").agg(F.count("*").alias("n"), F.min("h1").alias("cell"), F.max("h1").alias("last")).where("cell <> last").drop("last")
@@ -276,7 +276,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
     members = stage(graph.plausible(members, short, similar_sketches(threshold)), "plausible")
     base, whole = stage(base.select("doc_id", "rid", "h1", "h2", "size", *carry), "rows"), base
     release(whole)
-    found = stage(graph.compare(members, whole_sets(docs, text_col, members), similar_sets(threshold), ["x", "h1"]), "links")
+    found = stage(graph.compare(members, whole_sets(docs, text_col, members), similar_sets(threshold), ["x", "h1"]), "links", BATCH)
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     reach = graph.components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     known = classes.join(links, "node", "left").join(reach, "node", "left").select("h1", "h2", "copy_id", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("root", "node").alias("root"), "node")

@@ -12,7 +12,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,27 +27,26 @@ LEAST, MOST, ITEMS = 512, 2048, 2_000_000
 FILTER_BITS = 1 << 21
 
 
-def present_in(members: DataFrame, column: str = "node") -> Column:
-    """Whether a row's ``column`` may be among that of ``members``: a bitmap of fixed size, hashed from the members' values, goes to all
-    tasks. It takes some others for members, more as it fills, and never misses one."""
-    place = F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
-    words = members.select(place.alias("h")).groupBy(F.shiftright("h", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(h & 63 AS int))")).alias("bits")).collect()
-    bitmap = np.zeros(FILTER_BITS // 64, np.int64)
-    for r in words:
-        bitmap[r["w"]] = r["bits"]
-    sent = members.sparkSession.sparkContext.broadcast(bitmap.view(np.uint64))
+def bitmap(members: DataFrame, column: str = "node") -> DataFrame:
+    """filter_word, filter_bits: the words of a bitmap of fixed size, hashed from the members' values of ``column``; words of zeros do not come."""
+    words = members.select(_place(column).alias("h")).groupBy(F.shiftright("h", 6).alias("filter_word"))
+    return stage(words.agg(F.bit_or(F.expr("shiftleft(1L, cast(h & 63 AS int))")).alias("filter_bits")), "bitmap")
 
-    @F.pandas_udf("boolean")
-    def present(h: pd.Series) -> pd.Series:
-        x = h.to_numpy()
-        return pd.Series((sent.value[x >> 6] >> (x & 63).astype(np.uint64) & np.uint64(1)).astype(bool))
 
-    return present(place)
+def sieve(rows: DataFrame, words: DataFrame, column: str = "node", kind: str = "left_semi") -> DataFrame:
+    """``rows`` whose ``column`` may be among the values of a ``bitmap``, which goes to all tasks; with left_anti, those whose is not. It takes
+    some others for members, more as it fills, and never misses one. No Python worker is started for it."""
+    here = F.expr(f"shiftright(filter_bits, cast(pmod(xxhash64(`{column}`), {FILTER_BITS}) & 63 AS int)) & 1 = 1")
+    return rows.join(F.broadcast(words), (F.shiftright(_place(column), 6) == F.col("filter_word")) & here, kind)
+
+
+def _place(column: str) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
 
 
 def only_nodes(rows: DataFrame, members: DataFrame, column: str = "node") -> DataFrame:
-    """``rows`` without most of those whose ``column`` is in no row of ``members`` (see present_in); a join must follow."""
-    return rows.where(present_in(members, column))
+    """``rows`` without most of those whose ``column`` is in no row of ``members`` (see sieve); a join must follow."""
+    return sieve(rows, bitmap(members, column), column)
 
 
 def groups(batches, keys: int):

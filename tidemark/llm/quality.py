@@ -29,8 +29,8 @@ from .common import remainder, stage, text_of
 HELD_OUT, FOLDS = 1, 3
 #: Bounds of what is fitted: labelled documents, and words with a context vector. Index vectors, dealt by the words' hashes.
 MAX_FIT, MAX_WORDS, HASHED = 8_000, 10_000, 1 << 15
-#: Words whose places a worker keeps at hand.
-CACHE = 100_000
+#: Words whose places a worker keeps at hand, and documents whose words' vectors it holds at once.
+CACHE, SLICE = 100_000, 32
 DIM, SEEDS, WINDOW, HIDDEN, EPOCHS = 48, 6, 2, 24, 60
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
 #: The shapes, then the entry of a word that repeats the one before.
@@ -100,6 +100,10 @@ class Vectors:
 
     def pool(self, texts: list[str]) -> np.ndarray:
         """Mean vectors, the share of distinct words and the logarithm of the length; an empty text is all zeros."""
+        parts = [self._pool(texts[k : k + SLICE]) for k in range(0, len(texts), SLICE)]
+        return np.concatenate(parts) if parts else np.zeros((0, 2 * DIM + 2), np.float32)
+
+    def _pool(self, texts: list[str]) -> np.ndarray:
         ids = [self.ids(t) for t in texts]
         n = np.array([len(x) for x in ids])
         out = np.zeros((len(texts), 2 * DIM + 2), np.float32)
@@ -221,12 +225,11 @@ def with_score(docs: DataFrame, model: tuple[Vectors, Network], text_col: str =
     ones. A column called like ``out`` is replaced; all others stay as they are, whatever their names."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def probability(texts):
-        import pandas as pd
-
+    @F.arrow_udf("double")
+    def probability(texts: pa.Array) -> pa.Array:
+        pa.default_memory_pool().release_unused()  # what the batch before has left
         vectors, network = sent.value
-        texts = texts.tolist()
-        return pd.Series(np.concatenate([network(vectors.pool(texts[k : k + 256])) for k in range(0, len(texts), 256)] or [np.zeros(0)]))
+        parts = (texts.slice(k, 256).to_pylist() for k in range(0, len(texts), 256))
+        return pa.array(np.concatenate([network(vectors.pool(part)) for part in parts] or [np.zeros(0)]))
 
     return docs.withColumn(out, probability(text_of(text_col)))
