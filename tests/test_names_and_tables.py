@@ -2,9 +2,13 @@
 
 import random
 import re
+from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from tidemark.functions import substrings
 from tidemark.operators import bars, funding, inventory
 from tidemark.sources import canonical
 
@@ -46,6 +50,49 @@ def test_names_move_no_text(spark, tmp_path):
             assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
 
 
+def scratch_files(spark):
+    folder = Path(spark.sparkContext._jsc.sc().getCheckpointDir().get().removeprefix("file:"))
+    return {p for p in folder.rglob("part-*") if p.is_file()}
+
+
+def test_beyond_the_bound_neither_texts_nor_results_move(spark):
+    """More names than go to all tasks: no text is staged, and what is found is not shuffled."""
+    r = random.Random(4)
+    words = sorted({"".join(r.choice("ABCDEFGHé") for _ in range(r.randint(1, 9))) for _ in range(3000)})
+    texts = [(i, " ".join(r.choice(words) for _ in range(400))) for i in range(200)] + [(7, "AB AB"), (7, None)]
+    names = words[::3]
+    rows = spark.createDataFrame(texts, "_id long, _text string")
+    table = spark.createDataFrame([(n,) for n in names], "name string")
+    inventory.names_in_texts(rows, table, few=10, most=10_000)  # the folder is there
+    before = scratch_files(spark)
+    got = inventory.names_in_texts(rows, table, few=10, most=100)
+    assert sorted(tuple(x) for x in got.collect()) == sorted((i, n) for i, t in texts if t for n in names if n in t)
+    assert sum(p.stat().st_size for p in scratch_files(spark) - before) < 100_000 < sum(len(t or "") for _, t in texts)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+
+
+def test_substrings_at_edges():
+    """Of windows, of texts, of lengths; a bitmap that is full rules nothing out, and one that fits nearly everything."""
+    r = random.Random(5)
+    texts = [None, "", "b" * 9, *("".join(r.choice("abé\0") for _ in range(r.randint(0, 120))) for _ in range(12)), "", "ab" * 40 + "Z"]
+    names = sorted({t[a : a + n] for t in texts if t for n in (1, 2, 3, 4, 5, 7, 8, 9, 16, 17, 40) for a in (0, len(t) // 2, len(t) - n) if a >= 0} - {""})
+    block, hits = substrings.BLOCK, substrings.HITS
+    try:
+        for substrings.BLOCK, substrings.HITS, power in ((1 << 18, 1 << 24, 20), (64, 100, 20), (50, 7, 12), (41, 60, 3)):
+            bitmap = np.zeros(1 << power, np.uint8)
+            bitmap[substrings.bits_of(pa.array(names), power).to_numpy()] = 1
+            known = substrings.Names(np.packbits(bitmap, bitorder="little"), power, sorted({len(n.encode()) for n in names}))
+            column = pa.array(["x", *texts, "y"])[1:-1]
+            got = [(o, n) for t in substrings.held(column, known) for o, n in zip(t["owner"].to_pylist(), t["name"].cast(pa.binary()).to_pylist(), strict=True)]
+            want = {(i, n.encode()) for i, t in enumerate(texts) if t for n in names if n in t}
+            assert len(got) == len(set(got)) and want <= set(got) and all(n in texts[i].encode() for i, n in got)
+            assert power < 20 or len(got) < len(want) * 1.02
+        assert not list(substrings.held(pa.array([], pa.string()), known)) and not len(substrings.bits_of(pa.array([], pa.string()), 10))
+    finally:
+        substrings.BLOCK, substrings.HITS = block, hits
+
+
 def test_candidates_are_named_once(spark):
     said = spark.createDataFrame([("Delist ABUSDT", "and AB", "5"), ("delist ab", None, "x"), ("nothing", "ABUSDT", "7"), (None, "migrate é", "1")], "title string, description string, publish_time string")
     coins = spark.createDataFrame([("ABUSDT", "AB", 5), ("ÉUSDT", "É", 6), ("OPEN", "DEL", 0), ("ABUSDT", "AB", 5), ("EMPTY", "", 9)], "symbol string, base_coin string, delivery_ms long")

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions import substrings
 from ..functions.shared import cut
 
 #: Words that make an announcement a delisting candidate; symbols a pilot prefers, in order; the
@@ -91,27 +95,33 @@ def identity_overlap(edges: DataFrame, instruments: DataFrame) -> DataFrame:
     return joined.select("left_symbol", "right_symbol", "relation", F.col("left_launch_ms").isNotNull().alias("left_present"), F.col("right_launch_ms").isNotNull().alias("right_present"), "left_launch_ms", "left_delivery_ms", "right_launch_ms", "right_delivery_ms", overlap.alias("metadata_overlap_ms"), F.lit(False).alias("automatic_stitching"))
 
 
-#: Lengths of the pieces of text that names are looked up by, a name by the longest it holds; names that are compared with every text
-#: without an index; names whose index goes to all tasks, some 100 bytes each.
-GRAMS, FEW_NAMES, MOST_NAMES = (1, 2, 3, 4, 6), 64, 1 << 18
+#: Names that are compared with every text one by one; names that go to all tasks, some 100 bytes each; bits of the bitmap for a
+#: name, and the power of two of all its bits at most (32 MB).
+FEW_NAMES, MOST_NAMES, NAME_BITS, MOST_POWER = 64, 1 << 18, 128, 28
 
 
-def _pieces(text: str, sizes: list[int]) -> Column:
-    """All distinct substrings of so many characters, and shorter ones at the end."""
-    longest = F.expr(f"array_distinct(regexp_extract_all({text}, '(?s)(?=(.{{1,{sizes[-1]}}}))', 1))")
-    begins = lambda d, n: F.transform(d, lambda x: F.left(x, F.lit(n)))
-    each = lambda d: F.array_distinct(F.concat(d, *(begins(d, n) for n in sizes[:-1])))
-    return F.transform(F.array(longest), each)[0]
+def _name_filter(names: DataFrame, n_names: int) -> substrings.Names:
+    """A bitmap of ``names``, made by the tasks; its words, of which there are at most 2^22, come to the driver."""
+    power = min(MOST_POWER, max(16, (NAME_BITS * n_names - 1).bit_length()))
+
+    def bits(batches):
+        for batch in batches:
+            yield pa.record_batch([substrings.bits_of(batch.column(0), power)], ["bit"])
+
+    words = names.mapInArrow(bits, "bit long").groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 AS int))")).alias("bits")).toArrow()
+    bitmap = np.zeros(1 << power - 6, "<i8")
+    bitmap[words["word"].to_numpy()] = words["bits"].to_numpy()
+    return substrings.Names(bitmap.view(np.uint8), power, sorted(r[0] for r in names.select(F.octet_length("name")).distinct().collect()))
 
 
 def names_in_texts(texts: DataFrame, names: DataFrame, few: int = FEW_NAMES, most: int = MOST_NAMES) -> DataFrame:
     """_id, name of every name (a column of distinct, not empty texts) that occurs anywhere in a text (_id, _text, and columns that stay).
 
-    Up to ``few`` names are looked for one by one. More have an inverted index: each is looked up by the one of its pieces (of the
-    longest of ``GRAMS`` that it has) that the fewest texts hold, and what is found is verified. A name with a piece that no
-    text holds is looked up nowhere. Texts are cut into pieces where they are read, and an index of up to ``most`` names comes to them, so
-    nothing but counts of pieces is shuffled. Beyond that the pieces found go to the index; neither all names nor all texts are
-    in one place."""
+    Up to ``few`` names are looked for one by one. With more, the substrings of a text that a bitmap of the names does not rule out are told
+    where the text is read, each once, and are held against the names, which go to all tasks up to ``most``. Beyond that the texts
+    are read twice: the distinct substrings are joined with the names first, and the few that are none go to all tasks. So neither texts
+    nor rows of the result are shuffled, and neither all names nor all texts are in one place. Only where more than ``most`` substrings
+    are no names, which takes many millions of names, the rows are."""
     kept = [c for c in texts.columns if c != "_text"]
     names = cut(names.select("name"))
     n_names = names.count()
@@ -119,25 +129,21 @@ def names_in_texts(texts: DataFrame, names: DataFrame, few: int = FEW_NAMES, mos
         known = F.array(*(F.lit(r["name"]) for r in names.collect())).cast("array<string>")
         found = F.transform(F.array("_text"), lambda t: F.filter(known, lambda n: t.contains(n)))[0]  # the array: a text is made once
         return texts.select(*kept, F.explode_outer(found).alias("name")).where("name IS NOT NULL")
-    size = F.coalesce(*(F.when(F.length("name") >= n, F.lit(n)) for n in reversed(GRAMS)))
-    sizes = sorted(r[0] for r in names.select(size).distinct().collect())  # at most five numbers
-    of_name = F.filter(_pieces("name", sizes), lambda p: F.length(p) == F.col("size"))
-    wanted = names.withColumn("size", size).select("name", F.explode(of_name).alias("piece"))
-    held = F.explode_outer(_pieces("_text", sizes)).alias("piece")
-
-    def among(rows: DataFrame, pieces: DataFrame) -> DataFrame:
-        pieces = cut(pieces.select("piece").distinct())
-        return rows.join(F.broadcast(pieces) if pieces.count() <= most else pieces, "piece", "left_semi")
-
-    counted = among(texts.select(held), wanted).groupBy("piece").agg(F.count("*").alias("n"))
-    rare = wanted.join(counted, "piece", "left").groupBy("name")
-    rare = cut(rare.agg(F.min_by("piece", F.struct("n", "piece")).alias("piece"), F.bool_and(F.col("n").isNotNull()).alias("all")).where("all").select("name", "piece"))
+    sent = texts.sparkSession.sparkContext.broadcast(_name_filter(names, n_names))
+
+    def told(batches):
+        for batch in batches:
+            for found in substrings.held(batch.column(len(kept)), sent.value):
+                for some in found.to_batches(1 << 16):
+                    own = batch.select(kept).take(some.column("owner"))
+                    yield pa.record_batch([*own.columns, some.column("name").cast(pa.string())], [*kept, "name"])
+
+    rows = texts.select(*kept, "_text")
+    maybe = rows.mapInArrow(told, T.StructType([*rows.schema.fields[:-1], T.StructField("name", T.StringType())]))
     if n_names <= most:
-        maybe = texts.select(*kept, "_text", held).join(F.broadcast(rare), "piece")
-    else:
-        texts = cut(texts)  # ids stay what they are
-        maybe = among(texts.select("_id", held), rare).join(rare, "piece").select("_id", "name").join(texts, "_id")
-    return maybe.where(F.col("_text").contains(F.col("name"))).select(*kept, "name")
+        return maybe.join(F.broadcast(names), "name", "left_semi").select(*kept, "name")
+    wrong = cut(maybe.select("name").distinct().join(names, "name", "left_anti"))
+    return maybe.join(F.broadcast(wrong) if wrong.count() <= most else wrong, "name", "left_anti").select(*kept, "name")
 
 
 def delisting_candidates(announcements: DataFrame, instruments: DataFrame, keywords: tuple[str, ...] = KEYWORDS, ordered: bool = True) -> DataFrame:
